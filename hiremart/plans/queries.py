@@ -1,7 +1,9 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
-Every query reads the driver's tables through ``hiremart.sources.driver`` and
-runs the library's own operators over the whole input.
+Every query reads the driver's tables (through ``hiremart.sources.driver``) or
+tables the library itself derived and committed from them, and runs the
+library's own operators over the whole input.  Timestamps are returned as
+TIMESTAMP_NTZ (UTC wall clock) so results do not depend on a client's zone.
 """
 
 from __future__ import annotations
@@ -9,24 +11,440 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hiremart.operators import marts
-from hiremart.plans import fixture_runs
+from hiremart import schemas, storage
+from hiremart.functions.columns import currency_label, naive_timestamp, salary_point
+from hiremart.operators import bi, dims, facts, flatten, marts, quality, scd2, stats
+from hiremart.operators import upsert as up
+from hiremart.operators.staging import stage_postings
+from hiremart.plans import fixture_runs as FR
+from hiremart.session import scratch_path
+from hiremart.sources import driver, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
+REGISTRY: dict[str, Query] = {}
+
+
+def register(name: str):
+    def deco(fn):
+        REGISTRY[name] = fn
+        return fn
+    return deco
+
+
+def _ntz(c):
+    return F.col(c).cast("timestamp_ntz") if isinstance(c, str) else c.cast("timestamp_ntz")
+
+
+def _wh(spark, sf_dir):
+    return FR.warehouse_for(spark, sf_dir)
 
 
 def _star(spark, sf_dir):
-    wh = fixture_runs.warehouse_for(spark, sf_dir)
-    return wh, marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area)
+    wh = _wh(spark, sf_dir)
+    return marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area)
+
+
+# ------------------------------------------------------------------ sources --
+@register("src_paged_items")
+def q_src_paged_items(spark, sf_dir):
+    """Land the search pages as JSON files, read them back, flatten items in order."""
+    path = scratch_path(spark, "landing-pages")
+    pages = driver.posting_pages(spark, sf_dir)
+    landing.write_pages(pages, path)
+    items = landing.read_paged_items(spark, path, schemas.POSTING_PAGE)
+    return items.select(F.col("_page").alias("page"), F.col("_pos").alias("pos"),
+                        F.col("item.id").cast("bigint").alias("vacancy_id"),
+                        F.col("item.name").alias("name"))
+
+
+def _enriched(spark, sf_dir):
+    items = FR.landing_items(spark, sf_dir)
+    return landing.enrich_details(landing.search_view(items), items, max_items=200), items
+
+
+@register("enrich_details")
+def q_enrich_details(spark, sf_dir):
+    """The first 200 search rows replaced by their detail records."""
+    e, _ = _enriched(spark, sf_dir)
+    return e.select(F.col("item.id").cast("bigint").alias("vacancy_id"),
+                    F.coalesce(F.size("item.professional_roles"), F.lit(-1)).cast("int").alias("n_roles"),
+                    F.coalesce(F.size("item.specializations"), F.lit(-1)).cast("int").alias("n_specs"))
+
+
+@register("enrich_fallback")
+def q_enrich_fallback(spark, sf_dir):
+    """Enriched set if non-empty, else the search set."""
+    e, items = _enriched(spark, sf_dir)
+    out = landing.enrich_fallback(e, landing.search_view(items))
+    return out.select(F.col("item.id").cast("bigint").alias("vacancy_id"),
+                      F.col("item.name").alias("name"))
+
+
+# -------------------------------------------------------------------- sinks --
+def _events(spark, sf_dir):
+    ev = driver.events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type", "value")
+    early = ev.filter(F.col("ts") < F.lit(FR.EVENTS_SPLIT).cast("timestamp_ntz"))
+    late = ev.filter(F.col("ts") >= F.lit(FR.EVENTS_SPLIT).cast("timestamp_ntz"))
+    empty = ev.limit(0)
+    return ev, early, late, empty
+
+
+@register("upsert_lww")
+def q_upsert_lww(spark, sf_dir):
+    """K1: events keyed by user upserted in two batches; the latest (ts, id) wins."""
+    _, early, late, empty = _events(spark, sf_dir)
+    t1 = up.upsert(empty, early, ["user_id"], ["ts", "event_id"])
+    return up.upsert(t1, late, ["user_id"], ["ts", "event_id"])
+
+
+@register("upsert_document")
+def q_upsert_document(spark, sf_dir):
+    """K3: whole-document replace by ``_id`` over JSON documents of the events."""
+    ev = driver.events(spark, sf_dir)
+    docs = ev.select(F.col("user_id").cast("string").alias("_id"),
+                     flatten.to_raw(F.struct("event_id", "event_type", "value", "props")).alias("raw"),
+                     F.struct("ts", "event_id").alias("_seq"))
+    target = spark.createDataFrame([], "_id string, raw string")
+    out = up.upsert_document(target, docs, "_id", ["_seq"])
+    return out.select("_id",
+                      F.get_json_object("raw", "$.event_id").cast("bigint").alias("event_id"),
+                      F.get_json_object("raw", "$.event_type").alias("event_type"))
+
+
+@register("upsert_composite_key")
+def q_upsert_composite_key(spark, sf_dir):
+    """K5: the flattened dictionary upserted on the null-safe key (industry, sphere)."""
+    return FR.ods_industries(spark, sf_dir).select("industry_id", "industry_name",
+                                                     "sphere_id", "sphere_name")
+
+
+@register("composite_doc_key")
+def q_composite_doc_key(spark, sf_dir):
+    """K6: document id ``industry:sphere`` with the ids embedded in the document."""
+    docs = up.composite_doc_key(FR.ods_industries(spark, sf_dir),
+                                doc_schema=schemas.INDUSTRY_DOC)
+    return docs.select("_id", "industry_id", "sphere_id",
+                       F.get_json_object("raw", "$.name").alias("doc_name"),
+                       F.get_json_object("raw", "$._id").alias("doc_id"))
+
+
+@register("full_refresh")
+def q_full_refresh(spark, sf_dir):
+    """K7: the salary mart refreshed twice into a versioned table, then read."""
+    path = scratch_path(spark, "mart-salary")
+    m1 = marts.mart_salary(_star(spark, sf_dir))
+    storage.full_refresh(m1, path)
+    return storage.full_refresh(m1, path)
+
+
+@register("insert_ignore")
+def q_insert_ignore(spark, sf_dir):
+    """K8: events keyed by user inserted in two batches; the first (ts, id) wins."""
+    _, early, late, empty = _events(spark, sf_dir)
+    t1 = empty.unionByName(up.insert_ignore(empty, early, ["user_id"], ["ts", "event_id"]))
+    return t1.unionByName(up.insert_ignore(t1, late, ["user_id"], ["ts", "event_id"]))
+
+
+@register("upsert_scd1")
+def q_upsert_scd1(spark, sf_dir):
+    """K9: the SCD1 area dimension after both load cycles."""
+    return _wh(spark, sf_dir).dim_area
+
+
+# ------------------------------------------------------------------ flatten --
+@register("flatten_postings")
+def q_flatten_postings(spark, sf_dir):
+    """The ODS postings after both runs."""
+    o = _wh(spark, sf_dir).ods_postings
+    return o.select("id", "name", "area_name", "employer_name",
+                    _ntz("published_at").alias("published_at"))
+
+
+@register("flatten_employers")
+def q_flatten_employers(spark, sf_dir):
+    """The ODS employers."""
+    ods, _ = FR.employer_feed(spark, sf_dir)
+    return ods.select("id", "name", "area_name", "open_vacancies", "site_url")
+
+
+@register("flatten_hierarchy")
+def q_flatten_hierarchy(spark, sf_dir):
+    """The two-level dictionary flattened to (industry, sphere) rows."""
+    return flatten.flatten_hierarchy(driver.industry_items(spark, sf_dir)).drop("raw")
+
+
+@register("naive_timestamp")
+def q_naive_timestamp(spark, sf_dir):
+    """Publication text → wall-clock timestamp with the offset dropped."""
+    items = FR.landing_items(spark, sf_dir)
+    return items.select(F.col("item.id").cast("bigint").alias("vacancy_id"),
+                        naive_timestamp(F.col("item.published_at")).alias("published_naive"))
+
+
+@register("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    """P5: ODS ``raw`` parsed back with the declared schema."""
+    st = stage_postings(_wh(spark, sf_dir).ods_postings)
+    return st.select("vacancy_id", "employer_id", "area_id", "salary_from", "salary_to",
+                     "salary_currency", "salary_gross", "trusted",
+                     F.coalesce(F.size("professional_roles"), F.lit(-1)).cast("int").alias("n_roles"),
+                     F.coalesce(F.size("specializations"), F.lit(-1)).cast("int").alias("n_specs"))
+
+
+# ---------------------------------------------------------------------- DDS --
+DIM_EMP_OUT = ["employer_id", "employer_name", "alternate_url", "trusted"]
+
+
+def _dim_out(dim):
+    return dim.select(*DIM_EMP_OUT, _ntz("valid_from").alias("valid_from"),
+                      _ntz("valid_to").alias("valid_to"), "is_current")
+
+
+@register("dim_date")
+def q_dim_date(spark, sf_dir):
+    """The date dimension after both runs."""
+    return _wh(spark, sf_dir).dim_date
+
+
+@register("dim_area")
+def q_dim_area(spark, sf_dir):
+    """The area dimension."""
+    return _wh(spark, sf_dir).dim_area
+
+
+def _run1_dim_and_stage2(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    base = FR._base(spark, sf_dir)
+    dim1 = spark.read.parquet(f"{base}/dds/cycle=0/dim_employer")
+    staged2 = scd2.stage_employers_from_postings(stage_postings(wh.ods_postings))
+    return dim1, staged2
+
+
+@register("scd2_expire")
+def q_scd2_expire(spark, sf_dir):
+    """Run-1 dimension with run-2 staging: changed current rows closed."""
+    dim1, staged2 = _run1_dim_and_stage2(spark, sf_dir)
+    return _dim_out(scd2.scd2_expire(dim1, staged2, FR.RUN_2_AT))
+
+
+@register("scd2_insert")
+def q_scd2_insert(spark, sf_dir):
+    """Run-1 dimension with run-2 staging: keys without a current row opened."""
+    dim1, staged2 = _run1_dim_and_stage2(spark, sf_dir)
+    return _dim_out(scd2.scd2_insert(dim1, staged2, FR.RUN_2_AT))
+
+
+@register("scd2_full")
+def q_scd2_full(spark, sf_dir):
+    """D3: the SCD2 employer dimension after both runs."""
+    return _dim_out(_wh(spark, sf_dir).dim_employer)
+
+
+@register("scd2_tracked_subset")
+def q_scd2_tracked_subset(spark, sf_dir):
+    """The dimension after the employer feed (tracks name and url only)."""
+    _, dim = FR.employer_feed(spark, sf_dir)
+    return _dim_out(dim)
 
 
+@register("fact_incremental")
+def q_fact_incremental(spark, sf_dir):
+    """The vacancy fact after both runs (run-1 rows kept: first write wins)."""
+    wh = _wh(spark, sf_dir)
+    emp = wh.dim_employer.select("employer_sk", "employer_id", "valid_from")
+    return (wh.fact_vacancy.join(emp, "employer_sk", "left")
+            .select("vacancy_id", "name", "employer_id", _ntz("valid_from").alias("employer_version"),
+                    "area_id", "published_date", "salary_from", "salary_to", "salary_currency",
+                    "salary_gross", _ntz("created_at").alias("created_at")))
+
+
+@register("bridge_explode")
+def q_bridge_explode(spark, sf_dir):
+    """Vacancy → sphere bridge."""
+    return _wh(spark, sf_dir).bridge_sphere.select("vacancy_id", "sphere_id")
+
+
+@register("dim_role")
+def q_dim_role(spark, sf_dir):
+    """Professional-role dimension."""
+    return _wh(spark, sf_dir).dim_role
+
+
+@register("bridge_role")
+def q_bridge_role(spark, sf_dir):
+    """Vacancy → role bridge."""
+    return _wh(spark, sf_dir).bridge_role.select("vacancy_id", "role_id")
+
+
+@register("fact_snapshot")
+def q_fact_snapshot(spark, sf_dir):
+    """Employer snapshot for the as-of day, loaded twice (second run adds nothing)."""
+    ods, dim = FR.employer_feed(spark, sf_dir)
+    empty = schemas.empty(spark, schemas.FACT_EMPLOYER_SNAPSHOT)
+    first = facts.fact_snapshot(ods, dim, empty, FR.AS_OF_DATE, FR.FEED_AT)
+    snap = storage.materialize(first, scratch_path(spark, "snapshot"))
+    again = facts.fact_snapshot(ods, dim, snap, FR.AS_OF_DATE, FR.FEED_AT)
+    return snap.unionByName(again).select("employer_id", "snapshot_date", "area_name",
+                                          "open_vacancies", "site_url")
+
+
+@register("dim_industry")
+def q_dim_industry(spark, sf_dir):
+    """Industry dimension from the dictionary."""
+    return dims.dim_industry(schemas.empty(spark, schemas.DIM_INDUSTRY), FR.ods_industries(spark, sf_dir))
+
+
+@register("dim_sphere")
+def q_dim_sphere(spark, sf_dir):
+    """Sphere dimension from the dictionary."""
+    return dims.dim_sphere(schemas.empty(spark, schemas.DIM_SPHERE), FR.ods_industries(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------- DQ --
+@register("dq_row_counts")
+def q_dq_row_counts(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.dq_row_counts(wh.ods_postings, wh.fact_vacancy)
+
+
+@register("dq_null_keys")
+def q_dq_null_keys(spark, sf_dir):
+    return quality.dq_null_keys(_wh(spark, sf_dir).fact_vacancy)
+
+
+@register("dq_date_range")
+def q_dq_date_range(spark, sf_dir):
+    return quality.dq_date_range(_wh(spark, sf_dir).fact_vacancy, lo="2000-01-01",
+                                 as_of=FR.AS_OF_DATE)
+
+
+# -------------------------------------------------------------------- marts --
+@register("primary_role")
+def q_primary_role(spark, sf_dir):
+    """M-a: primary (text-minimum) role per vacancy."""
+    wh = _wh(spark, sf_dir)
+    return marts.primary_role(wh.bridge_role, wh.dim_role)
+
+
+@register("salary_point")
+def q_salary_point(spark, sf_dir):
+    """M-b: salary point of every fact row."""
+    f = _wh(spark, sf_dir).fact_vacancy
+    return f.select("vacancy_id", salary_point("salary_from", "salary_to").alias("salary_point"))
+
+
+@register("currency_label")
+def q_currency_label(spark, sf_dir):
+    """M-c: currency label of every fact row."""
+    f = _wh(spark, sf_dir).fact_vacancy
+    return f.select("vacancy_id", currency_label("salary_currency").alias("currency"))
+
+
+@register("star_join")
+def q_star_join(spark, sf_dir):
+    """M-d: the star join feeding every mart."""
+    return _star(spark, sf_dir).drop("employer_sk")
+
+
+@register("mart_salary")
 def q_mart_salary(spark, sf_dir):
-    """M1 over a warehouse built by two load cycles from the driver tables."""
-    _, s = _star(spark, sf_dir)
-    return marts.mart_salary(s)
+    """M1: salary by month × role × area × currency."""
+    return marts.mart_salary(_star(spark, sf_dir))
+
+
+@register("mart_regions")
+def q_mart_regions(spark, sf_dir):
+    """M2: regions by role with share of the role."""
+    return marts.mart_regions(_star(spark, sf_dir))
+
+
+@register("mart_trends")
+def q_mart_trends(spark, sf_dir):
+    """M3: monthly demand by role with change against the previous present month."""
+    return marts.mart_trends(_star(spark, sf_dir))
+
+
+@register("mart_top_employers")
+def q_mart_top_employers(spark, sf_dir):
+    """M4: top-20 current employers per role × area × currency."""
+    return marts.mart_top_employers(_star(spark, sf_dir), _wh(spark, sf_dir).dim_employer, k=20)
+
+
+@register("mart_top_employers_k3")
+def q_mart_top_employers_k3(spark, sf_dir):
+    """M4 with k = 3."""
+    return marts.mart_top_employers(_star(spark, sf_dir), _wh(spark, sf_dir).dim_employer, k=3)
+
+
+@register("mart_currency")
+def q_mart_currency(spark, sf_dir):
+    """M5: currency structure by role × area."""
+    return marts.mart_currency(_star(spark, sf_dir))
+
+
+# ----------------------------------------------------------------------- BI --
+@register("bi_avg_salary")
+def q_bi_avg_salary(spark, sf_dir):
+    return bi.bi_avg_salary(q_mart_salary(spark, sf_dir))
+
+
+@register("bi_currency_share")
+def q_bi_currency_share(spark, sf_dir):
+    return bi.bi_currency_share(q_mart_currency(spark, sf_dir))
+
+
+@register("bi_currency_pivot")
+def q_bi_currency_pivot(spark, sf_dir):
+    return bi.bi_currency_pivot(q_mart_currency(spark, sf_dir))
+
+
+@register("bi_heatmap")
+def q_bi_heatmap(spark, sf_dir):
+    return bi.bi_heatmap(q_mart_regions(spark, sf_dir))
+
+
+@register("bi_trend_line")
+def q_bi_trend_line(spark, sf_dir):
+    return bi.bi_trend_line(q_mart_trends(spark, sf_dir))
+
+
+@register("bi_top_table")
+def q_bi_top_table(spark, sf_dir):
+    return bi.bi_top_table(q_mart_top_employers(spark, sf_dir))
+
+
+# -------------------------------------------------------------- benchmark ----
+@register("bench_counts")
+def q_bench_counts(spark, sf_dir):
+    """Row counts of the three ODS tables."""
+    ods_emp, _ = FR.employer_feed(spark, sf_dir)
+    return stats.row_counts({"vacancies": _wh(spark, sf_dir).ods_postings,
+                             "employers": ods_emp,
+                             "salary_industries": FR.ods_industries(spark, sf_dir)})
+
+
+@register("bench_by_area")
+def q_bench_by_area(spark, sf_dir):
+    """Vacancies per area name (NULL is a group)."""
+    return stats.count_by(_wh(spark, sf_dir).ods_postings, "area_name")
+
+
+@register("bench_by_nested_path")
+def q_bench_by_nested_path(spark, sf_dir):
+    """Vacancies per employer name read from the raw document."""
+    return stats.count_by_path(_wh(spark, sf_dir).ods_postings, "$.employer.name", "employer_name")
+
+
+@register("duration_stats")
+def q_duration_stats(spark, sf_dir):
+    """min/avg/max/population-std of event values (as seconds) per event type."""
+    return stats.duration_stats(driver.events(spark, sf_dir), ["event_type"], "value")
 
 
-REGISTRY: dict[str, Query] = {
-    "mart_salary": q_mart_salary,
-}
+@register("mean_of_means")
+def q_mean_of_means(spark, sf_dir):
+    """Per event type, the mean over users of each user's mean value."""
+    per_user = stats.duration_stats(driver.events(spark, sf_dir), ["event_type", "user_id"], "value")
+    return stats.mean_of_means(per_user, "event_type", "avg_ms")

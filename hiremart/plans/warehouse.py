@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart import schemas
+from hiremart import schemas, storage
 from hiremart.operators import dims, facts, scd2
 from hiremart.operators.flatten import flatten_postings
 from hiremart.operators.staging import stage_postings
@@ -75,9 +76,55 @@ def cycle(wh: Warehouse, items: DataFrame, now) -> Warehouse:
     return dds_cycle(replace(wh, ods_postings=ods_upsert_postings(wh.ods_postings, items)), now)
 
 
-def build(spark: SparkSession, runs) -> Warehouse:
-    """Fold ``runs`` — ``[(fetched_items, now), …]`` — over an empty warehouse."""
+def materialize(wh: Warehouse, base_path: str) -> Warehouse:
+    """Write every table of the state under ``base_path`` and read them back."""
+    return Warehouse(**{name: storage.materialize(df, f"{base_path}/{name}")
+                        for name, df in wh.tables().items()})
+
+
+def committed_cycle(wh: Warehouse, items: DataFrame, now, path: str) -> Warehouse:
+    """One run whose tables are committed under ``path`` in dependency order.
+
+    The ODS is written first; its documents are parsed once (persisted while
+    the loaders fan out); the SCD2 dimension is written before the fact that
+    joins it.  Each loader then reads committed inputs, so no plan repeats
+    another loader's work.
+    """
+    ods = storage.materialize(ods_upsert_postings(wh.ods_postings, items), f"{path}/ods_postings")
+    stage = stage_postings(ods).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        dim_employer = storage.materialize(
+            scd2.scd2_apply(wh.dim_employer, scd2.stage_employers_from_postings(stage), now),
+            f"{path}/dim_employer")
+        out = {
+            "dim_date": dims.dim_date(wh.dim_date, stage),
+            "dim_area": dims.dim_area(wh.dim_area, stage),
+            "fact_vacancy": wh.fact_vacancy.unionByName(
+                facts.fact_incremental(stage, dim_employer, wh.fact_vacancy, now)),
+            "bridge_sphere": wh.bridge_sphere.unionByName(
+                facts.bridge(wh.bridge_sphere, stage, "specializations", "sphere_id", now)),
+            "dim_role": dims.dim_role(wh.dim_role, stage),
+            "bridge_role": wh.bridge_role.unionByName(
+                facts.bridge(wh.bridge_role, stage, "professional_roles", "role_id", now)),
+        }
+        written = {k: storage.materialize(v, f"{path}/{k}") for k, v in out.items()}
+    finally:
+        stage.unpersist()
+    return Warehouse(ods_postings=ods, dim_employer=dim_employer, **written)
+
+
+def build(spark: SparkSession, runs, base_path: str | None = None) -> Warehouse:
+    """Fold ``runs`` — ``[(fetched_items, now), …]`` — over an empty warehouse.
+
+    With ``base_path`` each cycle's tables are committed under
+    ``<base_path>/cycle=<i>/<table>`` before the next cycle reads them, as the
+    scheduled job commits its tables; without it the result is one lazy plan
+    (fine for a single cycle, exponential in plan size for many).
+    """
     wh = empty_warehouse(spark)
-    for items, now in runs:
-        wh = cycle(wh, items, now)
+    for i, (items, now) in enumerate(runs):
+        if base_path is None:
+            wh = cycle(wh, items, now)
+        else:
+            wh = committed_cycle(wh, items, now, f"{base_path}/cycle={i}")
     return wh
