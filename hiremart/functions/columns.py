@@ -92,3 +92,14 @@ def safe_ratio(num, den) -> Column:
     num, den = _c(num), _c(den)
     return F.when(den == 0, F.lit(None).cast("double")).otherwise(
         num.cast("double") / den.cast("double"))
+
+
+def round_half_up(x, digits: int = 6) -> Column:
+    """``floor(x · 10^d + 0.5) / 10^d`` as DOUBLE.
+
+    Spelled out (rather than ``round``) so that any engine doing the same IEEE
+    operations gets the same bits: used where a mean of floating-point means
+    depends on summation order and is reported at fixed precision.
+    """
+    scale = float(10 ** digits)
+    return F.floor(_c(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)

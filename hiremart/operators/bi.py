@@ -10,15 +10,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hiremart.functions.columns import round_half_up
+
 from hiremart.functions.columns import safe_ratio
 
 FLOAT_DIGITS = 6   # means of means depend on summation order: report 6 decimals
 
 
+def fixed_point_mean(x: str, digits: int = FLOAT_DIGITS):
+    """Mean of a DOUBLE column taken in exact fixed point.
+
+    Each value is rounded half-up to ``10^-digits`` as an integer, the integers
+    are summed exactly (DECIMAL(38,0), order-independent), and one division
+    gives the mean.  Unlike a floating-point ``avg`` the result does not depend
+    on how rows are spread over partitions.
+    """
+    scale = float(10 ** digits)
+    units = F.floor(F.col(x) * F.lit(scale) + F.lit(0.5)).cast("decimal(38,0)")
+    return F.sum(units).cast("double") / (F.count(units).cast("double") * F.lit(scale))
+
+
 def bi_avg_salary(m1: DataFrame, limit: int = 1000) -> DataFrame:
     """Unweighted mean of the mart's mean salaries by role × currency."""
     return (m1.groupBy("industry_name", "currency")
-            .agg(F.round(F.avg("salary_avg"), FLOAT_DIGITS).alias("salary_avg_avg"))
+            .agg(fixed_point_mean("salary_avg").alias("salary_avg_avg"))
             .orderBy(F.col("salary_avg_avg").desc_nulls_last(), "industry_name", "currency")
             .limit(limit))
 

@@ -94,11 +94,101 @@ base AS (
 )"""
 
 
+# employer versions after the two runs (SCD2 without the machinery)
+EMPLOYERS = f"""
+staged1 AS (
+  SELECT employer_id, employer_name, alternate_url, trusted FROM (
+    SELECT *, row_number() OVER (PARTITION BY employer_id
+                                 ORDER BY published_at DESC, vacancy_id DESC) AS rn
+    FROM postings WHERE employer_id IS NOT NULL AND employer_name IS NOT NULL
+      AND published_at < {RUN_1_AT}) WHERE rn = 1
+),
+staged2 AS (
+  SELECT employer_id, employer_name, alternate_url, trusted FROM (
+    SELECT *, row_number() OVER (PARTITION BY employer_id
+                                 ORDER BY published_at DESC, vacancy_id DESC) AS rn
+    FROM postings WHERE employer_id IS NOT NULL AND employer_name IS NOT NULL) WHERE rn = 1
+),
+changed AS (
+  SELECT s1.employer_id FROM staged1 s1 JOIN staged2 s2 ON s1.employer_id = s2.employer_id
+  WHERE s1.employer_name IS DISTINCT FROM s2.employer_name
+     OR s1.alternate_url IS DISTINCT FROM s2.alternate_url
+     OR s1.trusted IS DISTINCT FROM s2.trusted
+),
+dim_employer AS (
+  SELECT employer_id, employer_name, alternate_url, trusted, {RUN_1_AT} AS valid_from,
+         CASE WHEN employer_id IN (SELECT employer_id FROM changed) THEN {RUN_2_AT}
+              ELSE TIMESTAMP '9999-12-31 00:00:00' END AS valid_to,
+         employer_id NOT IN (SELECT employer_id FROM changed) AS is_current, 1 AS version
+  FROM staged1
+  UNION ALL
+  SELECT employer_id, employer_name, alternate_url, trusted, {RUN_2_AT} AS valid_from,
+         TIMESTAMP '9999-12-31 00:00:00' AS valid_to, TRUE AS is_current, 2 AS version
+  FROM staged2
+  WHERE employer_id IN (SELECT employer_id FROM changed)
+     OR employer_id NOT IN (SELECT employer_id FROM staged1)
+),
+fact_ver AS (
+  SELECT f.*,
+         CASE WHEN f.published_at < {RUN_1_AT} THEN 1
+              WHEN f.employer_id IN (SELECT employer_id FROM changed)
+                OR f.employer_id NOT IN (SELECT employer_id FROM staged1) THEN 2
+              ELSE 1 END AS version
+  FROM facts f
+)"""
+
+FEED_AT = "TIMESTAMP '2001-09-01 00:10:00'"
+EMPLOYER_FEED = f"""
+feed AS (
+  SELECT c.c_custkey AS employer_id, c.c_name AS employer_name,
+         '{URL_PREFIX}' || CAST(c.c_custkey AS VARCHAR) AS alternate_url,
+         n.n_name AS area_name,
+         CAST(CAST(trunc(abs(c.c_acctbal)) AS BIGINT) % 100 AS INTEGER) AS open_vacancies
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+cur_emp AS (SELECT * FROM dim_employer WHERE is_current),
+fchanged AS (
+  SELECT f.employer_id FROM feed f JOIN cur_emp c ON f.employer_id = c.employer_id
+  WHERE f.employer_name IS DISTINCT FROM c.employer_name
+     OR f.alternate_url IS DISTINCT FROM c.alternate_url
+),
+dim_after_feed AS (
+  SELECT employer_id, employer_name, alternate_url, trusted, valid_from,
+         CASE WHEN is_current AND employer_id IN (SELECT employer_id FROM fchanged)
+              THEN {FEED_AT} ELSE valid_to END AS valid_to,
+         is_current AND employer_id NOT IN (SELECT employer_id FROM fchanged) AS is_current
+  FROM dim_employer
+  UNION ALL
+  SELECT employer_id, employer_name, alternate_url, CAST(NULL AS BOOLEAN) AS trusted,
+         {FEED_AT} AS valid_from, TIMESTAMP '9999-12-31 00:00:00' AS valid_to, TRUE AS is_current
+  FROM feed
+  WHERE employer_name IS NOT NULL
+    AND (employer_id IN (SELECT employer_id FROM fchanged)
+         OR employer_id NOT IN (SELECT employer_id FROM cur_emp))
+)"""
+
+DICTIONARY = """
+dict AS (
+  SELECT CAST(r.r_regionkey AS VARCHAR) AS industry_id, r.r_name AS industry_name,
+         CAST(n.n_nationkey AS VARCHAR) AS sphere_id, n.n_name AS sphere_name
+  FROM region r LEFT JOIN nation n ON n.n_regionkey = r.r_regionkey
+)"""
+
+EVENTS_SPLIT = "TIMESTAMP '2024-01-15 00:00:00'"
+LATEST_EVENT = """
+SELECT user_id, event_id, ts, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts {d}, event_id {d}) AS rn
+  FROM events) WHERE rn = 1
+"""
+
+
 def with_ctes(*parts: str, body: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n" + body
 
 
 MEAN = "CASE WHEN COUNT({x}) > 0 THEN CAST(SUM({x}) AS DOUBLE) / COUNT({x}) END"
+RATIO = "CASE WHEN {b} = 0 THEN NULL ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END"
+DIM_EMP_COLS = "employer_id, employer_name, alternate_url, trusted, valid_from, valid_to, is_current"
 
 MART_SALARY_BODY = f"""
 SELECT month, industry_id, industry_name, area_id, area_name, currency,
@@ -111,8 +201,285 @@ FROM base
 GROUP BY month, industry_id, industry_name, area_id, area_name, currency
 """
 
+MART_REGIONS_CTE = f"""
+m2agg AS (
+  SELECT industry_id, industry_name, area_id, area_name,
+         CAST(COUNT(*) AS INTEGER) AS vacancies_cnt,
+         CAST(COUNT(salary_point) AS INTEGER) AS vacancies_with_salary_cnt,
+         {MEAN.format(x='salary_point')} AS salary_avg
+  FROM base GROUP BY industry_id, industry_name, area_id, area_name
+),
+m2 AS (
+  SELECT a.industry_id, a.industry_name, a.area_id, a.area_name, a.vacancies_cnt,
+         a.vacancies_with_salary_cnt,
+         {RATIO.format(a='a.vacancies_cnt', b='t.total_cnt')} AS share_in_industry,
+         a.salary_avg
+  FROM m2agg a JOIN (SELECT industry_id, SUM(vacancies_cnt) AS total_cnt FROM m2agg
+                     GROUP BY industry_id) t ON t.industry_id = a.industry_id
+)"""
+
+MART_TRENDS_CTE = """
+m3agg AS (
+  SELECT month, industry_id, industry_name, CAST(COUNT(*) AS INTEGER) AS vacancies_cnt
+  FROM base GROUP BY month, industry_id, industry_name
+),
+m3 AS (
+  SELECT month, industry_id, industry_name, vacancies_cnt,
+         CAST(vacancies_cnt - prev AS INTEGER) AS mom_abs,
+         CASE WHEN prev IS NULL OR prev = 0 THEN NULL
+              ELSE CAST(vacancies_cnt AS DOUBLE) / prev - 1.0 END AS mom_pct
+  FROM (SELECT *, LAG(vacancies_cnt) OVER (PARTITION BY industry_id ORDER BY month) AS prev
+        FROM m3agg)
+)"""
+
+MART_CURRENCY_CTE = f"""
+m5agg AS (
+  SELECT industry_id, industry_name, area_id, area_name, currency,
+         CAST(COUNT(*) AS INTEGER) AS vacancies_cnt
+  FROM base GROUP BY industry_id, industry_name, area_id, area_name, currency
+),
+m5 AS (
+  SELECT a.industry_id, a.industry_name, a.area_id, a.area_name, a.currency, a.vacancies_cnt,
+         {RATIO.format(a='a.vacancies_cnt', b='t.total_cnt')} AS currency_share
+  FROM m5agg a JOIN (SELECT industry_id, area_id, SUM(vacancies_cnt) AS total_cnt FROM m5agg
+                     GROUP BY industry_id, area_id) t
+    ON t.industry_id = a.industry_id AND t.area_id IS NOT DISTINCT FROM a.area_id
+)"""
+
+
+def mart_top_cte(k: int) -> str:
+    return f"""
+m4base AS (
+  SELECT b.*, e.employer_name AS cur_employer_name
+  FROM base b JOIN fact_ver v ON v.vacancy_id = b.vacancy_id
+  JOIN dim_employer e ON e.employer_id = v.employer_id AND e.version = v.version AND e.is_current
+),
+m4agg AS (
+  SELECT industry_id, industry_name, area_id, area_name, employer_id,
+         cur_employer_name AS employer_name, currency,
+         CAST(COUNT(*) AS INTEGER) AS vacancies_cnt,
+         CAST(COUNT(salary_point) AS INTEGER) AS vacancies_with_salary_cnt,
+         {MEAN.format(x='salary_point')} AS salary_avg
+  FROM m4base
+  GROUP BY industry_id, industry_name, area_id, area_name, employer_id, cur_employer_name, currency
+),
+m4 AS (
+  SELECT industry_id, industry_name, area_id, area_name, employer_id, employer_name, currency,
+         vacancies_cnt, vacancies_with_salary_cnt, salary_avg FROM (
+    SELECT *, row_number() OVER (PARTITION BY industry_id, area_id, currency
+      ORDER BY vacancies_cnt DESC, salary_avg DESC NULLS LAST, employer_id ASC) AS rn
+    FROM m4agg) WHERE rn <= {k}
+)"""
+
+
+STAR = (POSTINGS, FACTS)
+STAR_EMP = (POSTINGS, FACTS, EMPLOYERS)
+
 
 def sql() -> dict[str, str]:
-    return {
-        "mart_salary": with_ctes(POSTINGS, FACTS, body=MART_SALARY_BODY),
-    }
+    q: dict[str, str] = {}
+    # ---------------------------------------------------------------- sources
+    q["src_paged_items"] = """
+SELECT o_orderkey // 100 AS page,
+       CAST(row_number() OVER (PARTITION BY o_orderkey // 100 ORDER BY o_orderkey) - 1 AS INTEGER) AS pos,
+       o_orderkey AS vacancy_id, o_orderpriority AS name
+FROM orders"""
+    head = with_ctes(POSTINGS, """
+head AS (SELECT o_orderkey AS vacancy_id, o_orderpriority AS name FROM orders
+         ORDER BY o_orderkey LIMIT 200)""", body="{body}")
+    q["enrich_details"] = head.replace("{body}", """
+SELECT h.vacancy_id, CAST(COALESCE(r.n, -1) AS INTEGER) AS n_roles,
+       CAST(COALESCE(s.n, -1) AS INTEGER) AS n_specs
+FROM head h
+LEFT JOIN (SELECT vacancy_id, COUNT(*) AS n FROM role_pairs GROUP BY vacancy_id) r
+  ON r.vacancy_id = h.vacancy_id
+LEFT JOIN (SELECT vacancy_id, COUNT(*) AS n FROM
+           (SELECT DISTINCT l.l_orderkey AS vacancy_id, s.s_nationkey
+            FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+            JOIN nation n ON s.s_nationkey = n.n_nationkey) GROUP BY vacancy_id) s
+  ON s.vacancy_id = h.vacancy_id""")
+    q["enrich_fallback"] = head.replace("{body}", "SELECT vacancy_id, name FROM head")
+    # ------------------------------------------------------------------ sinks
+    q["upsert_lww"] = LATEST_EVENT.format(d="DESC")
+    q["insert_ignore"] = LATEST_EVENT.format(d="ASC")
+    q["upsert_document"] = f"""
+SELECT CAST(user_id AS VARCHAR) AS _id, event_id, event_type FROM ({LATEST_EVENT.format(d="DESC")})"""
+    q["upsert_composite_key"] = with_ctes(DICTIONARY, body="SELECT * FROM dict")
+    q["flatten_hierarchy"] = q["upsert_composite_key"]
+    q["composite_doc_key"] = with_ctes(DICTIONARY, body="""
+SELECT industry_id || ':' || COALESCE(sphere_id, '') AS _id, industry_id, sphere_id,
+       COALESCE(sphere_name, industry_name) AS doc_name,
+       industry_id || ':' || COALESCE(sphere_id, '') AS doc_id
+FROM dict""")
+    q["full_refresh"] = with_ctes(*STAR, body=MART_SALARY_BODY)
+    q["upsert_scd1"] = with_ctes(*STAR, body="SELECT area_id, area_name FROM dim_area")
+    q["dim_area"] = q["upsert_scd1"]
+    # ---------------------------------------------------------------- flatten
+    q["flatten_postings"] = with_ctes(POSTINGS, body="""
+SELECT vacancy_id AS id, name, area_name, employer_name, published_at FROM postings""")
+    q["flatten_employers"] = with_ctes(POSTINGS, FACTS, EMPLOYERS, EMPLOYER_FEED, body="""
+SELECT employer_id AS id, employer_name AS name, area_name, open_vacancies,
+       alternate_url AS site_url FROM feed""")
+    q["naive_timestamp"] = """
+SELECT o_orderkey AS vacancy_id,
+       CAST(CAST(o_orderdate AS DATE) + INTERVAL 12 HOUR AS TIMESTAMP) AS published_naive
+FROM orders"""
+    q["json_roundtrip"] = with_ctes(POSTINGS, body="""
+SELECT p.vacancy_id, p.employer_id, p.area_id, p.salary_from, p.salary_to, p.salary_currency,
+       p.salary_gross, p.trusted,
+       CAST(COALESCE(r.n, -1) AS INTEGER) AS n_roles, CAST(COALESCE(s.n, -1) AS INTEGER) AS n_specs
+FROM postings p
+LEFT JOIN (SELECT vacancy_id, COUNT(*) AS n FROM role_pairs GROUP BY vacancy_id) r
+  ON r.vacancy_id = p.vacancy_id
+LEFT JOIN (SELECT vacancy_id, COUNT(*) AS n FROM sphere_pairs GROUP BY vacancy_id) s
+  ON s.vacancy_id = p.vacancy_id""")
+    # -------------------------------------------------------------------- DDS
+    q["dim_date"] = with_ctes(POSTINGS, body="""
+SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS INTEGER) AS year,
+       CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
+       CAST(dayofweek(d) AS INTEGER) AS day_of_week, CAST(week(d) AS INTEGER) AS week
+FROM (SELECT unnest(generate_series(MIN(published_date), MAX(published_date), INTERVAL 1 DAY)) AS d
+      FROM postings)""")
+    q["scd2_expire"] = with_ctes(*STAR_EMP, body=f"""
+SELECT employer_id, employer_name, alternate_url, trusted, {RUN_1_AT} AS valid_from,
+       CASE WHEN employer_id IN (SELECT employer_id FROM changed) THEN {RUN_2_AT}
+            ELSE TIMESTAMP '9999-12-31 00:00:00' END AS valid_to,
+       employer_id NOT IN (SELECT employer_id FROM changed) AS is_current
+FROM staged1""")
+    q["scd2_insert"] = with_ctes(*STAR_EMP, body=f"""
+SELECT employer_id, employer_name, alternate_url, trusted, {RUN_1_AT} AS valid_from,
+       TIMESTAMP '9999-12-31 00:00:00' AS valid_to, TRUE AS is_current
+FROM staged1
+UNION ALL
+SELECT employer_id, employer_name, alternate_url, trusted, {RUN_2_AT} AS valid_from,
+       TIMESTAMP '9999-12-31 00:00:00' AS valid_to, TRUE AS is_current
+FROM staged2 WHERE employer_id NOT IN (SELECT employer_id FROM staged1)""")
+    q["scd2_full"] = with_ctes(*STAR_EMP, body=f"SELECT {DIM_EMP_COLS} FROM dim_employer")
+    q["scd2_tracked_subset"] = with_ctes(*STAR_EMP, EMPLOYER_FEED,
+                                         body=f"SELECT {DIM_EMP_COLS} FROM dim_after_feed")
+    q["fact_incremental"] = with_ctes(*STAR_EMP, body=f"""
+SELECT vacancy_id, name, employer_id,
+       CASE version WHEN 1 THEN {RUN_1_AT} ELSE {RUN_2_AT} END AS employer_version,
+       area_id, published_date, salary_from, salary_to, salary_currency, salary_gross,
+       CASE WHEN published_at < {RUN_1_AT} THEN {RUN_1_AT} ELSE {RUN_2_AT} END AS created_at
+FROM fact_ver""")
+    q["bridge_explode"] = with_ctes(POSTINGS, body="""
+SELECT vacancy_id, sphere_id FROM sphere_pairs
+WHERE sphere_id <> '' AND vacancy_id IN (SELECT vacancy_id FROM postings)""")
+    q["dim_role"] = with_ctes(POSTINGS, body="""
+SELECT role_id, role_name FROM (
+  SELECT r.role_id, r.role_name, row_number() OVER (PARTITION BY r.role_id
+         ORDER BY p.published_at DESC, p.vacancy_id DESC, r.role_name DESC) AS rn
+  FROM role_pairs r JOIN postings p ON p.vacancy_id = r.vacancy_id
+  WHERE r.role_id <> '') WHERE rn = 1""")
+    q["bridge_role"] = with_ctes(POSTINGS, body="""
+SELECT vacancy_id, role_id FROM role_pairs
+WHERE role_id <> '' AND vacancy_id IN (SELECT vacancy_id FROM postings)""")
+    q["fact_snapshot"] = with_ctes(*STAR_EMP, EMPLOYER_FEED, body="""
+SELECT f.employer_id, DATE '2001-09-01' AS snapshot_date, f.area_name, f.open_vacancies,
+       f.alternate_url AS site_url
+FROM feed f JOIN dim_after_feed d ON d.employer_id = f.employer_id AND d.is_current""")
+    q["dim_industry"] = with_ctes(DICTIONARY, body="""
+SELECT industry_id, MAX(industry_name) AS industry_name FROM dict
+WHERE industry_id IS NOT NULL GROUP BY industry_id""")
+    q["dim_sphere"] = with_ctes(DICTIONARY, body="""
+SELECT sphere_id, arg_max(sphere_name, sphere_name || chr(0) || industry_id) AS sphere_name,
+       arg_max(industry_id, sphere_name || chr(0) || industry_id) AS industry_id
+FROM dict WHERE sphere_id IS NOT NULL GROUP BY sphere_id""")
+    # --------------------------------------------------------------------- DQ
+    q["dq_row_counts"] = with_ctes(*STAR, body="""
+SELECT 'row_counts' AS "check", ods_total, ods_eligible, dds_count,
+       CASE WHEN ods_eligible = 0 THEN 'SKIP' WHEN ods_eligible <> dds_count THEN 'FAIL'
+            ELSE 'PASS' END AS status
+FROM (SELECT (SELECT COUNT(*) FROM postings) AS ods_total,
+             (SELECT COUNT(*) FROM postings WHERE employer_id IS NOT NULL) AS ods_eligible,
+             (SELECT COUNT(*) FROM facts) AS dds_count)""")
+    q["dq_null_keys"] = with_ctes(*STAR, body="""
+SELECT 'null_keys' AS "check", COUNT(*) FILTER (WHERE published_date IS NULL) AS invalid_count,
+       CASE WHEN COUNT(*) FILTER (WHERE published_date IS NULL) > 0 THEN 'FAIL' ELSE 'PASS' END
+         AS status
+FROM facts""")
+    q["dq_date_range"] = with_ctes(*STAR, body="""
+SELECT 'date_range' AS "check", MIN(published_date) AS min_date, MAX(published_date) AS max_date,
+       COUNT(*) FILTER (WHERE published_date < DATE '2000-01-01') AS too_old,
+       COUNT(*) FILTER (WHERE published_date > DATE '2001-09-01') AS in_future,
+       CASE WHEN COUNT(*) FILTER (WHERE published_date < DATE '2000-01-01'
+                                     OR published_date > DATE '2001-09-01') > 0
+            THEN 'FAIL' ELSE 'PASS' END AS status
+FROM facts""")
+    # ------------------------------------------------------------------ marts
+    q["primary_role"] = with_ctes(*STAR, body="SELECT vacancy_id, industry_id FROM vmap")
+    q["salary_point"] = with_ctes(*STAR, body="""
+SELECT vacancy_id,
+       CASE WHEN salary_from IS NOT NULL AND salary_to IS NOT NULL
+            THEN CAST(CAST(salary_from + salary_to AS DECIMAL(20,3)) * 0.5 AS DECIMAL(22,3))
+            ELSE CAST(COALESCE(salary_from, salary_to) AS DECIMAL(22,3)) END AS salary_point
+FROM facts""")
+    q["currency_label"] = with_ctes(*STAR, body="""
+SELECT vacancy_id, COALESCE(NULLIF(salary_currency, ''), 'UNKNOWN') AS currency FROM facts""")
+    q["star_join"] = with_ctes(*STAR, body="""
+SELECT vacancy_id, month, industry_id, industry_name, area_id, area_name, currency, salary_point
+FROM base""")
+    q["mart_salary"] = with_ctes(*STAR, body=MART_SALARY_BODY)
+    q["mart_regions"] = with_ctes(*STAR, MART_REGIONS_CTE, body="SELECT * FROM m2")
+    q["mart_trends"] = with_ctes(*STAR, MART_TRENDS_CTE, body="SELECT * FROM m3")
+    q["mart_top_employers"] = with_ctes(*STAR_EMP, mart_top_cte(20), body="SELECT * FROM m4")
+    q["mart_top_employers_k3"] = with_ctes(*STAR_EMP, mart_top_cte(3), body="SELECT * FROM m4")
+    q["mart_currency"] = with_ctes(*STAR, MART_CURRENCY_CTE, body="SELECT * FROM m5")
+    # --------------------------------------------------------------------- BI
+    q["bi_avg_salary"] = with_ctes(*STAR, f"m1 AS ({MART_SALARY_BODY})", body="""
+SELECT industry_name, currency, CAST(SUM(CAST(floor(salary_avg * 1000000.0 + 0.5) AS DECIMAL(38,0))) AS DOUBLE)
+         / (CAST(COUNT(salary_avg) AS DOUBLE) * 1000000.0) AS salary_avg_avg FROM m1
+GROUP BY industry_name, currency
+ORDER BY salary_avg_avg DESC NULLS LAST, industry_name, currency LIMIT 1000""")
+    share = f"""
+c2 AS (
+  SELECT industry_name, currency, CAST(SUM(vacancies_cnt) AS BIGINT) AS vacancies_cnt_sum
+  FROM m5 GROUP BY industry_name, currency
+),
+c2s AS (
+  SELECT c.industry_name, c.currency, c.vacancies_cnt_sum,
+         {RATIO.format(a='c.vacancies_cnt_sum', b='t.total')} AS contribution
+  FROM c2 c JOIN (SELECT industry_name, SUM(vacancies_cnt_sum) AS total FROM c2
+                  GROUP BY industry_name) t ON t.industry_name = c.industry_name
+)"""
+    q["bi_currency_share"] = with_ctes(*STAR, MART_CURRENCY_CTE, share, body="""
+SELECT * FROM c2s ORDER BY vacancies_cnt_sum DESC, industry_name, currency LIMIT 1000""")
+    q["bi_currency_pivot"] = with_ctes(*STAR, MART_CURRENCY_CTE, share, body="""
+SELECT industry_name,
+       MAX(CASE WHEN currency = 'RUR' THEN contribution END) AS "RUR",
+       MAX(CASE WHEN currency = 'UNKNOWN' THEN contribution END) AS "UNKNOWN",
+       MAX(CASE WHEN currency = 'USD' THEN contribution END) AS "USD"
+FROM c2s GROUP BY industry_name""")
+    q["bi_heatmap"] = with_ctes(*STAR, MART_REGIONS_CTE, body="""
+SELECT industry_name, area_name, CAST(SUM(vacancies_cnt) AS BIGINT) AS vacancies_cnt_sum
+FROM m2 GROUP BY industry_name, area_name
+ORDER BY vacancies_cnt_sum DESC, industry_name, area_name NULLS LAST LIMIT 5000""")
+    q["bi_trend_line"] = with_ctes(*STAR, MART_TRENDS_CTE, body="""
+SELECT CAST(date_trunc('month', month) AS DATE) AS month, industry_name,
+       CAST(SUM(vacancies_cnt) AS BIGINT) AS vacancies_cnt_sum
+FROM m3 GROUP BY 1, industry_name ORDER BY month, industry_name LIMIT 10000""")
+    q["bi_top_table"] = with_ctes(*STAR_EMP, mart_top_cte(20), body="""
+SELECT industry_name, area_name, currency, employer_name, vacancies_cnt, salary_avg FROM m4
+ORDER BY vacancies_cnt DESC, salary_avg DESC NULLS LAST, industry_name, area_name NULLS LAST,
+         currency, employer_name LIMIT 100""")
+    # -------------------------------------------------------------- benchmark
+    q["bench_counts"] = with_ctes(POSTINGS, DICTIONARY, body="""
+SELECT 'vacancies' AS table_name, COUNT(*) AS row_count FROM postings
+UNION ALL SELECT 'employers', COUNT(*) FROM customer
+UNION ALL SELECT 'salary_industries', COUNT(*) FROM dict""")
+    q["bench_by_area"] = with_ctes(POSTINGS, body="""
+SELECT area_name, COUNT(*) AS cnt FROM postings GROUP BY area_name""")
+    q["bench_by_nested_path"] = with_ctes(POSTINGS, body="""
+SELECT employer_name, COUNT(*) AS cnt FROM postings GROUP BY employer_name""")
+    q["duration_stats"] = """
+SELECT event_type, COUNT(value) AS runs, MIN(value * 1000.0) AS min_ms,
+       floor(AVG(value * 1000.0) * 1000000.0 + 0.5) / 1000000.0 AS avg_ms, MAX(value * 1000.0) AS max_ms,
+       floor(CASE WHEN COUNT(value) > 1 THEN stddev_pop(value * 1000.0) ELSE 0.0 END * 1000000.0 + 0.5) / 1000000.0 AS std_ms
+FROM events GROUP BY event_type"""
+    q["mean_of_means"] = """
+SELECT event_type, floor(AVG(avg_ms) * 1000000.0 + 0.5) / 1000000.0 AS mean_of_means, COUNT(*) AS n_items FROM (
+  SELECT event_type, user_id, floor(AVG(value * 1000.0) * 1000000.0 + 0.5) / 1000000.0 AS avg_ms
+  FROM events GROUP BY event_type, user_id)
+GROUP BY event_type"""
+    return q
