@@ -105,10 +105,14 @@ def ods_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hiremart.operators.upsert import upsert
     from hiremart import schemas
 
-    rows = flatten_hierarchy(driver.industry_items(spark, sf_dir)).withColumn("_seq", F.lit(0))
-    return upsert(schemas.empty(spark, schemas.ODS_INDUSTRIES), rows,
-                  ["industry_id", "sphere_id"], ["_seq", "sphere_name", "industry_name"],
-                  null_safe=True)
+    key = (spark.sparkContext.applicationId, sf_dir, "industries")
+    if key not in _BUILT_OTHER:
+        rows = flatten_hierarchy(driver.industry_items(spark, sf_dir)).withColumn("_seq", F.lit(0))
+        ods = upsert(schemas.empty(spark, schemas.ODS_INDUSTRIES), rows,
+                     ["industry_id", "sphere_id"], ["_seq", "sphere_name", "industry_name"],
+                     null_safe=True)
+        _BUILT_OTHER[key] = storage.materialize(ods, f"{_base(spark, sf_dir)}/industries/ods")
+    return _BUILT_OTHER[key]
 
 
 _BUILT_OTHER: dict = {}
