@@ -363,6 +363,7 @@ SELECT vacancy_id, name, employer_id,
        area_id, published_date, salary_from, salary_to, salary_currency, salary_gross,
        CASE WHEN published_at < {RUN_1_AT} THEN {RUN_1_AT} ELSE {RUN_2_AT} END AS created_at
 FROM fact_ver""")
+    q["stream_cycles"] = q["fact_incremental"]
     q["bridge_explode"] = with_ctes(POSTINGS, body="""
 SELECT vacancy_id, sphere_id FROM sphere_pairs
 WHERE sphere_id <> '' AND vacancy_id IN (SELECT vacancy_id FROM postings)""")

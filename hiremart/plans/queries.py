@@ -448,3 +448,30 @@ def q_mean_of_means(spark, sf_dir):
     """Per event type, the mean over users of each user's mean value."""
     per_user = stats.duration_stats(driver.events(spark, sf_dir), ["event_type", "user_id"], "value")
     return stats.mean_of_means(per_user, "event_type", "avg_ms")
+
+
+# --------------------------------------------------------------- streaming ----
+@register("stream_cycles")
+def q_stream_cycles(spark, sf_dir):
+    """The two load runs replayed as a Structured Streaming job (one micro-batch
+    per landed fetch, ``foreachBatch`` committing a cycle); returns the fact."""
+    from hiremart.streaming import microbatch
+
+    root = scratch_path(spark, "stream")
+    items = FR.landing_items(spark, sf_dir)
+    runs = FR.runs(items)
+    for fetched, _ in runs:            # one landed file per fetch, in fetch order
+        pages = (fetched.groupBy("_page")
+                 .agg(F.array_sort(F.collect_list(F.struct("_pos", "item"))).alias("_items"))
+                 .select(F.col("_page").alias("page"), F.col("_items.item").alias("items")))
+        pages.coalesce(1).write.mode("append").json(f"{root}/landing")
+    clock = dict(enumerate(at for _, at in runs))
+    last = microbatch.run_available(spark, f"{root}/landing", f"{root}/warehouse",
+                                    f"{root}/checkpoint", clock=clock.__getitem__,
+                                    max_files_per_trigger=1)
+    wh = microbatch.read_committed(spark, f"{root}/warehouse", last)
+    emp = wh.dim_employer.select("employer_sk", "employer_id", "valid_from")
+    return (wh.fact_vacancy.join(emp, "employer_sk", "left")
+            .select("vacancy_id", "name", "employer_id", _ntz("valid_from").alias("employer_version"),
+                    "area_id", "published_date", "salary_from", "salary_to", "salary_currency",
+                    "salary_gross", _ntz("created_at").alias("created_at")))
