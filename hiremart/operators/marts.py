@@ -23,26 +23,37 @@ def primary_role(bridge: DataFrame, roles: DataFrame) -> DataFrame:
             .groupBy("vacancy_id").agg(F.min("role_id").alias("industry_id")))
 
 
-def star(fact: DataFrame, bridge: DataFrame, roles: DataFrame, areas: DataFrame) -> DataFrame:
+def star(fact: DataFrame, bridge: DataFrame, roles: DataFrame, areas: DataFrame,
+         employers: DataFrame | None = None) -> DataFrame:
     """M-d: facts ⋈ primary role ⋈ role name, ⟕ area (an unknown area is kept).
 
     Output: ``vacancy_id, employer_sk, month, industry_id, industry_name,
-    area_id, area_name, currency, salary_point``.  Dimension sides are small;
-    AQE turns their joins into broadcasts from measured sizes.
+    area_id, area_name, currency, salary_point``.  With ``employers`` the
+    fact's employer version is also looked up (left join on the surrogate
+    key): ``employer_id, employer_name`` are set only while that version is
+    current, which is what the top-employer mart needs.  Dimension sides are
+    broadcast only when Spark measures them below its threshold.
     """
     vmap = primary_role(bridge, roles)
     names = roles.select(F.col("role_id").alias("industry_id"),
                          F.col("role_name").alias("industry_name"))
     f = fact.select("vacancy_id", "employer_sk", "area_id", "published_date",
                     "salary_from", "salary_to", "salary_currency")
-    return (f.join(vmap, "vacancy_id")
-            .join(names, "industry_id")
-            .join(areas.select("area_id", "area_name"), "area_id", "left")
-            .select("vacancy_id", "employer_sk",
-                    month_start("published_date").alias("month"),
-                    "industry_id", "industry_name", "area_id", "area_name",
-                    currency_label("salary_currency").alias("currency"),
-                    salary_point("salary_from", "salary_to").alias("salary_point")))
+    out = (f.join(vmap, "vacancy_id")
+           .join(names, "industry_id")
+           .join(areas.select("area_id", "area_name"), "area_id", "left"))
+    extra = []
+    if employers is not None:
+        cur = (employers.filter(F.col("is_current"))
+               .select("employer_sk", "employer_id", "employer_name"))
+        out = out.join(cur, "employer_sk", "left")
+        extra = ["employer_id", "employer_name"]
+    return out.select("vacancy_id", "employer_sk",
+                      month_start("published_date").alias("month"),
+                      "industry_id", "industry_name", "area_id", "area_name",
+                      currency_label("salary_currency").alias("currency"),
+                      salary_point("salary_from", "salary_to").alias("salary_point"),
+                      *extra)
 
 
 def _count() -> Column:
@@ -95,17 +106,23 @@ def mart_trends(s: DataFrame) -> DataFrame:
                     .alias("mom_pct")))
 
 
-def mart_top_employers(s: DataFrame, employers: DataFrame, k: int = 20) -> DataFrame:
+def mart_top_employers(s: DataFrame, employers: DataFrame | None = None, k: int = 20) -> DataFrame:
     """M4: top-``k`` employers per role × area × currency.
 
-    Only facts whose employer version is still current count.  Ranked by
-    count desc, mean salary desc (NULLs last), employer id asc (a total
-    order).  ``row_number() <= k`` lets Spark insert a group-limit before the
-    shuffle, so a huge group never travels whole.
+    Only facts whose employer version is still current count: either
+    ``employers`` is joined here, or ``s`` is a star built with employers
+    (current ``employer_id`` set, else NULL).  Ranked by count desc, mean
+    salary desc (NULLs last), employer id asc (a total order).
+    ``row_number() <= k`` lets Spark insert a group-limit before the shuffle,
+    so a huge group never travels whole.
     """
-    cur = (employers.filter(F.col("is_current"))
-           .select("employer_sk", "employer_id", "employer_name"))
-    agg = (s.join(cur, "employer_sk")
+    if employers is None:
+        based = s.filter(F.col("employer_id").isNotNull())
+    else:
+        cur = (employers.filter(F.col("is_current"))
+               .select("employer_sk", "employer_id", "employer_name"))
+        based = s.join(cur, "employer_sk")
+    agg = (based
            .groupBy("industry_id", "industry_name", "area_id", "area_name",
                     "employer_id", "employer_name", "currency")
            .agg(_count().alias("vacancies_cnt"),

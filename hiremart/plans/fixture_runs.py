@@ -72,6 +72,24 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     return _BUILT[key]
 
 
+def star_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marts' shared input (M-d star join), committed once after the build.
+
+    The five marts all start from the same star join; computing the primary
+    role map and the dimension joins once and committing the result turns
+    every mart into one scan plus one aggregate.
+    """
+    from hiremart.operators import marts
+
+    key = (spark.sparkContext.applicationId, sf_dir, "star")
+    if key not in _BUILT_OTHER:
+        wh = warehouse_for(spark, sf_dir)
+        _BUILT_OTHER[key] = storage.materialize(
+            marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area, wh.dim_employer),
+            f"{_base(spark, sf_dir)}/marts/star")
+    return _BUILT_OTHER[key]
+
+
 # ---------------------------------------------------------------- employers ----
 FEED_AT = dt.datetime(2001, 9, 1, 0, 10, 0)   # employer feed runs after the vacancy run
 EVENTS_SPLIT = dt.datetime(2024, 1, 15, 0, 0, 0)

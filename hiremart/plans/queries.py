@@ -42,8 +42,8 @@ def _wh(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area)
+    """The committed star (the marts' shared input)."""
+    return FR.star_for(spark, sf_dir)
 
 
 # ------------------------------------------------------------------ sources --
@@ -344,8 +344,9 @@ def q_currency_label(spark, sf_dir):
 
 @register("star_join")
 def q_star_join(spark, sf_dir):
-    """M-d: the star join feeding every mart."""
-    return _star(spark, sf_dir).drop("employer_sk")
+    """M-d: the star join feeding every mart (computed here, not read back)."""
+    wh = _wh(spark, sf_dir)
+    return marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area).drop("employer_sk")
 
 
 @register("mart_salary")
@@ -369,13 +370,13 @@ def q_mart_trends(spark, sf_dir):
 @register("mart_top_employers")
 def q_mart_top_employers(spark, sf_dir):
     """M4: top-20 current employers per role × area × currency."""
-    return marts.mart_top_employers(_star(spark, sf_dir), _wh(spark, sf_dir).dim_employer, k=20)
+    return marts.mart_top_employers(_star(spark, sf_dir), k=20)
 
 
 @register("mart_top_employers_k3")
 def q_mart_top_employers_k3(spark, sf_dir):
     """M4 with k = 3."""
-    return marts.mart_top_employers(_star(spark, sf_dir), _wh(spark, sf_dir).dim_employer, k=3)
+    return marts.mart_top_employers(_star(spark, sf_dir), k=3)
 
 
 @register("mart_currency")
