@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hiremart.functions.columns import parse_iso_timestamp
+from hiremart.functions.columns import naive_timestamp, parse_iso_timestamp
 
 
 def to_raw(doc) -> Column:
@@ -33,22 +33,26 @@ def _keep(df: DataFrame, keep: Sequence[str]) -> list[Column]:
 
 
 def flatten_postings(items: DataFrame, item_col: str = "item",
-                     keep: Sequence[str] = ("_page", "_pos")) -> DataFrame:
+                     keep: Sequence[str] = ("_page", "_pos"), naive: bool = False) -> DataFrame:
     """Vacancy documents → ODS postings.
 
     ``id`` becomes BIGINT; nested names are read null-safely (a missing
     ``area`` or ``employer`` gives NULL); ``published_at`` is parsed as an
     instant; the whole document is kept as ``raw``.  A document without an id
     cannot be keyed and is dropped here (count it with ``rejected_postings``).
-    ``keep`` carries arrival-order columns through for the upsert.
+    ``keep`` carries arrival-order columns through for the upsert.  With
+    ``naive`` the publication time is the wall clock with the offset dropped
+    (TIMESTAMP_NTZ), the form a store without time zones keeps (K2).
     """
     it = F.col(item_col)
+    published = (naive_timestamp(it.getField("published_at")) if naive
+                 else parse_iso_timestamp(it.getField("published_at")))
     return (items.filter(it.getField("id").isNotNull())
             .select(it.getField("id").cast("bigint").alias("id"),
                     it.getField("name").cast("string").alias("name"),
                     it.getField("area").getField("name").alias("area_name"),
                     it.getField("employer").getField("name").alias("employer_name"),
-                    parse_iso_timestamp(it.getField("published_at")).alias("published_at"),
+                    published.alias("published_at"),
                     to_raw(it).alias("raw"),
                     *_keep(items, keep)))
 

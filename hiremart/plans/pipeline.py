@@ -1,0 +1,110 @@
+"""The whole scheduled job in the reference's order, committing every table.
+
+industries ODS → vacancies ODS → employers ODS → industries DDS → vacancies
+DDS → employers DDS (second SCD2 feed, daily snapshot) → marts (atomic full
+refresh) → data-quality checks.  ``run_pipeline`` takes the fetched documents
+of one run as DataFrames (read them with ``hiremart.sources.landing``), reads
+the state committed by the previous run and commits the new state under
+``<warehouse>/run=<run_id>``; marts are versioned tables under
+``<warehouse>/marts``.  ``now`` and ``as_of`` are parameters.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hiremart import schemas, storage
+from hiremart.operators import dims, facts, marts, quality, scd2
+from hiremart.operators.flatten import flatten_employers, flatten_hierarchy
+from hiremart.operators.upsert import upsert
+from hiremart.plans import warehouse
+
+OTHER_TABLES = {
+    "ods_employers": schemas.ODS_EMPLOYERS,
+    "ods_industries": schemas.ODS_INDUSTRIES,
+    "dim_industry": schemas.DIM_INDUSTRY,
+    "dim_sphere": schemas.DIM_SPHERE,
+    "fact_employer_snapshot": schemas.FACT_EMPLOYER_SNAPSHOT,
+}
+MART_NAMES = ("salary", "regions", "trends", "top_employers", "currency")
+
+
+@dataclass
+class State:
+    wh: warehouse.Warehouse
+    other: dict[str, DataFrame]
+    marts: dict[str, DataFrame] = field(default_factory=dict)
+    checks: DataFrame | None = None
+
+
+def _run_path(warehouse_path: str, run_id: int) -> str:
+    return f"{warehouse_path}/run={run_id}"
+
+
+def load_state(spark: SparkSession, warehouse_path: str, run_id: int) -> State:
+    """The state committed by ``run_id`` (an empty state for ``run_id < 0``)."""
+    empty = warehouse.empty_warehouse(spark)
+    if run_id < 0:
+        return State(empty, {k: schemas.empty(spark, s) for k, s in OTHER_TABLES.items()})
+    base = _run_path(warehouse_path, run_id)
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{base}/{name}")
+    wh = warehouse.Warehouse(**{
+        name: read("dim_employer_feed" if name == "dim_employer" else name, df.schema)
+        for name, df in empty.tables().items()})
+    return State(wh, {k: read(k, s) for k, s in OTHER_TABLES.items()})
+
+
+def run_pipeline(spark: SparkSession, postings: DataFrame, employers: DataFrame,
+                 industries: DataFrame, warehouse_path: str, run_id: int, now, as_of,
+                 top_k: int = 20) -> State:
+    """One scheduled run over the fetched ``(_page, _pos, item)`` documents."""
+    prev = load_state(spark, warehouse_path, run_id - 1)
+    base = _run_path(warehouse_path, run_id)
+    m = storage.materialize
+
+    # ODS: industries, vacancies (inside the cycle), employers
+    ind_rows = flatten_hierarchy(industries).withColumn("_seq", F.lit(run_id))
+    ods_ind = m(upsert(prev.other["ods_industries"], ind_rows, ["industry_id", "sphere_id"],
+                       ["_seq", "sphere_name", "industry_name"], null_safe=True),
+                f"{base}/ods_industries")
+    wh = warehouse.committed_cycle(prev.wh, postings, now, base)
+    ods_emp = m(upsert(prev.other["ods_employers"], flatten_employers(employers), ["id"],
+                       ["_page", "_pos"]), f"{base}/ods_employers")
+    # DDS: industries, employers (second SCD2 feed, then the daily snapshot)
+    dim_ind = m(dims.dim_industry(prev.other["dim_industry"], ods_ind), f"{base}/dim_industry")
+    dim_sph = m(dims.dim_sphere(prev.other["dim_sphere"], ods_ind), f"{base}/dim_sphere")
+    dim_emp = m(scd2.scd2_apply(wh.dim_employer, scd2.stage_employers_from_feed(ods_emp), now,
+                                tracked=["employer_name", "alternate_url"]),
+                f"{base}/dim_employer_feed")
+    snap_prev = prev.other["fact_employer_snapshot"]
+    snap = m(snap_prev.unionByName(facts.fact_snapshot(ods_emp, dim_emp, snap_prev, as_of, now)),
+             f"{base}/fact_employer_snapshot")
+    wh = warehouse.Warehouse(**{**wh.tables(), "dim_employer": dim_emp})
+
+    # marts: shared star once, then five atomic refreshes
+    star = m(marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area, dim_emp),
+             f"{base}/star")
+    built = {
+        "salary": marts.mart_salary(star),
+        "regions": marts.mart_regions(star),
+        "trends": marts.mart_trends(star),
+        "top_employers": marts.mart_top_employers(star, k=top_k),
+        "currency": marts.mart_currency(star),
+    }
+    out_marts = {k: storage.full_refresh(v, f"{warehouse_path}/marts/{k}") for k, v in built.items()}
+
+    # data quality: three one-row checks in one small table
+    checks = (quality.dq_row_counts(wh.ods_postings, wh.fact_vacancy)
+              .select("check", "status", F.to_json(F.struct("ods_total", "ods_eligible", "dds_count")).alias("metrics"))
+              .unionByName(quality.dq_null_keys(wh.fact_vacancy)
+                           .select("check", "status", F.to_json(F.struct("invalid_count")).alias("metrics")))
+              .unionByName(quality.dq_date_range(wh.fact_vacancy, as_of=as_of)
+                           .select("check", "status",
+                                   F.to_json(F.struct("min_date", "max_date", "too_old", "in_future"))
+                                   .alias("metrics"))))
+    other = {"ods_employers": ods_emp, "ods_industries": ods_ind, "dim_industry": dim_ind,
+             "dim_sphere": dim_sph, "fact_employer_snapshot": snap}
+    return State(wh, other, out_marts, m(checks, f"{base}/dq_checks"))

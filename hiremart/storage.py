@@ -11,11 +11,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiremart.session import scratch_path
 
+_VERSION_DIR = re.compile(r"/version=(\d+)/")
+
 
 def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> DataFrame:
@@ -53,11 +57,13 @@ class VersionedTable:
             return None
 
     def current_version(self) -> int:
+        """Greatest committed version, from the file listing only (no data job)."""
         df = self._versions()
         if df is None:
             return 0
-        v = df.agg(F.max("version")).first()[0]   # answered from partition values
-        return int(v or 0)
+        found = [int(m.group(1)) for f in df.inputFiles()
+                 if (m := _VERSION_DIR.search(f)) is not None]
+        return max(found, default=0)
 
     def read(self) -> DataFrame:
         v = self.current_version()

@@ -86,3 +86,12 @@ def test_read_dictionary_array(spark, tmp_path):
     f.write_text(json.dumps([{"id": "1", "name": "A", "industries": [{"id": "2", "name": "b"}]}], indent=2))
     out = landing.read_dictionary(spark, str(f), schemas.INDUSTRY_DOC)
     assert out.first()["item"]["industries"][0]["id"] == "2"
+
+
+def test_flatten_postings_naive_variant_keeps_wall_clock(spark):
+    import datetime as dt
+    items = _items(spark, [{"id": "1", "published_at": "2025-11-11T19:03:31-0500"}])
+    aware = flatten_postings(items).select(F.col("published_at").cast("timestamp_ntz")).first()[0]
+    naive = flatten_postings(items, naive=True).first()["published_at"]
+    assert aware == dt.datetime(2025, 11, 12, 0, 3, 31)
+    assert naive == dt.datetime(2025, 11, 11, 19, 3, 31)
