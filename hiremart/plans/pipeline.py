@@ -5,7 +5,8 @@ DDS → employers DDS (second SCD2 feed, daily snapshot) → marts (atomic full
 refresh) → data-quality checks.  ``run_pipeline`` takes the fetched documents
 of one run as DataFrames (read them with ``hiremart.sources.landing``), reads
 the state committed by the previous run and commits the new state under
-``<warehouse>/run=<run_id>``; marts are versioned tables under
+``<warehouse>/run=<run_id>``.  The two ODS tables are keyed tables updated in
+place bucket by bucket (``<warehouse>/ods``); marts are versioned tables under
 ``<warehouse>/marts``.  ``now`` and ``as_of`` are parameters.
 """
 
@@ -51,10 +52,23 @@ def load_state(spark: SparkSession, warehouse_path: str, run_id: int) -> State:
         return State(empty, {k: schemas.empty(spark, s) for k, s in OTHER_TABLES.items()})
     base = _run_path(warehouse_path, run_id)
     read = lambda name, schema: spark.read.schema(schema).parquet(f"{base}/{name}")
+    odsp = ods_postings_table(spark, warehouse_path).read()
     wh = warehouse.Warehouse(**{
-        name: read("dim_employer_feed" if name == "dim_employer" else name, df.schema)
+        name: (odsp if name == "ods_postings" else
+               read("dim_employer_feed" if name == "dim_employer" else name, df.schema))
         for name, df in empty.tables().items()})
-    return State(wh, {k: read(k, s) for k, s in OTHER_TABLES.items()})
+    other = {k: read(k, s) for k, s in OTHER_TABLES.items() if k != "ods_employers"}
+    other["ods_employers"] = ods_employers_table(spark, warehouse_path).read()
+    return State(wh, other)
+
+
+def ods_postings_table(spark: SparkSession, warehouse_path: str, buckets: int = 64):
+    """The vacancy ODS: one keyed table updated in place, bucket by bucket."""
+    return storage.KeyedTable(spark, f"{warehouse_path}/ods/postings", ["id"], buckets)
+
+
+def ods_employers_table(spark: SparkSession, warehouse_path: str, buckets: int = 64):
+    return storage.KeyedTable(spark, f"{warehouse_path}/ods/employers", ["id"], buckets)
 
 
 def run_pipeline(spark: SparkSession, postings: DataFrame, employers: DataFrame,
@@ -70,9 +84,10 @@ def run_pipeline(spark: SparkSession, postings: DataFrame, employers: DataFrame,
     ods_ind = m(upsert(prev.other["ods_industries"], ind_rows, ["industry_id", "sphere_id"],
                        ["_seq", "sphere_name", "industry_name"], null_safe=True),
                 f"{base}/ods_industries")
-    wh = warehouse.committed_cycle(prev.wh, postings, now, base)
-    ods_emp = m(upsert(prev.other["ods_employers"], flatten_employers(employers), ["id"],
-                       ["_page", "_pos"]), f"{base}/ods_employers")
+    wh = warehouse.committed_cycle(prev.wh, postings, now, base,
+                                   ods_table=ods_postings_table(spark, warehouse_path))
+    ods_emp = ods_employers_table(spark, warehouse_path).upsert(
+        flatten_employers(employers), ["_page", "_pos"], list(schemas.ODS_EMPLOYERS.fieldNames()))
     # DDS: industries, employers (second SCD2 feed, then the daily snapshot)
     dim_ind = m(dims.dim_industry(prev.other["dim_industry"], ods_ind), f"{base}/dim_industry")
     dim_sph = m(dims.dim_sphere(prev.other["dim_sphere"], ods_ind), f"{base}/dim_sphere")

@@ -82,15 +82,22 @@ def materialize(wh: Warehouse, base_path: str) -> Warehouse:
                         for name, df in wh.tables().items()})
 
 
-def committed_cycle(wh: Warehouse, items: DataFrame, now, path: str) -> Warehouse:
+def committed_cycle(wh: Warehouse, items: DataFrame, now, path: str,
+                    ods_table: storage.KeyedTable | None = None) -> Warehouse:
     """One run whose tables are committed under ``path`` in dependency order.
 
     The ODS is written first; its documents are parsed once (persisted while
     the loaders fan out); the SCD2 dimension is written before the fact that
     joins it.  Each loader then reads committed inputs, so no plan repeats
-    another loader's work.
+    another loader's work.  With ``ods_table`` the ODS is one keyed table
+    updated in place bucket by bucket; otherwise each run writes a full copy
+    under ``path`` (a snapshot per run).
     """
-    ods = storage.materialize(ods_upsert_postings(wh.ods_postings, items), f"{path}/ods_postings")
+    if ods_table is not None:
+        ods = ods_table.upsert(flatten_postings(items, keep=("_page", "_pos")),
+                               ["_page", "_pos"], ODS_POSTING_COLS)
+    else:
+        ods = storage.materialize(ods_upsert_postings(wh.ods_postings, items), f"{path}/ods_postings")
     stage = stage_postings(ods).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dim_employer = storage.materialize(

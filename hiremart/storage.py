@@ -84,3 +84,57 @@ def full_refresh(df: DataFrame, path: str) -> DataFrame:
     t = VersionedTable(df.sparkSession, path)
     t.refresh(df)
     return t.read()
+
+
+class KeyedTable:
+    """A keyed Parquet table partitioned by ``pmod(xxhash64(keys), buckets)``.
+
+    ``upsert`` rewrites only the buckets a batch touches: the old rows are read
+    through a semi-join on the bucket column (Spark prunes the other
+    partitions at run time), merged with the batch by the ``upsert`` operator,
+    and written back with *dynamic* partition overwrite, which replaces just
+    the written buckets at job commit.  A small batch against a huge table
+    therefore costs the size of its buckets, not of the table.  The table is
+    updated in place: a DataFrame read before an upsert must be read again
+    after it (``upsert`` returns a fresh reader); use ``VersionedTable`` where
+    readers need snapshot isolation.
+    """
+
+    BUCKET = "_bucket"
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64,
+                 null_safe: bool = False):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.buckets, self.null_safe = list(keys), buckets, null_safe
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _raw(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.path)
+        except Exception:  # not written yet
+            return None
+
+    def read(self) -> DataFrame:
+        df = self._raw()
+        if df is None:
+            raise FileNotFoundError(self.path)
+        return df.drop(self.BUCKET)
+
+    def upsert(self, batch: DataFrame, order, columns: list[str]) -> DataFrame:
+        """Apply ``batch`` (last write wins on ``order``); ``columns`` is the table schema."""
+        from hiremart.operators.upsert import upsert as upsert_rows
+
+        old = self._raw()
+        if old is None:
+            from hiremart.operators.upsert import pick_per_key
+            new = pick_per_key(batch, self.keys, order).select(*columns)
+        else:
+            touched = batch.select(self._bucket().alias(self.BUCKET)).distinct()
+            old_touched = old.join(touched, self.BUCKET, "left_semi").select(*columns)
+            new = upsert_rows(old_touched, batch, self.keys, order, null_safe=self.null_safe)
+        (new.withColumn(self.BUCKET, self._bucket())
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.BUCKET).parquet(self.path))
+        return self.read()

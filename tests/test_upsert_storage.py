@@ -64,3 +64,22 @@ def test_versioned_table_atomic_refresh(spark):
     assert t.current_version() == 2
     assert rows(t.read()) == [(2,), (3,)]
     assert rows(storage.full_refresh(spark.createDataFrame([(4,)], "x int"), path)) == [(4,)]
+
+
+def test_keyed_table_rewrites_only_touched_buckets(spark):
+    path = scratch_path(spark, "keyed")
+    t = storage.KeyedTable(spark, path, ["k"], buckets=8)
+    first = spark.range(0, 200).select(F.col("id").cast("int").alias("k"), F.lit("v1").alias("v"),
+                                       F.lit(0).alias("seq"))
+    t.upsert(first, ["seq"], ["k", "v"])
+    files_before = set(spark.read.parquet(path).inputFiles())
+    batch = spark.createDataFrame([(3, "v2", 1), (3, "v3", 2), (500, "new", 1)], "k int, v string, seq int")
+    out = t.upsert(batch, ["seq"], ["k", "v"])
+    assert out.count() == 201
+    assert rows(out.filter("k IN (3, 500)")) == [(3, "v3"), (500, "new")]
+    expected = rows(out)
+    files_after = set(spark.read.parquet(path).inputFiles())
+    untouched = files_before & files_after
+    assert 0 < len(untouched) < len(files_before)        # other buckets were not rewritten
+    again = t.upsert(batch, ["seq"], ["k", "v"])          # idempotent
+    assert rows(again) == expected
