@@ -89,9 +89,10 @@ def full_refresh(df: DataFrame, path: str) -> DataFrame:
 class KeyedTable:
     """A keyed Parquet table partitioned by ``pmod(xxhash64(keys), buckets)``.
 
-    ``upsert`` rewrites only the buckets a batch touches: the old rows are read
-    through a semi-join on the bucket column (Spark prunes the other
-    partitions at run time), merged with the batch by the ``upsert`` operator,
+    ``upsert`` rewrites only the buckets a batch touches: the touched bucket
+    numbers (at most ``buckets`` small integers, never data rows) are resolved
+    first, so the read of the old rows is pruned to those partitions at
+    planning time; they are merged with the batch by the ``upsert`` operator
     and written back with *dynamic* partition overwrite, which replaces just
     the written buckets at job commit.  A small batch against a huge table
     therefore costs the size of its buckets, not of the table.  The table is
@@ -131,8 +132,9 @@ class KeyedTable:
             from hiremart.operators.upsert import pick_per_key
             new = pick_per_key(batch, self.keys, order).select(*columns)
         else:
-            touched = batch.select(self._bucket().alias(self.BUCKET)).distinct()
-            old_touched = old.join(touched, self.BUCKET, "left_semi").select(*columns)
+            touched = [r[0] for r in
+                       batch.select(self._bucket().alias(self.BUCKET)).distinct().collect()]
+            old_touched = old.filter(F.col(self.BUCKET).isin(touched)).select(*columns)
             new = upsert_rows(old_touched, batch, self.keys, order, null_safe=self.null_safe)
         (new.withColumn(self.BUCKET, self._bucket())
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
