@@ -122,3 +122,14 @@ def test_empty_warehouse_marts_are_empty(spark):
     e = lambda s: schemas.empty(spark, s)
     s = marts.star(e(schemas.FACT_VACANCY), e(schemas.BRIDGE_ROLE), e(schemas.DIM_ROLE), e(schemas.DIM_AREA))
     assert marts.mart_salary(s).count() == 0
+
+
+def test_committed_star_scan_prunes_columns_and_aggregates_partially(spark, tmp_path):
+    from hiremart import storage
+    fact, bridge, roles, areas, emp = _wh(spark)
+    path = str(tmp_path / "star")
+    s = storage.materialize(marts.star(fact, bridge, roles, areas, emp), path)
+    plan = marts.mart_trends(s)._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "ReadSchema: struct<month:date,industry_id:string,industry_name:string>" in scan
+    assert "partial_count" in plan
