@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from hiremart import schemas, storage
@@ -86,9 +85,10 @@ def committed_cycle(wh: Warehouse, items: DataFrame, now, path: str,
                     ods_table: storage.KeyedTable | None = None) -> Warehouse:
     """One run whose tables are committed under ``path`` in dependency order.
 
-    The ODS is written first; its documents are parsed once (persisted while
-    the loaders fan out); the SCD2 dimension is written before the fact that
-    joins it.  Each loader then reads committed inputs, so no plan repeats
+    The ODS is written first; its documents are parsed once into a typed
+    Parquet stage (each loader then scans only its columns, and a lost
+    executor re-reads files instead of re-parsing JSON); the SCD2 dimension is
+    written before the fact that joins it.  Each loader then reads committed inputs, so no plan repeats
     another loader's work.  With ``ods_table`` the ODS is one keyed table
     updated in place bucket by bucket; otherwise each run writes a full copy
     under ``path`` (a snapshot per run).
@@ -98,25 +98,23 @@ def committed_cycle(wh: Warehouse, items: DataFrame, now, path: str,
                                ["_page", "_pos"], ODS_POSTING_COLS)
     else:
         ods = storage.materialize(ods_upsert_postings(wh.ods_postings, items), f"{path}/ods_postings")
-    stage = stage_postings(ods).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        dim_employer = storage.materialize(
-            scd2.scd2_apply(wh.dim_employer, scd2.stage_employers_from_postings(stage), now),
-            f"{path}/dim_employer")
-        out = {
-            "dim_date": dims.dim_date(wh.dim_date, stage),
-            "dim_area": dims.dim_area(wh.dim_area, stage),
-            "fact_vacancy": wh.fact_vacancy.unionByName(
-                facts.fact_incremental(stage, dim_employer, wh.fact_vacancy, now)),
-            "bridge_sphere": wh.bridge_sphere.unionByName(
-                facts.bridge(wh.bridge_sphere, stage, "specializations", "sphere_id", now)),
-            "dim_role": dims.dim_role(wh.dim_role, stage),
-            "bridge_role": wh.bridge_role.unionByName(
-                facts.bridge(wh.bridge_role, stage, "professional_roles", "role_id", now)),
-        }
-        written = {k: storage.materialize(v, f"{path}/{k}") for k, v in out.items()}
-    finally:
-        stage.unpersist()
+    # parse the documents once; each loader reads only the columns it needs
+    stage = storage.materialize(stage_postings(ods), f"{path}/_stage")
+    dim_employer = storage.materialize(
+        scd2.scd2_apply(wh.dim_employer, scd2.stage_employers_from_postings(stage), now),
+        f"{path}/dim_employer")
+    out = {
+        "dim_date": dims.dim_date(wh.dim_date, stage),
+        "dim_area": dims.dim_area(wh.dim_area, stage),
+        "fact_vacancy": wh.fact_vacancy.unionByName(
+            facts.fact_incremental(stage, dim_employer, wh.fact_vacancy, now)),
+        "bridge_sphere": wh.bridge_sphere.unionByName(
+            facts.bridge(wh.bridge_sphere, stage, "specializations", "sphere_id", now)),
+        "dim_role": dims.dim_role(wh.dim_role, stage),
+        "bridge_role": wh.bridge_role.unionByName(
+            facts.bridge(wh.bridge_role, stage, "professional_roles", "role_id", now)),
+    }
+    written = {k: storage.materialize(v, f"{path}/{k}") for k, v in out.items()}
     return Warehouse(ods_postings=ods, dim_employer=dim_employer, **written)
 
 

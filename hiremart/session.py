@@ -20,6 +20,23 @@ SESSION_CONF = {
 }
 
 
+# A starting profile for a large cluster (hundreds of executors, ~100 TB of
+# input): many initial shuffle partitions that AQE coalesces towards the
+# advisory size, so a partition fits an executor's memory at any scale;
+# large scan splits; skew handling for hot keys in sort-merge joins.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "hiremart",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
