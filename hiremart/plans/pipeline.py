@@ -1,13 +1,24 @@
-"""The whole scheduled job in the reference's order, committing every table.
+"""The whole scheduled job in the reference's order, on a fixed warehouse layout.
 
 industries ODS → vacancies ODS → employers ODS → industries DDS → vacancies
 DDS → employers DDS (second SCD2 feed, daily snapshot) → marts (atomic full
 refresh) → data-quality checks.  ``run_pipeline`` takes the fetched documents
-of one run as DataFrames (read them with ``hiremart.sources.landing``), reads
-the state committed by the previous run and commits the new state under
-``<warehouse>/run=<run_id>``.  The two ODS tables are keyed tables updated in
-place bucket by bucket (``<warehouse>/ods``); marts are versioned tables under
-``<warehouse>/marts``.  ``now`` and ``as_of`` are parameters.
+of one run as DataFrames (read them with ``hiremart.sources.landing``); the
+previous state is whatever the layout holds; ``now`` and ``as_of`` are
+parameters.
+
+Layout under ``<warehouse>`` — each table is written the cheapest way its
+semantics allow:
+
+* ``ods/*`` — keyed tables (``KeyedTable``): an upsert rewrites only the hash
+  buckets its batch touches;
+* ``dds/fact_vacancy``, ``dds/bridge_*``, ``dds/dim_date``,
+  ``dds/fact_employer_snapshot`` — insert-only (``AppendTable``): a run
+  appends just its new rows, found by an anti-join, so a re-run appends
+  nothing twice;
+* ``dds/dim_*`` (type 1 and the SCD2 employer dimension), ``marts/*`` —
+  versioned (``VersionedTable``): the new content is committed as the next
+  version and readers switch atomically.
 """
 
 from __future__ import annotations
@@ -19,89 +30,98 @@ from pyspark.sql import functions as F
 
 from hiremart import schemas, storage
 from hiremart.operators import dims, facts, marts, quality, scd2
-from hiremart.operators.flatten import flatten_employers, flatten_hierarchy
-from hiremart.operators.upsert import upsert
-from hiremart.plans import warehouse
-
-OTHER_TABLES = {
-    "ods_employers": schemas.ODS_EMPLOYERS,
-    "ods_industries": schemas.ODS_INDUSTRIES,
-    "dim_industry": schemas.DIM_INDUSTRY,
-    "dim_sphere": schemas.DIM_SPHERE,
-    "fact_employer_snapshot": schemas.FACT_EMPLOYER_SNAPSHOT,
-}
-MART_NAMES = ("salary", "regions", "trends", "top_employers", "currency")
+from hiremart.operators.flatten import flatten_employers, flatten_hierarchy, flatten_postings
+from hiremart.operators.staging import stage_postings
+from hiremart.operators.upsert import insert_ignore
+from hiremart.plans.warehouse import ODS_POSTING_COLS, Warehouse
 
 
 @dataclass
 class State:
-    wh: warehouse.Warehouse
+    wh: Warehouse
     other: dict[str, DataFrame]
     marts: dict[str, DataFrame] = field(default_factory=dict)
     checks: DataFrame | None = None
 
 
-def _run_path(warehouse_path: str, run_id: int) -> str:
-    return f"{warehouse_path}/run={run_id}"
-
-
-def load_state(spark: SparkSession, warehouse_path: str, run_id: int) -> State:
-    """The state committed by ``run_id`` (an empty state for ``run_id < 0``)."""
-    empty = warehouse.empty_warehouse(spark)
-    if run_id < 0:
-        return State(empty, {k: schemas.empty(spark, s) for k, s in OTHER_TABLES.items()})
-    base = _run_path(warehouse_path, run_id)
-    read = lambda name, schema: spark.read.schema(schema).parquet(f"{base}/{name}")
-    odsp = ods_postings_table(spark, warehouse_path).read()
-    wh = warehouse.Warehouse(**{
-        name: (odsp if name == "ods_postings" else
-               read("dim_employer_feed" if name == "dim_employer" else name, df.schema))
-        for name, df in empty.tables().items()})
-    other = {k: read(k, s) for k, s in OTHER_TABLES.items() if k != "ods_employers"}
-    other["ods_employers"] = ods_employers_table(spark, warehouse_path).read()
-    return State(wh, other)
-
-
-def ods_postings_table(spark: SparkSession, warehouse_path: str, buckets: int = 64):
-    """The vacancy ODS: one keyed table updated in place, bucket by bucket."""
-    return storage.KeyedTable(spark, f"{warehouse_path}/ods/postings", ["id"], buckets)
-
-
-def ods_employers_table(spark: SparkSession, warehouse_path: str, buckets: int = 64):
-    return storage.KeyedTable(spark, f"{warehouse_path}/ods/employers", ["id"], buckets)
+class Layout:
+    """Where and how every table of the warehouse is stored."""
+
+    def __init__(self, spark: SparkSession, root: str, ods_buckets: int = 64):
+        r = root.rstrip("/")
+        self.root = r
+        K, A, V = storage.KeyedTable, storage.AppendTable, storage.VersionedTable
+        self.ods_postings = K(spark, f"{r}/ods/postings", ["id"], ods_buckets)
+        self.ods_employers = K(spark, f"{r}/ods/employers", ["id"], ods_buckets)
+        self.ods_industries = K(spark, f"{r}/ods/industries", ["industry_id", "sphere_id"],
+                                ods_buckets, null_safe=True)
+        self.fact_vacancy = A(spark, f"{r}/dds/fact_vacancy", schemas.FACT_VACANCY)
+        self.bridge_role = A(spark, f"{r}/dds/bridge_role", schemas.BRIDGE_ROLE)
+        self.bridge_sphere = A(spark, f"{r}/dds/bridge_sphere", schemas.BRIDGE_SPHERE)
+        self.dim_date = A(spark, f"{r}/dds/dim_date", schemas.DIM_DATE)
+        self.snapshot = A(spark, f"{r}/dds/fact_employer_snapshot", schemas.FACT_EMPLOYER_SNAPSHOT,
+                          partition_by=["snapshot_date"])
+        self.versioned = {name: V(spark, f"{r}/dds/{name}") for name in
+                          ("dim_area", "dim_role", "dim_employer", "dim_industry", "dim_sphere", "star")}
+        self.schemas = {"dim_area": schemas.DIM_AREA, "dim_role": schemas.DIM_ROLE,
+                        "dim_employer": schemas.DIM_EMPLOYER, "dim_industry": schemas.DIM_INDUSTRY,
+                        "dim_sphere": schemas.DIM_SPHERE}
+
+    def dim(self, name: str) -> DataFrame:
+        return self.versioned[name].read_or_empty(self.schemas[name])
+
+    def refresh(self, name: str, df: DataFrame) -> DataFrame:
+        self.versioned[name].refresh(df)
+        return self.versioned[name].read()
+
+    def mart(self, spark: SparkSession, name: str) -> storage.VersionedTable:
+        return storage.VersionedTable(spark, f"{self.root}/marts/{name}")
 
 
 def run_pipeline(spark: SparkSession, postings: DataFrame, employers: DataFrame,
                  industries: DataFrame, warehouse_path: str, run_id: int, now, as_of,
                  top_k: int = 20) -> State:
     """One scheduled run over the fetched ``(_page, _pos, item)`` documents."""
-    prev = load_state(spark, warehouse_path, run_id - 1)
-    base = _run_path(warehouse_path, run_id)
-    m = storage.materialize
-
-    # ODS: industries, vacancies (inside the cycle), employers
-    ind_rows = flatten_hierarchy(industries).withColumn("_seq", F.lit(run_id))
-    ods_ind = m(upsert(prev.other["ods_industries"], ind_rows, ["industry_id", "sphere_id"],
-                       ["_seq", "sphere_name", "industry_name"], null_safe=True),
-                f"{base}/ods_industries")
-    wh = warehouse.committed_cycle(prev.wh, postings, now, base,
-                                   ods_table=ods_postings_table(spark, warehouse_path))
-    ods_emp = ods_employers_table(spark, warehouse_path).upsert(
-        flatten_employers(employers), ["_page", "_pos"], list(schemas.ODS_EMPLOYERS.fieldNames()))
-    # DDS: industries, employers (second SCD2 feed, then the daily snapshot)
-    dim_ind = m(dims.dim_industry(prev.other["dim_industry"], ods_ind), f"{base}/dim_industry")
-    dim_sph = m(dims.dim_sphere(prev.other["dim_sphere"], ods_ind), f"{base}/dim_sphere")
-    dim_emp = m(scd2.scd2_apply(wh.dim_employer, scd2.stage_employers_from_feed(ods_emp), now,
-                                tracked=["employer_name", "alternate_url"]),
-                f"{base}/dim_employer_feed")
-    snap_prev = prev.other["fact_employer_snapshot"]
-    snap = m(snap_prev.unionByName(facts.fact_snapshot(ods_emp, dim_emp, snap_prev, as_of, now)),
-             f"{base}/fact_employer_snapshot")
-    wh = warehouse.Warehouse(**{**wh.tables(), "dim_employer": dim_emp})
-
-    # marts: shared star once, then five atomic refreshes
-    star = m(marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area, dim_emp),
-             f"{base}/star")
+    L = Layout(spark, warehouse_path)
+
+    # ---- ODS: industries, vacancies, employers (keyed, touched buckets only)
+    ods_ind = L.ods_industries.upsert(
+        flatten_hierarchy(industries).withColumn("_seq", F.lit(run_id)),
+        ["_seq", "sphere_name", "industry_name"], list(schemas.ODS_INDUSTRIES.fieldNames()))
+    ods = L.ods_postings.upsert(flatten_postings(postings), ["_page", "_pos"], ODS_POSTING_COLS)
+    ods_emp = L.ods_employers.upsert(flatten_employers(employers), ["_page", "_pos"],
+                                     list(schemas.ODS_EMPLOYERS.fieldNames()))
+
+    # ---- DDS: industries
+    dim_ind = L.refresh("dim_industry", dims.dim_industry(L.dim("dim_industry"), ods_ind))
+    dim_sph = L.refresh("dim_sphere", dims.dim_sphere(L.dim("dim_sphere"), ods_ind))
+
+    # ---- DDS: vacancies — the ODS documents are parsed once into a typed stage
+    stage = storage.materialize(stage_postings(ods), f"{warehouse_path}/work/run={run_id}/stage")
+    dim_date = L.dim_date.append(insert_ignore(L.dim_date.read(), dims.date_rows(stage, "published_date"),
+                                                    ["date_key"]))
+    dim_area = L.refresh("dim_area", dims.dim_area(L.dim("dim_area"), stage))
+    dim_emp = L.refresh("dim_employer", scd2.scd2_apply(
+        L.dim("dim_employer"), scd2.stage_employers_from_postings(stage), now))
+    fact = L.fact_vacancy.append(facts.fact_incremental(stage, dim_emp, L.fact_vacancy.read(), now))
+    br_sph = L.bridge_sphere.append(
+        facts.bridge(L.bridge_sphere.read(), stage, "specializations", "sphere_id", now))
+    dim_role = L.refresh("dim_role", dims.dim_role(L.dim("dim_role"), stage))
+    br_role = L.bridge_role.append(
+        facts.bridge(L.bridge_role.read(), stage, "professional_roles", "role_id", now))
+
+    # ---- DDS: employers — second SCD2 feed, then the as-of day's snapshot
+    dim_emp = L.refresh("dim_employer", scd2.scd2_apply(
+        dim_emp, scd2.stage_employers_from_feed(ods_emp), now,
+        tracked=["employer_name", "alternate_url"]))
+    snap = L.snapshot.append(facts.fact_snapshot(ods_emp, dim_emp, L.snapshot.read(), as_of, now))
+
+    wh = Warehouse(ods_postings=ods, dim_date=dim_date, dim_area=dim_area, dim_employer=dim_emp,
+                   dim_role=dim_role, fact_vacancy=fact, bridge_role=br_role, bridge_sphere=br_sph)
+
+    # ---- marts: the shared star once, then five atomic refreshes
+    L.versioned["star"].refresh(marts.star(fact, br_role, dim_role, dim_area, dim_emp))
+    star = L.versioned["star"].read()
     built = {
         "salary": marts.mart_salary(star),
         "regions": marts.mart_regions(star),
@@ -109,17 +129,23 @@ def run_pipeline(spark: SparkSession, postings: DataFrame, employers: DataFrame,
         "top_employers": marts.mart_top_employers(star, k=top_k),
         "currency": marts.mart_currency(star),
     }
-    out_marts = {k: storage.full_refresh(v, f"{warehouse_path}/marts/{k}") for k, v in built.items()}
-
-    # data quality: three one-row checks in one small table
-    checks = (quality.dq_row_counts(wh.ods_postings, wh.fact_vacancy)
-              .select("check", "status", F.to_json(F.struct("ods_total", "ods_eligible", "dds_count")).alias("metrics"))
-              .unionByName(quality.dq_null_keys(wh.fact_vacancy)
+    out_marts = {}
+    for name, df in built.items():
+        t = L.mart(spark, name)
+        t.refresh(df)
+        out_marts[name] = t.read()
+
+    # ---- data quality: three one-row checks in one small table
+    checks = (quality.dq_row_counts(ods, fact)
+              .select("check", "status", F.to_json(F.struct("ods_total", "ods_eligible", "dds_count"))
+                      .alias("metrics"))
+              .unionByName(quality.dq_null_keys(fact)
                            .select("check", "status", F.to_json(F.struct("invalid_count")).alias("metrics")))
-              .unionByName(quality.dq_date_range(wh.fact_vacancy, as_of=as_of)
+              .unionByName(quality.dq_date_range(fact, as_of=as_of)
                            .select("check", "status",
                                    F.to_json(F.struct("min_date", "max_date", "too_old", "in_future"))
                                    .alias("metrics"))))
+    checks = storage.materialize(checks, f"{warehouse_path}/work/run={run_id}/dq_checks")
     other = {"ods_employers": ods_emp, "ods_industries": ods_ind, "dim_industry": dim_ind,
              "dim_sphere": dim_sph, "fact_employer_snapshot": snap}
-    return State(wh, other, out_marts, m(checks, f"{base}/dq_checks"))
+    return State(wh, other, out_marts, checks)

@@ -71,6 +71,12 @@ class VersionedTable:
             raise FileNotFoundError(f"no committed version of {self.path}")
         return self.spark.read.parquet(self.path).filter(F.col("version") == v).drop("version")
 
+    def read_or_empty(self, schema) -> DataFrame:
+        """The current version, or an empty typed table before the first refresh."""
+        if self.current_version() == 0:
+            return self.spark.createDataFrame([], schema)
+        return self.read().select(*schema.fieldNames())
+
     def refresh(self, df: DataFrame) -> int:
         """Commit ``df`` as the next version; returns the new version number."""
         nxt = self.current_version() + 1
@@ -140,3 +146,30 @@ class KeyedTable:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.BUCKET).parquet(self.path))
         return self.read()
+
+
+class AppendTable:
+    """An insert-only Parquet table: each load appends only its new rows.
+
+    Appending is committed per job (files become visible at job commit), and
+    the loaders that feed it compute their delta with an anti-join against the
+    current content, so re-running a load after a failure appends nothing
+    twice.  Cost per load is the size of the delta, not of the history.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema, partition_by: list[str] | None = None):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.partition_by = partition_by
+
+    def read(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(self.schema).parquet(self.path)
+        except Exception:  # nothing appended yet
+            return self.spark.createDataFrame([], self.schema)
+
+    def append(self, delta: DataFrame) -> DataFrame:
+        w = delta.select(*self.schema.fieldNames()).write.mode("append")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(self.path)
+        return self.read()

@@ -48,6 +48,14 @@ def test_two_runs_from_landed_files(spark):
     # snapshot of the as-of day exists once per employer with a current version
     snap = state.other["fact_employer_snapshot"]
     assert snap.count() == snap.select("employer_id").distinct().count() > 0
+    # re-running the last run (e.g. after a failure) appends nothing twice
+    before = {k: state.wh.tables()[k].count() for k in ("fact_vacancy", "bridge_role", "bridge_sphere",
+                                                        "dim_date")}
+    again = run_pipeline(spark, postings, employers, industries, f"{root}/wh", run_id,
+                         now=at, as_of=FR.AS_OF_DATE)
+    assert {k: again.wh.tables()[k].count() for k in before} == before
+    assert again.other["fact_employer_snapshot"].count() == snap.count()
+    assert rows(again.marts["salary"]) == rows(state.marts["salary"])
 
 
 def test_incremental_in_two_halves_equals_one_load(spark):
