@@ -10,12 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hiremart.constants import UNKNOWN_LABEL
+
 #: exact type of a salary point: a midpoint of two DECIMAL(18,2) bounds needs
 #: one more digit of scale and two more of precision, so nothing is rounded.
 SALARY_POINT_TYPE = T.DecimalType(22, 3)
 
-# Fixed values shared with the reference's mart definitions.
-UNKNOWN_LABEL = "UNKNOWN"
 
 
 def _c(x) -> Column:

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hiremart.functions.columns import round_half_up
-
+from hiremart.constants import CHART_ROW_LIMITS as LIMITS
 from hiremart.functions.columns import safe_ratio
 
 FLOAT_DIGITS = 6   # means of means depend on summation order: report 6 decimals
@@ -30,7 +29,7 @@ def fixed_point_mean(x: str, digits: int = FLOAT_DIGITS):
     return F.sum(units).cast("double") / (F.count(units).cast("double") * F.lit(scale))
 
 
-def bi_avg_salary(m1: DataFrame, limit: int = 1000) -> DataFrame:
+def bi_avg_salary(m1: DataFrame, limit: int = LIMITS["avg_salary"]) -> DataFrame:
     """Unweighted mean of the mart's mean salaries by role × currency."""
     return (m1.groupBy("industry_name", "currency")
             .agg(fixed_point_mean("salary_avg").alias("salary_avg_avg"))
@@ -38,7 +37,7 @@ def bi_avg_salary(m1: DataFrame, limit: int = 1000) -> DataFrame:
             .limit(limit))
 
 
-def bi_currency_share(m5: DataFrame, limit: int = 1000) -> DataFrame:
+def bi_currency_share(m5: DataFrame, limit: int = LIMITS["currency_share"]) -> DataFrame:
     """Vacancies by role × currency, normalised per role (row contribution)."""
     agg = (m5.groupBy("industry_name", "currency")
            .agg(F.sum("vacancies_cnt").cast("long").alias("vacancies_cnt_sum")))
@@ -60,7 +59,7 @@ def bi_currency_pivot(m5: DataFrame, currencies=None) -> DataFrame:
             .agg(F.first("contribution")))
 
 
-def bi_heatmap(m2: DataFrame, limit: int = 5000) -> DataFrame:
+def bi_heatmap(m2: DataFrame, limit: int = LIMITS["heatmap"]) -> DataFrame:
     """Vacancies by role × area."""
     return (m2.groupBy("industry_name", "area_name")
             .agg(F.sum("vacancies_cnt").cast("long").alias("vacancies_cnt_sum"))
@@ -69,7 +68,7 @@ def bi_heatmap(m2: DataFrame, limit: int = 5000) -> DataFrame:
             .limit(limit))
 
 
-def bi_trend_line(m3: DataFrame, limit: int = 10000) -> DataFrame:
+def bi_trend_line(m3: DataFrame, limit: int = LIMITS["trend_line"]) -> DataFrame:
     """C4: monthly vacancies per role (time grain one month)."""
     return (m3.groupBy(F.trunc("month", "MM").alias("month"), "industry_name")
             .agg(F.sum("vacancies_cnt").cast("long").alias("vacancies_cnt_sum"))
@@ -77,7 +76,7 @@ def bi_trend_line(m3: DataFrame, limit: int = 10000) -> DataFrame:
             .limit(limit))
 
 
-def bi_top_table(m4: DataFrame, limit: int = 100) -> DataFrame:
+def bi_top_table(m4: DataFrame, limit: int = LIMITS["top_table"]) -> DataFrame:
     """The raw top-employers table, largest counts first (a global top-k)."""
     return (m4.select("industry_name", "area_name", "currency", "employer_name",
                       "vacancies_cnt", "salary_avg")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hiremart.constants import UNKNOWN_LABEL
 from hiremart.functions.columns import day_of_week_sun0, empty_to_null, iso_week
 from hiremart.operators.upsert import insert_ignore, upsert_scd1
 
-UNKNOWN_ROLE = "UNKNOWN"
+UNKNOWN_ROLE = UNKNOWN_LABEL
 
 
 def date_rows(df: DataFrame, date_col: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hiremart.constants import CHILD_ARRAYS
 from hiremart.functions.columns import naive_timestamp, parse_iso_timestamp
 
 
@@ -78,7 +79,7 @@ def flatten_employers(items: DataFrame, item_col: str = "item",
 
 
 def flatten_hierarchy(items: DataFrame, item_col: str = "item",
-                      child_cols: Sequence[str] = ("industries", "spheres", "areas")) -> DataFrame:
+                      child_cols: Sequence[str] = CHILD_ARRAYS) -> DataFrame:
     """Two-level dictionary → one row per (parent, child).
 
     The child array is the first *non-empty* one of ``child_cols`` that the

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hiremart.constants import TOP_EMPLOYERS_K
 from hiremart.functions.columns import currency_label, month_start, safe_ratio, salary_point
 
 
@@ -106,7 +107,8 @@ def mart_trends(s: DataFrame) -> DataFrame:
                     .alias("mom_pct")))
 
 
-def mart_top_employers(s: DataFrame, employers: DataFrame | None = None, k: int = 20) -> DataFrame:
+def mart_top_employers(s: DataFrame, employers: DataFrame | None = None,
+                       k: int = TOP_EMPLOYERS_K) -> DataFrame:
     """M4: top-``k`` employers per role × area × currency.
 
     Only facts whose employer version is still current count: either

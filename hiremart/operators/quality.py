@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hiremart.constants import DQ_MIN_DATE
+
 
 class DataQualityError(RuntimeError):
     pass
@@ -42,7 +44,7 @@ def dq_null_keys(fact: DataFrame, cols: Sequence[str] = ("employer_sk", "publish
                     F.when(F.col("invalid_count") > 0, "FAIL").otherwise("PASS").alias("status"))
 
 
-def dq_date_range(fact: DataFrame, col: str = "published_date", lo="2000-01-01",
+def dq_date_range(fact: DataFrame, col: str = "published_date", lo=DQ_MIN_DATE,
                   as_of="2026-01-01") -> DataFrame:
     """Q-3: min/max date and counts before ``lo`` and after ``as_of``; FAIL if any."""
     d = F.col(col)

@@ -10,17 +10,15 @@ deterministic under task retries and free of any global ordering.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hiremart.constants import END_OF_TIME
 from hiremart.functions.columns import surrogate_key
 from hiremart.operators.upsert import pick_per_key
 
-#: open-ended validity end of a current version
-END_OF_TIME = _dt.datetime(9999, 12, 31)
 DIM_COLS = ["employer_sk", "employer_id", "employer_name", "alternate_url", "trusted",
             "valid_from", "valid_to", "is_current"]
 ATTRS = ["employer_name", "alternate_url", "trusted"]

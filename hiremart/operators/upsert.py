@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hiremart.constants import DOC_ID_SEPARATOR
 from hiremart.operators.flatten import parse_raw, to_raw
 
 
@@ -106,7 +107,7 @@ def composite_doc_key(df: DataFrame, id_cols: Sequence[str] = ("industry_id", "s
     with the id columns added; an empty-string member is stored as NULL.
     """
     id_cols = list(id_cols)
-    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in id_cols])
+    key = F.concat_ws(DOC_ID_SEPARATOR, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in id_cols])
     ids = [F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in id_cols]
     if doc_schema is not None:
         parsed = parse_raw(raw_col, doc_schema)

@@ -1 +1 @@
-"""Plans: the warehouse build (runs of ODS → DDS), the pipeline, the query registry."""
+"""Plans: the warehouse build (runs of ODS → DDS), the scheduled run, the query registry."""

@@ -87,7 +87,7 @@ def _events(spark, sf_dir):
     ev = driver.events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type", "value")
     early = ev.filter(F.col("ts") < F.lit(FR.EVENTS_SPLIT).cast("timestamp_ntz"))
     late = ev.filter(F.col("ts") >= F.lit(FR.EVENTS_SPLIT).cast("timestamp_ntz"))
-    empty = ev.limit(0)
+    empty = spark.createDataFrame([], ev.schema)
     return ev, early, late, empty
 
 

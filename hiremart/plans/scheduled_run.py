@@ -2,7 +2,7 @@
 
 industries ODS → vacancies ODS → employers ODS → industries DDS → vacancies
 DDS → employers DDS (second SCD2 feed, daily snapshot) → marts (atomic full
-refresh) → data-quality checks.  ``run_pipeline`` takes the fetched documents
+refresh) → data-quality checks.  ``run_scheduled`` takes the fetched documents
 of one run as DataFrames (read them with ``hiremart.sources.landing``); the
 previous state is whatever the layout holds; ``now`` and ``as_of`` are
 parameters.
@@ -78,7 +78,7 @@ class Layout:
         return storage.VersionedTable(spark, f"{self.root}/marts/{name}")
 
 
-def run_pipeline(spark: SparkSession, postings: DataFrame, employers: DataFrame,
+def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame,
                  industries: DataFrame, warehouse_path: str, run_id: int, now, as_of,
                  top_k: int = 20) -> State:
     """One scheduled run over the fetched ``(_page, _pos, item)`` documents."""

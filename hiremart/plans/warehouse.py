@@ -4,7 +4,7 @@ A cycle mirrors one scheduled run: upsert the fetched postings into the ODS,
 then load dimensions, the SCD2 employer dimension, the incremental fact and
 the bridges from the *whole* ODS, exactly in the reference's task order.
 Nothing is collected; the state after a cycle is a set of DataFrame plans
-that ``hiremart.plans.pipeline`` materialises (or a query consumes directly).
+that ``hiremart.plans.scheduled_run`` materialises (or a query consumes directly).
 """
 
 from __future__ import annotations

@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hiremart.constants import PAGE_SIZE
+
 # Fixed values of the stand-in mapping.
 CURRENCIES = ["RUR", "USD", "", None]          # by o_orderkey % 4
 OFFSETS = ["+0300", "-0500", "Z"]              # by o_orderkey % 3
 URL_PREFIX = "https://jobs.example.org/employer/"
 SITE_SUFFIX = ".example.com"
-PAGE_SIZE = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from hiremart import schemas
 from hiremart.operators.flatten import (flatten_hierarchy, flatten_postings, parse_raw,
-                                        rejected_postings, to_raw)
+                                        rejected_postings)
 from hiremart.sources import landing
 
 from conftest import rows
@@ -76,7 +76,7 @@ def test_enrich_cut_before_null_skip_and_fallback(spark):
     # first 3 rows: null (skipped after the cut), 1 (detail), 2 (no detail: dropped)
     assert [r["item"]["name"] for r in e.collect()] == ["d1"]
     assert landing.enrich_fallback(e, search).count() == 1
-    none = landing.enrich_details(search, details.limit(0), max_items=3)
+    none = landing.enrich_details(search, spark.createDataFrame([], details.schema), max_items=3)
     fb = landing.enrich_fallback(none, landing.search_view(search))
     assert fb.count() == 4
 

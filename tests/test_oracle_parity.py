@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB twin on the smallest driver tables."""
 
-import math
 from decimal import Decimal
 from pathlib import Path
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from hiremart import schemas
 from hiremart.plans import fixture_runs as FR
-from hiremart.plans.pipeline import run_pipeline
+from hiremart.plans.scheduled_run import run_scheduled
 from hiremart.session import scratch_path
 from hiremart.sources import driver, landing
 
@@ -25,7 +25,7 @@ def _pages(items):
 
 
 def test_two_runs_from_landed_files(spark):
-    root = scratch_path(spark, "pipeline-test")
+    root = scratch_path(spark, "scheduled-run-test")
     items = driver.posting_items(spark, SF)
     emp_path = f"{root}/landing/employers"
     landing.write_pages(_pages(driver.employer_items(spark, SF)), emp_path)
@@ -36,7 +36,7 @@ def test_two_runs_from_landed_files(spark):
         p = f"{root}/landing/postings/run={run_id}"
         landing.write_pages(_pages(fetched), p)
         postings = landing.read_paged_items(spark, p, schemas.POSTING_PAGE)
-        state = run_pipeline(spark, postings, employers, industries, f"{root}/wh", run_id,
+        state = run_scheduled(spark, postings, employers, industries, f"{root}/wh", run_id,
                              now=at, as_of=FR.AS_OF_DATE)
     q = E.queries()
     for mart, key in [("salary", "mart_salary"), ("regions", "mart_regions"), ("trends", "mart_trends"),
@@ -51,7 +51,7 @@ def test_two_runs_from_landed_files(spark):
     # re-running the last run (e.g. after a failure) appends nothing twice
     before = {k: state.wh.tables()[k].count() for k in ("fact_vacancy", "bridge_role", "bridge_sphere",
                                                         "dim_date")}
-    again = run_pipeline(spark, postings, employers, industries, f"{root}/wh", run_id,
+    again = run_scheduled(spark, postings, employers, industries, f"{root}/wh", run_id,
                          now=at, as_of=FR.AS_OF_DATE)
     assert {k: again.wh.tables()[k].count() for k in before} == before
     assert again.other["fact_employer_snapshot"].count() == snap.count()

@@ -4,7 +4,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from hiremart import schemas
 from hiremart.operators import marts
 from hiremart.plans import warehouse
 
