@@ -15,7 +15,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -39,13 +38,20 @@ CLUSTER_CONF = {
 
 def build_session(master: str | None = None, app_name: str = "hiremart",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library's settings applied."""
+                  extra: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
+    """Create (or reuse) a session with the library's settings applied.
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF`` (partition sizing for large
+    inputs); explicit ``shuffle_partitions`` / ``extra`` still win.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
-    for key, value in SESSION_CONF.items():
+    conf = dict(SESSION_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    for key, value in conf.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
