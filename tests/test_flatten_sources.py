@@ -95,3 +95,10 @@ def test_flatten_postings_naive_variant_keeps_wall_clock(spark):
     naive = flatten_postings(items, naive=True).first()["published_at"]
     assert aware == dt.datetime(2025, 11, 12, 0, 3, 31)
     assert naive == dt.datetime(2025, 11, 11, 19, 3, 31)
+
+
+def test_read_dictionary_non_array_gives_no_rows(spark, tmp_path):
+    for i, payload in enumerate([{"id": "1", "name": "A"}, "oops"]):
+        f = tmp_path / f"d{i}.json"
+        f.write_text(json.dumps(payload))
+        assert landing.read_dictionary(spark, str(f), schemas.INDUSTRY_DOC).count() == 0
