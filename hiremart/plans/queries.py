@@ -51,7 +51,7 @@ def _star(spark, sf_dir):
 def q_src_paged_items(spark, sf_dir):
     """Land the search pages as JSON files, read them back, flatten items in order."""
     path = scratch_path(spark, "landing-pages")
-    pages = driver.posting_pages(spark, sf_dir)
+    pages = driver.posting_pages(spark, sf_dir, FR.landing_items(spark, sf_dir))
     landing.write_pages(pages, path)
     items = landing.read_paged_items(spark, path, schemas.POSTING_PAGE)
     return items.select(F.col("_page").alias("page"), F.col("_pos").alias("pos"),
@@ -462,10 +462,7 @@ def q_stream_cycles(spark, sf_dir):
     items = FR.landing_items(spark, sf_dir)
     runs = FR.runs(items)
     for fetched, _ in runs:            # one landed file per fetch, in fetch order
-        pages = (fetched.groupBy("_page")
-                 .agg(F.array_sort(F.collect_list(F.struct("_pos", "item"))).alias("_items"))
-                 .select(F.col("_page").alias("page"), F.col("_items.item").alias("items")))
-        pages.coalesce(1).write.mode("append").json(f"{root}/landing")
+        driver.pages_of(fetched).coalesce(1).write.mode("append").json(f"{root}/landing")
     clock = dict(enumerate(at for _, at in runs))
     last = microbatch.run_available(spark, f"{root}/landing", f"{root}/warehouse",
                                     f"{root}/checkpoint", clock=clock.__getitem__,

@@ -111,9 +111,14 @@ def posting_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                        item.alias("item"))
 
 
-def posting_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def posting_pages(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
     """Search pages ``{page, items[]}`` with at most PAGE_SIZE items each."""
-    items = posting_items(spark, sf_dir)
+    items = posting_items(spark, sf_dir) if items is None else items
+    return pages_of(items)
+
+
+def pages_of(items: DataFrame) -> DataFrame:
+    """Group ``(_page, _pos, item)`` documents into page documents, items in order."""
     return (items.groupBy("_page")
             .agg(F.array_sort(F.collect_list(F.struct("_pos", "item"))).alias("_items"))
             .select(F.col("_page").alias("page"), F.col("_items.item").alias("items")))

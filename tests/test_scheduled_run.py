@@ -3,7 +3,6 @@
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from hiremart import schemas
@@ -19,9 +18,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables not
 
 
 def _pages(items):
-    return (items.groupBy("_page")
-            .agg(F.array_sort(F.collect_list(F.struct("_pos", "item"))).alias("_items"))
-            .select(F.col("_page").alias("page"), F.col("_items.item").alias("items")))
+    return driver.pages_of(items)
 
 
 def test_two_runs_from_landed_files(spark):
