@@ -1,9 +1,13 @@
-"""The two scheduled runs used for the driver's test tables.
+"""The scheduled runs replayed over the driver's test tables.
 
 Run 1 happens at ``RUN_1_AT`` and fetches the postings published before it;
 run 2 happens at ``RUN_2_AT`` and re-fetches everything.  Re-fetching makes
 the insert-only fact keep run-1 rows (first write wins) while the SCD2
 dimension versions employers whose latest posting changed their attributes.
+
+Everything built here is committed once per (session, input folder) under a
+fresh folder in the shared scratch root; later queries of the same session
+read the committed tables instead of rebuilding them.
 """
 
 from __future__ import annotations
@@ -13,16 +17,21 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiremart import storage
+from hiremart import schemas, storage
 from hiremart.functions.columns import parse_iso_timestamp
-from hiremart.session import scratch_path
+from hiremart.operators import marts, scd2
+from hiremart.operators.flatten import flatten_employers, flatten_hierarchy
+from hiremart.operators.upsert import upsert
 from hiremart.plans import warehouse
+from hiremart.session import scratch_path
 from hiremart.sources import driver
 
 # Fixed parameters of the test fixture (never the wall clock).
 RUN_1_AT = dt.datetime(1998, 8, 1, 0, 0, 0)
 RUN_2_AT = dt.datetime(2001, 9, 1, 0, 0, 0)
+FEED_AT = dt.datetime(2001, 9, 1, 0, 10, 0)      # the employer feed runs after the vacancy run
 AS_OF_DATE = dt.date(2001, 9, 1)
+EVENTS_SPLIT = dt.datetime(2024, 1, 15, 0, 0, 0)  # events upserted in two batches around it
 
 
 def fetched_at(items: DataFrame, at) -> DataFrame:
@@ -34,76 +43,53 @@ def runs(items: DataFrame):
     return [(fetched_at(items, RUN_1_AT), RUN_1_AT), (items, RUN_2_AT)]
 
 
-# One built warehouse per (session, input folder): later queries of the same
-# session read the committed tables instead of rebuilding them.
-_BUILT: dict[tuple[str, str], warehouse.Warehouse] = {}
+# ----------------------------------------------------------- session cache ----
+_CACHE: dict[tuple, object] = {}
 
 
-def landing_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fetched documents, written once to the landing folder of the build."""
-    return _landing(spark, sf_dir)
+def _cached(spark: SparkSession, sf_dir: str, name: str, make):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _CACHE:
+        _CACHE[key] = make()
+    return _CACHE[key]
 
 
 def _base(spark: SparkSession, sf_dir: str) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BASES:
-        _BASES[key] = scratch_path(spark, "warehouse")
-    return _BASES[key]
+    return _cached(spark, sf_dir, "base", lambda: scratch_path(spark, "warehouse"))
 
 
-_BASES: dict[tuple[str, str], str] = {}
-_LANDING: dict[tuple[str, str], DataFrame] = {}
+# ------------------------------------------------------------------ builds ----
+def landing_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetched vacancy documents, written once to the build's landing folder."""
+    return _cached(spark, sf_dir, "landing", lambda: storage.materialize(
+        driver.posting_items(spark, sf_dir), f"{_base(spark, sf_dir)}/landing/postings"))
 
 
-def _landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDING:
-        _LANDING[key] = storage.materialize(driver.posting_items(spark, sf_dir),
-                                            f"{_base(spark, sf_dir)}/landing/postings")
-    return _LANDING[key]
+def warehouse_states(spark: SparkSession, sf_dir: str) -> list[warehouse.Warehouse]:
+    """The committed warehouse after run 1 and after run 2."""
+    return _cached(spark, sf_dir, "states", lambda: warehouse.build_states(
+        spark, runs(landing_items(spark, sf_dir)), base_path=f"{_base(spark, sf_dir)}/dds"))
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
-    """The warehouse after both runs, built (and committed) once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BUILT:
-        _BUILT[key] = warehouse.build(spark, runs(_landing(spark, sf_dir)),
-                                      base_path=f"{_base(spark, sf_dir)}/dds")
-    return _BUILT[key]
+    """The warehouse after both runs."""
+    return warehouse_states(spark, sf_dir)[-1]
 
 
 def star_for(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The marts' shared input (M-d star join), committed once after the build.
-
-    The five marts all start from the same star join; computing the primary
-    role map and the dimension joins once and committing the result turns
-    every mart into one scan plus one aggregate.
-    """
-    from hiremart.operators import marts
-
-    key = (spark.sparkContext.applicationId, sf_dir, "star")
-    if key not in _BUILT_OTHER:
+    """The marts' shared input (M-d star join with the current employer version),
+    committed once: every mart is then one pruned scan plus one aggregate."""
+    def make():
         wh = warehouse_for(spark, sf_dir)
-        _BUILT_OTHER[key] = storage.materialize(
+        return storage.materialize(
             marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area, wh.dim_employer),
             f"{_base(spark, sf_dir)}/marts/star")
-    return _BUILT_OTHER[key]
-
-
-# ---------------------------------------------------------------- employers ----
-FEED_AT = dt.datetime(2001, 9, 1, 0, 10, 0)   # employer feed runs after the vacancy run
-EVENTS_SPLIT = dt.datetime(2024, 1, 15, 0, 0, 0)
+    return _cached(spark, sf_dir, "star", make)
 
 
 def employer_feed(spark: SparkSession, sf_dir: str):
     """ODS employers (P2 + K4) and the dimension after the second SCD2 feed."""
-    from hiremart.operators import scd2
-    from hiremart.operators.flatten import flatten_employers
-    from hiremart.operators.upsert import upsert
-    from hiremart import schemas
-
-    key = (spark.sparkContext.applicationId, sf_dir, "employers")
-    if key not in _BUILT_OTHER:
+    def make():
         wh = warehouse_for(spark, sf_dir)
         batch = flatten_employers(driver.employer_items(spark, sf_dir))
         ods = storage.materialize(
@@ -113,24 +99,16 @@ def employer_feed(spark: SparkSession, sf_dir: str):
             scd2.scd2_apply(wh.dim_employer, scd2.stage_employers_from_feed(ods), FEED_AT,
                             tracked=["employer_name", "alternate_url"]),
             f"{_base(spark, sf_dir)}/employers/dim_employer")
-        _BUILT_OTHER[key] = (ods, dim)
-    return _BUILT_OTHER[key]
+        return ods, dim
+    return _cached(spark, sf_dir, "employers", make)
 
 
 def ods_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ODS industries: the flattened dictionary upserted on its null-safe composite key."""
-    from hiremart.operators.flatten import flatten_hierarchy
-    from hiremart.operators.upsert import upsert
-    from hiremart import schemas
-
-    key = (spark.sparkContext.applicationId, sf_dir, "industries")
-    if key not in _BUILT_OTHER:
+    def make():
         rows = flatten_hierarchy(driver.industry_items(spark, sf_dir)).withColumn("_seq", F.lit(0))
         ods = upsert(schemas.empty(spark, schemas.ODS_INDUSTRIES), rows,
                      ["industry_id", "sphere_id"], ["_seq", "sphere_name", "industry_name"],
                      null_safe=True)
-        _BUILT_OTHER[key] = storage.materialize(ods, f"{_base(spark, sf_dir)}/industries/ods")
-    return _BUILT_OTHER[key]
-
-
-_BUILT_OTHER: dict = {}
+        return storage.materialize(ods, f"{_base(spark, sf_dir)}/industries/ods")
+    return _cached(spark, sf_dir, "industries", make)

@@ -215,11 +215,9 @@ def q_dim_area(spark, sf_dir):
 
 
 def _run1_dim_and_stage2(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    base = FR._base(spark, sf_dir)
-    dim1 = spark.read.parquet(f"{base}/dds/cycle=0/dim_employer")
-    staged2 = scd2.stage_employers_from_postings(stage_postings(wh.ods_postings))
-    return dim1, staged2
+    run1, run2 = FR.warehouse_states(spark, sf_dir)
+    staged2 = scd2.stage_employers_from_postings(stage_postings(run2.ods_postings))
+    return run1.dim_employer, staged2
 
 
 @register("scd2_expire")

@@ -118,18 +118,26 @@ def committed_cycle(wh: Warehouse, items: DataFrame, now, path: str,
     return Warehouse(ods_postings=ods, dim_employer=dim_employer, **written)
 
 
-def build(spark: SparkSession, runs, base_path: str | None = None) -> Warehouse:
-    """Fold ``runs`` — ``[(fetched_items, now), …]`` — over an empty warehouse.
+def build_states(spark: SparkSession, runs, base_path: str | None = None) -> list[Warehouse]:
+    """Fold ``runs`` — ``[(fetched_items, now), …]`` — over an empty warehouse,
+    returning the state after every run.
 
     With ``base_path`` each cycle's tables are committed under
     ``<base_path>/cycle=<i>/<table>`` before the next cycle reads them, as the
-    scheduled job commits its tables; without it the result is one lazy plan
+    scheduled job commits its tables; without it the states are lazy plans
     (fine for a single cycle, exponential in plan size for many).
     """
-    wh = empty_warehouse(spark)
+    wh, states = empty_warehouse(spark), []
     for i, (items, now) in enumerate(runs):
         if base_path is None:
             wh = cycle(wh, items, now)
         else:
             wh = committed_cycle(wh, items, now, f"{base_path}/cycle={i}")
-    return wh
+        states.append(wh)
+    return states
+
+
+def build(spark: SparkSession, runs, base_path: str | None = None) -> Warehouse:
+    """The state after the last of ``runs`` (see ``build_states``)."""
+    states = build_states(spark, runs, base_path)
+    return states[-1] if states else empty_warehouse(spark)
