@@ -66,10 +66,17 @@ def _staged(spark, data):
 
 
 def _check_scd2_invariants(dim):
+    from pyspark.sql import Window
     cur = dim.filter("is_current").groupBy("employer_id").count()
     assert cur.filter("count > 1").count() == 0
     assert dim.filter("valid_from >= valid_to").count() == 0
     assert dim.select("employer_sk").distinct().count() == dim.count()
+    # versions of one key never overlap: each starts where the previous ended or later
+    prev_to = F.lag("valid_to").over(Window.partitionBy("employer_id").orderBy("valid_from"))
+    assert dim.withColumn("_p", prev_to).filter("_p IS NOT NULL AND valid_from < _p").count() == 0
+    # only the latest version of a key may be current
+    last = F.max("valid_from").over(Window.partitionBy("employer_id"))
+    assert dim.withColumn("_l", last).filter("is_current AND valid_from < _l").count() == 0
 
 
 def test_scd2_apply_equals_expire_then_insert_and_is_idempotent(spark):
@@ -137,3 +144,16 @@ def test_industry_dimensions(spark):
     assert rows(dims.dim_industry(schemas.empty(spark, schemas.DIM_INDUSTRY), ods)) == [("1", "B")]
     assert rows(dims.dim_sphere(schemas.empty(spark, schemas.DIM_SPHERE), ods)) == \
         [("11", "a1", "1"), ("12", "x", None)]
+
+
+def test_scd2_invariants_on_driver_tables(spark):
+    from pathlib import Path
+    import pytest
+    from hiremart.plans import fixture_runs as FR
+    sf = "/root/testdata/sf0.001"
+    if not Path(sf).exists():
+        pytest.skip("driver tables not present")
+    run1, run2 = FR.warehouse_states(spark, sf)
+    for dim in (run1.dim_employer, run2.dim_employer, FR.employer_feed(spark, sf)[1]):
+        _check_scd2_invariants(dim)
+    assert run2.dim_employer.filter("NOT is_current").count() > 0      # run 2 versioned someone
