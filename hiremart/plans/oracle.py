@@ -75,7 +75,7 @@ vmap AS (
 dim_area AS (
   SELECT area_id, area_name FROM (
     SELECT area_id, area_name, row_number() OVER (
-      PARTITION BY area_id ORDER BY published_at DESC, vacancy_id DESC) AS rn
+      PARTITION BY area_id ORDER BY published_at DESC NULLS LAST, vacancy_id DESC NULLS LAST) AS rn
     FROM postings WHERE area_id IS NOT NULL) WHERE rn = 1
 ),
 base AS (
@@ -99,14 +99,14 @@ EMPLOYERS = f"""
 staged1 AS (
   SELECT employer_id, employer_name, alternate_url, trusted FROM (
     SELECT *, row_number() OVER (PARTITION BY employer_id
-                                 ORDER BY published_at DESC, vacancy_id DESC) AS rn
+                                 ORDER BY published_at DESC NULLS LAST, vacancy_id DESC NULLS LAST) AS rn
     FROM postings WHERE employer_id IS NOT NULL AND employer_name IS NOT NULL
       AND published_at < {RUN_1_AT}) WHERE rn = 1
 ),
 staged2 AS (
   SELECT employer_id, employer_name, alternate_url, trusted FROM (
     SELECT *, row_number() OVER (PARTITION BY employer_id
-                                 ORDER BY published_at DESC, vacancy_id DESC) AS rn
+                                 ORDER BY published_at DESC NULLS LAST, vacancy_id DESC NULLS LAST) AS rn
     FROM postings WHERE employer_id IS NOT NULL AND employer_name IS NOT NULL) WHERE rn = 1
 ),
 changed AS (
@@ -370,7 +370,8 @@ WHERE sphere_id <> '' AND vacancy_id IN (SELECT vacancy_id FROM postings)""")
     q["dim_role"] = with_ctes(POSTINGS, body="""
 SELECT role_id, role_name FROM (
   SELECT r.role_id, r.role_name, row_number() OVER (PARTITION BY r.role_id
-         ORDER BY p.published_at DESC, p.vacancy_id DESC, r.role_name DESC) AS rn
+         ORDER BY p.published_at DESC NULLS LAST, p.vacancy_id DESC NULLS LAST,
+                  r.role_name DESC NULLS LAST) AS rn
   FROM role_pairs r JOIN postings p ON p.vacancy_id = r.vacancy_id
   WHERE r.role_id <> '') WHERE rn = 1""")
     q["bridge_role"] = with_ctes(POSTINGS, body="""
@@ -384,9 +385,10 @@ FROM feed f JOIN dim_after_feed d ON d.employer_id = f.employer_id AND d.is_curr
 SELECT industry_id, MAX(industry_name) AS industry_name FROM dict
 WHERE industry_id IS NOT NULL GROUP BY industry_id""")
     q["dim_sphere"] = with_ctes(DICTIONARY, body="""
-SELECT sphere_id, arg_max(sphere_name, sphere_name || chr(0) || industry_id) AS sphere_name,
-       arg_max(industry_id, sphere_name || chr(0) || industry_id) AS industry_id
-FROM dict WHERE sphere_id IS NOT NULL GROUP BY sphere_id""")
+SELECT sphere_id, sphere_name, industry_id FROM (
+  SELECT sphere_id, sphere_name, industry_id, row_number() OVER (PARTITION BY sphere_id
+         ORDER BY sphere_name DESC NULLS LAST, industry_id DESC NULLS LAST) AS rn
+  FROM dict WHERE sphere_id IS NOT NULL) WHERE rn = 1""")
     # --------------------------------------------------------------------- DQ
     q["dq_row_counts"] = with_ctes(*STAR, body="""
 SELECT 'row_counts' AS "check", ods_total, ods_eligible, dds_count,
