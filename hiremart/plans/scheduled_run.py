@@ -1,24 +1,14 @@
-"""The whole scheduled job in the reference's order, on a fixed warehouse layout.
-
-industries ODS → vacancies ODS → employers ODS → industries DDS → vacancies
-DDS → employers DDS (second SCD2 feed, daily snapshot) → marts (atomic full
-refresh) → data-quality checks.  ``run_scheduled`` takes the fetched documents
-of one run as DataFrames (read them with ``hiremart.sources.landing``); the
-previous state is whatever the layout holds; ``now`` and ``as_of`` are
-parameters.
-
-Layout under ``<warehouse>`` — each table is written the cheapest way its
-semantics allow:
-
-* ``ods/*`` — keyed tables (``KeyedTable``): an upsert rewrites only the hash
-  buckets its batch touches;
-* ``dds/fact_vacancy``, ``dds/bridge_*``, ``dds/dim_date``,
-  ``dds/fact_employer_snapshot`` — insert-only (``AppendTable``): a run
-  appends just its new rows, found by an anti-join, so a re-run appends
-  nothing twice;
-* ``dds/dim_*`` (type 1 and the SCD2 employer dimension), ``marts/*`` —
-  versioned (``VersionedTable``): the new content is committed as the next
-  version and readers switch atomically.
+"""The whole scheduled job in the reference's order, on the warehouse ``Layout``.
+
+industries ODS → vacancies ODS and DDS → employers ODS → industries DDS →
+employers DDS (second SCD2 feed, daily snapshot) → marts (atomic full
+refresh) → data-quality checks.  ``run_scheduled`` takes the fetched
+documents of one run as DataFrames (read them with
+``hiremart.sources.landing``); the previous state is whatever the layout
+holds; ``now`` and ``as_of`` are parameters.  Storage per table is described
+in ``hiremart.plans.warehouse.Layout``: keyed ODS tables updated bucket by
+bucket, insert-only tables receiving only the run's delta, versioned
+dimensions and marts.  Re-running a run is idempotent.
 """
 
 from __future__ import annotations
@@ -30,10 +20,8 @@ from pyspark.sql import functions as F
 
 from hiremart import schemas, storage
 from hiremart.operators import dims, facts, marts, quality, scd2
-from hiremart.operators.flatten import flatten_employers, flatten_hierarchy, flatten_postings
-from hiremart.operators.staging import stage_postings
-from hiremart.operators.upsert import insert_ignore
-from hiremart.plans.warehouse import ODS_POSTING_COLS, Warehouse
+from hiremart.operators.flatten import flatten_employers, flatten_hierarchy
+from hiremart.plans.warehouse import Layout, Warehouse, load_run
 
 
 @dataclass
@@ -44,84 +32,45 @@ class State:
     checks: DataFrame | None = None
 
 
-class Layout:
-    """Where and how every table of the warehouse is stored."""
-
-    def __init__(self, spark: SparkSession, root: str, ods_buckets: int = 64):
-        r = root.rstrip("/")
-        self.root = r
-        K, A, V = storage.KeyedTable, storage.AppendTable, storage.VersionedTable
-        self.ods_postings = K(spark, f"{r}/ods/postings", ["id"], ods_buckets)
-        self.ods_employers = K(spark, f"{r}/ods/employers", ["id"], ods_buckets)
-        self.ods_industries = K(spark, f"{r}/ods/industries", ["industry_id", "sphere_id"],
-                                ods_buckets, null_safe=True)
-        self.fact_vacancy = A(spark, f"{r}/dds/fact_vacancy", schemas.FACT_VACANCY)
-        self.bridge_role = A(spark, f"{r}/dds/bridge_role", schemas.BRIDGE_ROLE)
-        self.bridge_sphere = A(spark, f"{r}/dds/bridge_sphere", schemas.BRIDGE_SPHERE)
-        self.dim_date = A(spark, f"{r}/dds/dim_date", schemas.DIM_DATE)
-        self.snapshot = A(spark, f"{r}/dds/fact_employer_snapshot", schemas.FACT_EMPLOYER_SNAPSHOT,
-                          partition_by=["snapshot_date"])
-        self.versioned = {name: V(spark, f"{r}/dds/{name}") for name in
-                          ("dim_area", "dim_role", "dim_employer", "dim_industry", "dim_sphere", "star")}
-        self.schemas = {"dim_area": schemas.DIM_AREA, "dim_role": schemas.DIM_ROLE,
-                        "dim_employer": schemas.DIM_EMPLOYER, "dim_industry": schemas.DIM_INDUSTRY,
-                        "dim_sphere": schemas.DIM_SPHERE}
-
-    def dim(self, name: str) -> DataFrame:
-        return self.versioned[name].read_or_empty(self.schemas[name])
-
-    def refresh(self, name: str, df: DataFrame) -> DataFrame:
-        self.versioned[name].refresh(df)
-        return self.versioned[name].read()
-
-    def mart(self, spark: SparkSession, name: str) -> storage.VersionedTable:
-        return storage.VersionedTable(spark, f"{self.root}/marts/{name}")
-
-
 def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame,
-                 industries: DataFrame, warehouse_path: str, run_id: int, now, as_of,
-                 top_k: int = 20) -> State:
+                  industries: DataFrame, warehouse_path: str, run_id: int, now, as_of,
+                  top_k: int = 20) -> State:
     """One scheduled run over the fetched ``(_page, _pos, item)`` documents."""
     L = Layout(spark, warehouse_path)
+    prev = L.end_of(run_id - 1)
 
-    # ---- ODS: industries, vacancies, employers (keyed, touched buckets only)
+    # ---- ODS: industries (null-safe composite key)
     ods_ind = L.ods_industries.upsert(
         flatten_hierarchy(industries).withColumn("_seq", F.lit(run_id)),
         ["_seq", "sphere_name", "industry_name"], list(schemas.ODS_INDUSTRIES.fieldNames()))
-    ods = L.ods_postings.upsert(flatten_postings(postings), ["_page", "_pos"], ODS_POSTING_COLS)
+
+    # ---- vacancies: ODS upsert + DDS load (dimensions, SCD2, fact, bridges)
+    wh = load_run(L, postings, now, run_id)
+
+    # ---- ODS: employers
     ods_emp = L.ods_employers.upsert(flatten_employers(employers), ["_page", "_pos"],
                                      list(schemas.ODS_EMPLOYERS.fieldNames()))
 
     # ---- DDS: industries
-    dim_ind = L.refresh("dim_industry", dims.dim_industry(L.dim("dim_industry"), ods_ind))
-    dim_sph = L.refresh("dim_sphere", dims.dim_sphere(L.dim("dim_sphere"), ods_ind))
-
-    # ---- DDS: vacancies — the ODS documents are parsed once into a typed stage
-    stage = storage.materialize(stage_postings(ods), f"{warehouse_path}/work/run={run_id}/stage")
-    dim_date = L.dim_date.append(insert_ignore(L.dim_date.read(), dims.date_rows(stage, "published_date"),
-                                                    ["date_key"]))
-    dim_area = L.refresh("dim_area", dims.dim_area(L.dim("dim_area"), stage))
-    dim_emp = L.refresh("dim_employer", scd2.scd2_apply(
-        L.dim("dim_employer"), scd2.stage_employers_from_postings(stage), now))
-    fact = L.fact_vacancy.append(facts.fact_incremental(stage, dim_emp, L.fact_vacancy.read(), now))
-    br_sph = L.bridge_sphere.append(
-        facts.bridge(L.bridge_sphere.read(), stage, "specializations", "sphere_id", now))
-    dim_role = L.refresh("dim_role", dims.dim_role(L.dim("dim_role"), stage))
-    br_role = L.bridge_role.append(
-        facts.bridge(L.bridge_role.read(), stage, "professional_roles", "role_id", now))
+    dim_ind = L.commit_dim("dim_industry", dims.dim_industry(L.dim("dim_industry", prev), ods_ind),
+                           run_id, Layout.EMPLOYERS)
+    dim_sph = L.commit_dim("dim_sphere", dims.dim_sphere(L.dim("dim_sphere", prev), ods_ind),
+                           run_id, Layout.EMPLOYERS)
 
     # ---- DDS: employers — second SCD2 feed, then the as-of day's snapshot
-    dim_emp = L.refresh("dim_employer", scd2.scd2_apply(
-        dim_emp, scd2.stage_employers_from_feed(ods_emp), now,
-        tracked=["employer_name", "alternate_url"]))
-    snap = L.snapshot.append(facts.fact_snapshot(ods_emp, dim_emp, L.snapshot.read(), as_of, now))
-
-    wh = Warehouse(ods_postings=ods, dim_date=dim_date, dim_area=dim_area, dim_employer=dim_emp,
-                   dim_role=dim_role, fact_vacancy=fact, bridge_role=br_role, bridge_sphere=br_sph)
-
-    # ---- marts: the shared star once, then five atomic refreshes
-    L.versioned["star"].refresh(marts.star(fact, br_role, dim_role, dim_area, dim_emp))
-    star = L.versioned["star"].read()
+    dim_emp = L.commit_dim("dim_employer", scd2.scd2_apply(
+        wh.dim_employer, scd2.stage_employers_from_feed(ods_emp), now,
+        tracked=["employer_name", "alternate_url"]), run_id, Layout.EMPLOYERS)
+    snap_t = L.appended["fact_employer_snapshot"]
+    snap = L.commit_delta("fact_employer_snapshot", facts.fact_snapshot(
+        ods_emp, dim_emp, snap_t.read_before(run_id), as_of, now), run_id)
+    wh = Warehouse(**{**wh.tables(), "dim_employer": dim_emp})
+
+    # ---- marts: the shared star once (versioned per run), then five atomic refreshes
+    star_t = L.versioned["star"]
+    star_t.refresh(marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area, dim_emp),
+                   L.version(run_id, Layout.EMPLOYERS))
+    star = star_t.read(L.version(run_id, Layout.EMPLOYERS))
     built = {
         "salary": marts.mart_salary(star),
         "regions": marts.mart_regions(star),
@@ -129,14 +78,12 @@ def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame
         "top_employers": marts.mart_top_employers(star, k=top_k),
         "currency": marts.mart_currency(star),
     }
-    out_marts = {}
-    for name, df in built.items():
-        t = L.mart(spark, name)
-        t.refresh(df)
-        out_marts[name] = t.read()
+    out_marts = {name: storage.full_refresh(df, f"{warehouse_path}/marts/{name}")
+                 for name, df in built.items()}
 
     # ---- data quality: three one-row checks in one small table
-    checks = (quality.dq_row_counts(ods, fact)
+    fact = wh.fact_vacancy
+    checks = (quality.dq_row_counts(wh.ods_postings, fact)
               .select("check", "status", F.to_json(F.struct("ods_total", "ods_eligible", "dds_count"))
                       .alias("metrics"))
               .unionByName(quality.dq_null_keys(fact)
@@ -145,7 +92,7 @@ def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame
                            .select("check", "status",
                                    F.to_json(F.struct("min_date", "max_date", "too_old", "in_future"))
                                    .alias("metrics"))))
-    checks = storage.materialize(checks, f"{warehouse_path}/work/run={run_id}/dq_checks")
+    checks = storage.materialize(checks, f"{L.work(run_id)}/dq_checks")
     other = {"ods_employers": ods_emp, "ods_industries": ods_ind, "dim_industry": dim_ind,
              "dim_sphere": dim_sph, "fact_employer_snapshot": snap}
     return State(wh, other, out_marts, checks)

@@ -3,8 +3,8 @@
 A cycle mirrors one scheduled run: upsert the fetched postings into the ODS,
 then load dimensions, the SCD2 employer dimension, the incremental fact and
 the bridges from the *whole* ODS, exactly in the reference's task order.
-Nothing is collected; the state after a cycle is a set of DataFrame plans
-that ``hiremart.plans.scheduled_run`` materialises (or a query consumes directly).
+``cycle`` is the lazy form; ``load_run`` commits a run on a ``Layout`` (the
+form the scheduled job, the streaming job and the registered queries use).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from hiremart import schemas, storage
 from hiremart.operators import dims, facts, scd2
 from hiremart.operators.flatten import flatten_postings
 from hiremart.operators.staging import stage_postings
-from hiremart.operators.upsert import upsert
+from hiremart.operators.upsert import insert_ignore, upsert
 
 ODS_POSTING_COLS = ["id", "name", "area_name", "employer_name", "published_at", "raw"]
 
@@ -75,66 +75,139 @@ def cycle(wh: Warehouse, items: DataFrame, now) -> Warehouse:
     return dds_cycle(replace(wh, ods_postings=ods_upsert_postings(wh.ods_postings, items)), now)
 
 
-def materialize(wh: Warehouse, base_path: str) -> Warehouse:
-    """Write every table of the state under ``base_path`` and read them back."""
-    return Warehouse(**{name: storage.materialize(df, f"{base_path}/{name}")
-                        for name, df in wh.tables().items()})
+class Layout:
+    """Where and how every warehouse table is stored under one root folder.
 
+    Each table is written the cheapest way its semantics allow:
 
-def committed_cycle(wh: Warehouse, items: DataFrame, now, path: str,
-                    ods_table: storage.KeyedTable | None = None) -> Warehouse:
-    """One run whose tables are committed under ``path`` in dependency order.
+    * ``ods/*`` — ``KeyedTable``: an upsert rewrites only the hash buckets
+      its batch touches;
+    * ``dds/fact_vacancy``, ``dds/bridge_*``, ``dds/dim_date``,
+      ``dds/fact_employer_snapshot`` — insert-only ``AppendTable``: a run
+      writes just its delta into its own ``_run=<n>`` folder;
+    * dimensions and the marts' shared star — ``VersionedTable`` with the
+      version ``run * STEPS + step`` (step 1: vacancy load, step 2: employer
+      feed), so a retried step replaces its own version and never the one it
+      reads.
 
-    The ODS is written first; its documents are parsed once into a typed
-    Parquet stage (each loader then scans only its columns, and a lost
-    executor re-reads files instead of re-parsing JSON); the SCD2 dimension is
-    written before the fact that joins it.  Each loader then reads committed inputs, so no plan repeats
-    another loader's work.  With ``ods_table`` the ODS is one keyed table
-    updated in place bucket by bucket; otherwise each run writes a full copy
-    under ``path`` (a snapshot per run).
+    The state as of the end of any run stays readable (pruned reads), except
+    for the ODS, which is kept current only.
     """
-    if ods_table is not None:
-        ods = ods_table.upsert(flatten_postings(items, keep=("_page", "_pos")),
-                               ["_page", "_pos"], ODS_POSTING_COLS)
-    else:
-        ods = storage.materialize(ods_upsert_postings(wh.ods_postings, items), f"{path}/ods_postings")
-    # parse the documents once; each loader reads only the columns it needs
-    stage = storage.materialize(stage_postings(ods), f"{path}/_stage")
-    dim_employer = storage.materialize(
-        scd2.scd2_apply(wh.dim_employer, scd2.stage_employers_from_postings(stage), now),
-        f"{path}/dim_employer")
-    out = {
-        "dim_date": dims.dim_date(wh.dim_date, stage),
-        "dim_area": dims.dim_area(wh.dim_area, stage),
-        "fact_vacancy": wh.fact_vacancy.unionByName(
-            facts.fact_incremental(stage, dim_employer, wh.fact_vacancy, now)),
-        "bridge_sphere": wh.bridge_sphere.unionByName(
-            facts.bridge(wh.bridge_sphere, stage, "specializations", "sphere_id", now)),
-        "dim_role": dims.dim_role(wh.dim_role, stage),
-        "bridge_role": wh.bridge_role.unionByName(
-            facts.bridge(wh.bridge_role, stage, "professional_roles", "role_id", now)),
-    }
-    written = {k: storage.materialize(v, f"{path}/{k}") for k, v in out.items()}
-    return Warehouse(ods_postings=ods, dim_employer=dim_employer, **written)
+
+    STEPS = 4
+    VACANCIES, EMPLOYERS = 1, 2
+
+    def __init__(self, spark: SparkSession, root: str, ods_buckets: int = 64):
+        r = root.rstrip("/")
+        self.spark, self.root = spark, r
+        K, A, V = storage.KeyedTable, storage.AppendTable, storage.VersionedTable
+        self.ods_postings = K(spark, f"{r}/ods/postings", ["id"], ods_buckets)
+        self.ods_employers = K(spark, f"{r}/ods/employers", ["id"], ods_buckets)
+        self.ods_industries = K(spark, f"{r}/ods/industries", ["industry_id", "sphere_id"],
+                                ods_buckets, null_safe=True)
+        self.appended = {
+            "fact_vacancy": A(spark, f"{r}/dds/fact_vacancy", schemas.FACT_VACANCY),
+            "bridge_role": A(spark, f"{r}/dds/bridge_role", schemas.BRIDGE_ROLE),
+            "bridge_sphere": A(spark, f"{r}/dds/bridge_sphere", schemas.BRIDGE_SPHERE),
+            "dim_date": A(spark, f"{r}/dds/dim_date", schemas.DIM_DATE),
+            "fact_employer_snapshot": A(spark, f"{r}/dds/fact_employer_snapshot",
+                                        schemas.FACT_EMPLOYER_SNAPSHOT),
+        }
+        self.dim_schemas = {"dim_area": schemas.DIM_AREA, "dim_role": schemas.DIM_ROLE,
+                            "dim_employer": schemas.DIM_EMPLOYER,
+                            "dim_industry": schemas.DIM_INDUSTRY, "dim_sphere": schemas.DIM_SPHERE}
+        self.versioned = {name: V(spark, f"{r}/dds/{name}") for name in [*self.dim_schemas, "star"]}
+
+    def version(self, run: int, step: int) -> int:
+        return run * self.STEPS + step
+
+    def end_of(self, run: int) -> int:
+        """The greatest version number a run can write."""
+        return run * self.STEPS + self.STEPS - 1
+
+    def dim(self, name: str, upto: int | None = None) -> DataFrame:
+        """A dimension's greatest version ``<= upto`` (empty before the first)."""
+        return self.versioned[name].read_or_empty(self.dim_schemas[name], upto)
+
+    def commit_dim(self, name: str, df: DataFrame, run: int, step: int) -> DataFrame:
+        v = self.versioned[name].refresh(df, self.version(run, step))
+        return self.versioned[name].read(v)
+
+    def commit_delta(self, name: str, delta: DataFrame, run: int, upto: int | None = None) -> DataFrame:
+        t = self.appended[name]
+        t.append(delta, run)
+        return t.read(upto=run if upto is None else upto)
+
+    def work(self, run: int) -> str:
+        """Scratch folder of one run's intermediate tables."""
+        return f"{self.root}/work/run={run}"
+
+    def state(self, run: int) -> Warehouse:
+        """The DDS as of the end of ``run`` (the ODS as it is now)."""
+        return Warehouse(
+            ods_postings=self.ods_postings.read(),
+            dim_date=self.appended["dim_date"].read(upto=run),
+            dim_area=self.dim("dim_area", self.end_of(run)),
+            dim_employer=self.dim("dim_employer", self.end_of(run)),
+            dim_role=self.dim("dim_role", self.end_of(run)),
+            fact_vacancy=self.appended["fact_vacancy"].read(upto=run),
+            bridge_role=self.appended["bridge_role"].read(upto=run),
+            bridge_sphere=self.appended["bridge_sphere"].read(upto=run))
+
+
+def load_run(layout: Layout, items: DataFrame, now, run: int) -> Warehouse:
+    """One scheduled run's vacancy load on ``layout``, committed table by table.
+
+    ODS upsert (touched buckets only) → the whole ODS parsed once into a typed
+    Parquet stage (each loader scans only its columns; a lost executor
+    re-reads files instead of re-parsing JSON) → dimensions, the SCD2 employer
+    dimension, then the incremental fact and the bridges, each appending only
+    the run's delta.  Every step reads the state of earlier runs and writes
+    its own run/version, so re-running a run after a failure is idempotent.
+    """
+    L, prev = layout, layout.end_of(run - 1)
+    ods = L.ods_postings.upsert(flatten_postings(items, keep=("_page", "_pos")),
+                                ["_page", "_pos"], ODS_POSTING_COLS)
+    stage = storage.materialize(stage_postings(ods), f"{L.work(run)}/stage")
+    A = L.appended
+    dim_date = L.commit_delta("dim_date", insert_ignore(
+        A["dim_date"].read_before(run), dims.date_rows(stage, "published_date"), ["date_key"]), run)
+    dim_area = L.commit_dim("dim_area", dims.dim_area(L.dim("dim_area", prev), stage),
+                            run, Layout.VACANCIES)
+    dim_employer = L.commit_dim("dim_employer", scd2.scd2_apply(
+        L.dim("dim_employer", prev), scd2.stage_employers_from_postings(stage), now),
+        run, Layout.VACANCIES)
+    fact = L.commit_delta("fact_vacancy", facts.fact_incremental(
+        stage, dim_employer, A["fact_vacancy"].read_before(run), now), run)
+    bridge_sphere = L.commit_delta("bridge_sphere", facts.bridge(
+        A["bridge_sphere"].read_before(run), stage, "specializations", "sphere_id", now), run)
+    dim_role = L.commit_dim("dim_role", dims.dim_role(L.dim("dim_role", prev), stage),
+                            run, Layout.VACANCIES)
+    bridge_role = L.commit_delta("bridge_role", facts.bridge(
+        A["bridge_role"].read_before(run), stage, "professional_roles", "role_id", now), run)
+    return Warehouse(ods_postings=ods, dim_date=dim_date, dim_area=dim_area,
+                     dim_employer=dim_employer, dim_role=dim_role, fact_vacancy=fact,
+                     bridge_role=bridge_role, bridge_sphere=bridge_sphere)
 
 
 def build_states(spark: SparkSession, runs, base_path: str | None = None) -> list[Warehouse]:
     """Fold ``runs`` — ``[(fetched_items, now), …]`` — over an empty warehouse,
     returning the state after every run.
 
-    With ``base_path`` each cycle's tables are committed under
-    ``<base_path>/cycle=<i>/<table>`` before the next cycle reads them, as the
-    scheduled job commits its tables; without it the states are lazy plans
-    (fine for a single cycle, exponential in plan size for many).
+    With ``base_path`` every run is committed on a ``Layout`` rooted there (the
+    way the scheduled job stores its tables); without it the states are lazy
+    plans (fine for one run, exponential in plan size for many).
     """
-    wh, states = empty_warehouse(spark), []
-    for i, (items, now) in enumerate(runs):
-        if base_path is None:
+    if base_path is None:
+        wh, states = empty_warehouse(spark), []
+        for items, now in runs:
             wh = cycle(wh, items, now)
-        else:
-            wh = committed_cycle(wh, items, now, f"{base_path}/cycle={i}")
-        states.append(wh)
-    return states
+            states.append(wh)
+        return states
+    layout = Layout(spark, base_path)
+    for i, (items, now) in enumerate(runs):
+        load_run(layout, items, now, i)
+    return [layout.state(i) for i in range(len(runs))]
 
 
 def build(spark: SparkSession, runs, base_path: str | None = None) -> Warehouse:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from hiremart.session import scratch_path
 
-_VERSION_DIR = re.compile(r"/version=(\d+)/")
 
 
 def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -40,49 +39,58 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
 class VersionedTable:
     """A Parquet table whose content is replaced atomically (K7 full refresh).
 
-    Layout: ``<path>/version=<n>/part-*.parquet``.  A refresh appends
-    ``version = current + 1`` in one write job; the job commit makes the whole
-    version visible at once.  Reading filters to the greatest version, which
-    Spark resolves from the partition listing (partition pruning), so old
-    versions cost no I/O.
+    Layout: ``<path>/version=<n>/part-*.parquet``, one folder per committed
+    version.  A refresh writes the whole new content as a new version in one
+    job; readers take the greatest version that has files (or the greatest up
+    to a given number), resolved from the file listing, and Spark prunes the
+    other versions, so old versions cost no I/O.  Writing an explicit version
+    again replaces just that folder, which makes a retried load idempotent; a
+    job never overwrites the version it reads.
     """
 
+    COL = "version"
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _versions(self) -> DataFrame | None:
+    def _root(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.path)
         except Exception:  # no committed version yet
             return None
 
-    def current_version(self) -> int:
-        """Greatest committed version, from the file listing only (no data job)."""
-        df = self._versions()
-        if df is None:
-            return 0
-        found = [int(m.group(1)) for f in df.inputFiles()
-                 if (m := _VERSION_DIR.search(f)) is not None]
-        return max(found, default=0)
+    def versions(self) -> list[int]:
+        """Committed versions, from the file listing only (no data job)."""
+        df = self._root()
+        return [] if df is None else _partition_values(df, self.COL)
 
-    def read(self) -> DataFrame:
-        v = self.current_version()
-        if v == 0:
+    def current_version(self) -> int:
+        return max(self.versions(), default=0)
+
+    def _pick(self, version: int | None) -> int | None:
+        vs = self.versions()
+        if version is None:
+            return max(vs, default=None)
+        return max((v for v in vs if v <= version), default=None)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The greatest committed version (``<= version`` when given)."""
+        v = self._pick(version)
+        if v is None:
             raise FileNotFoundError(f"no committed version of {self.path}")
-        return self.spark.read.parquet(self.path).filter(F.col("version") == v).drop("version")
+        return self.spark.read.parquet(self.path).filter(F.col(self.COL) == v).drop(self.COL)
 
-    def read_or_empty(self, schema) -> DataFrame:
-        """The current version, or an empty typed table before the first refresh."""
-        if self.current_version() == 0:
+    def read_or_empty(self, schema, version: int | None = None) -> DataFrame:
+        """Like ``read``, but an empty typed table before the first version."""
+        if self._pick(version) is None:
             return self.spark.createDataFrame([], schema)
-        return self.read().select(*schema.fieldNames())
+        return self.read(version).select(*schema.fieldNames())
 
-    def refresh(self, df: DataFrame) -> int:
-        """Commit ``df`` as the next version; returns the new version number."""
-        nxt = self.current_version() + 1
-        (df.withColumn("version", F.lit(nxt))
-         .write.mode("append").partitionBy("version").parquet(self.path))
-        return nxt
+    def refresh(self, df: DataFrame, version: int | None = None) -> int:
+        """Commit ``df`` as ``version`` (default: the next one); returns its number."""
+        v = self.current_version() + 1 if version is None else int(version)
+        df.write.mode("overwrite").parquet(f"{self.path}/{self.COL}={v}")
+        return v
 
 
 def full_refresh(df: DataFrame, path: str) -> DataFrame:
@@ -149,27 +157,50 @@ class KeyedTable:
 
 
 class AppendTable:
-    """An insert-only Parquet table: each load appends only its new rows.
-
-    Appending is committed per job (files become visible at job commit), and
-    the loaders that feed it compute their delta with an anti-join against the
-    current content, so re-running a load after a failure appends nothing
-    twice.  Cost per load is the size of the delta, not of the history.
+    """An insert-only Parquet table: each load run adds only its new rows.
+
+    Layout: ``<path>/_run=<n>/`` holds the rows added by run ``n``.  A run's
+    delta is computed against the rows of earlier runs (``read_before``) and
+    written to its own folder, replacing it on a retry — so a re-run appends
+    nothing twice, and the table as of any run is a pruned read
+    (``read(upto=n)``).  Cost per run is the size of its delta, not of the
+    history.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema, partition_by: list[str] | None = None):
+    COL = "_run"
+
+    def __init__(self, spark: SparkSession, path: str, schema):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.partition_by = partition_by
 
-    def read(self) -> DataFrame:
+    def _root(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(self.schema).parquet(self.path)
         except Exception:  # nothing appended yet
+            return None
+
+    def _select(self, cond) -> DataFrame:
+        df = self._root()
+        if df is None:
             return self.spark.createDataFrame([], self.schema)
+        if cond is not None:
+            df = df.filter(cond)
+        return df.select(*self.schema.fieldNames())
 
-    def append(self, delta: DataFrame) -> DataFrame:
-        w = delta.select(*self.schema.fieldNames()).write.mode("append")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(self.path)
-        return self.read()
+    def read(self, upto: int | None = None) -> DataFrame:
+        """All rows, or the rows added by runs ``<= upto``."""
+        return self._select(None if upto is None else F.col(self.COL) <= upto)
+
+    def read_before(self, run: int) -> DataFrame:
+        """The rows added by runs ``< run`` (the state a run starts from)."""
+        return self._select(F.col(self.COL) < run)
+
+    def append(self, delta: DataFrame, run: int) -> None:
+        """Commit ``delta`` as run ``run``'s rows (replacing a failed attempt's)."""
+        delta.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(
+            f"{self.path}/{self.COL}={int(run)}")
+
+
+def _partition_values(df: DataFrame, col: str) -> list[int]:
+    """Integer values of a directory partition column, from the file listing."""
+    pat = re.compile(rf"/{re.escape(col)}=(\d+)/")
+    return sorted({int(m.group(1)) for f in df.inputFiles() if (m := pat.search(f)) is not None})
