@@ -150,7 +150,10 @@ class KeyedTable:
                        batch.select(self._bucket().alias(self.BUCKET)).distinct().collect()]
             old_touched = old.filter(F.col(self.BUCKET).isin(touched)).select(*columns)
             new = upsert_rows(old_touched, batch, self.keys, order, null_safe=self.null_safe)
-        (new.withColumn(self.BUCKET, self._bucket())
+        # one writer task per bucket: each rewritten bucket is one file, not
+        # one file per upstream task (size ``buckets`` so a bucket is a few
+        # hundred MB; keys are unique, so buckets cannot be skewed)
+        (new.withColumn(self.BUCKET, self._bucket()).repartition(self.BUCKET)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.BUCKET).parquet(self.path))
         return self.read()
