@@ -94,17 +94,18 @@ def scd2_insert(dim: DataFrame, staged: DataFrame, now, key: str = "employer_id"
     return dim.unionByName(_new_versions(fresh, now).select(*DIM_COLS))
 
 
-def scd2_apply(dim: DataFrame, staged: DataFrame, now, key: str = "employer_id",
-               tracked: Sequence[str] = ATTRS) -> DataFrame:
-    """Expire + insert as one plan with a single join on the key.
+def scd2_step(current: DataFrame, staged: DataFrame, now, key: str = "employer_id",
+              tracked: Sequence[str] = ATTRS) -> DataFrame:
+    """D3 / D8 on the *current* rows only: the versions one load writes.
 
     current ⟗ staged on the key; every joined row emits up to two versions in
     one pass: the current row (closed at ``now`` when a tracked attribute
     changed, else unchanged) and a new current version (when changed or the
-    key is new).  History rows pass through untouched.
+    key is new).  The output holds every current version after the load plus
+    the versions it closed; history rows closed earlier never take part, so
+    the cost is bounded by the current dimension, not by its history.
     """
-    history = dim.filter(~F.col("is_current"))
-    cur = dim.filter(F.col("is_current")).alias("_c")
+    cur = current.filter(F.col("is_current")).alias("_c")
     s = staged.select(key, *ATTRS).alias("_s")
     j = cur.join(s, F.col(f"_c.{key}") == F.col(f"_s.{key}"), "full_outer")
     has_cur, has_new = F.col(f"_c.{key}").isNotNull(), F.col(f"_s.{key}").isNotNull()
@@ -124,4 +125,15 @@ def scd2_apply(dim: DataFrame, staged: DataFrame, now, key: str = "employer_id",
     versions = F.array(F.when(has_cur, old), F.when(changed | ~has_cur, new))
     out = (j.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("_v"))
            .select("_v.*"))
-    return history.unionByName(out.select(*DIM_COLS))
+    return out.select(*DIM_COLS)
+
+
+def scd2_apply(dim: DataFrame, staged: DataFrame, now, key: str = "employer_id",
+               tracked: Sequence[str] = ATTRS) -> DataFrame:
+    """Expire + insert as one plan with a single join on the key.
+
+    History rows pass through untouched; the current rows go through
+    ``scd2_step``.
+    """
+    history = dim.filter(~F.col("is_current"))
+    return history.unionByName(scd2_step(dim, staged, now, key, tracked))

@@ -58,8 +58,9 @@ def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame
                            run_id, Layout.EMPLOYERS)
 
     # ---- DDS: employers — second SCD2 feed, then the as-of day's snapshot
-    dim_emp = L.commit_dim("dim_employer", scd2.scd2_apply(
-        wh.dim_employer, scd2.stage_employers_from_feed(ods_emp), now,
+    dim_emp = L.commit_scd2(scd2.scd2_step(
+        L.dim("dim_employer_current", L.version(run_id, Layout.VACANCIES)),
+        scd2.stage_employers_from_feed(ods_emp), now,
         tracked=["employer_name", "alternate_url"]), run_id, Layout.EMPLOYERS)
     snap_t = L.appended["fact_employer_snapshot"]
     snap = L.commit_delta("fact_employer_snapshot", facts.fact_snapshot(

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hiremart import schemas, storage
 from hiremart.operators import dims, facts, scd2
@@ -88,7 +89,11 @@ class Layout:
     * dimensions and the marts' shared star — ``VersionedTable`` with the
       version ``run * STEPS + step`` (step 1: vacancy load, step 2: employer
       feed), so a retried step replaces its own version and never the one it
-      reads.
+      reads;
+    * the SCD2 employer dimension is split: versions closed by a step are
+      appended to ``dds/dim_employer_history`` (they never change again) and
+      the current rows form a versioned ``dds/dim_employer_current``, so a
+      step rewrites one row per employer, never the history.
 
     The state as of the end of any run stays readable (pruned reads), except
     for the ODS, which is kept current only.
@@ -114,9 +119,11 @@ class Layout:
                                         schemas.FACT_EMPLOYER_SNAPSHOT),
         }
         self.dim_schemas = {"dim_area": schemas.DIM_AREA, "dim_role": schemas.DIM_ROLE,
-                            "dim_employer": schemas.DIM_EMPLOYER,
+                            "dim_employer_current": schemas.DIM_EMPLOYER,
                             "dim_industry": schemas.DIM_INDUSTRY, "dim_sphere": schemas.DIM_SPHERE}
         self.versioned = {name: V(spark, f"{r}/dds/{name}") for name in [*self.dim_schemas, "star"]}
+        # closed SCD2 versions, keyed by the version number of the step that closed them
+        self.employer_history = A(spark, f"{r}/dds/dim_employer_history", schemas.DIM_EMPLOYER)
 
     def version(self, run: int, step: int) -> int:
         return run * self.STEPS + step
@@ -133,6 +140,19 @@ class Layout:
         v = self.versioned[name].refresh(df, self.version(run, step))
         return self.versioned[name].read(v)
 
+    def dim_employer(self, upto: int | None = None) -> DataFrame:
+        """The whole SCD2 dimension (closed history + current rows) as of a version."""
+        return (self.employer_history.read(upto=upto)
+                .unionByName(self.dim("dim_employer_current", upto)))
+
+    def commit_scd2(self, rows: DataFrame, run: int, step: int) -> DataFrame:
+        """Commit a ``scd2_step`` output: closed versions appended, current rows versioned."""
+        v = self.version(run, step)
+        rows = storage.materialize(rows, f"{self.work(run)}/scd2_step={step}")
+        self.employer_history.append(rows.filter(~F.col("is_current")), v)
+        self.versioned["dim_employer_current"].refresh(rows.filter(F.col("is_current")), v)
+        return self.dim_employer(v)
+
     def commit_delta(self, name: str, delta: DataFrame, run: int, upto: int | None = None) -> DataFrame:
         t = self.appended[name]
         t.append(delta, run)
@@ -148,7 +168,7 @@ class Layout:
             ods_postings=self.ods_postings.read(),
             dim_date=self.appended["dim_date"].read(upto=run),
             dim_area=self.dim("dim_area", self.end_of(run)),
-            dim_employer=self.dim("dim_employer", self.end_of(run)),
+            dim_employer=self.dim_employer(self.end_of(run)),
             dim_role=self.dim("dim_role", self.end_of(run)),
             fact_vacancy=self.appended["fact_vacancy"].read(upto=run),
             bridge_role=self.appended["bridge_role"].read(upto=run),
@@ -174,8 +194,8 @@ def load_run(layout: Layout, items: DataFrame, now, run: int) -> Warehouse:
         A["dim_date"].read_before(run), dims.date_rows(stage, "published_date"), ["date_key"]), run)
     dim_area = L.commit_dim("dim_area", dims.dim_area(L.dim("dim_area", prev), stage),
                             run, Layout.VACANCIES)
-    dim_employer = L.commit_dim("dim_employer", scd2.scd2_apply(
-        L.dim("dim_employer", prev), scd2.stage_employers_from_postings(stage), now),
+    dim_employer = L.commit_scd2(scd2.scd2_step(
+        L.dim("dim_employer_current", prev), scd2.stage_employers_from_postings(stage), now),
         run, Layout.VACANCIES)
     fact = L.commit_delta("fact_vacancy", facts.fact_incremental(
         stage, dim_employer, A["fact_vacancy"].read_before(run), now), run)
