@@ -32,6 +32,9 @@ RUN_2_AT = dt.datetime(2001, 9, 1, 0, 0, 0)
 FEED_AT = dt.datetime(2001, 9, 1, 0, 10, 0)      # the employer feed runs after the vacancy run
 AS_OF_DATE = dt.date(2001, 9, 1)
 EVENTS_SPLIT = dt.datetime(2024, 1, 15, 0, 0, 0)  # events upserted in two batches around it
+# ODS hash buckets for the test tables (up to ~150 MB of documents at sf0.1:
+# ~10 MB per bucket); a cluster sizes buckets at a few hundred MB each.
+ODS_BUCKETS = 16
 
 
 def fetched_at(items: DataFrame, at) -> DataFrame:
@@ -68,7 +71,8 @@ def landing_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def warehouse_states(spark: SparkSession, sf_dir: str) -> list[warehouse.Warehouse]:
     """The committed warehouse after run 1 and after run 2."""
     return _cached(spark, sf_dir, "states", lambda: warehouse.build_states(
-        spark, runs(landing_items(spark, sf_dir)), base_path=f"{_base(spark, sf_dir)}/dds"))
+        spark, runs(landing_items(spark, sf_dir)), base_path=f"{_base(spark, sf_dir)}/dds",
+        ods_buckets=ODS_BUCKETS))
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:

@@ -210,7 +210,8 @@ def load_run(layout: Layout, items: DataFrame, now, run: int) -> Warehouse:
                      bridge_role=bridge_role, bridge_sphere=bridge_sphere)
 
 
-def build_states(spark: SparkSession, runs, base_path: str | None = None) -> list[Warehouse]:
+def build_states(spark: SparkSession, runs, base_path: str | None = None,
+                 ods_buckets: int = 64) -> list[Warehouse]:
     """Fold ``runs`` — ``[(fetched_items, now), …]`` — over an empty warehouse,
     returning the state after every run.
 
@@ -224,7 +225,7 @@ def build_states(spark: SparkSession, runs, base_path: str | None = None) -> lis
             wh = cycle(wh, items, now)
             states.append(wh)
         return states
-    layout = Layout(spark, base_path)
+    layout = Layout(spark, base_path, ods_buckets)
     for i, (items, now) in enumerate(runs):
         load_run(layout, items, now, i)
     return [layout.state(i) for i in range(len(runs))]
