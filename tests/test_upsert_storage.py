@@ -1,6 +1,7 @@
 import json
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hiremart import schemas, storage
 from hiremart.operators.upsert import (composite_doc_key, insert_ignore, pick_per_key, upsert)
@@ -83,3 +84,26 @@ def test_keyed_table_rewrites_only_touched_buckets(spark):
     assert 0 < len(untouched) < len(files_before)        # other buckets were not rewritten
     again = t.upsert(batch, ["seq"], ["k", "v"])          # idempotent
     assert rows(again) == expected
+
+
+def test_versioned_table_explicit_versions_and_reads(spark):
+    path = scratch_path(spark, "vt2")
+    t = storage.VersionedTable(spark, path)
+    t.refresh(spark.createDataFrame([(1,)], "x int"), version=5)
+    t.refresh(spark.createDataFrame([(2,)], "x int"), version=9)
+    t.refresh(spark.createDataFrame([(3,)], "x int"), version=9)      # retry replaces version 9
+    assert t.versions() == [5, 9]
+    assert rows(t.read()) == [(3,)] and rows(t.read(version=8)) == [(1,)]
+    assert t.read_or_empty(t.read().schema, version=4).count() == 0
+    t.refresh(spark.createDataFrame([], "x int"), version=12)           # an empty version is a version
+    assert t.current_version() == 12 and t.read().count() == 0
+
+
+def test_append_table_runs(spark):
+    t = storage.AppendTable(spark, scratch_path(spark, "at"), T.StructType([T.StructField("x", T.IntegerType())]))
+    assert t.read().count() == 0
+    t.append(spark.createDataFrame([(1,), (2,)], "x int"), run=0)
+    t.append(spark.createDataFrame([(3,)], "x int"), run=1)
+    t.append(spark.createDataFrame([(3,)], "x int"), run=1)             # retry: no duplicate
+    assert rows(t.read()) == [(1,), (2,), (3,)]
+    assert rows(t.read(upto=0)) == [(1,), (2,)] and rows(t.read_before(1)) == [(1,), (2,)]
