@@ -95,10 +95,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/hiremart/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (test helpers only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["SESSION_CONF", "build_session", "configure", "ensure_checkpoint_dir",
-           "scratch_path", "local_path"]
+__all__ = ["SESSION_CONF", "CLUSTER_CONF", "build_session", "configure", "ensure_checkpoint_dir",
+           "scratch_path"]

@@ -16,7 +16,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiremart.session import scratch_path
 
 
 
@@ -31,11 +30,6 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None,
         else df.sparkSession.read.parquet(path)
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
-    """``materialize`` into a fresh folder under the session's shared scratch root."""
-    return materialize(df, scratch_path(df.sparkSession, name))
-
-
 class VersionedTable:
     """A Parquet table whose content is replaced atomically (K7 full refresh).
 
