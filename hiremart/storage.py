@@ -1,12 +1,18 @@
-"""Table storage on a shared file system (Parquet), no engine of our own.
+"""Table storage on a shared file system: plain Parquet folders written and
+read with Spark's own writer/reader (partition folders, dynamic partition
+overwrite, partition pruning) — no storage engine of our own.
 
 * ``materialize`` writes a DataFrame as a Parquet table and returns a reader:
   it cuts lineage (a later failure re-reads files instead of recomputing the
-  whole history) and is how one load cycle hands its tables to the next.
-* ``VersionedTable`` gives the full-refresh sink (K7) an atomic swap: each
-  refresh is written as a new ``version=N`` partition; readers only ever see
-  the greatest *committed* version, so a failed or running refresh never
-  exposes an empty or partial table (unlike truncate-then-insert).
+  whole history) and is how one load step hands its output to the next.
+* ``VersionedTable`` — one folder per version: the full-refresh sink (K7)
+  with an atomic swap (readers see the greatest committed version, never an
+  empty or partial table, unlike truncate-then-insert), and dimensions whose
+  versions follow the load runs.
+* ``AppendTable`` — one folder per load run: insert-only tables where a run
+  writes only its delta.
+* ``KeyedTable`` — hash-bucket folders: keyed upserts that rewrite only the
+  buckets a batch touches.
 """
 
 from __future__ import annotations
