@@ -13,6 +13,7 @@ read the committed tables instead of rebuilding them.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,13 +49,15 @@ def runs(items: DataFrame):
 
 # ----------------------------------------------------------- session cache ----
 _CACHE: dict[tuple, object] = {}
+_LOCK = threading.RLock()      # queries called from several threads build once
 
 
 def _cached(spark: SparkSession, sf_dir: str, name: str, make):
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _CACHE:
-        _CACHE[key] = make()
-    return _CACHE[key]
+    with _LOCK:
+        if key not in _CACHE:
+            _CACHE[key] = make()
+        return _CACHE[key]
 
 
 def _base(spark: SparkSession, sf_dir: str) -> str:
