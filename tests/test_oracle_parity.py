@@ -14,8 +14,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables not
 
 
 def _norm(v):
-    if isinstance(v, float):
-        return round(v, 9)
+    """Exact comparison: doubles bit for bit, decimals by value, dates by ISO text."""
     if isinstance(v, Decimal):
         return float(v)
     if hasattr(v, "isoformat"):
