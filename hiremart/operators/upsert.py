@@ -51,7 +51,8 @@ def _key_match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bo
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] | str,
-           order: Sequence[str] | str, null_safe: bool = False) -> DataFrame:
+           order: Sequence[str] | str, null_safe: bool = False,
+           unique: bool = False) -> DataFrame:
     """Keyed upsert, last write wins (K1, K2, K4, K5, K9).
 
     Within the batch the row latest in ``order`` wins; a batch row replaces
@@ -60,9 +61,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] | str,
     leaves the target unchanged.  ``null_safe`` matches NULL key parts (a
     composite key with a NULL member still identifies one row).
     Order columns of the batch that the target lacks are dropped from the output.
+    ``unique`` declares the batch already one row per key (skips the pick).
     """
     keys = _cols(keys)
-    latest = pick_per_key(batch, keys, order, latest=True).select(*target.columns)
+    latest = (batch if unique else pick_per_key(batch, keys, order, latest=True)).select(*target.columns)
     if null_safe:
         b = latest.select(*keys).alias("_b")
         t = target.alias("_t")

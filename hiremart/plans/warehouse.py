@@ -18,9 +18,14 @@ from hiremart import schemas, storage
 from hiremart.operators import dims, facts, scd2
 from hiremart.operators.flatten import flatten_postings
 from hiremart.operators.staging import stage_postings
-from hiremart.operators.upsert import insert_ignore, upsert
+from hiremart.operators.upsert import insert_ignore, pick_per_key, upsert
 
 ODS_POSTING_COLS = ["id", "name", "area_name", "employer_name", "published_at", "raw"]
+#: columns of the parsed ODS (``stage_postings`` output)
+STAGE_COLS = ["vacancy_id", "name", "published_at", "published_date", "area_id", "area_name",
+              "employer_id", "employer_name", "alternate_url", "trusted", "salary_from",
+              "salary_to", "salary_currency", "salary_gross", "professional_roles",
+              "specializations"]
 
 
 @dataclass(frozen=True)
@@ -110,6 +115,8 @@ class Layout:
         self.ods_employers = K(spark, f"{r}/ods/employers", ["id"], ods_buckets)
         self.ods_industries = K(spark, f"{r}/ods/industries", ["industry_id", "sphere_id"],
                                 ods_buckets, null_safe=True)
+        # the ODS documents parsed into typed columns, kept in step with the ODS
+        self.stage = K(spark, f"{r}/ods/postings_parsed", ["vacancy_id"], ods_buckets)
         self.appended = {
             "fact_vacancy": A(spark, f"{r}/dds/fact_vacancy", schemas.FACT_VACANCY),
             "bridge_role": A(spark, f"{r}/dds/bridge_role", schemas.BRIDGE_ROLE),
@@ -178,17 +185,20 @@ class Layout:
 def load_run(layout: Layout, items: DataFrame, now, run: int) -> Warehouse:
     """One scheduled run's vacancy load on ``layout``, committed table by table.
 
-    ODS upsert (touched buckets only) → the whole ODS parsed once into a typed
-    Parquet stage (each loader scans only its columns; a lost executor
-    re-reads files instead of re-parsing JSON) → dimensions, the SCD2 employer
-    dimension, then the incremental fact and the bridges, each appending only
-    the run's delta.  Every step reads the state of earlier runs and writes
+    ODS upsert (touched buckets only) → the batch's documents parsed and
+    upserted into the typed copy of the ODS (so JSON is parsed once per
+    document, and each loader scans only its columns of the *whole* ODS) →
+    dimensions, the SCD2 employer dimension, then the incremental fact and
+    the bridges, each appending only the run's delta.  Every step reads the state of earlier runs and writes
     its own run/version, so re-running a run after a failure is idempotent.
     """
     L, prev = layout, layout.end_of(run - 1)
-    ods = L.ods_postings.upsert(flatten_postings(items, keep=("_page", "_pos")),
-                                ["_page", "_pos"], ODS_POSTING_COLS)
-    stage = storage.materialize(stage_postings(ods), f"{L.work(run)}/stage")
+    batch = flatten_postings(items, keep=("_page", "_pos"))
+    ods = L.ods_postings.upsert(batch, ["_page", "_pos"], ODS_POSTING_COLS)
+    # parse only the documents this batch wrote (its latest row per id): the
+    # parsed table then equals the parse of the whole ODS at O(batch) cost
+    written = pick_per_key(batch, ["id"], ["_page", "_pos"]).select(*ODS_POSTING_COLS)
+    stage = L.stage.upsert(stage_postings(written), [], STAGE_COLS, unique=True)
     A = L.appended
     dim_date = L.commit_delta("dim_date", insert_ignore(
         A["dim_date"].read_before(run), dims.date_rows(stage, "published_date"), ["date_key"]), run)

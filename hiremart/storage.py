@@ -137,19 +137,23 @@ class KeyedTable:
             raise FileNotFoundError(self.path)
         return df.drop(self.BUCKET)
 
-    def upsert(self, batch: DataFrame, order, columns: list[str]) -> DataFrame:
-        """Apply ``batch`` (last write wins on ``order``); ``columns`` is the table schema."""
+    def upsert(self, batch: DataFrame, order, columns: list[str], unique: bool = False) -> DataFrame:
+        """Apply ``batch`` (last write wins on ``order``); ``columns`` is the table schema.
+
+        ``unique`` declares the batch already one row per key.
+        """
         from hiremart.operators.upsert import upsert as upsert_rows
 
         old = self._raw()
         if old is None:
             from hiremart.operators.upsert import pick_per_key
-            new = pick_per_key(batch, self.keys, order).select(*columns)
+            new = (batch if unique else pick_per_key(batch, self.keys, order)).select(*columns)
         else:
             touched = [r[0] for r in
                        batch.select(self._bucket().alias(self.BUCKET)).distinct().collect()]
             old_touched = old.filter(F.col(self.BUCKET).isin(touched)).select(*columns)
-            new = upsert_rows(old_touched, batch, self.keys, order, null_safe=self.null_safe)
+            new = upsert_rows(old_touched, batch, self.keys, order, null_safe=self.null_safe,
+                              unique=unique)
         # one writer task per bucket: each rewritten bucket is one file, not
         # one file per upstream task (size ``buckets`` so a bucket is a few
         # hundred MB; keys are unique, so buckets cannot be skewed)
