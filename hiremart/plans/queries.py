@@ -452,19 +452,21 @@ def q_mean_of_means(spark, sf_dir):
 # --------------------------------------------------------------- streaming ----
 @register("stream_cycles")
 def q_stream_cycles(spark, sf_dir):
-    """The two load runs replayed as a Structured Streaming job (one micro-batch
-    per landed fetch, ``foreachBatch`` committing a cycle); returns the fact."""
+    """The two load runs replayed as a Structured Streaming job: each fetch is
+    landed as page files, then the ``availableNow`` stream picks up what was
+    newly landed as one micro-batch and ``foreachBatch`` commits it as a load
+    run; returns the fact."""
     from hiremart.streaming import microbatch
 
     root = scratch_path(spark, "stream")
     items = FR.landing_items(spark, sf_dir)
     runs = FR.runs(items)
-    for fetched, _ in runs:            # one landed file per fetch, in fetch order
-        driver.pages_of(fetched).coalesce(1).write.mode("append").json(f"{root}/landing")
     clock = dict(enumerate(at for _, at in runs))
-    last = microbatch.run_available(spark, f"{root}/landing", f"{root}/warehouse",
-                                    f"{root}/checkpoint", clock=clock.__getitem__,
-                                    max_files_per_trigger=1)
+    last = -1
+    for fetched, _ in runs:
+        driver.pages_of(fetched).write.mode("append").json(f"{root}/landing")
+        last = microbatch.run_available(spark, f"{root}/landing", f"{root}/warehouse",
+                                        f"{root}/checkpoint", clock=clock.__getitem__)
     wh = microbatch.read_committed(spark, f"{root}/warehouse", last)
     emp = wh.dim_employer.select("employer_sk", "employer_id", "valid_from")
     return (wh.fact_vacancy.join(emp, "employer_sk", "left")
