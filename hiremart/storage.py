@@ -21,10 +21,33 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 
 
 
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """Read a Parquet folder, or ``None`` if nothing was committed there yet.
+
+    Only "no such path" / "no data files" count as absent; any other failure
+    (permissions, a flaky store, corrupt footers) is raised, never mistaken for
+    an empty table that a writer would then overwrite.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        df = reader.parquet(path)
+        if schema is not None and not df.inputFiles():
+            return None
+        return df
+    except AnalysisException as e:
+        if (e.getCondition() or "") in _ABSENT:
+            return None
+        raise
+
+
 def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> DataFrame:
     """Write ``df`` as Parquet at ``path`` and return a DataFrame reading it back."""
@@ -54,10 +77,7 @@ class VersionedTable:
         self.spark, self.path = spark, path.rstrip("/")
 
     def _root(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except Exception:  # no committed version yet
-            return None
+        return read_if_exists(self.spark, self.path)
 
     def versions(self) -> list[int]:
         """Committed versions, from the file listing only (no data job)."""
@@ -126,10 +146,7 @@ class KeyedTable:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def _raw(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except Exception:  # not written yet
-            return None
+        return read_if_exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
         df = self._raw()
@@ -180,10 +197,7 @@ class AppendTable:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def _root(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        except Exception:  # nothing appended yet
-            return None
+        return read_if_exists(self.spark, self.path, self.schema)
 
     def _select(self, cond) -> DataFrame:
         df = self._root()
