@@ -61,3 +61,20 @@ def assert_passed(check: DataFrame) -> None:
     row = check.first()
     if row is not None and row["status"] == "FAIL":
         raise DataQualityError(f"data-quality check failed: {row.asDict()}")
+
+
+def dq_foreign_keys(relations) -> DataFrame:
+    """Foreign-key orphans: one row per relation with the count of child rows
+    whose non-NULL key has no parent row (a ``left_anti`` join each); FAIL
+    when > 0.  ``relations``: ``[(name, child_df, child_key, parent_df, parent_key)]``.
+    """
+    out = None
+    for name, child, ckey, parent, pkey in relations:
+        keys = parent.select(F.col(pkey).alias("_k")).distinct()
+        orphans = (child.select(F.col(ckey).alias("_k")).filter(F.col("_k").isNotNull())
+                   .join(keys, "_k", "left_anti"))
+        row = orphans.agg(F.count(F.lit(1)).cast("long").alias("orphans")).select(
+            F.lit(name).alias("relation"), "orphans",
+            F.when(F.col("orphans") > 0, "FAIL").otherwise("PASS").alias("status"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -410,6 +410,23 @@ SELECT 'date_range' AS "check", MIN(published_date) AS min_date, MAX(published_d
                                      OR published_date > DATE '2001-09-01') > 0
             THEN 'FAIL' ELSE 'PASS' END AS status
 FROM facts""")
+    q["dq_foreign_keys"] = with_ctes(*STAR, body="""
+SELECT relation, orphans, CASE WHEN orphans > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM (
+  SELECT 'fact_vacancy.employer_sk' AS relation,
+         (SELECT COUNT(*) FROM facts WHERE employer_id IS NULL) AS orphans
+  UNION ALL
+  SELECT 'fact_vacancy.area_id',
+         (SELECT COUNT(*) FROM facts f WHERE f.area_id IS NOT NULL
+            AND f.area_id NOT IN (SELECT area_id FROM dim_area))
+  UNION ALL
+  SELECT 'fact_vacancy.published_date',
+         (SELECT COUNT(*) FROM facts f WHERE f.published_date < (SELECT MIN(published_date) FROM postings)
+            OR f.published_date > (SELECT MAX(published_date) FROM postings))
+  UNION ALL
+  SELECT 'bridge_role.role_id',
+         (SELECT COUNT(*) FROM role_pairs b WHERE b.role_id <> ''
+            AND b.vacancy_id IN (SELECT vacancy_id FROM postings)
+            AND b.role_id NOT IN (SELECT role_id FROM dim_role)))""")
     # ------------------------------------------------------------------ marts
     q["primary_role"] = with_ctes(*STAR, body="SELECT vacancy_id, industry_id FROM vmap")
     q["salary_point"] = with_ctes(*STAR, body="""

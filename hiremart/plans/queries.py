@@ -318,6 +318,19 @@ def q_dq_date_range(spark, sf_dir):
                                  as_of=FR.AS_OF_DATE)
 
 
+@register("dq_foreign_keys")
+def q_dq_foreign_keys(spark, sf_dir):
+    """Orphan counts of the DDS foreign keys (fact → employer version, area,
+    date; bridge → role), each a left-anti join."""
+    wh = _wh(spark, sf_dir)
+    return quality.dq_foreign_keys([
+        ("fact_vacancy.employer_sk", wh.fact_vacancy, "employer_sk", wh.dim_employer, "employer_sk"),
+        ("fact_vacancy.area_id", wh.fact_vacancy, "area_id", wh.dim_area, "area_id"),
+        ("fact_vacancy.published_date", wh.fact_vacancy, "published_date", wh.dim_date, "date_key"),
+        ("bridge_role.role_id", wh.bridge_role, "role_id", wh.dim_role, "role_id"),
+    ])
+
+
 # -------------------------------------------------------------------- marts --
 @register("primary_role")
 def q_primary_role(spark, sf_dir):

@@ -157,3 +157,10 @@ def test_scd2_invariants_on_driver_tables(spark):
     for dim in (run1.dim_employer, run2.dim_employer, FR.employer_feed(spark, sf)[1]):
         _check_scd2_invariants(dim)
     assert run2.dim_employer.filter("NOT is_current").count() > 0      # run 2 versioned someone
+
+
+def test_dq_foreign_keys_counts_orphans(spark):
+    child = spark.createDataFrame([(1, 10), (2, 99), (3, None)], "id int, fk int")
+    parent = spark.createDataFrame([(10,), (11,)], "pk int")
+    out = quality.dq_foreign_keys([("child.fk", child, "fk", parent, "pk")]).first()
+    assert (out["relation"], out["orphans"], out["status"]) == ("child.fk", 1, "FAIL")
