@@ -410,10 +410,12 @@ SELECT 'date_range' AS "check", MIN(published_date) AS min_date, MAX(published_d
                                      OR published_date > DATE '2001-09-01') > 0
             THEN 'FAIL' ELSE 'PASS' END AS status
 FROM facts""")
-    q["dq_foreign_keys"] = with_ctes(*STAR, body="""
+    q["dq_foreign_keys"] = with_ctes(*STAR_EMP, body="""
 SELECT relation, orphans, CASE WHEN orphans > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM (
   SELECT 'fact_vacancy.employer_sk' AS relation,
-         (SELECT COUNT(*) FROM facts WHERE employer_id IS NULL) AS orphans
+         (SELECT COUNT(*) FROM fact_ver v WHERE NOT EXISTS (
+            SELECT 1 FROM dim_employer e
+            WHERE e.employer_id = v.employer_id AND e.version = v.version)) AS orphans
   UNION ALL
   SELECT 'fact_vacancy.area_id',
          (SELECT COUNT(*) FROM facts f WHERE f.area_id IS NOT NULL
