@@ -284,6 +284,11 @@ SELECT o_orderkey // 100 AS page,
        CAST(row_number() OVER (PARTITION BY o_orderkey // 100 ORDER BY o_orderkey) - 1 AS INTEGER) AS pos,
        o_orderkey AS vacancy_id, o_orderpriority AS name
 FROM orders"""
+    q["src_employer_pages"] = """
+SELECT c_custkey // 100 AS page,
+       CAST(row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1 AS INTEGER) AS pos,
+       c_custkey AS employer_id, c_name AS name
+FROM customer"""
     head = with_ctes(POSTINGS, """
 head AS (SELECT o_orderkey AS vacancy_id, o_orderpriority AS name FROM orders
          ORDER BY o_orderkey LIMIT 200)""", body="{body}")
@@ -320,6 +325,9 @@ SELECT vacancy_id AS id, name, area_name, employer_name, published_at FROM posti
     q["flatten_employers"] = with_ctes(POSTINGS, FACTS, EMPLOYERS, EMPLOYER_FEED, body="""
 SELECT employer_id AS id, employer_name AS name, area_name, open_vacancies,
        alternate_url AS site_url FROM feed""")
+    q["upsert_naive"] = with_ctes(POSTINGS, body="""
+SELECT vacancy_id AS id, name, area_name, employer_name,
+       CAST(published_date + INTERVAL 12 HOUR AS TIMESTAMP) AS published_at FROM postings""")
     q["naive_timestamp"] = """
 SELECT o_orderkey AS vacancy_id,
        CAST(CAST(o_orderdate AS DATE) + INTERVAL 12 HOUR AS TIMESTAMP) AS published_naive
@@ -340,6 +348,7 @@ SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS INTEGER) AS year,
        CAST(dayofweek(d) AS INTEGER) AS day_of_week, CAST(week(d) AS INTEGER) AS week
 FROM (SELECT unnest(generate_series(MIN(published_date), MAX(published_date), INTERVAL 1 DAY)) AS d
       FROM postings)""")
+    q["stage_employers"] = with_ctes(*STAR_EMP, body="SELECT * FROM staged2")
     q["scd2_expire"] = with_ctes(*STAR_EMP, body=f"""
 SELECT employer_id, employer_name, alternate_url, trusted, {RUN_1_AT} AS valid_from,
        CASE WHEN employer_id IN (SELECT employer_id FROM changed) THEN {RUN_2_AT}

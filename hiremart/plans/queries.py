@@ -59,6 +59,17 @@ def q_src_paged_items(spark, sf_dir):
                         F.col("item.name").alias("name"))
 
 
+@register("src_employer_pages")
+def q_src_employer_pages(spark, sf_dir):
+    """Land the employer list pages as JSON files, read them back in order."""
+    path = scratch_path(spark, "landing-employers")
+    landing.write_pages(driver.pages_of(driver.employer_items(spark, sf_dir)), path)
+    items = landing.read_paged_items(spark, path, schemas.EMPLOYER_PAGE)
+    return items.select(F.col("_page").alias("page"), F.col("_pos").alias("pos"),
+                        F.col("item.id").cast("bigint").alias("employer_id"),
+                        F.col("item.name").alias("name"))
+
+
 def _enriched(spark, sf_dir):
     items = FR.landing_items(spark, sf_dir)
     return landing.enrich_details(landing.search_view(items), items, max_items=200), items
@@ -175,6 +186,18 @@ def q_flatten_hierarchy(spark, sf_dir):
     return flatten.flatten_hierarchy(driver.industry_items(spark, sf_dir)).drop("raw")
 
 
+@register("upsert_naive")
+def q_upsert_naive(spark, sf_dir):
+    """K2: the vacancy ODS in the form of a store without time zones — documents
+    flattened with naive wall-clock publication times and upserted by id."""
+    items = FR.landing_items(spark, sf_dir)
+    batch = flatten.flatten_postings(items, naive=True)
+    target = spark.createDataFrame([], "id bigint, name string, area_name string, "
+                                       "employer_name string, published_at timestamp_ntz, raw string")
+    out = up.upsert(target, batch, ["id"], ["_page", "_pos"])
+    return out.select("id", "name", "area_name", "employer_name", "published_at")
+
+
 @register("naive_timestamp")
 def q_naive_timestamp(spark, sf_dir):
     """Publication text → wall-clock timestamp with the offset dropped."""
@@ -220,6 +243,13 @@ def _run1_dim_and_stage2(spark, sf_dir):
     return run1.dim_employer, staged2
 
 
+@register("stage_employers")
+def q_stage_employers(spark, sf_dir):
+    """One staged employer per id from the whole ODS (latest posting wins)."""
+    st = stage_postings(_wh(spark, sf_dir).ods_postings)
+    return scd2.stage_employers_from_postings(st)
+
+
 @register("scd2_expire")
 def q_scd2_expire(spark, sf_dir):
     """Run-1 dimension with run-2 staging: changed current rows closed."""
