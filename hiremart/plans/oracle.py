@@ -311,6 +311,7 @@ LEFT JOIN (SELECT vacancy_id, COUNT(*) AS n FROM
 SELECT CAST(user_id AS VARCHAR) AS _id, event_id, event_type FROM ({LATEST_EVENT.format(d="DESC")})"""
     q["upsert_composite_key"] = with_ctes(DICTIONARY, body="SELECT * FROM dict")
     q["flatten_hierarchy"] = q["upsert_composite_key"]
+    q["src_dictionary"] = q["upsert_composite_key"]
     q["composite_doc_key"] = with_ctes(DICTIONARY, body="""
 SELECT industry_id || ':' || COALESCE(sphere_id, '') AS _id, industry_id, sphere_id,
        COALESCE(sphere_name, industry_name) AS doc_name,

@@ -70,6 +70,18 @@ def q_src_employer_pages(spark, sf_dir):
                         F.col("item.name").alias("name"))
 
 
+@register("src_dictionary")
+def q_src_dictionary(spark, sf_dir):
+    """S3: land the industry dictionary as one JSON array document (a reference
+    dictionary is one small document by nature), read it back and flatten it."""
+    path = scratch_path(spark, "landing-dictionary")
+    doc = driver.industry_items(spark, sf_dir).agg(
+        F.to_json(F.array_sort(F.collect_list("item"))).alias("value"))
+    doc.write.mode("overwrite").text(path)
+    items = landing.read_dictionary(spark, path, schemas.INDUSTRY_DOC)
+    return flatten.flatten_hierarchy(items).drop("raw")
+
+
 def _enriched(spark, sf_dir):
     items = FR.landing_items(spark, sf_dir)
     return landing.enrich_details(landing.search_view(items), items, max_items=200), items
