@@ -345,17 +345,20 @@ def q_dim_sphere(spark, sf_dir):
 # ---------------------------------------------------------------------- DQ --
 @register("dq_row_counts")
 def q_dq_row_counts(spark, sf_dir):
+    """Q-1: ODS total / eligible rows vs fact rows after both runs."""
     wh = _wh(spark, sf_dir)
     return quality.dq_row_counts(wh.ods_postings, wh.fact_vacancy)
 
 
 @register("dq_null_keys")
 def q_dq_null_keys(spark, sf_dir):
+    """Q-2: fact rows with a NULL employer key or publication date."""
     return quality.dq_null_keys(_wh(spark, sf_dir).fact_vacancy)
 
 
 @register("dq_date_range")
 def q_dq_date_range(spark, sf_dir):
+    """Q-3: fact publication dates before 2000-01-01 or after the as-of day."""
     return quality.dq_date_range(_wh(spark, sf_dir).fact_vacancy, lo="2000-01-01",
                                  as_of=FR.AS_OF_DATE)
 
@@ -441,31 +444,37 @@ def q_mart_currency(spark, sf_dir):
 # ----------------------------------------------------------------------- BI --
 @register("bi_avg_salary")
 def q_bi_avg_salary(spark, sf_dir):
+    """Mean of the salary mart's means by role × currency (chart row limit)."""
     return bi.bi_avg_salary(q_mart_salary(spark, sf_dir))
 
 
 @register("bi_currency_share")
 def q_bi_currency_share(spark, sf_dir):
+    """Vacancies by role × currency with each role's row contribution."""
     return bi.bi_currency_share(q_mart_currency(spark, sf_dir))
 
 
 @register("bi_currency_pivot")
 def q_bi_currency_pivot(spark, sf_dir):
+    """C2 as a matrix: one row per role, one share column per currency."""
     return bi.bi_currency_pivot(q_mart_currency(spark, sf_dir))
 
 
 @register("bi_heatmap")
 def q_bi_heatmap(spark, sf_dir):
+    """Vacancies by role × area from the regions mart."""
     return bi.bi_heatmap(q_mart_regions(spark, sf_dir))
 
 
 @register("bi_trend_line")
 def q_bi_trend_line(spark, sf_dir):
+    """C4: monthly vacancies per role from the trends mart."""
     return bi.bi_trend_line(q_mart_trends(spark, sf_dir))
 
 
 @register("bi_top_table")
 def q_bi_top_table(spark, sf_dir):
+    """The first 100 rows of the top-employers mart, largest counts first."""
     return bi.bi_top_table(q_mart_top_employers(spark, sf_dir))
 
 
