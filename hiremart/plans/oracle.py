@@ -504,6 +504,8 @@ UNION ALL SELECT 'salary_industries', COUNT(*) FROM dict""")
 SELECT area_name, COUNT(*) AS cnt FROM postings GROUP BY area_name""")
     q["bench_by_nested_path"] = with_ctes(POSTINGS, body="""
 SELECT employer_name, COUNT(*) AS cnt FROM postings GROUP BY employer_name""")
+    q["bench_by_json_key"] = """
+SELECT json_extract_string(props, '$.k') AS k, COUNT(*) AS cnt FROM events GROUP BY 1"""
     q["duration_stats"] = """
 SELECT event_type, COUNT(value) AS runs, MIN(value * 1000.0) AS min_ms,
        floor(AVG(value * 1000.0) * 1000000.0 + 0.5) / 1000000.0 AS avg_ms, MAX(value * 1000.0) AS max_ms,

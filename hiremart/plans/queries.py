@@ -500,6 +500,12 @@ def q_bench_by_nested_path(spark, sf_dir):
     return stats.count_by_path(_wh(spark, sf_dir).ods_postings, "$.employer.name", "employer_name")
 
 
+@register("bench_by_json_key")
+def q_bench_by_json_key(spark, sf_dir):
+    """B5 on a second document column: events per value of ``props.k``."""
+    return stats.count_by_path(driver.events(spark, sf_dir), "$.k", "k", raw_col="props")
+
+
 @register("duration_stats")
 def q_duration_stats(spark, sf_dir):
     """min/avg/max/population-std of event values (as seconds) per event type."""
