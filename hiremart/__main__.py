@@ -33,6 +33,8 @@ def _parse(argv):
     r.add_argument("--now", required=True, help="ISO timestamp of the run (UTC)")
     r.add_argument("--as-of", required=True, help="snapshot day, YYYY-MM-DD")
     r.add_argument("--top-k", type=int, default=None)
+    r.add_argument("--ods-buckets", type=int, default=64,
+                   help="hash buckets of the ODS tables; fixed per warehouse, ~a few hundred MB each")
     r.add_argument("--master", default=None)
     r.add_argument("--profile", default="cluster", choices=["cluster", "local"])
     return p.parse_args(argv)
@@ -53,7 +55,7 @@ def main(argv=None, spark=None) -> int:
         industries=landing.read_dictionary(spark, a.industries, schemas.INDUSTRY_DOC),
         warehouse_path=a.warehouse, run_id=a.run_id,
         now=dt.datetime.fromisoformat(a.now), as_of=dt.date.fromisoformat(a.as_of),
-        top_k=a.top_k or TOP_EMPLOYERS_K)
+        top_k=a.top_k or TOP_EMPLOYERS_K, ods_buckets=a.ods_buckets)
     checks = state.checks.collect()          # three one-row checks
     for row in checks:
         print(f"{row['check']}\t{row['status']}\t{row['metrics']}")

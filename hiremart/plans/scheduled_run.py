@@ -34,9 +34,14 @@ class State:
 
 def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame,
                   industries: DataFrame, warehouse_path: str, run_id: int, now, as_of,
-                  top_k: int = 20) -> State:
-    """One scheduled run over the fetched ``(_page, _pos, item)`` documents."""
-    L = Layout(spark, warehouse_path)
+                  top_k: int = 20, ods_buckets: int = 64) -> State:
+    """One scheduled run over the fetched ``(_page, _pos, item)`` documents.
+
+    ``ods_buckets`` is fixed for the lifetime of a warehouse (keys are placed
+    by it); size it so one bucket of the ODS is a few hundred MB — e.g.
+    ~4,000 for a 1 TB ODS, ~400,000 for 100 TB.
+    """
+    L = Layout(spark, warehouse_path, ods_buckets)
     prev = L.end_of(run_id - 1)
 
     # ---- ODS: industries (null-safe composite key)
