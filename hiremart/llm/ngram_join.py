@@ -4,8 +4,8 @@ Texts become sets of 64-bit word-shingle hashes.  Equal sets collapse to one
 representative; cheap leader rounds on minimum hashes link most near copies
 first; then representatives with the same size and the same prefix (their
 rarest shingles in one global order) collapse into groups, group pairs pass the
-prefix, size and position filters, and only members not yet in one component
-are expanded and verified exactly.  Within a component no pair is emitted
+prefix, size, position and parity-bitmap filters (all exact bounds), and only
+members not yet in one component are expanded and verified exactly.  Within a component no pair is emitted
 twice, so thousands of near copies cost a star, not a square.
 
 The global order puts shingles held by many unlinked sets last and orders the
@@ -33,6 +33,10 @@ ROUNDS = 3
 #: A shingle in the low hashes of more than this many unlinked sets goes last in the global order.
 COMMON = 100
 
+#: Longs of the parity bitmap: bit h(t) of a set is the parity of its shingles t there, so the
+#: set bits of x ^ y never exceed the size of the symmetric difference.
+BITS = 8
+
 _SALTS = [np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A35)]
 
 
@@ -63,6 +67,18 @@ def shingle_hashes(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.nd
     return hs, ds
 
 
+def _parity(x: np.ndarray) -> np.ndarray:
+    odd = np.bincount(x & (64 * BITS - 1), minlength=64 * BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _close(a: str, b: str, num: int, den: int) -> str:
+    """SQL: the bitmaps allow the symmetric difference that a linked pair has at most
+    (true where a bitmap is null)."""
+    apart = " + ".join(f"bit_count({a}.bits[{k}] ^ {b}.bits[{k}])" for k in range(BITS))
+    return f"coalesce(({apart}) * {num + den}L <= ({a}.n + {b}.n) * {den - num}L, true)"
+
+
 def _sets(col: pa.Array, width: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every text of a column, in order."""
     for _, _, data, off in T.chunks(col):
@@ -74,23 +90,25 @@ def _sets(col: pa.Array, width: int) -> Iterator[np.ndarray]:
 
 def describe_sets(docs: DataFrame, width: int, num: int, den: int, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """One row per document: set size, 128-bit set digest, minimum hashes and the
-    lowest hashes (one and a half prefixes of them, ascending)."""
+    """One row per document: set size, 128-bit set digest, minimum hashes, the
+    parity bitmap, and the lowest hashes (a prefix and a quarter of them, ascending)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-                        ("mins", pa.list_(pa.int64())), ("low", pa.list_(pa.int64()))])
+                        ("mins", pa.list_(pa.int64())), ("low", pa.list_(pa.int64())),
+                        ("bits", pa.list_(pa.int64()))])
 
     def run(batches):
         for b in batches:
-            n, d1, d2, mins, low, lows = [], [], [], [], [], []
+            n, d1, d2, mins, low, lows, bits = [], [], [], [], [], [], []
             for x in _sets(b.column(1), width):
                 n.append(len(x))
+                bits.append(_parity(x))
                 a, c = np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64)
                 d1.append(a)
                 d2.append(c)
                 if len(x):
                     u = x.view(np.uint64)
                     mins += [x[0], *(T.mix(u ^ s).min().view(np.int64) for s in _SALTS)]
-                    keep_n = min(len(x), _prefix_len(len(x), num, den) * 3 // 2 + 2)
+                    keep_n = min(len(x), _prefix_len(len(x), num, den) * 5 // 4 + 2)
                     low.append(x[:keep_n])
                     lows.append(keep_n)
                 else:
@@ -98,10 +116,11 @@ def describe_sets(docs: DataFrame, width: int, num: int, den: int, id_col: str =
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
                  T.lists(np.array(mins, np.int64), [ROUNDS if k else 0 for k in n]),
-                 T.lists(np.concatenate(low) if low else np.zeros(0, np.int64), lows)], schema=schema)
+                 T.lists(np.concatenate(low) if low else np.zeros(0, np.int64), lows),
+                 T.lists(np.concatenate(bits) if bits else np.zeros(0, np.int64), [BITS] * len(n))], schema=schema)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        run, "doc_id long, n long, d1 long, d2 long, mins array<long>, low array<long>")
+        run, "doc_id long, n long, d1 long, d2 long, mins array<long>, low array<long>, bits array<long>")
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -156,16 +175,21 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     t = f"{num}L", f"{den}L"
     sets = keep(describe_sets(docs, width, num, den, id_col, text_col), "sets")
     key = ["n", "d1", "d2"]
-    reps = keep(sets.where("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(
-        F.min("doc_id").alias("rep"), F.first("mins").alias("mins"), F.first("low").alias("low")), "reps")
+    full = sets.where("n > 0 AND doc_id IS NOT NULL")
+    named = keep(full.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("other")), "named")
+    copies = keep(full.select("doc_id", *key).join(small(named.where("rep < other").drop("other")), key)
+                  .where("doc_id <> rep").select("doc_id").distinct(), "copies")
+    reps = full.join(small(copies), "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
 
     # leader rounds: one row per representative and minimum hash, checked against the bucket's leader
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(den / num)) if num < den else F.col("n")
-    mins = reps.select("rep", "n", size_class.alias("c"), F.posexplode("mins").alias("k", "h"))
-    leaders = (mins.groupBy("k", "h", "c").agg(F.min("rep").alias("lead"), F.max("rep").alias("other"))
-               .where("lead < other").drop("other"))
-    near = keep(mins.join(leaders, ["k", "h", "c"]).where("rep <> lead")
-                .select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "near_pairs")
+    mins = reps.select("rep", "n", "bits", size_class.alias("c"), F.posexplode("mins").alias("k", "h"))
+    leaders = (mins.groupBy("k", "h", "c").agg(F.min(F.struct("rep", "n", "bits")).alias("lead"), F.max("rep").alias("other"))
+               .where("lead.rep < other").select("k", "h", "c", "lead.*"))
+    near = (mins.alias("x").join(leaders.alias("y"), (F.expr(
+        "x.k = y.k AND x.h = y.h AND x.c = y.c AND x.rep <> y.rep AND " + _close("x", "y", num, den))))
+        .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b")).distinct())
+    near = keep(near, "near_pairs")
     links = verify_pairs(docs, near, width, num, den, id_col, text_col)
     label = components(links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
     rows = reps.join(small(label), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
@@ -175,32 +199,32 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
                   .where(F.col("count") > COMMON).select("tok"), "common")
     plen = f"int(n - (n * {t[0]} + {t[1]} - 1L) div {t[1]} + 1)"
     if common.isEmpty():
-        final = rows.select("rep", "n", "comp", F.expr(f"slice(low, 1, {plen})").alias("prefix"))
+        final = rows.select("rep", "n", "bits", "comp", F.expr(f"slice(low, 1, {plen})").alias("prefix"))
     else:
         held = keep(rows.select("rep", F.explode("low").alias("tok")).join(small(common), "tok")
                     .groupBy("rep").agg(F.array_sort(F.collect_set("tok")).alias("held")), "held")
         both = rows.join(small(held, 100_000), "rep", "left")
         both = both.withColumn("rare", F.expr("CASE WHEN held IS NULL THEN low ELSE array_except(low, held) END"))
         short = F.expr(f"held IS NOT NULL AND size(rare) < {plen} AND n > size(low)")
-        done = both.where(~F.coalesce(short, F.lit(False))).select("rep", "n", "comp", F.expr(
+        done = both.where(~F.coalesce(short, F.lit(False))).select("rep", "n", "bits", "comp", F.expr(
             f"slice(CASE WHEN held IS NULL THEN low ELSE concat(rare, held) END, 1, {plen})").alias("prefix"))
-        rest = keep(both.where(short).select("rep", "n", "comp"), "short")
+        rest = keep(both.where(short).select("rep", "n", "bits", "comp"), "short")
         tokens = _full_sets(docs, rest.select(F.col("rep").alias("id")), width, id_col, text_col)
         ranked = (tokens.select(F.col("id").alias("rep"), F.explode("tokens").alias("tok")).distinct()
                   .join(small(common.withColumn("last", F.lit(1))), "tok", "left")
                   .withColumn("k", F.row_number().over(
                       Window.partitionBy("rep").orderBy(F.coalesce("last", F.lit(0)), "tok"))))
         redone = (ranked.join(small(rest), "rep").where(F.expr(f"k <= {plen}"))
-                  .groupBy("rep", "n", "comp").agg(F.array_sort(F.collect_list(F.struct("k", "tok"))).alias("p"))
-                  .select("rep", "n", "comp", F.col("p.tok").alias("prefix")))
+                  .groupBy("rep", "n", "bits", "comp").agg(F.array_sort(F.collect_list(F.struct("k", "tok"))).alias("p"))
+                  .select("rep", "n", "bits", "comp", F.col("p.tok").alias("prefix")))
         final = done.unionByName(redone)
 
     # group by size and prefix; filter group pairs
-    final = keep(final.withColumn("k1", F.xxhash64("n", "prefix"))
-                 .withColumn("k2", F.xxhash64(F.lit(7), "prefix", "n")), "prefixes")
-    groups = (final.groupBy("n", "k1", "k2").agg(
-        F.min("rep").alias("gid"), F.first("prefix").alias("prefix"), F.min("comp").alias("c0"), F.max("comp").alias("c1")))
-    entries = keep(groups.select("gid", "n", "c0", "c1", F.posexplode("prefix").alias("pos", "tok")), "entries")
+    final = final.withColumn("k1", F.xxhash64("n", "prefix")).withColumn("k2", F.xxhash64(F.lit(7), "prefix", "n"))
+    groups = keep(final.groupBy("n", "k1", "k2").agg(
+        F.min("rep").alias("gid"), F.max("rep").alias("last"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.min("comp").alias("c0"),
+        F.max("comp").alias("c1")), "groups")
+    entries = groups.select("gid", "n", F.expr("CASE WHEN gid = last THEN bits END AS bits"), "c0", "c1", F.posexplode("prefix").alias("pos", "tok"))
     live = keep(entries.groupBy("tok").agg(F.min("c0").alias("lo"), F.max("c1").alias("hi"))
                 .where("lo < hi").select("tok"), "live")
     e = keep(entries.join(small(live), "tok"), "live_entries")
@@ -210,7 +234,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
         AND y.n * {t[0]} <= x.n * {t[1]}
         AND x.pos <= x.n - (2L * {t[0]} * x.n + {num + den}L - 1L) div {num + den}L
         AND least(x.n - x.pos, y.n - y.pos) * {num + den}L >= (x.n + y.n) * {t[0]}
-        AND NOT (x.c0 = x.c1 AND y.c0 = y.c1 AND x.c0 = y.c0)"""))
+        AND NOT (x.c0 = x.c1 AND y.c0 = y.c1 AND x.c0 = y.c0)
+        AND {_close("x", "y", num, den)}"""))
         .select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")).distinct())
     pairs = keep(pairs, "group_pairs")
     if pairs.isEmpty():
@@ -218,16 +243,16 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     else:
         hits = small(keep(pairs.select("g").union(pairs.select("h")).distinct(), "group_ids"))
         members = groups.select("n", "k1", "k2", F.col("gid").alias("g")).join(hits, "g", "left_semi")
-        members = keep(final.join(members, ["n", "k1", "k2"]).select("g", "rep", "comp"), "members")
-        a, b = members.alias("a"), members.alias("b")
-        cand = (pairs.join(a, "g").select("h", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-                .join(b.select(F.col("g").alias("h"), F.col("rep").alias("b"), F.col("comp").alias("cb")), "h")
-                .where("ca <> cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        members = keep(final.join(members, ["n", "k1", "k2"]).select("g", "rep", "n", "bits", "comp"), "members")
+        x = pairs.join(members, "g").withColumnRenamed("h", "other")
+        cand = (x.alias("x").join(members.alias("y"), F.expr(
+            "x.other = y.g AND x.comp <> y.comp AND " + _close("x", "y", num, den)))
+            .select(F.expr("least(x.rep, y.rep) AS a"), F.expr("greatest(x.rep, y.rep) AS b")).distinct())
         cand = keep(cand, "candidates")
         all_links = links.union(verify_pairs(docs, cand, width, num, den, id_col, text_col))
         label = components(all_links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
     # every row to its representative, every representative to its component
-    named = reps.select(*key, "rep").join(small(label), "rep", "left").select(
+    named = named.select(*key, "rep").join(small(label), "rep", "left").select(
         *key, F.coalesce("comp", "rep").alias("comp"))
     return (sets.select("doc_id", *key).join(named, key, "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
