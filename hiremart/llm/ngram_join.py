@@ -33,6 +33,8 @@ ROUNDS = 3
 #: A shingle in the low hashes of more than this many unlinked sets goes last in the global order.
 COMMON = 100
 
+#: Broadcast the lists of common shingles below this many in all (8 bytes each).
+HELD = 4_000_000
 #: Longs of the parity bitmap: bit h(t) of a set is the parity of its shingles t there, so the
 #: set bits of x ^ y never exceed the size of the symmetric difference.
 BITS = 8
@@ -67,8 +69,12 @@ def shingle_hashes(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.nd
     return hs, ds
 
 
-def _parity(x: np.ndarray) -> np.ndarray:
-    odd = np.bincount(x & (64 * BITS - 1), minlength=64 * BITS) & 1
+#: Texts with more shingles than this also have a wide bitmap of about one bit a shingle.
+WIDE = 1024
+
+
+def _parity(x: np.ndarray, longs: int = BITS) -> np.ndarray:
+    odd = np.bincount(x & (64 * longs - 1), minlength=64 * longs) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -79,6 +85,20 @@ def _close(a: str, b: str, num: int, den: int) -> str:
     return f"coalesce(({apart}) * {num + den}L <= ({a}.n + {b}.n) * {den - num}L, true)"
 
 
+def _screen(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that the wide bitmaps allow (those without one pass); the wider bitmap is
+    folded, as bit i and bit i + half meet at i when a bitmap is halved."""
+    wide = reps.select("rep", "n", "wide").distinct()
+    fold = "transform(sequence(0, size({0}) div 2 - 1), i -> {0}[i] ^ {0}[i + size({0}) div 2])"
+    pick = "CASE WHEN size({0}) > size({1}) THEN " + fold + " ELSE {0} END"
+    both = (pairs.join(wide.selectExpr("rep AS a", "n AS na", "wide AS wa"), "a")
+            .join(wide.selectExpr("rep AS b", "n AS nb", "wide AS wb"), "b"))
+    apart = (f"aggregate(zip_with({pick.format('wa', 'wb')}, {pick.format('wb', 'wa')}, "
+             "(p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)")
+    ok = f"CASE WHEN size(wa) = 0 OR size(wb) = 0 THEN true ELSE {apart} * {num + den}L <= (na + nb) * {den - num}L END"
+    return keep(both.where(ok).select("a", "b"), "screened")
+
+
 def _sets(col: pa.Array, width: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every text of a column, in order."""
     for _, _, data, off in T.chunks(col):
@@ -94,14 +114,15 @@ def describe_sets(docs: DataFrame, width: int, num: int, den: int, id_col: str =
     parity bitmap, and the lowest hashes (a prefix and a quarter of them, ascending)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
                         ("mins", pa.list_(pa.int64())), ("low", pa.list_(pa.int64())),
-                        ("bits", pa.list_(pa.int64()))])
+                        ("bits", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
 
     def run(batches):
         for b in batches:
-            n, d1, d2, mins, low, lows, bits = [], [], [], [], [], [], []
+            n, d1, d2, mins, low, lows, bits, wide = [], [], [], [], [], [], [], []
             for x in _sets(b.column(1), width):
                 n.append(len(x))
                 bits.append(_parity(x))
+                wide.append(_parity(x, 1 << (len(x) // 64).bit_length()) if len(x) > WIDE else x[:0])
                 a, c = np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64)
                 d1.append(a)
                 d2.append(c)
@@ -117,10 +138,11 @@ def describe_sets(docs: DataFrame, width: int, num: int, den: int, id_col: str =
                 [b.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
                  T.lists(np.array(mins, np.int64), [ROUNDS if k else 0 for k in n]),
                  T.lists(np.concatenate(low) if low else np.zeros(0, np.int64), lows),
-                 T.lists(np.concatenate(bits) if bits else np.zeros(0, np.int64), [BITS] * len(n))], schema=schema)
+                 T.lists(np.concatenate(bits) if bits else np.zeros(0, np.int64), [BITS] * len(n)),
+                 T.lists(np.concatenate(wide) if wide else np.zeros(0, np.int64), [len(w) for w in wide])], schema=schema)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        run, "doc_id long, n long, d1 long, d2 long, mins array<long>, low array<long>, bits array<long>")
+        run, "doc_id long, n long, d1 long, d2 long, mins array<long>, low array<long>, bits array<long>, wide array<long>")
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -189,7 +211,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     near = (mins.alias("x").join(leaders.alias("y"), (F.expr(
         "x.k = y.k AND x.h = y.h AND x.c = y.c AND x.rep <> y.rep AND " + _close("x", "y", num, den))))
         .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b")).distinct())
-    near = keep(near, "near_pairs")
+    near = _screen(keep(near, "near_pairs"), reps, num, den)
     links = verify_pairs(docs, near, width, num, den, id_col, text_col)
     label = components(links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
     rows = reps.join(small(label), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
@@ -203,7 +225,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     else:
         held = keep(rows.select("rep", F.explode("low").alias("tok")).join(small(common), "tok")
                     .groupBy("rep").agg(F.array_sort(F.collect_set("tok")).alias("held")), "held")
-        both = rows.join(small(held, 100_000), "rep", "left")
+        tokens_held = held.agg(F.sum(F.size("held"))).first()[0] or 0
+        both = rows.join(F.broadcast(held) if tokens_held <= HELD else held, "rep", "left")
         both = both.withColumn("rare", F.expr("CASE WHEN held IS NULL THEN low ELSE array_except(low, held) END"))
         short = F.expr(f"held IS NOT NULL AND size(rare) < {plen} AND n > size(low)")
         done = both.where(~F.coalesce(short, F.lit(False))).select("rep", "n", "bits", "comp", F.expr(
@@ -248,7 +271,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
         cand = (x.alias("x").join(members.alias("y"), F.expr(
             "x.other = y.g AND x.comp <> y.comp AND " + _close("x", "y", num, den)))
             .select(F.expr("least(x.rep, y.rep) AS a"), F.expr("greatest(x.rep, y.rep) AS b")).distinct())
-        cand = keep(cand, "candidates")
+        cand = _screen(keep(cand, "candidates"), reps, num, den)
         all_links = links.union(verify_pairs(docs, cand, width, num, den, id_col, text_col))
         label = components(all_links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
     # every row to its representative, every representative to its component
