@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import ngram_join
+from hiremart.llm import mixing, ngram_join, repetition, secret_scan
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,7 +21,27 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@_query
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document by a mix of all sources, quality weights from the labels."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    mixed = mixing.mix(_documents(spark, sf_dir), mixing.label_weights(labels))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @_query
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: size of its 4-word shingle set and its component at Jaccard 0.85."""
     return ngram_join.jaccard_components(_documents(spark, sf_dir), width=4, num=85, den=100)
+
+
+@_query
+def op7_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition measures and verdict of every document."""
+    return repetition.repetition_rules(_documents(spark, sf_dir))
+
+
+@_query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document with the ownership frequency of their values."""
+    return secret_scan.scan(_documents(spark, sf_dir)).drop("found")
