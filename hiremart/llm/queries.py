@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import mixing, ngram_join, repetition, secret_scan
+from hiremart.llm import fingerprint, language_id, mixing, ngram_join, packing, repetition, secret_scan
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,6 +35,21 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, sf_dir), width=4, num=85, den=100)
 
 
+@_query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraph sketches of every document and its edited text, likeness to that and to the next document."""
+    return fingerprint.fingerprints(_documents(spark, sf_dir))
+
+
+@_query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the byte network, learned outside the held-out fold."""
+    docs = _documents(spark, sf_dir)
+    model = language_id.learn(docs, ~language_id.held_out())
+    return language_id.identify(docs, model).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op7_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdict of every document."""
@@ -45,3 +60,9 @@ def op7_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document with the ownership frequency of their values."""
     return secret_scan.scan(_documents(spark, sf_dir)).drop("found")
+
+
+@_query
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, packed into sequences of 4096 tokens."""
+    return packing.pack(_documents(spark, sf_dir))

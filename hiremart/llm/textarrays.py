@@ -72,10 +72,14 @@ def chunks(col: pa.Array, limit: int = CHUNK):
 
 def words(data: np.ndarray, off: np.ndarray, separator: np.ndarray = SEPARATOR):
     """Byte starts and ends of the words of every text, and the text of each word."""
-    if len(data) == 0:
+    return runs(separator[data], off)
+
+
+def runs(sep: np.ndarray, off: np.ndarray):
+    """Starts and ends of the runs of positions that are not ``sep``, and the text of each."""
+    if len(sep) == 0:
         z = np.zeros(0, np.int64)
         return z, z, z
-    sep = separator[data]
     inside = ~sep
     first = inside.copy()
     first[1:] &= sep[:-1]
