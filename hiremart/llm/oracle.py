@@ -69,6 +69,19 @@ JOIN (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest([len(x) for x in
 GROUP BY ALL
 """
 
+SQL["op6_warc_archive"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, unhex(sha1(html))::BIT::VARCHAR AS bits, html FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY bits) AS first FROM h)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + 16 * bits[5*i+1]::INT + 8 * bits[5*i+2]::INT + 4 * bits[5*i+3]::INT + 2 * bits[5*i+4]::INT + bits[5*i+5]::INT, 1)
+           for i in range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
+
 SQL["op7_repetition_rules"] = r"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS text,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import fingerprint, language_id, mixing, ngram_join, packing, repetition, secret_scan
+from hiremart.llm import fingerprint, language_id, mixing, ngram_join, packing, passage_dedup, repetition, secret_scan, token_counts, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,6 +29,13 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@_query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after its edits, with the code points encoded again."""
+    docs = _documents(spark, sf_dir).withColumn("edits", token_counts.edits_of())
+    return token_counts.apply_edits(token_counts.token_trees(docs, carry={"edits": token_counts.EDITS}))
+
+
 @_query
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: size of its 4-word shingle set and its component at Jaccard 0.85."""
@@ -50,6 +57,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@_query
+def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to seekable archives and read back."""
+    return warc.read_archives(warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 @_query
 def op7_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdict of every document."""
@@ -62,6 +75,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_documents(spark, sf_dir)).drop("found")
 
 
+@_query
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that repeat across documents, their components and which occurrences go."""
+    return passage_dedup.repeated_passages(_documents(spark, sf_dir))
+
+
 @_query
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces, packed into sequences of 4096 tokens."""
