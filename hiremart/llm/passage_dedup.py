@@ -13,13 +13,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hiremart.llm import textarrays as T
 from hiremart.llm.frames import components, keep, prepare, small
 
 #: Word shingle, least similarity in percent, least words of a passage, words from which a
 #: sentence is cut, one in how many words may end a cut.
-SHINGLE, LEAST, MIN_WORDS, LONG_WORDS, CUT_ONE_IN = 5, 80, 10, 40, 8
+SHINGLE, LEAST, MIN_WORDS, LONG_WORDS, CUT_ONE_IN = 5, 80, 10, 40, 16
+#: A run of repeated passages (at most GAP code points between them) counts from this many words.
+MIN_RUN, GAP = 16, 80
 #: Bands of rows: a pair at similarity 0.8 collides in a band with probability 1 - (1 - 0.8^3)^8 = 0.997.
 BANDS, ROWS = 8, 3
 
@@ -41,12 +44,13 @@ def passages(data: np.ndarray, off: np.ndarray, min_words: int):
     lines = np.zeros(len(data) + 1, np.int64)
     np.cumsum(data == 10, out=lines[1:])
     new = np.ones(n, bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (lines[s[1:]] != lines[s[:-1]]) | _END[data[e[:-1] - 1]]
-    # overlong sentences: cut after words chosen by their hash
+    ended = _END[data[e - 1]] & ~_END[data[np.maximum(e - 2, 0)]]      # one mark, not "!!"
+    new[1:] = (doc[1:] != doc[:-1]) | (lines[s[1:]] != lines[s[:-1]]) | ended[:-1]
+    # overlong sentences: cut after words chosen by their hash, but not within a word's repetition
     start = np.flatnonzero(new)
     size = np.diff(np.append(start, n))
     long_ = np.repeat(size > LONG_WORDS, size)
-    new[1:] |= (long_[1:] & long_[:-1] & (T.mix(h[:-1]) % np.uint64(CUT_ONE_IN) == 0))
+    new[1:] |= long_[1:] & long_[:-1] & (T.mix(h[:-1]) % np.uint64(CUT_ONE_IN) == 0) & (h[1:] != h[:-1])
     start = np.flatnonzero(new)
     end = np.append(start[1:], n)
     ok = end - start >= min_words
@@ -143,15 +147,17 @@ def _verify(docs: DataFrame, cut: DataFrame, pairs: DataFrame, min_words: int, l
     return keep(joined.mapInArrow(check, "a long, b long"), "passage_links")
 
 
-def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, least: int = LEAST, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, least: int = LEAST, min_run: int = MIN_RUN,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per passage that repeats across documents: ``doc_id, start, end`` (code points,
-    end exclusive), ``n_words, component_id, n_docs, first_doc_id, removed``.
+    end exclusive), ``n_words, component_id, n_docs, first_doc_id, removed, run_words``.
 
     Passages of ``min_words`` words or more link when their 5-word shingles' Jaccard
     similarity is ``least`` percent or more; ``component_id`` names a component of links,
     ``n_docs`` its documents.  All occurrences but the first (smallest doc_id, then
-    start) are ``removed``.  Repeats within one document only are not returned.  Null or
+    start) are ``removed``.  Repeated passages that follow each other in a document form a
+    run of ``run_words`` words; runs of fewer than ``min_run`` words (common phrases and
+    notices) are not returned.  Repeats within one document only are not returned.  Null or
     empty texts have no passages, rows with a null id are left out, rows repeating an id
     are one document (equal rows count once); other columns are ignored; an empty table
     gives no rows.
@@ -185,6 +191,13 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, least: int =
     docs_in = (rows.join(small(spread.select("component_id")), "component_id", "left_semi").select("component_id", "doc_id").distinct()
                .groupBy("component_id").agg(F.count(F.lit(1)).alias("n_docs")))
     found = keep(spread.join(docs_in, "component_id"), "repeat_sizes")
-    return rows.join(small(found), "component_id").select(
+    hits = rows.join(small(found), "component_id")
+    w = Window.partitionBy("doc_id").orderBy("start", "end")
+    hits = (hits.withColumn("_new", F.when(F.col("start") - F.lag("end", 1, -1 << 40).over(w) > GAP, 1).otherwise(0))
+            .withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "_run")))
+            .where(F.col("run_words") >= min_run))
+    return hits.select(
         "doc_id", "start", "end", "n_words", "component_id", "n_docs", F.col("first.doc_id").alias("first_doc_id"),
-        ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))).alias("removed"))
+        ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))).alias("removed"),
+        "run_words")
