@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,8 @@ from hiremart.llm.frames import keep, prepare, running_total
 CAPACITY = 4096
 #: Coarse units of a sequence, and most documents in an enumerated pattern.
 UNITS, PATTERN_DOCS = 128, 4
-#: Words whose ids a worker remembers.
-WORD_CACHE = 200_000
+#: Words (and cores of words) whose ids a worker remembers, in each of two generations.
+WORD_CACHE = 400_000
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -39,30 +39,106 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class WordTokenizer:
-    """Ids of whole texts, white-space delimited words encoded once and remembered.
+class Remembered:
+    """A bounded map in two generations: what was used since the last turn survives the next."""
+
+    def __init__(self, room: int):
+        self.room, self.young, self.old = room, {}, {}
+
+    def turn(self, coming: int) -> None:
+        if len(self.young) + coming > self.room:
+            self.old, self.young = self.young, {}
+
+    def missing(self, keys) -> list:
+        """The keys not known; those of the old generation become young."""
+        young, old, out = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                if (v := old.get(k)) is None:
+                    out.append(k)
+                else:
+                    young[k] = v
+        return out
+
+
+_SPLIT = re.compile(r"(.*?)([.,;:!?#*$%&|<>()\"\-]*)", re.S)
+
 
-    Exact for tokenizers that drop white space and never merge across it: the ids of a
-    text are those of its words between U+0020 and U+0009..U+000D, in order.
+class WordTokenizer:
+    """Ids of whole texts (as little-endian unsigned 32-bit bytes), words encoded once and
+    remembered within the bounds of ``WORD_CACHE``.
+
+    Exact for tokenizers that drop white space and never merge across it: the ids of a text
+    are those of its words between U+0020 and U+0009..U+000D, in order.  ``end`` names the
+    mark that the vocabulary puts on a pre-token's last piece; where it has one and lower-cases,
+    the letters of a word (below U+0180, where lower case keeps composed characters composed)
+    and the marks behind them are remembered apart.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.ids = Tokenizer.from_file(path), {}
-
-    def encode(self, data: bytes) -> np.ndarray:
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words, self.cores = Remembered(WORD_CACHE), Remembered(WORD_CACHE)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, k in vocabulary.items():
+            self.ends[k] = token.endswith(end)
+        self.apart = bool(self.ends.any()) and self._ids(["AB", "ab"])[0] == self._ids(["ab"])[0]
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _encode_cores(self, cores: list[str]) -> list[bytes]:
+        """Ids of words of letters only, each a single pre-token: encoded in one text and cut
+        behind every end mark."""
+        ids = np.array(self.tokenizer.encode(" ".join(cores), add_special_tokens=False).ids, "<u4")
+        cut = np.flatnonzero(self.ends[ids]) + 1
+        if len(cut) != len(cores) or cut[-1] != len(ids):
+            return self._ids(cores)
+        raw, at = ids.tobytes(), [0, *(4 * cut).tolist()]
+        return [raw[x:y] for x, y in zip(at, at[1:])]
+
+    def _learn(self, new: list[bytes]) -> None:
+        known, whole, parts = self.words.young, [], []
+        for w in new:
+            text = w.decode("utf-8", "replace")
+            core, tail = _SPLIT.fullmatch(text).groups()
+            if self.apart and core.isalpha() and max(core) < "\u0180" and "\u0130" not in core:
+                parts.append((w, core.lower(), tail))
+            else:
+                whole.append((w, text))
+        for i in range(0, len(whole), 10_000):
+            some = whole[i:i + 10_000]
+            known.update(zip((w for w, _ in some), self._ids([t for _, t in some])))
+        self.cores.turn(2 * len(parts))
+        lacking = self.cores.missing({c for _, c, _ in parts})
+        for i in range(0, len(lacking), 1000):
+            some = lacking[i:i + 1000]
+            self.cores.young.update(zip(some, self._encode_cores(some)))
+        tails = self.cores.missing({t for _, _, t in parts if t})
+        if tails:
+            self.cores.young.update(zip(tails, self._ids(tails)))
+        ids = self.cores.young
+        known.update((w, ids[c] + ids[t] if t else ids[c]) for w, c, t in parts)
+
+    def encode(self, data: bytes) -> bytes:
         parts = data.split()
-        ids = self.ids
-        if new := [w for w in set(parts) if w not in ids]:
-            if len(ids) + len(new) > WORD_CACHE:
-                ids.clear()
-                new = list(set(parts))
-            for at in range(0, len(new), 10_000):
-                some = new[at:at + 10_000]
-                got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-                ids.update(zip(some, (e.ids for e in got)))
-        return np.fromiter(chain.from_iterable(map(ids.__getitem__, parts)), np.uint32)
+        names = set(parts)
+        self.words.turn(len(names))
+        if new := self.words.missing(names):
+            self._learn(new)
+        return b"".join(map(self.words.young.__getitem__, parts))
+
+
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer (and its memory) per worker process."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -71,15 +147,15 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str,
                         ("ids_crc32", pa.int64())])
 
     def run(batches):
-        words = WordTokenizer(path)
+        words, last = word_tokenizer(path), np.array([end_id], "<u4").tobytes()
         for b in batches:
             data, off = T.utf8(b.column(1))
             raw, rows = data.tobytes(), []
             for k, doc in enumerate(b.column(0).to_pylist()):
-                ids = np.append(words.encode(raw[off[k]:off[k + 1]]), np.uint32(end_id))
-                for p, at in enumerate(range(0, len(ids), capacity)):
-                    part = ids[at:at + capacity]
-                    rows.append((doc, p, at, len(part), zlib.crc32(part.astype("<u4").tobytes())))
+                ids = words.encode(raw[off[k]:off[k + 1]]) + last
+                for p, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    part = ids[at:at + 4 * capacity]
+                    rows.append((doc, p, at // 4, len(part) // 4, zlib.crc32(part)))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema) \
                 if rows else T.empty_batch(schema)
 
