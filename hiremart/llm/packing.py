@@ -29,7 +29,7 @@ CAPACITY = 4096
 #: Coarse units of a sequence, and most documents in an enumerated pattern.
 UNITS, PATTERN_DOCS = 128, 4
 #: Words (and cores of words) whose ids a worker remembers, in each of two generations.
-WORD_CACHE = 400_000
+WORD_CACHE = 120_000
 TOKENIZER = "word_bpe_49k.json"
 
 

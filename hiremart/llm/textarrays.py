@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 # The white space between words: U+0020 and U+0009..U+000D (fixed by the contracts).
 SEPARATOR = np.zeros(256, bool)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from hiremart.llm.frames import prepare
 
 #: Chunks (white space and the word after it) in a leaf; chunks whose counts a worker remembers.
-LEAF_CHUNKS, CHUNK_CACHE = 32, 200_000
+LEAF_CHUNKS, CHUNK_CACHE = 32, 120_000
 TOKENIZER = "byte_bpe_50k.json"
 
 _CHUNK = re.compile(r"\s*\S+|\s+")
