@@ -29,6 +29,11 @@ def parse_raw(raw, schema: T.StructType, strict: bool = True) -> Column:
     return F.from_json(raw, schema, opts)
 
 
+def _document(items: DataFrame, it: Column) -> Column:
+    """The whole document: its landed text where the source kept it, else the struct's JSON."""
+    return F.coalesce(F.col("_raw"), to_raw(it)) if "_raw" in items.columns else to_raw(it)
+
+
 def _keep(df: DataFrame, keep: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in keep]
 
@@ -54,7 +59,7 @@ def flatten_postings(items: DataFrame, item_col: str = "item",
                     it.getField("area").getField("name").alias("area_name"),
                     it.getField("employer").getField("name").alias("employer_name"),
                     published.alias("published_at"),
-                    to_raw(it).alias("raw"),
+                    _document(items, it).alias("raw"),
                     *_keep(items, keep)))
 
 
@@ -74,7 +79,7 @@ def flatten_employers(items: DataFrame, item_col: str = "item",
                     it.getField("area").getField("name").alias("area_name"),
                     it.getField("open_vacancies").cast("int").alias("open_vacancies"),
                     it.getField("site_url").cast("string").alias("site_url"),
-                    to_raw(it).alias("raw"),
+                    _document(items, it).alias("raw"),
                     *_keep(items, keep)))
 
 

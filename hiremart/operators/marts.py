@@ -58,11 +58,11 @@ def star(fact: DataFrame, bridge: DataFrame, roles: DataFrame, areas: DataFrame,
 
 
 def _count() -> Column:
-    return F.count(F.lit(1)).cast("int")
+    return F.count(F.lit(1)).cast("long")
 
 
 def _with_salary() -> Column:
-    return F.count_if(F.col("salary_point").isNotNull()).cast("int")
+    return F.count_if(F.col("salary_point").isNotNull()).cast("long")
 
 
 def exact_mean(x: str) -> Column:
@@ -101,7 +101,7 @@ def mart_trends(s: DataFrame) -> DataFrame:
     prev = F.lag("vacancies_cnt").over(Window.partitionBy("industry_id").orderBy("month"))
     return (agg.withColumn("_prev", prev)
             .select("month", "industry_id", "industry_name", "vacancies_cnt",
-                    (F.col("vacancies_cnt") - F.col("_prev")).cast("int").alias("mom_abs"),
+                    (F.col("vacancies_cnt") - F.col("_prev")).alias("mom_abs"),
                     F.when(F.col("_prev").isNull() | (F.col("_prev") == 0), F.lit(None).cast("double"))
                     .otherwise(F.col("vacancies_cnt").cast("double") / F.col("_prev") - F.lit(1.0))
                     .alias("mom_pct")))

@@ -95,7 +95,7 @@ def scd2_insert(dim: DataFrame, staged: DataFrame, now, key: str = "employer_id"
 
 
 def scd2_step(current: DataFrame, staged: DataFrame, now, key: str = "employer_id",
-              tracked: Sequence[str] = ATTRS) -> DataFrame:
+              tracked: Sequence[str] = ATTRS, step: int = 0) -> DataFrame:
     """D3 / D8 on the *current* rows only: the versions one load writes.
 
     current ⟗ staged on the key; every joined row emits up to two versions in
@@ -104,6 +104,8 @@ def scd2_step(current: DataFrame, staged: DataFrame, now, key: str = "employer_i
     key is new).  The output holds every current version after the load plus
     the versions it closed; history rows closed earlier never take part, so
     the cost is bounded by the current dimension, not by its history.
+    Steps that share one ``now`` must differ in ``step``: it is part of the
+    surrogate key, so a version opened and closed within a run keeps its own.
     """
     cur = current.filter(F.col("is_current")).alias("_c")
     s = staged.select(key, *ATTRS).alias("_s")
@@ -117,7 +119,7 @@ def scd2_step(current: DataFrame, staged: DataFrame, now, key: str = "employer_i
         F.when(changed, _ts(now)).otherwise(F.col("_c.valid_to")).alias("valid_to"),
         F.when(changed, F.lit(False)).otherwise(F.col("_c.is_current")).alias("is_current"))
     new = F.struct(
-        surrogate_key(F.col(f"_s.{key}"), _ts(now)).alias("employer_sk"),
+        surrogate_key(F.col(f"_s.{key}"), _ts(now), *([F.lit(step)] if step else [])).alias("employer_sk"),
         F.col(f"_s.{key}").alias("employer_id"),
         *[F.col(f"_s.{a}").alias(a) for a in ATTRS],
         _ts(now).alias("valid_from"), _ts(END_OF_TIME).alias("valid_to"),

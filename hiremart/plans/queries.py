@@ -84,12 +84,12 @@ def q_src_dictionary(spark, sf_dir):
 
 def _enriched(spark, sf_dir):
     items = FR.landing_items(spark, sf_dir)
-    return landing.enrich_details(landing.search_view(items), items, max_items=200), items
+    return landing.enrich_details(landing.search_view(items), items), items
 
 
 @register("enrich_details")
 def q_enrich_details(spark, sf_dir):
-    """The first 200 search rows replaced by their detail records."""
+    """Every search row replaced by its detail record."""
     e, _ = _enriched(spark, sf_dir)
     return e.select(F.col("item.id").cast("bigint").alias("vacancy_id"),
                     F.coalesce(F.size("item.professional_roles"), F.lit(-1)).cast("int").alias("n_roles"),
@@ -444,7 +444,7 @@ def q_mart_currency(spark, sf_dir):
 # ----------------------------------------------------------------------- BI --
 @register("bi_avg_salary")
 def q_bi_avg_salary(spark, sf_dir):
-    """Mean of the salary mart's means by role × currency (chart row limit)."""
+    """Mean of the salary mart's means by role × currency ."""
     return bi.bi_avg_salary(q_mart_salary(spark, sf_dir))
 
 

@@ -66,7 +66,7 @@ def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame
     dim_emp = L.commit_scd2(scd2.scd2_step(
         L.dim("dim_employer_current", L.version(run_id, Layout.VACANCIES)),
         scd2.stage_employers_from_feed(ods_emp), now,
-        tracked=["employer_name", "alternate_url"]), run_id, Layout.EMPLOYERS)
+        tracked=["employer_name", "alternate_url"], step=1), run_id, Layout.EMPLOYERS)
     snap_t = L.appended["fact_employer_snapshot"]
     snap = L.commit_delta("fact_employer_snapshot", facts.fact_snapshot(
         ods_emp, dim_emp, snap_t.read_before(run_id), as_of, now), run_id)

@@ -193,6 +193,7 @@ def load_run(layout: Layout, items: DataFrame, now, run: int) -> Warehouse:
     its own run/version, so re-running a run after a failure is idempotent.
     """
     L, prev = layout, layout.end_of(run - 1)
+    L.appended["fact_vacancy"].refuse_older(run)
     batch = flatten_postings(items, keep=("_page", "_pos"))
     ods = L.ods_postings.upsert(batch, ["_page", "_pos"], ODS_POSTING_COLS)
     # parse only the documents this batch wrote (its latest row per id): the

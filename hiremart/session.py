@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -65,10 +66,7 @@ def build_session(master: str | None = None, app_name: str = "hiremart",
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable part of SESSION_CONF to an existing session."""
     for key, value in SESSION_CONF.items():
-        try:
-            spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
+        spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -77,11 +75,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared scratch root named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared folder (HDFS/S3/…); it is read, not
-    overridden.  Only where it is unset (unit tests, a bare local session) a
-    fresh local folder is created and registered.
+    overridden; failing that, the context's own checkpoint folder.  Only where both
+    are unset in a local session (unit tests) a fresh local folder is created and
+    registered; on a cluster that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that driver and executors of {master} share")
         root = tempfile.mkdtemp(prefix="hiremart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

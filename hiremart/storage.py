@@ -64,9 +64,9 @@ class VersionedTable:
 
     Layout: ``<path>/version=<n>/part-*.parquet``, one folder per committed
     version.  A refresh writes the whole new content as a new version in one
-    job; readers take the greatest version that has files (or the greatest up
-    to a given number), resolved from the file listing, and Spark prunes the
-    other versions, so old versions cost no I/O.  Writing an explicit version
+    job; readers take the greatest version with a commit marker (or the greatest up
+    to a given number) and read only its folder, so a running or failed write is
+    never seen and old versions cost no I/O.  Writing an explicit version
     again replaces just that folder, which makes a retried load idempotent; a
     job never overwrites the version it reads.
     """
@@ -76,13 +76,9 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _root(self) -> DataFrame | None:
-        return read_if_exists(self.spark, self.path)
-
     def versions(self) -> list[int]:
-        """Committed versions, from the file listing only (no data job)."""
-        df = self._root()
-        return [] if df is None else _partition_values(df, self.COL)
+        """Committed versions: the direct children that hold a commit marker (no data job)."""
+        return committed(self.spark, self.path, self.COL)
 
     def current_version(self) -> int:
         return max(self.versions(), default=0)
@@ -98,7 +94,7 @@ class VersionedTable:
         v = self._pick(version)
         if v is None:
             raise FileNotFoundError(f"no committed version of {self.path}")
-        return self.spark.read.parquet(self.path).filter(F.col(self.COL) == v).drop(self.COL)
+        return self.spark.read.parquet(f"{self.path}/{self.COL}={v}")
 
     def read_or_empty(self, schema, version: int | None = None) -> DataFrame:
         """Like ``read``, but an empty typed table before the first version."""
@@ -154,6 +150,19 @@ class KeyedTable:
             raise FileNotFoundError(self.path)
         return df.drop(self.BUCKET)
 
+    def _check_buckets(self) -> None:
+        """The bucket count is stored beside the data; another one is refused, as it would
+        place a key twice."""
+        fs, path_of = _hadoop(self.spark, self.path)
+        mine = path_of(f"{self.path}/_buckets_{self.buckets}")
+        if fs.exists(mine):
+            return
+        if fs.exists(path_of(self.path)):
+            for status in fs.listStatus(path_of(self.path)):
+                if status.getPath().getName().startswith("_buckets_"):
+                    raise ValueError(f"{self.path} has {status.getPath().getName()[9:]} buckets, not {self.buckets}")
+        fs.create(mine).close()
+
     def upsert(self, batch: DataFrame, order, columns: list[str], unique: bool = False) -> DataFrame:
         """Apply ``batch`` (last write wins on ``order``); ``columns`` is the table schema.
 
@@ -161,6 +170,7 @@ class KeyedTable:
         """
         from hiremart.operators.upsert import upsert as upsert_rows
 
+        self._check_buckets()
         old = self._raw()
         if old is None:
             from hiremart.operators.upsert import pick_per_key
@@ -196,24 +206,30 @@ class AppendTable:
     def __init__(self, spark: SparkSession, path: str, schema):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def _root(self) -> DataFrame | None:
-        return read_if_exists(self.spark, self.path, self.schema)
+    def runs(self) -> list[int]:
+        """Committed runs: the direct children that hold a commit marker."""
+        return committed(self.spark, self.path, self.COL)
 
-    def _select(self, cond) -> DataFrame:
-        df = self._root()
-        if df is None:
+    def _select(self, wanted) -> DataFrame:
+        paths = [f"{self.path}/{self.COL}={r}" for r in self.runs() if wanted(r)]
+        if not paths:
             return self.spark.createDataFrame([], self.schema)
-        if cond is not None:
-            df = df.filter(cond)
-        return df.select(*self.schema.fieldNames())
+        return self.spark.read.schema(self.schema).parquet(*paths).select(*self.schema.fieldNames())
 
     def read(self, upto: int | None = None) -> DataFrame:
         """All rows, or the rows added by runs ``<= upto``."""
-        return self._select(None if upto is None else F.col(self.COL) <= upto)
+        return self._select(lambda r: upto is None or r <= upto)
 
     def read_before(self, run: int) -> DataFrame:
         """The rows added by runs ``< run`` (the state a run starts from)."""
-        return self._select(F.col(self.COL) < run)
+        return self._select(lambda r: r < run)
+
+    def refuse_older(self, run: int) -> None:
+        """Raises for a run below the greatest committed one: its delta would be taken
+        against a state that never was."""
+        last = max(self.runs(), default=run)
+        if run < last:
+            raise ValueError(f"{self.path}: run {run} is older than the committed run {last}")
 
     def append(self, delta: DataFrame, run: int) -> None:
         """Commit ``delta`` as run ``run``'s rows (replacing a failed attempt's)."""
@@ -221,7 +237,22 @@ class AppendTable:
             f"{self.path}/{self.COL}={int(run)}")
 
 
-def _partition_values(df: DataFrame, col: str) -> list[int]:
-    """Integer values of a directory partition column, from the file listing."""
-    pat = re.compile(rf"/{re.escape(col)}=(\d+)/")
-    return sorted({int(m.group(1)) for f in df.inputFiles() if (m := pat.search(f)) is not None})
+def _hadoop(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path's class (driver-side listing only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def committed(spark: SparkSession, path: str, col: str) -> list[int]:
+    """Numbers ``n`` of the direct children ``<col>=<n>`` whose write was committed
+    (Spark's ``_SUCCESS`` marker); one listing, no data files."""
+    fs, path_of = _hadoop(spark, path)
+    if not fs.exists(path_of(path)):
+        return []
+    found = []
+    for status in fs.listStatus(path_of(path)):
+        m = re.fullmatch(rf"{re.escape(col)}=(\d+)", status.getPath().getName())
+        if m and fs.exists(path_of(f"{path}/{m.group(0)}/_SUCCESS")):
+            found.append(int(m.group(1)))
+    return sorted(found)
