@@ -104,10 +104,10 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mixed corpus: a document as often as it is taken whole, and a source's
     boundary document once more with the first words of its last, partial taking.
     Documents taken 0 times (also those without words) go.  ``docs`` has one row per doc_id."""
-    taken = mixed.where("taken > 0").select(F.col("doc_id").alias("_id"), "size", "taken")
+    taken = mixed.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     full = (docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-            .withColumn("_copy", F.expr("explode(sequence(1L, (taken + size - 1) div size))")))
-    left = F.expr("least(size, taken - (_copy - 1) * size)")
+            .withColumn("_copy", F.expr("explode(sequence(1L, (_taken + _size - 1) div _size))")))
+    left = F.expr("least(_size, _taken - (_copy - 1) * _size)")
     cut = F.expr(r"array_join(slice(filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> ''), 1, "
-                 r"int(taken - (_copy - 1) * size)), ' ')")
-    return full.withColumn("text", F.when(left < F.col("size"), cut).otherwise(F.col("text"))).select(*docs.columns)
+                 r"int(_taken - (_copy - 1) * _size)), ' ')")
+    return full.withColumn("text", F.when(left < F.col("_size"), cut).otherwise(F.col("text"))).select(*docs.columns)

@@ -138,10 +138,10 @@ def redact(docs: DataFrame, scanned: DataFrame, mark: str = "[secret]") -> DataF
     cuts = cuts.withColumn("first", F.when(F.coalesce(seen, F.lit(-1)) < F.col("start"), 1).otherwise(0))
     cuts = cuts.withColumn("island", F.sum("first").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     cuts = cuts.groupBy("_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    cuts = keep(cuts.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts")), "secret_cuts")
-    pieces = F.expr("""transform(sequence(0, size(cuts)), i -> substring(text,
-        int(CASE WHEN i = 0 THEN 1 ELSE element_at(cuts, i).end + 1 END),
-        int(CASE WHEN i = size(cuts) THEN length(text) ELSE cuts[i].start END
-            - CASE WHEN i = 0 THEN 0 ELSE element_at(cuts, i).end END)))""")
+    cuts = keep(cuts.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts")), "secret_cuts")
+    pieces = F.expr("""transform(sequence(0, size(_cuts)), i -> substring(text,
+        int(CASE WHEN i = 0 THEN 1 ELSE element_at(_cuts, i).end + 1 END),
+        int(CASE WHEN i = size(_cuts) THEN length(text) ELSE _cuts[i].start END
+            - CASE WHEN i = 0 THEN 0 ELSE element_at(_cuts, i).end END)))""")
     hit = docs.join(small(cuts, 100_000), F.col("doc_id") == F.col("_id"), "left")
-    return hit.withColumn("text", F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join(pieces, mark))).select(*docs.columns)
+    return hit.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(F.array_join(pieces, mark))).select(*docs.columns)

@@ -237,7 +237,8 @@ def test_packing_places_every_piece_once(spark):
             assert offset == at
             at += length
         assert at <= 4096
-    assert len(by_seq) <= 1.1 * sum(by_doc.values()) / 4096 + 1
+    halves = sum(r["length"] > 2048 for r in rows)      # no two of these share a sequence
+    assert len(by_seq) <= 1.1 * max(sum(by_doc.values()) / 4096, halves) + 1
     assert packing.pack(docs.limit(0)).count() == 0
 
 
