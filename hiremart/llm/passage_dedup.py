@@ -25,6 +25,11 @@ SHINGLE, LEAST, MIN_WORDS, LONG_WORDS, CUT_ONE_IN = 5, 80, 10, 40, 16
 MIN_RUN, GAP = 16, 80
 #: Bands of rows: a pair at similarity 0.8 collides in a band with probability 1 - (1 - 0.8^3)^8 = 0.997.
 BANDS, ROWS = 8, 3
+#: Longs of a passage's parity bitmap: bit h(t) is the parity of its shingles t there, so the set
+#: bits of x ^ y never exceed the symmetric difference of two shingle sets.
+BITS = 2
+#: Further rounds that link a band's passages to one of them, drawn anew in each.
+ROUNDS = 1
 
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
@@ -82,17 +87,39 @@ def band_keys(w: np.ndarray, count: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def set_bitmaps(w: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each passage and the parity bitmap over them (passages x BITS)."""
+    n, width = len(count), 64 * BITS
+    of = np.repeat(np.arange(n), count)
+    order = np.lexsort((w, of))
+    w, of = w[order], of[order]
+    first = np.ones(len(w), bool)
+    first[1:] = (w[1:] != w[:-1]) | (of[1:] != of[:-1])
+    w, of = w[first], of[first]
+    odd = np.bincount(of * width + (w & np.uint64(width - 1)).astype(np.int64), minlength=n * width) & 1
+    return np.bincount(of, minlength=n), np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(n, BITS)
+
+
+def _close(least: int) -> str:
+    """SQL: sizes and bitmaps of x and y allow the similarity (true for every linked pair)."""
+    apart = " + ".join(f"bit_count(x.x{k} ^ y.x{k})" for k in range(BITS))
+    return (f"100 * least(x.n, y.n) >= {least} * greatest(x.n, y.n)"
+            f" AND ({apart}) * {100 + least}L <= (x.n + y.n) * {100 - least}L")
+
+
 def cut_passages(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
     """One row per passage: ``doc_id, start, end`` (code points), ``n_words``, ``h`` (hash of its
-    words) and its band keys."""
+    words), ``n`` (distinct shingles), ``x0, x1`` (their parity bitmap) and its band keys."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64()),
-                        ("h", pa.int64()), ("bands", pa.list_(pa.int64()))])
+                        ("h", pa.int64()), ("n", pa.int64()), *[(f"x{k}", pa.int64()) for k in range(BITS)],
+                        ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
         for b in batches:
             for i, j, data, off in T.chunks(b.column(1)):
                 doc, first, last, h, s, e = passages(data, off, min_words)
                 w, count = shingles(h, first, last)
+                size, bits = set_bitmaps(w, count)
                 points = np.zeros(len(data) + 1, np.int64)
                 np.cumsum((data & 0xC0) != 0x80, out=points[1:])
                 base = points[off[:-1]][doc] if len(doc) else np.zeros(0, np.int64)
@@ -100,10 +127,12 @@ def cut_passages(docs: DataFrame, min_words: int, id_col: str, text_col: str) ->
                     [b.column(0).slice(i, j - i).take(pa.array(doc)),
                      pa.array(points[s[first]] - base), pa.array(points[e[last - 1]] - base),
                      pa.array(last - first), pa.array(_content(h, first, last)),
+                     pa.array(size.astype(np.int64)), *[pa.array(bits[:, k]) for k in range(BITS)],
                      T.lists(band_keys(w, count).ravel(), np.full(len(count), BANDS))], schema=schema)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        run, "doc_id long, start long, end long, n_words long, h long, bands array<long>")
+        run, "doc_id long, start long, end long, n_words long, h long, n long, "
+        + "".join(f"x{k} long, " for k in range(BITS)) + "bands array<long>")
 
 
 def _content(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -164,27 +193,34 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, least: int =
     """
     prepare(docs.sparkSession)
     cut = keep(cut_passages(docs, min_words, id_col, text_col).where("doc_id IS NOT NULL"), "passages")
-    bands = cut.select("h", "n_words", F.explode("bands").alias("band"))
+    sizes = ["n", *[f"x{k}" for k in range(BITS)]]
+    bands = cut.select("h", F.explode("bands").alias("band"))
     live = keep(bands.groupBy("band").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").drop("hi"), "live_bands")
-    members = keep(bands.join(small(live), "band").select("band", "lo", "h", "n_words").distinct(), "band_members")
+    members = keep(cut.select("h", *sizes, F.explode("bands").alias("band")).join(small(live), "band").distinct(), "band_members")
     star = keep(members.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct(), "band_stars")
-    links = _verify(docs, cut, star, min_words, least, id_col, text_col)
+    links, tried = _verify(docs, cut, star, min_words, least, id_col, text_col), star
     label = keep(components(links), "passage_roots")
-    # colliding passages that the stars did not bring together
-    m = members.join(small(label), F.col("h") == F.col("node"), "left").select(
-        "band", "h", "n_words", F.coalesce("root", "h").alias("root"))
-    m = keep(m, "rooted_members")
-    split = keep(m.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band"), "split_bands")
-    m = m.join(small(split), "band", "left_semi")
-    rest = (m.alias("x").join(m.alias("y"), F.expr(
-        f"x.band = y.band AND x.h < y.h AND x.root <> y.root AND 100 * (least(x.n_words, y.n_words) - {SHINGLE - 1})"
-        f" >= {least} * (greatest(x.n_words, y.n_words) - {SHINGLE - 1} - {SHINGLE})"))
-        .select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct())
-    rest = keep(rest.join(star, ["a", "b"], "left_anti"), "band_rest")
-    if not rest.isEmpty():
-        links = links.union(_verify(docs, cut, rest, min_words, least, id_col, text_col))
-        label = keep(components(links), "passage_roots")
-    rows = (cut.drop("bands").join(small(label), F.col("h") == F.col("node"), "left")
+    # colliding passages that the stars did not bring together: rounds of other stars, then all pairs left
+    for k in range(ROUNDS + 1):
+        m = members.join(small(label), F.col("h") == F.col("node"), "left").select(
+            "band", "h", *sizes, F.coalesce("root", "h").alias("root"))
+        m = keep(m, "rooted_members")
+        split = keep(m.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band"), "split_bands")
+        m = m.join(small(split), "band", "left_semi")
+        if k < ROUNDS:
+            lead = F.min(F.struct(F.xxhash64("h", F.lit(k)), "h", "root", *sizes)).alias("lead")
+            others = m.groupBy("band").agg(lead).select("band", *[f"lead.{c}" for c in ("h", "root", *sizes)])
+            apart = "x.root <> y.root"
+        else:
+            others, apart = m, "x.h < y.h AND x.root <> y.root"
+        rest = (m.alias("x").join(others.alias("y"), F.expr(f"x.band = y.band AND {apart} AND {_close(least)}"))
+                .select(F.expr("least(x.h, y.h) AS a"), F.expr("greatest(x.h, y.h) AS b")).distinct())
+        rest = keep(rest.join(tried, ["a", "b"], "left_anti"), "band_rest")
+        if not rest.isEmpty():
+            tried = tried.union(rest)
+            links = links.union(_verify(docs, cut, rest, min_words, least, id_col, text_col))
+            label = keep(components(links), "passage_roots")
+    rows = (cut.drop("bands", *sizes).join(small(label), F.col("h") == F.col("node"), "left")
             .withColumn("component_id", F.coalesce("root", "h")).drop("node", "root", "h").distinct())
     spread = keep(rows.groupBy("component_id").agg(
         F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").drop("last"), "repeats")
