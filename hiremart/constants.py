@@ -11,6 +11,8 @@ UNKNOWN_LABEL = "UNKNOWN"                      # empty/NULL currency; NULL role
 END_OF_TIME = _dt.datetime(9999, 12, 31)       # valid_to of a current SCD2 version
 TOP_EMPLOYERS_K = 20                           # employers kept per role × area × currency
 MAX_DETAIL_ITEMS = 200                         # search rows replaced by their detail records
+#: Columns that order the landed documents by arrival: fetch, page of it, position on the page.
+ARRIVAL = ("_fetch", "_page", "_pos")
 PAGE_SIZE = 100                                # items per search / list page
 DQ_MIN_DATE = "2000-01-01"                     # earliest plausible publication date
 CHILD_ARRAYS = ("industries", "spheres", "areas")   # dictionary child arrays, first non-empty wins

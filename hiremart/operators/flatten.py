@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hiremart.constants import CHILD_ARRAYS
+from hiremart.constants import ARRIVAL, CHILD_ARRAYS
 from hiremart.functions.columns import naive_timestamp, parse_iso_timestamp
 
 
@@ -34,19 +34,29 @@ def _document(items: DataFrame, it: Column) -> Column:
     return F.coalesce(F.col("_raw"), to_raw(it)) if "_raw" in items.columns else to_raw(it)
 
 
-def _keep(df: DataFrame, keep: Sequence[str]) -> list[Column]:
-    return [F.col(c) for c in keep]
+def arrival(df: DataFrame) -> list[str]:
+    """The arrival-order columns that ``df`` has (all fetches of one source carry the same)."""
+    return [c for c in ARRIVAL if c in df.columns]
+
+
+def last_write(df: DataFrame) -> list[str]:
+    """A total order of flattened documents: arrival, equal places by the document's text."""
+    return [*arrival(df), "raw"]
+
+
+def _keep(df: DataFrame, keep: Sequence[str] | None) -> list[Column]:
+    return [F.col(c) for c in (arrival(df) if keep is None else keep)]
 
 
 def flatten_postings(items: DataFrame, item_col: str = "item",
-                     keep: Sequence[str] = ("_page", "_pos"), naive: bool = False) -> DataFrame:
+                     keep: Sequence[str] | None = None, naive: bool = False) -> DataFrame:
     """Vacancy documents → ODS postings.
 
     ``id`` becomes BIGINT; nested names are read null-safely (a missing
     ``area`` or ``employer`` gives NULL); ``published_at`` is parsed as an
     instant; the whole document is kept as ``raw``.  A document without an id
     cannot be keyed and is dropped here (count it with ``rejected_postings``).
-    ``keep`` carries arrival-order columns through for the upsert.  With
+    ``keep`` names the columns carried through for the upsert (default: the arrival order).  With
     ``naive`` the publication time is the wall clock with the offset dropped
     (TIMESTAMP_NTZ), the form a store without time zones keeps (K2).
     """
@@ -70,7 +80,7 @@ def rejected_postings(items: DataFrame, item_col: str = "item") -> DataFrame:
 
 
 def flatten_employers(items: DataFrame, item_col: str = "item",
-                      keep: Sequence[str] = ("_page", "_pos")) -> DataFrame:
+                      keep: Sequence[str] | None = None) -> DataFrame:
     """Employer documents → ODS employers."""
     it = F.col(item_col)
     return (items.filter(it.getField("id").isNotNull())

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from hiremart import schemas, storage
 from hiremart.operators import dims, facts, marts, quality, scd2
-from hiremart.operators.flatten import flatten_employers, flatten_hierarchy
+from hiremart.operators.flatten import flatten_employers, flatten_hierarchy, last_write
 from hiremart.plans.warehouse import Layout, Warehouse, load_run
 
 
@@ -53,8 +53,8 @@ def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame
     wh = load_run(L, postings, now, run_id)
 
     # ---- ODS: employers
-    ods_emp = L.ods_employers.upsert(flatten_employers(employers), ["_page", "_pos"],
-                                     list(schemas.ODS_EMPLOYERS.fieldNames()))
+    emp_batch = flatten_employers(employers)
+    ods_emp = L.ods_employers.upsert(emp_batch, last_write(emp_batch), list(schemas.ODS_EMPLOYERS.fieldNames()))
 
     # ---- DDS: industries
     dim_ind = L.commit_dim("dim_industry", dims.dim_industry(L.dim("dim_industry", prev), ods_ind),

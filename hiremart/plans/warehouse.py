@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hiremart import schemas, storage
 from hiremart.operators import dims, facts, scd2
-from hiremart.operators.flatten import flatten_postings
+from hiremart.operators.flatten import flatten_postings, last_write
 from hiremart.operators.staging import stage_postings
 from hiremart.operators.upsert import insert_ignore, pick_per_key, upsert
 
@@ -54,8 +54,8 @@ def empty_warehouse(spark: SparkSession) -> Warehouse:
 
 def ods_upsert_postings(ods: DataFrame, items: DataFrame) -> DataFrame:
     """K1: flatten fetched documents and upsert them into the ODS (last write wins)."""
-    batch = flatten_postings(items, keep=("_page", "_pos"))
-    return upsert(ods.select(*ODS_POSTING_COLS), batch, ["id"], ["_page", "_pos"])
+    batch = flatten_postings(items)
+    return upsert(ods.select(*ODS_POSTING_COLS), batch, ["id"], last_write(batch))
 
 
 def dds_cycle(wh: Warehouse, now) -> Warehouse:
@@ -194,11 +194,11 @@ def load_run(layout: Layout, items: DataFrame, now, run: int) -> Warehouse:
     """
     L, prev = layout, layout.end_of(run - 1)
     L.appended["fact_vacancy"].refuse_older(run)
-    batch = flatten_postings(items, keep=("_page", "_pos"))
-    ods = L.ods_postings.upsert(batch, ["_page", "_pos"], ODS_POSTING_COLS)
+    batch = flatten_postings(items)
+    ods = L.ods_postings.upsert(batch, last_write(batch), ODS_POSTING_COLS)
     # parse only the documents this batch wrote (its latest row per id): the
     # parsed table then equals the parse of the whole ODS at O(batch) cost
-    written = pick_per_key(batch, ["id"], ["_page", "_pos"]).select(*ODS_POSTING_COLS)
+    written = pick_per_key(batch, ["id"], last_write(batch)).select(*ODS_POSTING_COLS)
     stage = L.stage.upsert(stage_postings(written), [], STAGE_COLS, unique=True)
     A = L.appended
     dim_date = L.commit_delta("dim_date", insert_ignore(

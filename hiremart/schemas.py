@@ -37,6 +37,7 @@ POSTING_DOC = T.StructType([
 
 #: one search / list page: ``{"page": n, "items": [...]}``
 POSTING_PAGE = T.StructType([
+    T.StructField("fetch", T.LongType()),   # number of the fetch, growing; absent: 0
     T.StructField("page", T.LongType()),
     T.StructField("items", T.ArrayType(POSTING_DOC)),
 ])
@@ -48,6 +49,7 @@ EMPLOYER_DOC = T.StructType([
     T.StructField("site_url", S),
 ])
 EMPLOYER_PAGE = T.StructType([
+    T.StructField("fetch", T.LongType()),
     T.StructField("page", T.LongType()),
     T.StructField("items", T.ArrayType(EMPLOYER_DOC)),
 ])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hiremart import schemas
 from hiremart.operators import flatten, scd2
+from hiremart.plans import warehouse
 from hiremart.sources import landing
 from hiremart.storage import AppendTable, KeyedTable, VersionedTable
 
@@ -45,6 +46,17 @@ def test_raw_keeps_undeclared_fields_and_types(spark, tmp_path):
     assert items.first()["item"]["salary"]["from"] == "100"
 
 
+def test_last_write_wins_across_fetches_landed_together(spark, tmp_path):
+    doc = lambda name: {"id": "1", "name": name, "published_at": "2024-01-01T00:00:00Z"}
+    pages = [{"fetch": 1, "page": 5, "items": [{"id": "2"}, doc("older")]}, {"fetch": 2, "page": 0, "items": [doc("newer")]},
+             {"page": 9, "items": [doc("oldest")]}]
+    for k, page in enumerate(pages):
+        (tmp_path / f"{k}.json").write_text(json.dumps(page))
+    items = landing.read_paged_items(spark, str(tmp_path), schemas.POSTING_PAGE)
+    ods = warehouse.ods_upsert_postings(spark.createDataFrame([], schemas.ODS_POSTINGS), items)
+    assert {r["id"]: r["name"] for r in ods.collect()} == {1: "newer", 2: None}
+
+
 def test_dictionary_may_start_with_white_space(spark, tmp_path):
     (tmp_path / "d.json").write_text('\n\t[{"id": "1", "name": "a"}]')
     assert landing.read_dictionary(spark, str(tmp_path / "d.json"), schemas.INDUSTRY_DOC).count() == 1
