@@ -8,7 +8,7 @@ a leaf's border, and updates the sums above them.
 
 from __future__ import annotations
 
-import os
+import base64
 import re
 
 import numpy as np
@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from hiremart.llm.frames import prepare
 
-#: Chunks (white space and the word after it) in a leaf; chunks whose counts a worker remembers.
-LEAF_CHUNKS, CHUNK_CACHE = 32, 120_000
-TOKENIZER = "byte_bpe_50k.json"
+#: Chunks (white space and the word after it) in a leaf.
+LEAF_CHUNKS = 32
+TOKENIZER = "byte_bpe_50k.tiktoken"
+#: Fixed value: the pre-tokens of that vocabulary.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _CHUNK = re.compile(r"\s*\S+|\s+")
 #: White space beyond U+0020 and U+0009..U+000D: a cut next to it is not taken for safe.
@@ -36,24 +38,16 @@ def chunks(text: str) -> list[str]:
 
 
 class Counter:
-    """Token counts of chunks, encoded once and remembered."""
+    """Token counts of texts by the ranks of a byte-level vocabulary."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.tokenizer.encode_special_tokens = True
+        import tiktoken
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self.encode = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def counts(self, parts: list[str]) -> np.ndarray:
-        known = self.known
-        if new := [c for c in set(parts) if c not in known]:
-            if len(known) + len(new) > CHUNK_CACHE:
-                known.clear()
-                new = list(set(parts))
-            for i in range(0, len(new), 10_000):
-                some = new[i:i + 10_000]
-                known.update(zip(some, map(len, (e.ids for e in self.tokenizer.encode_batch(some, add_special_tokens=False)))))
-        return np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        return np.fromiter((len(self.encode(p)) for p in parts), np.int64, len(parts))
 
 
 class Tree:
@@ -76,9 +70,8 @@ class Tree:
         parts = chunks(text)
         if not parts:
             return cls(np.zeros(1, np.int64), np.zeros(1, np.int64))
-        at = np.arange(0, len(parts), leaf)
-        return cls(np.add.reduceat(np.fromiter(map(len, parts), np.int64, len(parts)), at),
-                   np.add.reduceat(counter.counts(parts), at))
+        leaves = ["".join(parts[i:i + leaf]) for i in range(0, len(parts), leaf)]
+        return cls(np.fromiter(map(len, leaves), np.int64, len(leaves)), counter.counts(leaves))
 
     @property
     def total(self) -> int:
@@ -102,8 +95,7 @@ class Tree:
         first, last = min(first, len(ends) - 1), min(last, len(ends) - 1)
         lo, hi = int(ends[first] - self.sizes[first]), int(ends[last])
         region = text[lo:start] + new + text[end:hi]
-        parts = chunks(region)
-        self._set(first, int(counter.counts(parts).sum()))
+        self._set(first, int(counter.counts([region])[0]))
         self.sizes[first] = len(region)
         for leaf in range(first + 1, last + 1):
             self._set(leaf, 0)

@@ -275,8 +275,14 @@ def test_mix_meets_its_targets(spark):
 
 
 def test_edit_aware_counts_equal_full_encoding(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
     counter = token_counts.Counter(token_counts._path(None))
-    encode = lambda t: len(counter.tokenizer.encode(t, add_special_tokens=False).ids)
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))     # another library, the same vocabulary
+    reference.encode_special_tokens = True
+    encode = lambda t: len(reference.encode(t, add_special_tokens=False).ids)
+    for text in ("a" * 300_000, " " * 300_000 + "x", "é\n" * 100_000, "<|endoftext|> it's"):
+        assert token_counts.Tree.of(text, counter).total == encode(text)
     rng = random.Random(8)
     for _ in range(300):
         text = "".join(rng.choice("ab 'sé\n\t.1 \x1c!") for _ in range(rng.randint(0, 60)))
