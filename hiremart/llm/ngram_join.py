@@ -33,7 +33,7 @@ ROUNDS = 3
 #: A shingle in the low hashes of more than this many unlinked sets goes last in the global order.
 COMMON = 100
 
-#: Broadcast the lists of common shingles below this many in all (8 bytes each).
+#: Broadcast the common shingles, and the lists of them, below this many in all (8 bytes each).
 HELD = 4_000_000
 #: Longs of the parity bitmap: bit h(t) of a set is the parity of its shingles t there, so the
 #: set bits of x ^ y never exceed the size of the symmetric difference.
@@ -160,6 +160,30 @@ def _full_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str, text_co
     return texts.join(small(ids), "id", "left_semi").mapInArrow(run, "id long, tokens array<long>")
 
 
+def _listed_prefixes(docs: DataFrame, ids: DataFrame, common: DataFrame, width: int, num: int, den: int,
+                     id_col: str, text_col: str) -> DataFrame:
+    """``(rep, n, prefix)`` of the documents named in ``ids(id)``: their shingles by hash, common ones
+    last.  ``common`` goes to every worker; the caller has counted it."""
+    listed = np.sort(common.toPandas()["tok"].to_numpy(np.int64))
+    shared = docs.sparkSession.sparkContext.broadcast(listed)
+    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+
+    def run(batches):
+        last = shared.value
+        for b in batches:
+            n, prefix = [], [np.zeros(0, np.int64)]
+            for x in _sets(b.column(1), width):
+                late = last[np.minimum(np.searchsorted(last, x), len(last) - 1)] == x
+                n.append(len(x))
+                prefix.append(np.concatenate([x[~late], x[late]])[:_prefix_len(len(x), num, den)])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()),
+                                              T.lists(np.concatenate(prefix), [len(x) for x in prefix[1:]])], schema=schema)
+
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
+    return texts.join(small(ids.withColumnRenamed("id", "rep")), "rep", "left_semi").mapInArrow(
+        run, "rep long, n long, prefix array<long>")
+
+
 def verify_pairs(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pairs ``(a, b)`` of a written table whose whole sets reach the threshold (a written table)."""
@@ -232,14 +256,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
         done = both.where(~F.coalesce(short, F.lit(False))).select("rep", "n", "bits", "comp", F.expr(
             f"slice(CASE WHEN held IS NULL THEN low ELSE concat(rare, held) END, 1, {plen})").alias("prefix"))
         rest = keep(both.where(short).select("rep", "n", "bits", "comp"), "short")
-        tokens = _full_sets(docs, rest.select(F.col("rep").alias("id")), width, id_col, text_col)
-        ranked = (tokens.select(F.col("id").alias("rep"), F.explode("tokens").alias("tok")).distinct()
-                  .join(small(common.withColumn("last", F.lit(1))), "tok", "left")
-                  .withColumn("k", F.row_number().over(
-                      Window.partitionBy("rep").orderBy(F.coalesce("last", F.lit(0)), "tok"))))
-        redone = (ranked.join(small(rest), "rep").where(F.expr(f"k <= {plen}"))
-                  .groupBy("rep", "n", "bits", "comp").agg(F.array_sort(F.collect_list(F.struct("k", "tok"))).alias("p"))
-                  .select("rep", "n", "bits", "comp", F.col("p.tok").alias("prefix")))
+        ids = rest.select(F.col("rep").alias("id")).distinct()
+        if common.count() <= HELD:
+            redone = (_listed_prefixes(docs, ids, common, width, num, den, id_col, text_col).distinct()
+                      .join(small(rest), ["rep", "n"]).select("rep", "n", "bits", "comp", "prefix"))
+        else:
+            tokens = _full_sets(docs, ids, width, id_col, text_col)
+            ranked = (tokens.select(F.col("id").alias("rep"), F.explode("tokens").alias("tok")).distinct()
+                      .join(small(common.withColumn("last", F.lit(1))), "tok", "left")
+                      .withColumn("k", F.row_number().over(
+                          Window.partitionBy("rep").orderBy(F.coalesce("last", F.lit(0)), "tok"))))
+            redone = (ranked.join(small(rest), "rep").where(F.expr(f"k <= {plen}"))
+                      .groupBy("rep", "n", "bits", "comp").agg(F.array_sort(F.collect_list(F.struct("k", "tok"))).alias("p"))
+                      .select("rep", "n", "bits", "comp", F.col("p.tok").alias("prefix")))
         final = done.unionByName(redone)
 
     # group by size and prefix; filter group pairs

@@ -59,9 +59,10 @@ def brute_components(texts, width, num, den):
     return {i: (len(s), find(i)) for i, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize("common", [100, 2])
-def test_ngram_join_matches_brute_force(spark, monkeypatch, common):
+@pytest.mark.parametrize("common,held", [(100, 4_000_000), (2, 4_000_000), (2, 0)])
+def test_ngram_join_matches_brute_force(spark, monkeypatch, common, held):
     monkeypatch.setattr(ngram_join, "COMMON", common)
+    monkeypatch.setattr(ngram_join, "HELD", held)       # 0: the common shingles are joined, not listed
     rng = random.Random(3)
     shared = prose(rng, 60)
     texts = EDGE + [prose(rng, 2500)]
