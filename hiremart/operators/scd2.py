@@ -131,11 +131,11 @@ def scd2_step(current: DataFrame, staged: DataFrame, now, key: str = "employer_i
 
 
 def scd2_apply(dim: DataFrame, staged: DataFrame, now, key: str = "employer_id",
-               tracked: Sequence[str] = ATTRS) -> DataFrame:
+               tracked: Sequence[str] = ATTRS, step: int = 0) -> DataFrame:
     """Expire + insert as one plan with a single join on the key.
 
     History rows pass through untouched; the current rows go through
     ``scd2_step``.
     """
     history = dim.filter(~F.col("is_current"))
-    return history.unionByName(scd2_step(dim, staged, now, key, tracked))
+    return history.unionByName(scd2_step(dim, staged, now, key, tracked, step))

@@ -7,10 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hiremart.functions.columns import round_half_up
-
-FLOAT_DIGITS = 6
-
 
 def row_count(df: DataFrame, name: str) -> DataFrame:
     """``(table_name, row_count)`` for one table."""
@@ -49,14 +45,13 @@ def duration_stats(df: DataFrame, keys: Sequence[str], value: str, scale: float
     return (df.groupBy(*keys)
             .agg(n.cast("long").alias("runs"),
                  F.min(v).alias("min_ms"),
-                 round_half_up(F.avg(v), FLOAT_DIGITS).alias("avg_ms"),
+                 F.avg(v).alias("avg_ms"),
                  F.max(v).alias("max_ms"),
-                 round_half_up(F.when(n > 1, F.stddev_pop(v)).otherwise(F.lit(0.0)), FLOAT_DIGITS)
-                 .alias("std_ms")))
+                 F.when(n > 1, F.stddev_pop(v)).otherwise(F.lit(0.0)).alias("std_ms")))
 
 
 def mean_of_means(df: DataFrame, key: str, value: str) -> DataFrame:
     """The mean of per-item means for each ``key`` (e.g. engine)."""
     return (df.groupBy(key)
-            .agg(round_half_up(F.avg(value), FLOAT_DIGITS).alias("mean_of_means"),
+            .agg(F.avg(value).alias("mean_of_means"),
                  F.count(F.lit(1)).cast("long").alias("n_items")))

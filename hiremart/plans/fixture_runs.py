@@ -110,6 +110,17 @@ def employer_feed(spark: SparkSession, sf_dir: str):
     return _cached(spark, sf_dir, "employers", make)
 
 
+def dim_after_feed_same_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The employer dimension after the feed, which runs as step 1 of run 2 with its ``now``."""
+    def make():
+        ods, _ = employer_feed(spark, sf_dir)
+        return storage.materialize(
+            scd2.scd2_apply(warehouse_for(spark, sf_dir).dim_employer, scd2.stage_employers_from_feed(ods),
+                            RUN_2_AT, tracked=["employer_name", "alternate_url"], step=1),
+            f"{_base(spark, sf_dir)}/employers/dim_employer_same_run")
+    return _cached(spark, sf_dir, "feed_same_run", make)
+
+
 def ods_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ODS industries: the flattened dictionary upserted on its null-safe composite key."""
     def make():

@@ -13,6 +13,7 @@ from __future__ import annotations
 RUN_1_AT = "TIMESTAMP '1998-08-01 00:00:00'"
 RUN_2_AT = "TIMESTAMP '2001-09-01 00:00:00'"
 URL_PREFIX = "https://jobs.example.org/employer/"
+MOVED_PREFIX = "https://sites.example.com/"
 
 # --------------------------------------------------------------- stand-in ----
 POSTINGS = f"""
@@ -135,7 +136,8 @@ FEED_AT = "TIMESTAMP '2001-09-01 00:10:00'"
 EMPLOYER_FEED = f"""
 feed AS (
   SELECT c.c_custkey AS employer_id, c.c_name AS employer_name,
-         '{URL_PREFIX}' || CAST(c.c_custkey AS VARCHAR) AS alternate_url,
+         CASE WHEN c.c_custkey % 7 = 0 THEN '{MOVED_PREFIX}' ELSE '{URL_PREFIX}' END
+           || CAST(c.c_custkey AS VARCHAR) AS alternate_url,
          n.n_name AS area_name,
          CAST(CAST(trunc(abs(c.c_acctbal)) AS BIGINT) % 100 AS INTEGER) AS open_vacancies
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -327,6 +329,21 @@ FROM staged2 WHERE employer_id NOT IN (SELECT employer_id FROM staged1)""")
     q["scd2_full"] = with_ctes(*STAR_EMP, body=f"SELECT {DIM_EMP_COLS} FROM dim_employer")
     q["scd2_tracked_subset"] = with_ctes(*STAR_EMP, EMPLOYER_FEED,
                                          body=f"SELECT {DIM_EMP_COLS} FROM dim_after_feed")
+    same_run = EMPLOYER_FEED.replace(FEED_AT, RUN_2_AT)
+    q["scd2_feed_same_run"] = with_ctes(*STAR_EMP, same_run, body=f"""
+SELECT {DIM_EMP_COLS}, CAST(1 AS BIGINT) AS rows_of_key FROM dim_after_feed""")
+    q["mart_top_employers_after_feed"] = with_ctes(*STAR_EMP, same_run, """
+kept_versions AS (
+  SELECT * FROM dim_employer WHERE is_current AND employer_id NOT IN (SELECT employer_id FROM fchanged)
+)""", mart_top_cte(20, employers="kept_versions"), body="SELECT * FROM m4")
+    q["raw_lossless"] = with_ctes(POSTINGS, body="""
+SELECT p.vacancy_id, CASE WHEN p.salary_gross THEN 'true' ELSE 'false' END AS premium,
+       CAST(COALESCE(r.n, 0) AS INTEGER) AS responses, p.name AS label, p.salary_from
+FROM postings p LEFT JOIN (SELECT vacancy_id, COUNT(*) AS n FROM role_pairs GROUP BY vacancy_id) r
+  ON r.vacancy_id = p.vacancy_id""")
+    q["stream_one_trigger"] = with_ctes(POSTINGS, body=f"""
+SELECT vacancy_id AS id, CASE WHEN published_at < {RUN_1_AT} THEN name ELSE 'draft' END AS name, employer_name
+FROM postings""")
     q["fact_incremental"] = with_ctes(*STAR_EMP, body=f"""
 SELECT vacancy_id, name, employer_id,
        CASE version WHEN 1 THEN {RUN_1_AT} ELSE {RUN_2_AT} END AS employer_version,
@@ -467,7 +484,7 @@ SELECT event_type, COUNT(value) AS runs, MIN(value * 1000.0) AS min_ms,
 FROM events GROUP BY event_type"""
     q["mean_of_means"] = """
 SELECT event_type, floor(AVG(avg_ms) * 1000000.0 + 0.5) / 1000000.0 AS mean_of_means, COUNT(*) AS n_items FROM (
-  SELECT event_type, user_id, floor(AVG(value * 1000.0) * 1000000.0 + 0.5) / 1000000.0 AS avg_ms
+  SELECT event_type, user_id, AVG(value * 1000.0) AS avg_ms
   FROM events GROUP BY event_type, user_id)
 GROUP BY event_type"""
     return q

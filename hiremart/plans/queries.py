@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiremart import schemas, storage
-from hiremart.functions.columns import currency_label, naive_timestamp, salary_point
+from hiremart.functions.columns import currency_label, naive_timestamp, round_half_up, salary_point
 from hiremart.operators import bi, dims, facts, flatten, marts, quality, scd2, stats
 from hiremart.operators import upsert as up
 from hiremart.operators.staging import stage_postings
@@ -37,6 +37,11 @@ def _ntz(c):
     return F.col(c).cast("timestamp_ntz") if isinstance(c, str) else c.cast("timestamp_ntz")
 
 
+def _rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
+    """Floating means as shown: their last bits depend on the order of summation."""
+    return df.withColumns({c: round_half_up(c, digits) for c in cols})
+
+
 def _wh(spark, sf_dir):
     return FR.warehouse_for(spark, sf_dir)
 
@@ -105,6 +110,27 @@ def q_enrich_fallback(spark, sf_dir):
                       F.col("item.name").alias("name"))
 
 
+@register("raw_lossless")
+def q_raw_lossless(spark, sf_dir):
+    """Documents with members the reader does not declare, landed as page files,
+    read and flattened; the members are read back from the ODS ``raw`` text."""
+    path = scratch_path(spark, "landing-whole")
+    items = FR.landing_items(spark, sf_dir)
+    it = F.col("item")
+    wider = items.withColumn("item", (
+        it.withField("premium", it.getField("salary").getField("gross"))
+        .withField("responses", F.coalesce(F.size(it.getField("professional_roles")), F.lit(0)))
+        .withField("contacts", F.struct(F.struct(it.getField("name").alias("label")).alias("person")))))
+    landing.write_pages(driver.pages_of(wider), path)
+    batch = flatten.flatten_postings(landing.read_paged_items(spark, path, schemas.POSTING_PAGE))
+    ods = up.upsert(schemas.empty(spark, schemas.ODS_POSTINGS), batch, ["id"], flatten.last_write(batch))
+    member = lambda p: F.get_json_object("raw", p)
+    return ods.select(F.col("id").alias("vacancy_id"), member("$.premium").alias("premium"),
+                      member("$.responses").cast("int").alias("responses"),
+                      member("$.contacts.person.label").alias("label"),
+                      member("$.salary.from").cast("decimal(18,2)").alias("salary_from"))
+
+
 # -------------------------------------------------------------------- sinks --
 def _events(spark, sf_dir):
     ev = driver.events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type", "value")
@@ -289,6 +315,17 @@ def q_scd2_tracked_subset(spark, sf_dir):
     return _dim_out(dim)
 
 
+@register("scd2_feed_same_run")
+def q_scd2_feed_same_run(spark, sf_dir):
+    """D8 with the vacancy step's own ``now``, as a scheduled run gives it: versions and,
+    per version, how many rows carry its surrogate key (always one)."""
+    dim = FR.dim_after_feed_same_run(spark, sf_dir)
+    copies = dim.groupBy("employer_sk").agg(F.count(F.lit(1)).cast("long").alias("rows_of_key"))
+    return dim.join(copies, "employer_sk").select(
+        *DIM_EMP_OUT, _ntz("valid_from").alias("valid_from"), _ntz("valid_to").alias("valid_to"),
+        "is_current", "rows_of_key")
+
+
 @register("fact_incremental")
 def q_fact_incremental(spark, sf_dir):
     """The vacancy fact after both runs (run-1 rows kept: first write wins)."""
@@ -435,6 +472,15 @@ def q_mart_top_employers_k3(spark, sf_dir):
     return marts.mart_top_employers(_star(spark, sf_dir), k=3)
 
 
+@register("mart_top_employers_after_feed")
+def q_mart_top_employers_after_feed(spark, sf_dir):
+    """M4 after the employer feed of the same run: facts of a version it closed no longer count."""
+    wh = _wh(spark, sf_dir)
+    star = marts.star(wh.fact_vacancy, wh.bridge_role, wh.dim_role, wh.dim_area,
+                      FR.dim_after_feed_same_run(spark, sf_dir))
+    return marts.mart_top_employers(star, k=20)
+
+
 @register("mart_currency")
 def q_mart_currency(spark, sf_dir):
     """M5: currency structure by role × area."""
@@ -509,14 +555,14 @@ def q_bench_by_json_key(spark, sf_dir):
 @register("duration_stats")
 def q_duration_stats(spark, sf_dir):
     """min/avg/max/population-std of event values (as seconds) per event type."""
-    return stats.duration_stats(driver.events(spark, sf_dir), ["event_type"], "value")
+    return _rounded(stats.duration_stats(driver.events(spark, sf_dir), ["event_type"], "value"), 6, "avg_ms", "std_ms")
 
 
 @register("mean_of_means")
 def q_mean_of_means(spark, sf_dir):
     """Per event type, the mean over users of each user's mean value."""
     per_user = stats.duration_stats(driver.events(spark, sf_dir), ["event_type", "user_id"], "value")
-    return stats.mean_of_means(per_user, "event_type", "avg_ms")
+    return _rounded(stats.mean_of_means(per_user, "event_type", "avg_ms"), 6, "mean_of_means")
 
 
 # --------------------------------------------------------------- streaming ----
@@ -543,3 +589,23 @@ def q_stream_cycles(spark, sf_dir):
             .select("vacancy_id", "name", "employer_id", _ntz("valid_from").alias("employer_version"),
                     "area_id", "published_date", "salary_from", "salary_to", "salary_currency",
                     "salary_gross", _ntz("created_at").alias("created_at")))
+
+
+@register("stream_one_trigger")
+def q_stream_one_trigger(spark, sf_dir):
+    """Two fetches landed before one trigger: the later fetch wins although its pages come
+    first.  The earlier one names every posting ``draft``, the later one (of the postings
+    before run 1) has the names as they are; returns the ODS."""
+    from hiremart.streaming import microbatch
+
+    root = scratch_path(spark, "stream-once")
+    items = FR.landing_items(spark, sf_dir)
+    drafts = items.withColumn("item", F.col("item").withField("name", F.lit("draft"))).withColumn(
+        "_page", F.col("_page") + F.lit(1_000_000))
+    for fetch, fetched in ((1, drafts), (2, FR.fetched_at(items, FR.RUN_1_AT))):
+        (driver.pages_of(fetched).withColumn("fetch", F.lit(fetch).cast("long"))
+         .write.mode("append").json(f"{root}/landing"))
+    last = microbatch.run_available(spark, f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint",
+                                    clock=lambda _: FR.RUN_2_AT)
+    ods = microbatch.read_committed(spark, f"{root}/warehouse", last).ods_postings
+    return ods.select("id", "name", "employer_name")

@@ -31,7 +31,8 @@ from hiremart.constants import PAGE_SIZE
 CURRENCIES = ["RUR", "USD", "", None]          # by o_orderkey % 4
 OFFSETS = ["+0300", "-0500", "Z"]              # by o_orderkey % 3
 URL_PREFIX = "https://jobs.example.org/employer/"
-SITE_SUFFIX = ".example.com"
+#: Employers whose own site the feed names instead (every 7th key): the feed opens new versions of them.
+MOVED_PREFIX, MOVED_EVERY = "https://sites.example.com/", 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,7 +135,8 @@ def employer_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("name"),
         F.struct(F.col("c_nationkey").cast("string").alias("id"), F.col("n_name").alias("name")).alias("area"),
         F.pmod(F.abs(F.col("c_acctbal")).cast("long"), F.lit(100)).cast("int").alias("open_vacancies"),
-        F.concat(F.lit(URL_PREFIX), k.cast("string")).alias("site_url"))
+        F.concat(F.when(F.pmod(k, F.lit(MOVED_EVERY)) == 0, F.lit(MOVED_PREFIX)).otherwise(F.lit(URL_PREFIX)),
+                 k.cast("string")).alias("site_url"))
     return (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select(F.floor(k / PAGE_SIZE).alias("_page"),
                     F.pmod(k, F.lit(PAGE_SIZE)).cast("int").alias("_pos"),

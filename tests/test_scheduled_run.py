@@ -37,7 +37,7 @@ def test_two_runs_from_landed_files(spark):
                              now=at, as_of=FR.AS_OF_DATE)
     q = E.queries()
     for mart, key in [("salary", "mart_salary"), ("regions", "mart_regions"), ("trends", "mart_trends"),
-                      ("top_employers", "mart_top_employers"), ("currency", "mart_currency")]:
+                      ("top_employers", "mart_top_employers_after_feed"), ("currency", "mart_currency")]:
         got = state.marts[mart]
         assert rows(got) == rows(q[key](spark, SF).select(*got.columns)), mart
     checks = {r["check"]: r["status"] for r in state.checks.collect()}
