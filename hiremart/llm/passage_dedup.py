@@ -5,12 +5,18 @@ sentences at places their words choose, so a passage copied into the middle of a
 paragraph is cut the same way everywhere.  Passages whose MinHash bands collide are
 candidates; exact Jaccard of their word shingles verifies them; connected components
 that reach two documents are repeats, of which the first occurrence stays.
+
+Copied runs of words need no sentence: of every WINDOW consecutive runs of COPY words the
+one of least hash is an anchor, so a run of COPY + WINDOW - 1 words copied from anywhere to
+anywhere has an anchor in common.  Anchors of two documents are compared with their first
+occurrence word by word on both sides, as far as the next anchor can be, and joined.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,6 +31,8 @@ SHINGLE, LEAST, MIN_WORDS, LONG_WORDS, CUT_ONE_IN = 5, 80, 10, 40, 16
 MIN_RUN, GAP = 16, 80
 #: Bands of rows: a pair at similarity 0.8 collides in a band with probability 1 - (1 - 0.8^3)^8 = 0.997.
 BANDS, ROWS = 8, 3
+#: Words of an anchor, and how many consecutive runs of that many words hold at least one.
+COPY, WINDOW = 16, 16
 #: Longs of a passage's parity bitmap: bit h(t) is the parity of its shingles t there, so the set
 #: bits of x ^ y never exceed the symmetric difference of two shingle sets.
 BITS = 2
@@ -62,6 +70,27 @@ def passages(data: np.ndarray, off: np.ndarray, min_words: int):
     return doc[start[ok]], start[ok], end[ok], h, s, e
 
 
+def anchors(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, place (word of the chunk) and text of each anchor; ``first`` has the place of
+    every text's first word and the number of words."""
+    n = len(h) - COPY + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.arange(n)
+    of = np.searchsorted(first, at, side="right") - 1
+    g = _content(h, at, at + COPY)
+    whole = at + COPY <= first[of + 1]
+    key = np.full(n + WINDOW, np.uint64(0xFFFFFFFFFFFFFFFF))
+    key[:n][whole] = ((g.view(np.uint64) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64))[whole]
+    # windows of a text: those that end in it, and the first; no window that starts with a whole run leaves its text
+    begin = whole & ((at + COPY + WINDOW - 1 <= first[of + 1]) | (at == first[of]))
+    for step in (1, 2, 4, 8):
+        key[:-step] = np.minimum(key[:-step], key[step:])
+    place = (key[:n][begin] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    place = place[np.append(True, place[1:] != place[:-1])[:len(place)]]
+    return g[place], place, of[place]
+
+
 def shingles(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of the passages' word shingles, flat, and how many each passage has."""
     w = T.window_hashes(h, SHINGLE)
@@ -108,31 +137,45 @@ def _close(least: int) -> str:
 
 
 def cut_passages(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per passage: ``doc_id, start, end`` (code points), ``n_words``, ``h`` (hash of its
-    words), ``n`` (distinct shingles), ``x0, x1`` (their parity bitmap) and its band keys."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64()),
+    """One row per passage: ``doc_id, start, end`` (code points), ``word`` (its first), ``n_words``, ``h`` (hash of its
+    words), ``n`` (distinct shingles), ``x0, x1`` (their parity bitmap) and its band keys; one row per text
+    with anchors: ``doc_id, t`` (hash of the text), ``anchors`` and their places ``at``, the others null."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("word", pa.int64()), ("n_words", pa.int64()),
                         ("h", pa.int64()), ("n", pa.int64()), *[(f"x{k}", pa.int64()) for k in range(BITS)],
-                        ("bands", pa.list_(pa.int64()))])
+                        ("bands", pa.list_(pa.int64())), ("t", pa.int64()), ("anchors", pa.list_(pa.int64())), ("at", pa.list_(pa.int64()))])
 
     def run(batches):
         for b in batches:
             for i, j, data, off in T.chunks(b.column(1)):
                 doc, first, last, h, s, e = passages(data, off, min_words)
+                heads = np.searchsorted(s, off)
+                a, at, of = anchors(h, heads)
+                has, many = np.unique(of, return_counts=True)
+                ids, none = b.column(0).slice(i, j - i), [pa.nulls(len(has), f.type) for f in schema]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(has)), *none[1:-3], b.column(2).slice(i, j - i).take(pa.array(has)),
+                     T.lists(a, many), T.lists(at - heads[of], many)], schema=schema)
                 w, count = shingles(h, first, last)
                 size, bits = set_bitmaps(w, count)
                 points = np.zeros(len(data) + 1, np.int64)
                 np.cumsum((data & 0xC0) != 0x80, out=points[1:])
                 base = points[off[:-1]][doc] if len(doc) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i).take(pa.array(doc)),
+                    [ids.take(pa.array(doc)),
                      pa.array(points[s[first]] - base), pa.array(points[e[last - 1]] - base),
-                     pa.array(last - first), pa.array(_content(h, first, last)),
+                     pa.array(first - heads[doc]), pa.array(last - first), pa.array(_content(h, first, last)),
                      pa.array(size.astype(np.int64)), *[pa.array(bits[:, k]) for k in range(BITS)],
-                     T.lists(band_keys(w, count).ravel(), np.full(len(count), BANDS))], schema=schema)
+                     T.lists(band_keys(w, count).ravel(), np.full(len(count), BANDS)),
+                     *[pa.nulls(len(count), f.type) for f in list(schema)[-3:]]], schema=schema)
+
+    return _texts(docs, id_col, text_col).mapInArrow(
+        run, "doc_id long, start long, end long, word long, n_words long, h long, n long, "
+        + "".join(f"x{k} long, " for k in range(BITS)) + "bands array<long>, t long, anchors array<long>, at array<long>")
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        run, "doc_id long, start long, end long, n_words long, h long, n long, "
-        + "".join(f"x{k} long, " for k in range(BITS)) + "bands array<long>")
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
 
 
 def _content(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -176,23 +219,120 @@ def _verify(docs: DataFrame, cut: DataFrame, pairs: DataFrame, min_words: int, l
     return keep(joined.mapInArrow(check, "a long, b long"), "passage_links")
 
 
+def copied_runs(docs: DataFrame, cut: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Runs of words that anchors of ``cut`` (rows of ``cut_passages()``) share with their first
+    occurrence: the output columns but ``run_words``, and ``word``.  One row per longest run
+    (``removed``) and one for each place of a first occurrence that it was compared with."""
+    each = cut.where("anchors IS NOT NULL").select("doc_id", F.explode("anchors").alias("a"))
+    live = small(keep(each.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                      .where("lo < hi").drop("hi"), "copied_anchors"))
+    ids = small(keep(each.join(live, "a", "left_semi").select("doc_id").distinct(), "copied_docs"))
+    texts = _texts(docs, id_col, text_col)
+    width = 2 * WINDOW
+    schema = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int64()), ("a", pa.int64()), ("around", pa.binary())])
+
+    def around(batches):
+        """The hashes of the WINDOW words before and after each anchor (0: the text ends)."""
+        for b in batches:
+            for i, j, data, off in T.chunks(b.column(1)):
+                s, e, _ = T.words(data, off)
+                h, heads = T.span_hashes(T.LOWER[data], s, e), np.searchsorted(s, off)
+                a, at, of = anchors(h, heads)
+                if not len(a):
+                    continue
+                side = np.arange(WINDOW)
+                place = at[:, None] + np.concatenate([-1 - side, COPY + side])
+                inside = (place >= heads[of][:, None]) & (place < heads[of + 1][:, None])
+                hashes = np.where(inside, h[np.clip(place, 0, len(h) - 1)] | np.uint64(1), np.uint64(0))
+                flat = pa.py_buffer(np.ascontiguousarray(hashes))
+                ends = pa.py_buffer(np.arange(len(a) + 1, dtype=np.int32) * np.int32(8 * width))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(c).slice(i, j - i).take(pa.array(of)) for c in (0, 2)]
+                    + [pa.array(at - heads[of]), pa.array(a), pa.Array.from_buffers(pa.binary(), len(a), [None, ends, flat])], schema=schema)
+
+    found = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text", "t").mapInArrow(
+        around, "doc_id long, t long, at long, a long, around binary")
+    found = keep(found.join(live, "a"), "copied_around")
+    lead = keep(found.where("doc_id = lo").groupBy("a").agg(F.min(F.struct("at", "t", "around")).alias("lead"))
+                .select("a", F.col("lead.at").alias("l_at"), F.col("lead.t").alias("l_t"), F.col("lead.around").alias("l_around")), "copied_leads")
+    out = pa.schema([(c, pa.int64()) for c in ("doc_id", "t", "lo", "l_t", "word", "last", "apart")])
+
+    def compare(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, 2, WINDOW) for c in ("around", "l_around"))
+            same = np.minimum.accumulate(((x == y) & (x != 0)).astype(np.int64), axis=2).sum(axis=2)
+            at, l_at = b.column("at").to_numpy(), b.column("l_at").to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", "t", "lo", "l_t")] + [
+                pa.array(at - same[:, 0]), pa.array(at + COPY + same[:, 1]), pa.array(at - l_at)], schema=out)
+
+    met = (found.join(small(lead, 100_000), "a").where("doc_id <> lo OR at <> l_at OR t <> l_t")
+           .select("doc_id", "t", "lo", "l_t", "at", "l_at", "around", "l_around")
+           .mapInArrow(compare, ", ".join(f"{c} long" for c in out.names)))
+    met = keep(met, "copied_met")
+    pair = ["doc_id", "t", "lo", "l_t", "apart"]
+    w = Window.partitionBy(*pair).orderBy("word", "last")
+    met = met.withColumn("_new", F.when(F.col("word") > F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1)), 1).otherwise(0))
+    met = met.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = keep(met.groupBy(*pair, "_run").agg(F.min("word").alias("word"), F.max("last").alias("last"))
+                .withColumn("component_id", F.xxhash64("lo", "l_t", F.col("word") - F.col("apart"), F.col("last") - F.col("apart"))), "copied_runs")
+    # an anchor has two documents, so has a part of a run that only its first document repeats whole
+    n_docs = (runs.select("component_id", "doc_id", "lo").distinct().groupBy("component_id").agg(F.greatest(
+        F.count(F.when(F.col("doc_id") != F.col("lo"), 1)) + 1, F.lit(2)).cast("long").alias("n_docs")))
+    n_docs = small(keep(n_docs, "copied_sizes"))
+    copies = runs.select("doc_id", "t", "word", "last", "component_id", "lo", F.lit(True).alias("removed"))
+    firsts = runs.select(F.col("lo").alias("doc_id"), F.col("l_t").alias("t"), F.expr("word - apart AS word"), F.expr("last - apart AS last"),
+                         "component_id", "lo", F.lit(False).alias("removed")).distinct()
+    rows = copies.unionByName(firsts).join(n_docs, "component_id")
+    held = ["word", "last", "component_id", "n_docs", "lo", "removed"]
+    per = keep(rows.groupBy("doc_id", "t").agg(F.collect_list(F.struct(*held)).alias("runs")), "copied_per_text")
+    kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("word", pa.int64()), ("n_words", pa.int64()),
+             ("component_id", pa.int64()), ("n_docs", pa.int64()), ("first_doc_id", pa.int64()), ("removed", pa.bool_())]
+
+    def place(batches):
+        for b in batches:
+            for i, j, data, off in T.chunks(b.column(1)):
+                s, e, _ = T.words(data, off)
+                heads, points = np.searchsorted(s, off), np.zeros(len(data) + 1, np.int64)
+                np.cumsum((data & 0xC0) != 0x80, out=points[1:])
+                lists = b.column(2).slice(i, j - i)
+                of = pc.list_parent_indices(lists).to_numpy()
+                flat = lists.flatten()
+                col = {c: flat.field(flat.type.get_field_index(c)) for c in held}
+                first, last = col["word"].to_numpy(), col["last"].to_numpy()
+                base = points[off[:-1]][of]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i).take(pa.array(of)), pa.array(points[s[first + heads[of]]] - base),
+                     pa.array(points[e[last + heads[of] - 1]] - base), col["word"], pa.array(last - first),
+                     col["component_id"], col["n_docs"], col["lo"], col["removed"]], schema=pa.schema(kinds))
+
+    return keep(texts.join(small(per, 10_000), ["doc_id", "t"]).select("doc_id", "text", "runs").mapInArrow(
+        place, ", ".join(f"{c} {'boolean' if c == 'removed' else 'long'}" for c, _ in kinds)).distinct(), "copies")
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, least: int = LEAST, min_run: int = MIN_RUN,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per passage that repeats across documents: ``doc_id, start, end`` (code points,
+    """One row per passage or copied run that repeats across documents: ``doc_id, start, end`` (code points,
     end exclusive), ``n_words, component_id, n_docs, first_doc_id, removed, run_words``.
 
     Passages of ``min_words`` words or more link when their 5-word shingles' Jaccard
     similarity is ``least`` percent or more; ``component_id`` names a component of links,
     ``n_docs`` its documents.  All occurrences but the first (smallest doc_id, then
-    start) are ``removed``.  Repeated passages that follow each other in a document form a
-    run of ``run_words`` words; runs of fewer than ``min_run`` words (common phrases and
+    start) are ``removed``.  A run of COPY + WINDOW - 1 words or more that is copied word by word
+    from any place to any other, with or without sentence ends, is a row of its own besides
+    the passages in it (rows may overlap; shorter runs are rows if they hold an anchor).
+    Repeated passages and runs that follow each other or overlap in a document form a
+    run of ``run_words`` words, each word counted once; runs of fewer than ``min_run`` words (common phrases and
     notices) are not returned.  Repeats within one document only are not returned.  Null or
     empty texts have no passages, rows with a null id are left out, rows repeating an id
     are one document (equal rows count once); other columns are ignored; an empty table
     gives no rows.
     """
     prepare(docs.sparkSession)
-    cut = keep(cut_passages(docs, min_words, id_col, text_col).where("doc_id IS NOT NULL"), "passages")
+    every = keep(cut_passages(docs, min_words, id_col, text_col).where("doc_id IS NOT NULL"), "passages")
+    cut = every.where("anchors IS NULL").drop("t", "anchors", "at")
+    copies = copied_runs(docs, every, id_col, text_col)
     sizes = ["n", *[f"x{k}" for k in range(BITS)]]
     bands = cut.select("h", F.explode("bands").alias("band"))
     live = keep(bands.groupBy("band").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").drop("hi"), "live_bands")
@@ -227,13 +367,17 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, least: int =
     docs_in = (rows.join(small(spread.select("component_id")), "component_id", "left_semi").select("component_id", "doc_id").distinct()
                .groupBy("component_id").agg(F.count(F.lit(1)).alias("n_docs")))
     found = keep(spread.join(docs_in, "component_id"), "repeat_sizes")
-    hits = rows.join(small(found), "component_id")
+    hits = rows.join(small(found), "component_id").select(
+        "doc_id", "start", "end", "word", "n_words", "component_id", "n_docs", F.col("first.doc_id").alias("first_doc_id"),
+        ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))).alias("removed"))
+    hits = hits.unionByName(copies)
     w = Window.partitionBy("doc_id").orderBy("start", "end")
-    hits = (hits.withColumn("_new", F.when(F.col("start") - F.lag("end", 1, -1 << 40).over(w) > GAP, 1).otherwise(0))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    last = F.col("word") + F.col("n_words")
+    fresh = last - F.greatest(F.col("word"), F.coalesce(F.max(last).over(before), F.lit(0)))
+    hits = (hits.withColumn("_new", F.when(F.col("start") - F.coalesce(F.max("end").over(before), F.lit(-1 << 40)) > GAP, 1).otherwise(0))
+            .withColumn("_fresh", F.greatest(fresh, F.lit(0)))
             .withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "_run")))
+            .withColumn("run_words", F.sum("_fresh").over(Window.partitionBy("doc_id", "_run")))
             .where(F.col("run_words") >= min_run))
-    return hits.select(
-        "doc_id", "start", "end", "n_words", "component_id", "n_docs", F.col("first.doc_id").alias("first_doc_id"),
-        ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))).alias("removed"),
-        "run_words")
+    return hits.select("doc_id", "start", "end", "n_words", "component_id", "n_docs", "first_doc_id", "removed", "run_words")

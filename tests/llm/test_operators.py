@@ -218,6 +218,43 @@ def test_repeated_passages_are_found_and_clean_texts_are_not(spark):
     assert passage_dedup.repeated_passages(frame(spark, EDGE).limit(0)).count() == 0
 
 
+def test_copies_without_sentences_or_of_short_ones_are_found_mid_sentence(spark):
+    rng = random.Random(12)
+    texts, planted = [], {}
+    for k in range(12):         # 51 words: no mark at all, sentences of 5 words, lines of 6, two sentences
+        w = prose(rng, 51).split()
+        if k % 4 == 1:
+            w = [x + "." if i % 5 == 4 else x for i, x in enumerate(w)]
+        copy = "\n".join(" ".join(w[i:i + 6]) for i in range(0, 51, 6)) if k % 4 == 2 else " ".join(w)
+        if k % 4 == 3:
+            copy = " ".join([*w[:25], w[25] + ".", *w[26:]])
+        for _ in range(2):
+            before = prose(rng, rng.randint(9, 70)) + " é "
+            planted[len(texts)] = (len(before), len(before) + len(copy))
+            texts.append(before + copy + " é" + str(rng.random()) + " " + prose(rng, rng.randint(9, 70)))
+    rows = passage_dedup.repeated_passages(frame(spark, texts)).collect()
+    cover = {i: set() for i in planted}
+    for r in rows:
+        assert r["run_words"] <= 56
+        cover[r["doc_id"]].update(range(r["start"], r["end"]))
+    for i, (s, e) in planted.items():
+        assert cover[i] >= set(range(s, e)), (i, sorted(set(range(s, e)) - cover[i])[:3])
+        assert any(r["removed"] and r["first_doc_id"] == i - 1 for r in rows if r["doc_id"] == i) == (i % 2 == 1)
+
+
+def test_anchors_bound_the_gap_between_them():
+    rng = np.random.default_rng(3)
+    sizes = [0, 3, 15, 16, 31, 200, 1, 5000]
+    h = rng.integers(1, 2**63, sum(sizes)).astype(np.uint64)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    _, at, of = passage_dedup.anchors(h, first)
+    for k, n in enumerate(sizes):
+        own = at[of == k] - first[k]
+        assert len(own) == 0 if n < 16 else own[0] < 16 and own[-1] + 16 <= n
+        if n >= 31:
+            assert max(np.diff([-1, *own, n - 15])) <= 16
+
+
 def test_packing_places_every_piece_once(spark):
     rng = random.Random(4)
     texts = EDGE + [prose(rng, rng.choice([3, 40, 200, 900])) for _ in range(80)] + [prose(rng, 4000), "The, THE's <|endoftext|> 12é"]
