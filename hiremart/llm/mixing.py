@@ -103,9 +103,24 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int, .
 def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mixed corpus: a document as often as it is taken whole, and a source's
     boundary document once more with the first words of its last, partial taking.
-    Documents taken 0 times (also those without words) go.  ``docs`` has one row per doc_id."""
-    taken = mixed.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    full = (docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    Documents taken 0 times (also those without words) go.
+
+    Rows of equal id, source and size share a key in ``mix()`` and are taken one after the
+    other, so the sum of their takings is dealt to them in the order of their texts; null
+    ids and sources are values of their own."""
+    def named(id_, source):
+        return [F.coalesce(id_, F.lit(0)).alias("_id"), id_.isNull().alias("_no_id"),
+                F.coalesce(source, F.lit("")).alias("_source"), source.isNull().alias("_no_source")]
+
+    same = ["_id", "_no_id", "_source", "_no_source", "_size"]
+    taken = (mixed.select(*named(F.col("doc_id"), F.col("source")), F.col("size").alias("_size"), "taken").where("_size > 0")
+             .groupBy(*same).agg(F.count(F.lit(1)).alias("_rows"), F.sum("taken").alias("_sum")).where("_sum > 0"))
+    sized = docs.select("*", *named(F.col("doc_id").cast("long"), F.col("source").cast("string")), word_count(F.col("text")).alias("_size"))
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64("text"), "text"))
+    rest = F.expr("_sum % (_rows * _size) - (_nth - 1L) * _size")
+    full = (sized.where("_size > 0").withColumn("_nth", nth).join(taken, same)
+            .withColumn("_taken", F.expr("_sum div (_rows * _size) * _size") + F.greatest(F.lit(0), F.least(F.col("_size"), rest)))
+            .where("_taken > 0")
             .withColumn("_copy", F.expr("explode(sequence(1L, (_taken + _size - 1) div _size))")))
     left = F.expr("least(_size, _taken - (_copy - 1) * _size)")
     cut = F.expr(r"array_join(slice(filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> ''), 1, "

@@ -312,6 +312,28 @@ def test_mix_meets_its_targets(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mix_takes_rows_with_null_and_repeated_ids_once_each(spark):
+    rng = random.Random(16)
+    texts = EDGE + [f"row{i} " + prose(rng, 1 + i % 4) for i in range(120)] + ["the same five words here"] * 6
+    ids = [None if i % 3 == 0 else i % 20 for i in range(len(texts))]
+    sources = [None if i % 5 == 0 else f"s{i % 4}" for i in range(len(texts))]
+    docs = frame(spark, texts, ids=ids, sources=sources)
+    taken, got = {}, {}
+    for r in mixing.mix(docs).collect():
+        key = (r["doc_id"], r["source"], r["size"])
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+        assert key[2] == 0 or r["taken"] <= 2 * r["size"]
+    copies = mixing.apply_mix(docs, mixing.mix(docs)).collect()
+    for r in copies:
+        got[r["source"]] = got.get(r["source"], 0) + len(WORD.findall(r["text"]))
+    assert got == taken
+    there = {}
+    for t in texts:
+        there[t] = there.get(t, 0) + 1
+    whole = [r["text"] for r in copies if r["text"] in there]
+    assert all(whole.count(t) <= 2 * there[t] for t in set(whole)) and len(copies) - len(whole) <= 5
+
+
 def test_edit_aware_counts_equal_full_encoding(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
