@@ -44,14 +44,15 @@ def _pattern(kind: str) -> Column:
     return F.lit(PATTERNS[kind])
 
 
-def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataFrame:
+def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, keyed: bool) -> DataFrame:
     """A written table, one row per row of ``docs``: row number, id, owner and, per kind,
-    the matches with the length of the text before each (since the match before)."""
+    the matches with the length of the text before each (since the match before); ``keyed``: the text's hash."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     t = F.col("t")
     might = {"assign": t.contains("=") | t.contains(":"), "access": t.contains("AKIA")}
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(owner_col).cast("string").alias("owner"), text.alias("t"))
+                       F.col(owner_col).cast("string").alias("owner"), text.alias("t"),
+                       *([F.sha2(text.cast("binary"), 256).alias("text_sha256")] if keyed else []))
     none = F.array().cast("array<struct<gap:int,hit:string>>")
     for kind in KINDS:
         m = F.when(might.get(kind, F.lit(True)), F.regexp_extract_all("t", _pattern(kind), F.lit(0)))
@@ -99,7 +100,7 @@ def ownership(spans: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFra
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+         example_owners: int = EXAMPLE_OWNERS, keyed: bool = True) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live,
     n_example`` and ``found``, the spans as structs ``start, k, end, kind, example``.
 
@@ -107,15 +108,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     then kind as listed, comma-joined; code points, end exclusive.  ``n_live`` counts
     spans whose value one owner holds, ``n_example`` those of copied examples.  A null or
     empty text has none.  A null owner is one owner, a null id one repository; repeated
-    rows each get their result and count as one repository.  Other columns are ignored.
+    rows each get their result and count as one repository.  ``keyed`` adds ``text_sha256``,
+    by which ``redact()`` finds the text again.  Other columns are ignored.
     """
-    found = candidates(docs, id_col, text_col, owner_col)
+    found = candidates(docs, id_col, text_col, owner_col, keyed)
+    key = ["text_sha256"] if keyed else []
     spans = keep(spans_of(found), "secret_spans")
     verdict = small(keep(ownership(spans, example_owners), "secret_owners"))
     judged = spans.join(verdict, "value_hash").where("k < 3 OR NOT example")
     one = F.struct("start", "k", "end", "kind", "example", (F.col("owners") == 1).alias("live"))
     per_row = judged.groupBy("row").agg(F.array_sort(F.collect_list(one)).alias("found"))
-    rows = found.select("row", "doc_id").join(per_row, "row", "left").withColumn(
+    rows = found.select("row", "doc_id", *key).join(per_row, "row", "left").withColumn(
         "found", F.coalesce("found", F.array().cast(
             "array<struct<start:bigint,k:int,end:bigint,kind:string,example:boolean,live:boolean>>")))
     text = "x -> concat(x.kind, ':', x.start, ':', x.end)"
@@ -124,15 +127,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
         "doc_id", count("x.k = 0").alias("n_assign"), count("x.k = 1").alias("n_access"), count("x.k = 2").alias("n_hex"),
         F.expr(f"sha2(array_join(transform(filter(found, x -> x.k < 3), {text}), ','), 256)").alias("base_sha256"),
         F.expr(f"array_join(transform(found, {text}), ',')").alias("spans"),
-        count("x.live").alias("n_live"), count("x.example").alias("n_example"), "found")
+        count("x.live").alias("n_live"), count("x.example").alias("n_example"), "found", *key)
 
 
 def redact(docs: DataFrame, scanned: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every found span replaced by ``mark`` (overlapping spans by one mark).
-    One row per doc_id is expected; only documents with a span take part in the join's
-    right side, all others pass unchanged."""
-    cuts = scanned.where("size(found) > 0 AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_id"), F.explode("found").alias("x")).select("_id", "x.start", "x.end").distinct()
+    A text's spans depend on nothing but the text within one scan, so they are joined by its
+    hash: null ids and ids of several texts do not matter.  Only texts with a span take part
+    in the join's right side, all others pass unchanged."""
+    cuts = scanned.where("size(found) > 0").dropDuplicates(["text_sha256"]).select(
+        F.col("text_sha256").alias("_id"), F.explode("found").alias("x")).select("_id", "x.start", "x.end").distinct()
     w = Window.partitionBy("_id").orderBy("start", "end")
     seen = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     cuts = cuts.withColumn("first", F.when(F.coalesce(seen, F.lit(-1)) < F.col("start"), 1).otherwise(0))
@@ -143,5 +147,5 @@ def redact(docs: DataFrame, scanned: DataFrame, mark: str = "[secret]") -> DataF
         int(CASE WHEN i = 0 THEN 1 ELSE element_at(_cuts, i).end + 1 END),
         int(CASE WHEN i = size(_cuts) THEN length(text) ELSE _cuts[i].start END
             - CASE WHEN i = 0 THEN 0 ELSE element_at(_cuts, i).end END)))""")
-    hit = docs.join(small(cuts, 100_000), F.col("doc_id") == F.col("_id"), "left")
+    hit = docs.join(small(cuts, 100_000), F.sha2(F.col("text").cast("string").cast("binary"), 256) == F.col("_id"), "left")
     return hit.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(F.array_join(pieces, mark))).select(*docs.columns)

@@ -202,6 +202,16 @@ def test_secret_scan_matches_brute_force_and_redacts(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_redaction_marks_rows_with_null_and_repeated_ids(spark):
+    texts = ["token=abcdefghij end", "xx token=abcdefghij end", "password: 0123456789", "nothing to mark in this text",
+             "secret=qwertyuiop and more", "a b token=zyxwvutsrq", None, "token=abcdefghij end"]
+    docs = frame(spark, texts, ids=[None, None, 5, 5, 5, None, None, 7])
+    rows = secret_scan.redact(docs, secret_scan.scan(docs)).collect()
+    assert sorted(((r["doc_id"] or 0, r["text"] or "") for r in rows)) == sorted([
+        (0, "[secret] end"), (0, "xx [secret] end"), (5, "[secret]"), (5, texts[3]), (5, "[secret] and more"), (0, "a b [secret]"), (0, ""),
+        (7, "[secret] end")])
+
+
 def test_repeated_passages_are_found_and_clean_texts_are_not(spark):
     rng = random.Random(2)
     passage = ". ".join(prose(rng, 14) for _ in range(5))
