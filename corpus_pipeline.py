@@ -33,9 +33,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: every document as often as the mix takes it, weighted by the labels' quality."""
+    """Operator 1: every document as often as the mix takes it, whole texts only, weighted by the labels' quality."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.apply_mix(docs, mixing.mix(docs, mixing.label_weights(labels)))
+    return mixing.apply_mix(docs, mixing.mix(docs, mixing.label_weights(labels)), whole=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,10 +100,11 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int, .
                     (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"), "d.source"))
 
 
-def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+def apply_mix(docs: DataFrame, mixed: DataFrame, whole: bool = False) -> DataFrame:
     """The mixed corpus: a document as often as it is taken whole, and a source's
     boundary document once more with the first words of its last, partial taking.
-    Documents taken 0 times (also those without words) go.
+    Documents taken 0 times (also those without words) go.  ``whole`` keeps the boundary
+    document's last taking as it is in the source: a target is passed by less than a document.
 
     Rows of equal id, source and size share a key in ``mix()`` and are taken one after the
     other, so the sum of their takings is dealt to them in the order of their texts; null
@@ -122,6 +123,8 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
             .withColumn("_taken", F.expr("_sum div (_rows * _size) * _size") + F.greatest(F.lit(0), F.least(F.col("_size"), rest)))
             .where("_taken > 0")
             .withColumn("_copy", F.expr("explode(sequence(1L, (_taken + _size - 1) div _size))")))
+    if whole:
+        return full.select(*docs.columns)
     left = F.expr("least(_size, _taken - (_copy - 1) * _size)")
     cut = F.expr(r"array_join(slice(filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> ''), 1, "
                  r"int(_taken - (_copy - 1) * _size)), ' ')")

@@ -344,6 +344,22 @@ def test_mix_takes_rows_with_null_and_repeated_ids_once_each(spark):
     assert all(whole.count(t) <= 2 * there[t] for t in set(whole)) and len(copies) - len(whole) <= 5
 
 
+def test_pipeline_mix_keeps_boundary_documents_whole(spark, tmp_path):
+    import corpus_pipeline
+    rng = random.Random(18)
+    texts = [prose(rng, 40) + "\n\n" + prose(rng, 9) for _ in range(24)]
+    docs = frame(spark, texts, sources=[f"s{i % 3}" for i in range(24)])
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = corpus_pipeline.mix(spark, docs, str(tmp_path)).collect()
+    labels = spark.read.parquet(f"{tmp_path}/labels.parquet")
+    want = {}
+    for r in mixing.mix(docs, mixing.label_weights(labels)).collect():
+        if r["taken"]:
+            want[r["doc_id"]] = -(-r["taken"] // r["size"])
+    assert rows and all(r["text"] == texts[r["doc_id"]] for r in rows)
+    assert {i: sum(r["doc_id"] == i for r in rows) for i in want} == want and len(rows) == sum(want.values())
+
+
 def test_edit_aware_counts_equal_full_encoding(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
