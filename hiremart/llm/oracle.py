@@ -140,5 +140,34 @@ FROM documents d LEFT JOIN a USING (doc_id)
 """
 
 
+_ROUND = """
+b{r} AS MATERIALIZED (
+  SELECT rid, any_value(x) AS x, min(list_sum([(x[i] - y[i]) * (x[i] - y[i]) for i in range(1, 65)])::HUGEINT
+         * 64 + cluster) AS m
+  FROM (SELECT rid, v.x, c.x AS y, cluster FROM v, c{r} AS c) GROUP BY rid),
+"""
+_MEANS = """
+s{r} AS (SELECT cluster, i, sum(e)::HUGEINT AS s, count(*)::HUGEINT AS n
+         FROM (SELECT (m % 64)::BIGINT AS cluster, unnest(range(1, 65)) AS i, unnest(x) AS e FROM b{r}) GROUP BY ALL),
+c{next} AS MATERIALIZED (
+  SELECT cluster, coalesce(y, x) AS x FROM c{r}
+  LEFT JOIN (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS y FROM s{r} GROUP BY 1) USING (cluster)),
+"""
+
+SQL["op12_centroid_clusters"] = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, [floor(256 * c::DOUBLE)::BIGINT for c in embedding] AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len([1 for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS cluster, x
+  FROM (SELECT sha256('2:' || vec_id) AS h, x FROM v WHERE vec_id IS NOT NULL ORDER BY h, x LIMIT 40)),
+""" + "".join(_ROUND.format(r=r) + (_MEANS.format(r=r, next=r + 1) if r < 5 else "") for r in range(6)) + """
+o AS (SELECT rid, (m % 64)::INTEGER AS cluster, (m // 64)::BIGINT AS distance FROM b5)
+SELECT vec_id, o.cluster, distance, (sum(distance) OVER (PARTITION BY o.cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c5.x, ',')) AS centroid_sha256
+FROM o JOIN v USING (rid) JOIN c5 ON c5.cluster = o.cluster
+"""
+
+
 def sql() -> dict[str, str]:
     return dict(SQL)

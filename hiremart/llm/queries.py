@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import fingerprint, language_id, mixing, ngram_join, packing, passage_dedup, repetition, secret_scan, token_counts, warc
+from hiremart.llm import (fingerprint, laesa, language_id, mixing, ngram_join, packing, passage_dedup, repetition,
+                          secret_scan, simhash, token_counts, warc, whitening)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -85,3 +86,21 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces, packed into sequences of 4096 tokens."""
     return packing.pack(_documents(spark, sf_dir))
+
+
+@_query
+def op11_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its 64-bit SimHash of 3-word shingles and its component at two differing bits."""
+    return simhash.simhash_components(_documents(spark, sf_dir))
+
+
+@_query
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: its cluster of 40 after five rounds, distances and inertia, exact integers."""
+    return laesa.centroid_clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@_query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector and component: its whitened coordinate from the exact characteristic polynomial."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
