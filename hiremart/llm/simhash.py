@@ -30,7 +30,8 @@ from hiremart.llm.frames import components, keep, prepare
 #: nodes (16 bytes each) stay below 1 MB on every worker.
 BLOCK = 1 << 14
 MOST_BLOCKS = 1 << 15
-#: Visitors of a block searched by one task.
+#: Neighbours that travel in one row, and visitors of a block searched by one task.
+GROUP = 64
 VISITORS = 1 << 18
 #: Children of a node, and (query, node) pairs held at once by a search.
 FANOUT = 8
@@ -173,11 +174,24 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[away], names[root[away]]
 
 
-def _block_rows(found: DataFrame, blocks: int) -> DataFrame:
-    """``(block, fp)``: the distinct fingerprints range-partitioned by Gray rank (a written table)."""
+def _groups(found: DataFrame, blocks: int) -> DataFrame:
+    """``(block, fps, all, any)``: the distinct fingerprints range-partitioned by Gray rank, up to
+    ``GROUP`` neighbours in a row, with the bits that all or any of them have (a written table)."""
     ranked = found.select("fp").distinct().withColumn("rank", gray_rank(F.col("fp")))
     cut = ranked.repartitionByRange(blocks, "rank").sortWithinPartitions("rank")
-    return keep(cut.select(F.spark_partition_id().alias("block"), "fp"), "gray_blocks")
+    schema = pa.schema([("block", pa.int32()), ("fps", pa.list_(pa.int64())), ("all", pa.int64()), ("any", pa.int64())])
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                block, fp = b.column(0), b.column(1).to_numpy()
+                at = np.arange(0, len(fp), GROUP)
+                yield pa.RecordBatch.from_arrays(
+                    [block.take(pa.array(at)), T.lists(fp, np.diff([*at, len(fp)])), pa.array(np.bitwise_and.reduceat(fp, at)),
+                     pa.array(np.bitwise_or.reduceat(fp, at))], schema=schema)
+
+    rows = cut.select(F.spark_partition_id().cast("int").alias("block"), "fp")
+    return keep(rows.mapInArrow(run, "block int, fps array<long>, all long, any long"), "gray_blocks")
 
 
 def near_links(found: DataFrame, radius: int = 2) -> DataFrame:
@@ -185,39 +199,46 @@ def near_links(found: DataFrame, radius: int = 2) -> DataFrame:
     exactly those reachable by steps of at most ``radius`` differing bits (a written table)."""
     spark = found.sparkSession
     n = found.select("fp").distinct().count()
-    blocks = min(MOST_BLOCKS, max(1, -(-n // BLOCK)))
-    rows = _block_rows(found, blocks)
+    if not n:
+        return keep(spark.createDataFrame([], "a long, b long"), "gray_links")
+    groups = _groups(found, min(MOST_BLOCKS, -(-n // BLOCK)))
     # the upper nodes: one pattern per block, bounded by MOST_BLOCKS
-    nodes = (rows.groupBy("block").agg(F.expr("bit_and(fp)").alias("all"), F.expr("bit_or(fp)").alias("any"))
+    nodes = (groups.groupBy("block").agg(F.expr("bit_and(all)").alias("all"), F.expr("bit_or(any)").alias("any"))
              .orderBy("block").toPandas())
     number = nodes["block"].to_numpy(np.int64)
     both, any_ = (nodes[c].to_numpy(np.int64).view(np.uint64) for c in ("all", "any"))
     upper = spark.sparkContext.broadcast((number, both, ~(both ^ any_)))
-    visit_schema = pa.schema([("block", pa.int32()), ("fp", pa.int64())])
+    visit_schema = pa.schema([("block", pa.int32()), ("fps", pa.list_(pa.int64()))])
 
     def visit(batches):
         numbers, value, mask = upper.value
         index = GrayIndex(value, mask)
         for b in batches:
-            own, fp = b.column(0).to_numpy(), b.column(1).to_numpy()
+            size = np.diff(b.column(1).offsets.to_numpy())
+            group, fp = np.repeat(np.arange(len(size)), size), b.column(1).flatten().to_numpy()
+            own = b.column(0).to_numpy()[group]
             for q, k in index.search(fp.view(np.uint64), radius):
-                later = numbers[k] >= own[q]
-                yield pa.RecordBatch.from_arrays([pa.array(numbers[k[later]].astype(np.int32)),
-                                                  pa.array(fp[q[later]])], schema=visit_schema)
-
-    visits = keep(rows.select("block", "fp").mapInArrow(visit, "block int, fp long"), "gray_visits")
-    # tasks: one per block and VISITORS of its visitors
-    count = {r["block"]: r["count"] for r in visits.groupBy("block").count().collect()}   # at most MOST_BLOCKS rows
-    parts = [(k, first, size) for k, first, size in _parts(sorted(count.items()))]
-    if not parts:
-        return keep(spark.createDataFrame([], "a long, b long"), "gray_links")
+                later = numbers[k] > own[q]
+                q, k = q[later], k[later]
+                order = np.lexsort((q, k, group[q]))
+                q, k = q[order], k[order]
+                at = np.flatnonzero((np.diff(k, prepend=-1) != 0) | (np.diff(group[q], prepend=-1) != 0))
+                yield pa.RecordBatch.from_arrays([pa.array(numbers[k[at]].astype(np.int32)),
+                                                  T.lists(fp[q], np.diff([*at, len(q)]))], schema=visit_schema)
+
+    visits = keep(groups.select("block", "fps").mapInArrow(visit, "block int, fps array<long>"), "gray_visits")
+    guests = groups.select("block", "fps").unionByName(visits)
+    # tasks: one per block and VISITORS of its visitors (at most MOST_BLOCKS rows reach the driver)
+    count = {r["block"]: r["n"] for r in guests.groupBy("block").agg(F.sum(F.size("fps")).alias("n")).collect()}
+    parts = list(_parts(sorted(count.items())))
     plan = F.broadcast(spark.createDataFrame(parts, "block int, first int, parts int"))
     tasks = parts[-1][1] + parts[-1][2]
-    own = (rows.join(plan, "block").select(F.explode(F.expr("sequence(first, first + parts - 1)")).alias("task"),
-                                           F.lit(0).alias("kind"), "fp"))
-    guests = visits.join(plan, "block").select(
-        (F.col("first") + F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")).alias("task"), F.lit(1).alias("kind"), "fp")
-    dealt = (own.unionByName(guests).withColumn("rank", gray_rank(F.col("fp")))
+    leaves = groups.join(plan, "block").select(
+        F.explode(F.expr("sequence(first, first + parts - 1)")).alias("task"), F.lit(0).alias("kind"), "fps")
+    guests = guests.join(plan, "block").select(
+        (F.col("first") + F.pmod(F.xxhash64(F.col("fps")[0]), F.col("parts")).cast("int")).alias("task"),
+        F.lit(1).alias("kind"), "fps")
+    dealt = (leaves.unionByName(guests).withColumn("rank", gray_rank(F.col("fps")[0]))
              .repartitionById(tasks, F.col("task")).sortWithinPartitions("task", "kind", "rank"))
     link_schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -225,25 +246,26 @@ def near_links(found: DataFrame, radius: int = 2) -> DataFrame:
         held: list[np.ndarray] = []
         index, leaves, at = None, None, None
         for b in batches:
-            task, kind, fp = (b.column(k).to_numpy() for k in range(3))
+            task, kind, off = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).offsets.to_numpy()
+            fp = b.column(2).values.to_numpy()
             cuts = np.flatnonzero((np.diff(task) != 0) | (np.diff(kind) != 0)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(task)]):
                 if lo == hi:
                     continue
                 if at != task[lo]:
                     at, held, index = task[lo], [], None
+                part = fp[off[lo]:off[hi]]
                 if kind[lo] == 0:
-                    held.append(fp[lo:hi].copy())
+                    held.append(part.copy())
                     continue
                 if index is None:
                     leaves = np.concatenate(held)
                     index = GrayIndex(leaves.view(np.uint64))
-                guests = fp[lo:hi]
-                for q, k in index.search(guests.view(np.uint64), radius):
-                    node, root = forest(guests[q], leaves[k])
+                for q, k in index.search(part.view(np.uint64), radius):
+                    node, root = forest(part[q], leaves[k])
                     yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], schema=link_schema)
 
-    links = dealt.select("task", "kind", "fp").mapInArrow(search, "a long, b long")
+    links = dealt.select("task", "kind", "fps").mapInArrow(search, "a long, b long")
     return keep(links.distinct(), "gray_links")
 
 
