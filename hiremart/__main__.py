@@ -28,6 +28,7 @@ def _parse(argv):
     r.add_argument("--postings", required=True)
     r.add_argument("--employers", required=True)
     r.add_argument("--industries", required=True)
+    r.add_argument("--details", default=None, help="landed detail records that replace the search rows")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--run-id", type=int, required=True)
     r.add_argument("--now", required=True, help="ISO timestamp of the run (UTC)")
@@ -55,8 +56,9 @@ def main(argv=None, spark=None) -> int:
         industries=landing.read_dictionary(spark, a.industries, schemas.INDUSTRY_DOC),
         warehouse_path=a.warehouse, run_id=a.run_id,
         now=dt.datetime.fromisoformat(a.now), as_of=dt.date.fromisoformat(a.as_of),
-        top_k=a.top_k or TOP_EMPLOYERS_K, ods_buckets=a.ods_buckets)
-    checks = state.checks.collect()          # three one-row checks
+        top_k=a.top_k or TOP_EMPLOYERS_K, ods_buckets=a.ods_buckets,
+        details=landing.read_paged_items(spark, a.details, schemas.POSTING_PAGE) if a.details else None)
+    checks = state.checks.collect()          # a dozen one-row checks
     for row in checks:
         print(f"{row['check']}\t{row['status']}\t{row['metrics']}")
     return 1 if any(r["status"] == "FAIL" for r in checks) else 0

@@ -30,6 +30,17 @@ def date_rows(df: DataFrame, date_col: str) -> DataFrame:
                        iso_week("d").alias("week"))
 
 
+def date_edges(stage: DataFrame) -> DataFrame:
+    """Each posting as a candidate for the first and for the last publication day
+    (``rank`` grows toward the edge)."""
+    day = F.datediff("published_date", F.lit("1970-01-01"))
+    edges = F.array(F.struct(F.lit("first").alias("edge"), (-day).alias("rank")),
+                    F.struct(F.lit("last").alias("edge"), day.alias("rank")))
+    return (stage.filter(F.col("published_date").isNotNull())
+            .select("vacancy_id", "published_date", F.explode(edges).alias("_e"))
+            .select("_e.edge", "published_date", "_e.rank", "vacancy_id"))
+
+
 def dim_date(existing: DataFrame, df: DataFrame, date_col: str = "published_date") -> DataFrame:
     """Add the missing days of the source's date range (insert-ignore)."""
     new = insert_ignore(existing, date_rows(df, date_col), ["date_key"])

@@ -12,20 +12,24 @@ FACT_COLS = ["vacancy_id", "name", "employer_sk", "area_id", "published_date", "
              "salary_to", "salary_currency", "salary_gross", "created_at"]
 
 
-def fact_incremental(stage: DataFrame, dim_employer: DataFrame, fact: DataFrame, now) -> DataFrame:
-    """Vacancy facts to append — only vacancy ids not already in the fact.
-
-    Each vacancy is joined (inner) to its employer's *current* version; a
-    vacancy without a matching current employer or without a publication date
-    is not loaded.  Returns the new rows; first write wins for a vacancy.
-    """
+def fact_rows(stage: DataFrame, dim_employer: DataFrame, now) -> DataFrame:
+    """The facts that postings give: each joined (inner) to its employer's *current* version;
+    a posting without one, or without a publication date, gives none."""
     cur = (dim_employer.filter(F.col("is_current"))
            .select("employer_id", "employer_sk"))
-    rows = (stage.filter(F.col("published_date").isNotNull())
+    return (stage.filter(F.col("published_date").isNotNull())
             .join(cur, "employer_id")
             .select("vacancy_id", "name", "employer_sk", "area_id", "published_date",
                     "salary_from", "salary_to", "salary_currency", "salary_gross",
-                    F.lit(now).cast("timestamp").alias("created_at")))
+                    F.lit(now).cast("timestamp").alias("created_at")).select(*FACT_COLS))
+
+
+def fact_incremental(stage: DataFrame, dim_employer: DataFrame, fact: DataFrame, now) -> DataFrame:
+    """Vacancy facts to append — only vacancy ids not already in the fact.
+
+    Returns the new rows (``fact_rows``); first write wins for a vacancy.
+    """
+    rows = fact_rows(stage, dim_employer, now)
     return rows.join(fact.select("vacancy_id"), "vacancy_id", "left_anti").select(*FACT_COLS)
 
 

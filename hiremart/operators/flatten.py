@@ -49,13 +49,15 @@ def _keep(df: DataFrame, keep: Sequence[str] | None) -> list[Column]:
 
 
 def flatten_postings(items: DataFrame, item_col: str = "item",
-                     keep: Sequence[str] | None = None, naive: bool = False) -> DataFrame:
+                     keep: Sequence[str] | None = None, naive: bool = False,
+                     rejects: bool = False) -> DataFrame:
     """Vacancy documents → ODS postings.
 
     ``id`` becomes BIGINT; nested names are read null-safely (a missing
     ``area`` or ``employer`` gives NULL); ``published_at`` is parsed as an
     instant; the whole document is kept as ``raw``.  A document without an id
-    cannot be keyed and is dropped here (count it with ``rejected_postings``).
+    cannot be keyed and is dropped here (count it with ``rejected_postings``), or kept
+    with a NULL id if ``rejects`` (the caller counts and drops it).
     ``keep`` names the columns carried through for the upsert (default: the arrival order).  With
     ``naive`` the publication time is the wall clock with the offset dropped
     (TIMESTAMP_NTZ), the form a store without time zones keeps (K2).
@@ -63,7 +65,8 @@ def flatten_postings(items: DataFrame, item_col: str = "item",
     it = F.col(item_col)
     published = (naive_timestamp(it.getField("published_at")) if naive
                  else parse_iso_timestamp(it.getField("published_at")))
-    return (items.filter(it.getField("id").isNotNull())
+    rows = items if rejects else items.filter(it.getField("id").isNotNull())
+    return (rows
             .select(it.getField("id").cast("bigint").alias("id"),
                     it.getField("name").cast("string").alias("name"),
                     it.getField("area").getField("name").alias("area_name"),
@@ -80,10 +83,11 @@ def rejected_postings(items: DataFrame, item_col: str = "item") -> DataFrame:
 
 
 def flatten_employers(items: DataFrame, item_col: str = "item",
-                      keep: Sequence[str] | None = None) -> DataFrame:
-    """Employer documents → ODS employers."""
+                      keep: Sequence[str] | None = None, rejects: bool = False) -> DataFrame:
+    """Employer documents → ODS employers (P2); those without an id are dropped, or kept if ``rejects``."""
     it = F.col(item_col)
-    return (items.filter(it.getField("id").isNotNull())
+    rows = items if rejects else items.filter(it.getField("id").isNotNull())
+    return (rows
             .select(it.getField("id").cast("bigint").alias("id"),
                     it.getField("name").cast("string").alias("name"),
                     it.getField("area").getField("name").alias("area_name"),

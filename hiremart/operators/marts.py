@@ -87,6 +87,11 @@ def mart_regions(s: DataFrame) -> DataFrame:
            .agg(_count().alias("vacancies_cnt"),
                 _with_salary().alias("vacancies_with_salary_cnt"),
                 exact_mean("salary_point").alias("salary_avg")))
+    return regions_share(agg)
+
+
+def regions_share(agg: DataFrame) -> DataFrame:
+    """The areas' shares of their role, from the groups' counts."""
     total = F.sum("vacancies_cnt").over(Window.partitionBy("industry_id"))
     return agg.select("industry_id", "industry_name", "area_id", "area_name", "vacancies_cnt",
                       "vacancies_with_salary_cnt",
@@ -98,6 +103,11 @@ def mart_trends(s: DataFrame) -> DataFrame:
     """M3: month × role — count and change against the previous *present* month."""
     agg = (s.groupBy("month", "industry_id", "industry_name")
            .agg(_count().alias("vacancies_cnt")))
+    return trends_change(agg)
+
+
+def trends_change(agg: DataFrame) -> DataFrame:
+    """Each month's change against the role's previous present month."""
     prev = F.lag("vacancies_cnt").over(Window.partitionBy("industry_id").orderBy("month"))
     return (agg.withColumn("_prev", prev)
             .select("month", "industry_id", "industry_name", "vacancies_cnt",
@@ -130,6 +140,11 @@ def mart_top_employers(s: DataFrame, employers: DataFrame | None = None,
            .agg(_count().alias("vacancies_cnt"),
                 _with_salary().alias("vacancies_with_salary_cnt"),
                 exact_mean("salary_point").alias("salary_avg")))
+    return top_employers(agg, k)
+
+
+def top_employers(agg: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` employers of each role × area × currency."""
     w = (Window.partitionBy("industry_id", "area_id", "currency")
          .orderBy(F.col("vacancies_cnt").desc(), F.col("salary_avg").desc_nulls_last(),
                   F.col("employer_id").asc()))
@@ -144,6 +159,11 @@ def mart_currency(s: DataFrame) -> DataFrame:
     """
     agg = (s.groupBy("industry_id", "industry_name", "area_id", "area_name", "currency")
            .agg(_count().alias("vacancies_cnt")))
+    return currency_share(agg)
+
+
+def currency_share(agg: DataFrame) -> DataFrame:
+    """The currencies' shares within their role and area."""
     total = F.sum("vacancies_cnt").over(Window.partitionBy("industry_id", "area_id"))
     return agg.select("industry_id", "industry_name", "area_id", "area_name", "currency",
                       "vacancies_cnt",

@@ -56,6 +56,35 @@ def dq_date_range(fact: DataFrame, col: str = "published_date", lo=DQ_MIN_DATE,
                     "in_future", F.when(bad, "FAIL").otherwise("PASS").alias("status"))
 
 
+def checks_of_loads(load_metrics: DataFrame, fact_days: DataFrame, lo=DQ_MIN_DATE, as_of="2026-01-01") -> DataFrame:
+    """Q-1, Q-2 and Q-3 from what the loads counted while writing: one row per check with its
+    ``status`` and its ``metrics`` as JSON.  Neither the ODS nor the fact is read."""
+    total = load_metrics.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (
+        ("ods_added", "ods_total"), ("eligible_added", "ods_eligible"), ("fact_rows", "dds_count"),
+        ("null_keys", "invalid_count"), ("rejected", "rejected"), ("fetched", "fetched"))])
+    d, n = F.col("published_date"), F.col("fact_rows")
+    days = fact_days.agg(
+        F.min(d).alias("min_date"), F.max(d).alias("max_date"),
+        F.coalesce(F.sum(F.when(d < F.lit(lo).cast("date"), n)), F.lit(0)).alias("too_old"),
+        F.coalesce(F.sum(F.when(d > F.lit(as_of).cast("date"), n)), F.lit(0)).alias("in_future"))
+    as_row = lambda df, name, status, *cols: df.select(
+        F.lit(name).alias("check"), status.alias("status"), F.to_json(F.struct(*cols)).alias("metrics"))
+    counts = (F.when(F.col("ods_eligible") == 0, "SKIP")
+              .when(F.col("ods_eligible") != F.col("dds_count"), "FAIL").otherwise("PASS"))
+    fails = lambda bad: F.when(bad, "FAIL").otherwise("PASS")
+    return (as_row(total, "row_counts", counts, "ods_total", "ods_eligible", "dds_count")
+            .unionByName(as_row(total, "null_keys", fails(F.col("invalid_count") > 0), "invalid_count"))
+            .unionByName(as_row(days, "date_range", fails((F.col("too_old") > 0) | (F.col("in_future") > 0)),
+                                "min_date", "max_date", "too_old", "in_future"))
+            .unionByName(as_row(total, "rejected_postings", F.lit("PASS"), "fetched", "rejected")))
+
+
+def dq_unique(df: DataFrame, key: str) -> DataFrame:
+    """Keys that several rows carry, as one foreign-key style row; FAIL when > 0."""
+    twice = df.groupBy(key).count().where("count > 1").agg(F.count(F.lit(1)).cast("long").alias("orphans"))
+    return twice.select("orphans", F.when(F.col("orphans") > 0, "FAIL").otherwise("PASS").alias("status"))
+
+
 def assert_passed(check: DataFrame) -> None:
     """Raise ``DataQualityError`` if the one-row check did not pass (one tiny action)."""
     row = check.first()

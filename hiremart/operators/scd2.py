@@ -28,6 +28,13 @@ def _ts(x) -> Column:
     return F.lit(x).cast("timestamp")
 
 
+def employer_rows(stage: DataFrame) -> DataFrame:
+    """The named employer of every posting, with the posting's publication and id."""
+    return (stage.filter(F.col("employer_id").isNotNull() & F.col("employer_name").isNotNull())
+            .select("employer_id", "employer_name", "alternate_url", "trusted",
+                    "published_at", "vacancy_id"))
+
+
 def stage_employers_from_postings(stage: DataFrame) -> DataFrame:
     """One staged row per employer id seen in the postings.
 
@@ -35,10 +42,7 @@ def stage_employers_from_postings(stage: DataFrame) -> DataFrame:
     postings disagree, the latest publication (then greatest vacancy id) wins.
     Rows without a name cannot become a version and are left out.
     """
-    rows = (stage.filter(F.col("employer_id").isNotNull() & F.col("employer_name").isNotNull())
-            .select("employer_id", "employer_name", "alternate_url", "trusted",
-                    "published_at", "vacancy_id"))
-    return (pick_per_key(rows, ["employer_id"], ["published_at", "vacancy_id"])
+    return (pick_per_key(employer_rows(stage), ["employer_id"], ["published_at", "vacancy_id"])
             .select("employer_id", "employer_name", "alternate_url", "trusted"))
 
 

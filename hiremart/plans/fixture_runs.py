@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from hiremart import schemas, storage
 from hiremart.functions.columns import parse_iso_timestamp
-from hiremart.operators import marts, scd2
+from hiremart.operators import mart_partials, marts, scd2
 from hiremart.operators.flatten import flatten_employers, flatten_hierarchy
 from hiremart.operators.upsert import upsert
 from hiremart.plans import warehouse
@@ -78,6 +78,18 @@ def warehouse_states(spark: SparkSession, sf_dir: str) -> list[warehouse.Warehou
         ods_buckets=ODS_BUCKETS))
 
 
+def layout_for(spark: SparkSession, sf_dir: str) -> warehouse.Layout:
+    """The storage of the committed runs."""
+    warehouse_states(spark, sf_dir)
+    return warehouse.Layout(spark, f"{_base(spark, sf_dir)}/dds", ODS_BUCKETS)
+
+
+def incremental_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five marts from the partials that the two runs updated."""
+    L, wh = layout_for(spark, sf_dir), warehouse_for(spark, sf_dir)
+    return mart_partials.all_marts(L.kept("mart_partials", L.end_of(1)), wh.dim_role, wh.dim_area, wh.dim_employer)
+
+
 def warehouse_for(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     """The warehouse after both runs."""
     return warehouse_states(spark, sf_dir)[-1]

@@ -2,9 +2,10 @@
 
 A cycle mirrors one scheduled run: upsert the fetched postings into the ODS,
 then load dimensions, the SCD2 employer dimension, the incremental fact and
-the bridges from the *whole* ODS, exactly in the reference's task order.
-``cycle`` is the lazy form; ``load_run`` commits a run on a ``Layout`` (the
-form the scheduled job, the streaming job and the registered queries use).
+the bridges.  ``cycle`` is the lazy form over the *whole* ODS, in the reference's task
+order; ``load_run`` commits a run on a ``Layout`` and reaches the same tables from
+the batch's change set alone (the form the scheduled job, the streaming job and
+the registered queries use).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiremart import schemas, storage
-from hiremart.operators import dims, facts, scd2
+from hiremart.operators import changes, dims, facts, mart_partials, scd2
 from hiremart.operators.flatten import flatten_postings, last_write
 from hiremart.operators.staging import stage_postings
 from hiremart.operators.upsert import insert_ignore, pick_per_key, upsert
@@ -28,6 +29,10 @@ STAGE_COLS = ["vacancy_id", "name", "published_at", "published_date", "area_id",
               "specializations"]
 
 
+#: the parsed ODS also holds, per posting, its fact's measures and all ids ever linked to it
+KEPT_COLS = [*STAGE_COLS, "loaded", "role_ids", "sphere_ids"]
+
+
 @dataclass(frozen=True)
 class Warehouse:
     ods_postings: DataFrame
@@ -124,11 +129,19 @@ class Layout:
             "dim_date": A(spark, f"{r}/dds/dim_date", schemas.DIM_DATE),
             "fact_employer_snapshot": A(spark, f"{r}/dds/fact_employer_snapshot",
                                         schemas.FACT_EMPLOYER_SNAPSHOT),
+            # counted while loading: per run one row of counts, and its facts by day
+            "load_metrics": A(spark, f"{r}/dq/load_metrics", schemas.LOAD_METRICS),
+            "fact_days": A(spark, f"{r}/dq/fact_days", schemas.FACT_DAYS),
         }
         self.dim_schemas = {"dim_area": schemas.DIM_AREA, "dim_role": schemas.DIM_ROLE,
                             "dim_employer_current": schemas.DIM_EMPLOYER,
                             "dim_industry": schemas.DIM_INDUSTRY, "dim_sphere": schemas.DIM_SPHERE}
-        self.versioned = {name: V(spark, f"{r}/dds/{name}") for name in [*self.dim_schemas, "star"]}
+        # states kept between runs; ``dim_area`` and ``dim_role`` also hold the posting that named a key
+        self.state_schemas = {"dim_area": schemas.AREA_STATE, "dim_role": schemas.ROLE_STATE,
+                              "posting_employer": schemas.POSTING_EMPLOYER, "date_edge": schemas.DATE_EDGE,
+                              "mart_partials": schemas.MART_PARTIALS}
+        self.versioned = {name: V(spark, f"{r}/dds/{name}") for name in [
+            *self.dim_schemas, *self.state_schemas, "pending_fact"]}
         # closed SCD2 versions, keyed by the version number of the step that closed them
         self.employer_history = A(spark, f"{r}/dds/dim_employer_history", schemas.DIM_EMPLOYER)
 
@@ -143,6 +156,27 @@ class Layout:
         """A dimension's greatest version ``<= upto`` (empty before the first)."""
         return self.versioned[name].read_or_empty(self.dim_schemas[name], upto)
 
+    def kept(self, name: str, upto: int | None = None) -> DataFrame:
+        """A kept state's greatest version ``<= upto`` (empty before the first)."""
+        return self.versioned[name].read_or_empty(self.state_schemas[name], upto)
+
+    def refuse_older(self, run: int) -> None:
+        """Raises for a run older than what any table holds, before anything is written."""
+        for t in self.appended.values():
+            t.refuse_older(run)
+        for t in self.versioned.values():
+            last = t.current_version()
+            if last > self.end_of(run):
+                raise ValueError(f"{t.path}: run {run} is older than the committed version {last}")
+
+    def fed_employers(self, prev: int) -> DataFrame:
+        """Employers whose versions an employer feed closed after the last vacancy load up to ``prev``."""
+        loads = [v for v in self.versioned["dim_employer_current"].versions()
+                 if v <= prev and v % self.STEPS == self.VACANCIES]
+        last = max(loads, default=-1)
+        closed = self.employer_history._select(lambda v: last < v <= prev)
+        return closed.select("employer_id").distinct()
+
     def commit_dim(self, name: str, df: DataFrame, run: int, step: int) -> DataFrame:
         v = self.versioned[name].refresh(df, self.version(run, step))
         return self.versioned[name].read(v)
@@ -182,40 +216,127 @@ class Layout:
             bridge_sphere=self.appended["bridge_sphere"].read(upto=run))
 
 
+def _same_documents(layout: Layout, batch: DataFrame, run: int) -> tuple[DataFrame, dict]:
+    """The run's flattened documents, written once (the JSON is parsed once) with the counts
+    taken meanwhile; a repeated run must bring the documents it began with."""
+    path, spark = f"{layout.work(run)}/batch", batch.sparkSession
+    digest = lambda df: tuple(df.agg(
+        F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first())
+    if storage.is_committed(spark, path) and digest(spark.read.schema(batch.schema).parquet(path)) != digest(batch):
+        raise ValueError(f"run {run} was begun with other documents; load these as a later run")
+    return storage.write_once(batch, path)
+
+
+def _posting_rows(layout: Layout, prev: int, change: DataFrame) -> DataFrame:
+    """The postings a run may load as facts or link: the batch's, with what earlier runs kept of
+    them, and the postings still waiting for their employer's first version."""
+    was = F.coalesce(F.col("old.role_ids"), F.array().cast("array<string>"))
+    spheres = F.coalesce(F.col("old.sphere_ids"), F.array().cast("array<string>"))
+    touched = change.select(
+        *[F.col(f"new.{c}").alias(c) for c in STAGE_COLS], F.col("old.loaded").alias("loaded"),
+        F.array_union(was, changes.array_ids("new.professional_roles")).alias("role_ids"),
+        F.array_union(spheres, changes.array_ids("new.specializations")).alias("sphere_ids"),
+        was.alias("_was_roles"), spheres.alias("_was_spheres"), F.lit(True).alias("_touched"))
+    pending = layout.versioned["pending_fact"]
+    if pending._pick(prev) is None:
+        return touched
+    waiting = pending.read(prev).join(change.select("vacancy_id"), "vacancy_id", "left_anti")
+    return touched.unionByName(waiting.select(
+        *KEPT_COLS, F.col("role_ids").alias("_was_roles"), F.col("sphere_ids").alias("_was_spheres"),
+        F.lit(False).alias("_touched")))
+
+
 def load_run(layout: Layout, items: DataFrame, now, run: int) -> Warehouse:
     """One scheduled run's vacancy load on ``layout``, committed table by table.
 
-    ODS upsert (touched buckets only) → the batch's documents parsed and
-    upserted into the typed copy of the ODS (so JSON is parsed once per
-    document, and each loader scans only its columns of the *whole* ODS) →
-    dimensions, the SCD2 employer dimension, then the incremental fact and
-    the bridges, each appending only the run's delta.  Every step reads the state of earlier runs and writes
-    its own run/version, so re-running a run after a failure is idempotent.
+    The fetched documents are written once, parsed once and upserted into the ODS (touched
+    buckets only).  Their change set — each posting beside the row it replaced — then
+    drives everything: dimension keys whose latest posting changed, employers to
+    version, new facts and links, moved mart groups.  The ODS is not scanned, except
+    for single keys that lost their latest posting (``changes.winners``).  Tables equal
+    those of ``cycle``, which reads the whole ODS.
+
+    Every step reads the state of earlier runs and the run's own change set and writes
+    its own run/version; the change set is written before anything it was compared with
+    changes, so re-running a run after a failure anywhere is idempotent.
     """
-    L, prev = layout, layout.end_of(run - 1)
-    L.appended["fact_vacancy"].refuse_older(run)
-    batch = flatten_postings(items)
-    ods = L.ods_postings.upsert(batch, last_write(batch), ODS_POSTING_COLS)
-    # parse only the documents this batch wrote (its latest row per id): the
-    # parsed table then equals the parse of the whole ODS at O(batch) cost
-    written = pick_per_key(batch, ["id"], last_write(batch)).select(*ODS_POSTING_COLS)
-    stage = L.stage.upsert(stage_postings(written), [], STAGE_COLS, unique=True)
-    A = L.appended
+    L, A, prev, step = layout, layout.appended, layout.end_of(run - 1), Layout.VACANCIES
+    L.refuse_older(run)
+    work, spark = L.work(run), items.sparkSession
+    all_items = flatten_postings(items, rejects=True)
+    landed, _ = _same_documents(L, all_items, run)
+    batch = landed.where("id IS NOT NULL")
+    ods = L.ods_postings.upsert(batch, last_write(batch), ODS_POSTING_COLS, staged=f"{work}/ods_postings")
+
+    # the change set: the latest document of each id, parsed, beside the row it replaces
+    parsed = stage_postings(pick_per_key(batch, ["id"], last_write(batch)).select(*ODS_POSTING_COLS))
+    replaced = L.stage.rows_of(parsed.select("vacancy_id"))
+    replaced = schemas.empty(spark, schemas.STAGE_KEPT) if replaced is None else replaced.select(*KEPT_COLS)
+    new, old = F.col("new"), F.col("old")
+    change, counted = storage.write_once(changes.change_set(parsed, replaced), f"{work}/changes", {
+        "ods_added": F.count_if(old.isNull()),
+        "eligible_added": F.count_if(new["employer_id"].isNotNull()) - F.count_if(old["employer_id"].isNotNull())})
+
+    def rest() -> DataFrame:
+        """The ODS without the postings of this batch."""
+        return L.stage.read().join(change.select("vacancy_id"), "vacancy_id", "left_anti")
+
+    def maintain(name, contribute, keys, order):
+        state, fresh = changes.winners(L.kept(name, prev), change, contribute, keys, order, rest,
+                                       lambda df: storage.materialize(df, f"{work}/{name}-{next(numbers)}"))
+        L.versioned[name].refresh(state, L.version(run, step))
+        return L.kept(name, L.version(run, step)), fresh
+
+    numbers = iter(range(1 << 30))
+    latest = ["published_at", "vacancy_id"]
+    # dimensions
+    edges, _ = maintain("date_edge", dims.date_edges, ["edge"], ["rank", "vacancy_id"])
     dim_date = L.commit_delta("dim_date", insert_ignore(
-        A["dim_date"].read_before(run), dims.date_rows(stage, "published_date"), ["date_key"]), run)
-    dim_area = L.commit_dim("dim_area", dims.dim_area(L.dim("dim_area", prev), stage),
-                            run, Layout.VACANCIES)
-    dim_employer = L.commit_scd2(scd2.scd2_step(
-        L.dim("dim_employer_current", prev), scd2.stage_employers_from_postings(stage), now),
-        run, Layout.VACANCIES)
-    fact = L.commit_delta("fact_vacancy", facts.fact_incremental(
-        stage, dim_employer, A["fact_vacancy"].read_before(run), now), run)
-    bridge_sphere = L.commit_delta("bridge_sphere", facts.bridge(
-        A["bridge_sphere"].read_before(run), stage, "specializations", "sphere_id", now), run)
-    dim_role = L.commit_dim("dim_role", dims.dim_role(L.dim("dim_role", prev), stage),
-                            run, Layout.VACANCIES)
-    bridge_role = L.commit_delta("bridge_role", facts.bridge(
-        A["bridge_role"].read_before(run), stage, "professional_roles", "role_id", now), run)
+        A["dim_date"].read_before(run), dims.date_rows(edges.where("live"), "published_date"), ["date_key"]), run)
+    maintain("dim_area", dims.area_rows, ["area_id"], latest)
+    maintain("dim_role", dims.role_rows, ["role_id"], [*latest, "role_name"])
+    # employers: those the batch touched, and those an employer feed changed since the last load
+    employers, fresh = maintain("posting_employer", scd2.employer_rows, ["employer_id"], latest)
+    ids = fresh.select("employer_id").unionByName(L.fed_employers(prev)).distinct()
+    staged = employers.where("live").join(ids, "employer_id", "left_semi")
+    dim_employer = L.commit_scd2(scd2.scd2_step(L.dim("dim_employer_current", prev), staged, now), run, step)
+    # facts: new postings and waiting ones whose employer has a version by now
+    rows = _posting_rows(L, prev, change)
+    open_rows = rows.where("loaded IS NULL AND employer_id IS NOT NULL AND published_date IS NOT NULL")
+    delta, seen = storage.observed(facts.fact_rows(open_rows, dim_employer, now), [
+        F.count(F.lit(1)).alias("fact_rows"),
+        F.count_if(F.col("employer_sk").isNull() | F.col("published_date").isNull()).alias("null_keys")])
+    fact = L.commit_delta("fact_vacancy", delta, run)
+    facts_now = A["fact_vacancy"].added_by(run)
+    counted |= seen()
+    measures = facts_now.select("vacancy_id", F.struct(*schemas.LOADED.fieldNames()).alias("_now"))
+    done = storage.materialize(
+        rows.join(measures, "vacancy_id", "left").where("_touched OR _now IS NOT NULL").select(
+            *STAGE_COLS, F.coalesce("loaded", "_now").alias("loaded"), "role_ids", "sphere_ids",
+            F.array_except("role_ids", "_was_roles").alias("_new_roles"),
+            F.array_except("sphere_ids", "_was_spheres").alias("_new_spheres"),
+            F.col("loaded").isNotNull().alias("_was_loaded"), F.array_min("_was_roles").alias("_old_role")),
+        f"{work}/posting_rows")
+    waiting = open_rows.join(facts_now.select("vacancy_id"), "vacancy_id", "left_anti")
+    L.versioned["pending_fact"].refresh(waiting.select(*KEPT_COLS), L.version(run, step))
+    bridge = lambda ids, name: done.select("vacancy_id", F.explode(ids).alias(name),
+                                           F.lit(now).cast("timestamp").alias("created_at"))
+    bridge_sphere = L.commit_delta("bridge_sphere", bridge("_new_spheres", "sphere_id"), run)
+    bridge_role = L.commit_delta("bridge_role", bridge("_new_roles", "role_id"), run)
+    dim_area, dim_role = (L.dim(n, L.version(run, step)) for n in ("dim_area", "dim_role"))
+    # the marts' partials: this run's facts, and facts whose primary role changed
+    merged = storage.materialize(mart_partials.merge(L.kept("mart_partials", prev), mart_partials.movements(done)),
+                                 f"{work}/mart_partials")
+    partials, reopened = merged.where("NOT _open").drop("_open"), merged.where("_open")
+    if not reopened.isEmpty():
+        partials = partials.unionByName(mart_partials.reopened(reopened, fact, bridge_role, dim_role))
+    L.versioned["mart_partials"].refresh(partials.select(*schemas.MART_PARTIALS.fieldNames()), L.version(run, step))
+    # what the writes counted
+    fetched = landed.agg(F.count(F.lit(1)).alias("fetched"), F.count_if(F.col("id").isNull()).alias("rejected"))
+    A["load_metrics"].append(fetched.select("*", *[F.lit(int(v)).cast("long").alias(k) for k, v in counted.items()]), run)
+    A["fact_days"].append(facts_now.groupBy("published_date").agg(F.count(F.lit(1)).alias("fact_rows")), run)
+    # last, so that a repeated run still finds the rows it was compared with
+    L.stage.upsert(done, [], KEPT_COLS, unique=True, staged=f"{work}/postings_parsed")
     return Warehouse(ods_postings=ods, dim_date=dim_date, dim_area=dim_area,
                      dim_employer=dim_employer, dim_role=dim_role, fact_vacancy=fact,
                      bridge_role=bridge_role, bridge_sphere=bridge_sphere)

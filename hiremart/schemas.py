@@ -137,6 +137,45 @@ BRIDGE_SPHERE = T.StructType([T.StructField("vacancy_id", T.LongType(), False),
                               T.StructField("created_at", T.TimestampType())])
 
 
+# ------------------------------------------- state kept between the runs ----
+#: what the fact of a posting holds (first write wins), kept beside the posting
+LOADED = T.StructType([T.StructField("employer_sk", T.LongType()), T.StructField("area_id", T.LongType()),
+                       T.StructField("published_date", T.DateType()), T.StructField("salary_from", SALARY_DEC),
+                       T.StructField("salary_to", SALARY_DEC), T.StructField("salary_currency", S)])
+#: one parsed posting with what the runs keep of it
+STAGE_KEPT = T.StructType([
+    T.StructField("vacancy_id", T.LongType()), T.StructField("name", S),
+    T.StructField("published_at", T.TimestampType()), T.StructField("published_date", T.DateType()),
+    T.StructField("area_id", T.LongType()), T.StructField("area_name", S),
+    T.StructField("employer_id", T.LongType()), T.StructField("employer_name", S),
+    T.StructField("alternate_url", S), T.StructField("trusted", T.BooleanType()),
+    T.StructField("salary_from", SALARY_DEC), T.StructField("salary_to", SALARY_DEC),
+    T.StructField("salary_currency", S), T.StructField("salary_gross", T.BooleanType()),
+    T.StructField("professional_roles", T.ArrayType(ID_NAME)), T.StructField("specializations", T.ArrayType(ID_NAME)),
+    T.StructField("loaded", LOADED), T.StructField("role_ids", T.ArrayType(S)), T.StructField("sphere_ids", T.ArrayType(S))])
+#: the posting that names a dimension key; ``live``: some posting still does
+_WINNER = [T.StructField("published_at", T.TimestampType()), T.StructField("vacancy_id", T.LongType()),
+           T.StructField("live", T.BooleanType())]
+AREA_STATE = T.StructType([*DIM_AREA.fields, *_WINNER])
+ROLE_STATE = T.StructType([*DIM_ROLE.fields, *_WINNER])
+POSTING_EMPLOYER = T.StructType([T.StructField("employer_id", T.LongType()), T.StructField("employer_name", S),
+                                 T.StructField("alternate_url", S), T.StructField("trusted", T.BooleanType()), *_WINNER])
+#: first and last publication day of the ODS (``edge``: ``first`` / ``last``)
+DATE_EDGE = T.StructType([T.StructField("edge", S), T.StructField("published_date", T.DateType()),
+                          T.StructField("rank", T.IntegerType()), T.StructField("vacancy_id", T.LongType()),
+                          T.StructField("live", T.BooleanType())])
+MART_PARTIALS = T.StructType([
+    T.StructField("month", T.DateType()), T.StructField("industry_id", S), T.StructField("area_id", T.LongType()),
+    T.StructField("currency", S), T.StructField("employer_sk", T.LongType()),
+    T.StructField("vacancies_cnt", T.LongType()), T.StructField("vacancies_with_salary_cnt", T.LongType()),
+    T.StructField("salary_sum", T.DecimalType(38, 3)),
+    T.StructField("salary_min", T.DecimalType(22, 3)), T.StructField("salary_max", T.DecimalType(22, 3))])
+#: counted by the writes of a run: documents, postings, facts
+LOAD_METRICS = T.StructType([T.StructField(c, T.LongType()) for c in (
+    "fetched", "rejected", "ods_added", "eligible_added", "fact_rows", "null_keys")])
+FACT_DAYS = T.StructType([T.StructField("published_date", T.DateType()), T.StructField("fact_rows", T.LongType())])
+
+
 def empty(spark, schema: T.StructType):
     """An empty typed DataFrame: the state of a table that does not exist yet."""
     return spark.createDataFrame([], schema)

@@ -19,13 +19,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-
-
-
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -163,24 +160,44 @@ class KeyedTable:
                     raise ValueError(f"{self.path} has {status.getPath().getName()[9:]} buckets, not {self.buckets}")
         fs.create(mine).close()
 
-    def upsert(self, batch: DataFrame, order, columns: list[str], unique: bool = False) -> DataFrame:
+    def _touched(self, rows: DataFrame) -> DataFrame | None:
+        """The table's rows in the buckets that the keys of ``rows`` fall in (a pruned read)."""
+        old = self._raw()
+        if old is None:
+            return None
+        touched = [r[0] for r in rows.select(self._bucket().alias(self.BUCKET)).distinct().collect()]
+        return old.filter(F.col(self.BUCKET).isin(touched)).drop(self.BUCKET)
+
+    def rows_of(self, keys: DataFrame) -> DataFrame | None:
+        """The table's rows whose key is in ``keys`` (only their buckets are read), or ``None``
+        before the first write."""
+        held = self._touched(keys)
+        return None if held is None else held.join(keys.select(*self.keys), self.keys, "left_semi")
+
+    def upsert(self, batch: DataFrame, order, columns: list[str], unique: bool = False,
+               staged: str | None = None) -> DataFrame:
         """Apply ``batch`` (last write wins on ``order``); ``columns`` is the table schema.
 
-        ``unique`` declares the batch already one row per key.
+        ``unique`` declares the batch already one row per key.  With ``staged`` the merged
+        buckets are first written to that folder and published from there: whatever
+        fails, the old rows are in the table or the staged folder, and a retry
+        with the same folder publishes what was merged instead of merging again.
         """
+        from hiremart.operators.upsert import pick_per_key
         from hiremart.operators.upsert import upsert as upsert_rows
 
         self._check_buckets()
-        old = self._raw()
-        if old is None:
-            from hiremart.operators.upsert import pick_per_key
-            new = (batch if unique else pick_per_key(batch, self.keys, order)).select(*columns)
-        else:
-            touched = [r[0] for r in
-                       batch.select(self._bucket().alias(self.BUCKET)).distinct().collect()]
-            old_touched = old.filter(F.col(self.BUCKET).isin(touched)).select(*columns)
-            new = upsert_rows(old_touched, batch, self.keys, order, null_safe=self.null_safe,
-                              unique=unique)
+        if staged is None or not is_committed(self.spark, staged):
+            old = self._touched(batch)
+            if old is None:
+                new = (batch if unique else pick_per_key(batch, self.keys, order)).select(*columns)
+            else:
+                new = upsert_rows(old.select(*columns), batch, self.keys, order, null_safe=self.null_safe,
+                                  unique=unique)
+            if staged is not None:
+                new.write.mode("overwrite").parquet(staged)
+        if staged is not None:
+            new = self.spark.read.parquet(staged)
         # one writer task per bucket: each rewritten bucket is one file, not
         # one file per upstream task (size ``buckets`` so a bucket is a few
         # hundred MB; keys are unique, so buckets cannot be skewed)
@@ -224,6 +241,10 @@ class AppendTable:
         """The rows added by runs ``< run`` (the state a run starts from)."""
         return self._select(lambda r: r < run)
 
+    def added_by(self, run: int) -> DataFrame:
+        """The rows that one run added."""
+        return self._select(lambda r: r == run)
+
     def refuse_older(self, run: int) -> None:
         """Raises for a run below the greatest committed one: its delta would be taken
         against a state that never was."""
@@ -244,6 +265,35 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """Whether the write of one folder was committed (Spark's ``_SUCCESS`` marker)."""
+    fs, path_of = _hadoop(spark, path)
+    return fs.exists(path_of(f"{path}/_SUCCESS"))
+
+
+def write_once(df: DataFrame, path: str, metrics: dict | None = None) -> tuple[DataFrame, dict]:
+    """Write a step's output unless an earlier attempt committed it; read it back.
+
+    ``metrics`` are aggregates taken by the write itself (``DataFrame.observe``), or
+    from the written rows where the write was an earlier attempt's.
+    """
+    spark, named = df.sparkSession, [c.alias(k) for k, c in (metrics or {}).items()]
+    if is_committed(spark, path):
+        out = spark.read.schema(df.schema).parquet(path)
+        return out, (out.agg(*named).first().asDict() if named else {})
+    seen = observed(df, named)
+    seen[0].write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen[1]()
+
+
+def observed(df: DataFrame, named: list) -> tuple[DataFrame, object]:
+    """``df`` watched by its own next action, and a function giving the metrics afterwards."""
+    if not named:
+        return df, dict
+    watch = Observation()
+    return df.observe(watch, *named), lambda: dict(watch.get)
+
+
 def committed(spark: SparkSession, path: str, col: str) -> list[int]:
     """Numbers ``n`` of the direct children ``<col>=<n>`` whose write was committed
     (Spark's ``_SUCCESS`` marker); one listing, no data files."""
