@@ -436,6 +436,39 @@ FROM counted""")
     q["mart_top_employers"] = with_ctes(*STAR_EMP, mart_top_cte(20), body="SELECT * FROM m4")
     q["mart_top_employers_k3"] = with_ctes(*STAR_EMP, mart_top_cte(3), body="SELECT * FROM m4")
     q["mart_currency"] = with_ctes(*STAR, MART_CURRENCY_CTE, body="SELECT * FROM m5")
+    for m in ("salary", "regions", "trends", "top_employers", "currency"):
+        q[f"mart_{m}_from_partials"] = q[f"mart_{m}"]
+    q["mart_partials"] = with_ctes(*STAR_EMP, body=f"""
+SELECT month, industry_id, area_id, currency, c.employer_id,
+       CASE v.version WHEN 1 THEN {RUN_1_AT} ELSE {RUN_2_AT} END AS employer_version,
+       COUNT(*) AS vacancies_cnt, COUNT(salary_point) AS vacancies_with_salary_cnt,
+       SUM(salary_point)::DECIMAL(38,3) AS salary_sum, MIN(salary_point)::DECIMAL(22,3) AS salary_min,
+       MAX(salary_point)::DECIMAL(22,3) AS salary_max
+FROM counted c JOIN (SELECT vacancy_id, version FROM fact_ver) v USING (vacancy_id) GROUP BY ALL""")
+    q["batch_changes"] = with_ctes(*STAR, body=f"""
+SELECT p.vacancy_id, coalesce(p.published_at < {RUN_1_AT}, false) AS replaced,
+       NOT coalesce(p.published_at < {RUN_1_AT}, false) AND f.vacancy_id IS NOT NULL AS new_fact,
+       CASE WHEN p.published_at < {RUN_1_AT} THEN 0 ELSE coalesce(r.n, 0) END AS new_roles
+FROM postings p LEFT JOIN facts f USING (vacancy_id)
+LEFT JOIN (SELECT vacancy_id, COUNT(DISTINCT role_id) AS n FROM roles_of GROUP BY 1) r USING (vacancy_id)""")
+    q["dq_observed"] = with_ctes(*STAR, body=f"""
+SELECT 'row_counts' AS "check",
+       CASE WHEN e = 0 THEN 'SKIP' WHEN e <> n THEN 'FAIL' ELSE 'PASS' END AS status,
+       '{{"ods_total":' || t || ',"ods_eligible":' || e || ',"dds_count":' || n || '}}' AS metrics
+FROM (SELECT COUNT(*) AS t, COUNT(employer_id) AS e, (SELECT COUNT(*) FROM facts) AS n FROM postings)
+UNION ALL SELECT 'null_keys', 'PASS', '{{"invalid_count":0}}'
+UNION ALL
+SELECT 'date_range', CASE WHEN o + l > 0 THEN 'FAIL' ELSE 'PASS' END,
+       '{{"min_date":"' || a || '","max_date":"' || b || '","too_old":' || o || ',"in_future":' || l || '}}'
+FROM (SELECT MIN(published_date) AS a, MAX(published_date) AS b,
+             COUNT(*) FILTER (WHERE published_date < DATE '2000-01-01') AS o,
+             COUNT(*) FILTER (WHERE published_date > DATE '2001-09-01') AS l FROM facts)
+UNION ALL
+SELECT 'rejected_postings', 'PASS', '{{"fetched":' || (COUNT(*) + COUNT(*) FILTER (WHERE published_at < {RUN_1_AT}))
+       || ',"rejected":0}}' FROM postings""")
+    q["enrich_fallback_taken"] = with_ctes(*STAR, body="""
+SELECT vacancy_id, name, published_date, 0::BIGINT AS n_roles FROM facts""")
+    q["load_with_details"] = q["bridge_role"]
     # --------------------------------------------------------------------- BI
     q["bi_avg_salary"] = with_ctes(*STAR, f"m1 AS ({MART_SALARY_BODY})", body="""
 SELECT industry_name, currency, CAST(SUM(CAST(floor(salary_avg * 1000000.0 + 0.5) AS DECIMAL(38,0))) AS DOUBLE)

@@ -19,6 +19,7 @@ from hiremart.operators import bi, dims, facts, flatten, marts, quality, scd2, s
 from hiremart.operators import upsert as up
 from hiremart.operators.staging import stage_postings
 from hiremart.plans import fixture_runs as FR
+from hiremart.plans import warehouse
 from hiremart.session import scratch_path
 from hiremart.sources import driver, landing
 
@@ -110,6 +111,29 @@ def q_enrich_fallback(spark, sf_dir):
                       F.col("item.name").alias("name"))
 
 
+@register("enrich_fallback_taken")
+def q_enrich_fallback_taken(spark, sf_dir):
+    """S5 taken: no detail record belongs to a search row, so all search rows are loaded as
+    they are; returns the facts of that load (no roles, hence no role links)."""
+    items = FR.landing_items(spark, sf_dir)
+    strangers = items.withColumn("item", F.col("item").withField("id", F.concat(F.lit("-"), F.col("item.id"))))
+    layout = warehouse.Layout(spark, scratch_path(spark, "fallback"), FR.ODS_BUCKETS)
+    wh = warehouse.load_run(layout, landing.enriched_postings(landing.search_view(items), strangers), FR.RUN_2_AT, 0)
+    links = wh.bridge_role.groupBy("vacancy_id").agg(F.count(F.lit(1)).alias("n"))
+    return wh.fact_vacancy.join(links, "vacancy_id", "left").select(
+        "vacancy_id", "name", "published_date", F.coalesce("n", F.lit(0)).cast("long").alias("n_roles"))
+
+
+@register("load_with_details")
+def q_load_with_details(spark, sf_dir):
+    """S4 in the load: search rows replaced by their detail records, then loaded; the role links
+    that only the details give."""
+    items = FR.landing_items(spark, sf_dir)
+    layout = warehouse.Layout(spark, scratch_path(spark, "details"), FR.ODS_BUCKETS)
+    wh = warehouse.load_run(layout, landing.enriched_postings(landing.search_view(items), items), FR.RUN_2_AT, 0)
+    return wh.bridge_role.select("vacancy_id", "role_id")
+
+
 @register("raw_lossless")
 def q_raw_lossless(spark, sf_dir):
     """Documents with members the reader does not declare, landed as page files,
@@ -413,6 +437,34 @@ def q_dq_foreign_keys(spark, sf_dir):
     ])
 
 
+@register("dq_observed")
+def q_dq_observed(spark, sf_dir):
+    """Q-1..Q-3 and rejects from what the two runs' writes counted (no table is scanned again)."""
+    L = FR.layout_for(spark, sf_dir)
+    return quality.checks_of_loads(L.appended["load_metrics"].read(), L.appended["fact_days"].read(),
+                                   as_of=FR.AS_OF_DATE)
+
+
+@register("batch_changes")
+def q_batch_changes(spark, sf_dir):
+    """Run 2's change set: every posting it wrote, whether the ODS had it, whether the run made it a
+    fact, and how many role links were new."""
+    L = FR.layout_for(spark, sf_dir)
+    rows = spark.read.parquet(f"{L.work(1)}/posting_rows")
+    had = spark.read.parquet(f"{L.work(1)}/changes").select("vacancy_id", F.col("old").isNotNull().alias("replaced"))
+    return rows.join(had, "vacancy_id").select(
+        "vacancy_id", "replaced", (F.col("loaded").isNotNull() & ~F.col("_was_loaded")).alias("new_fact"),
+        F.size("_new_roles").cast("long").alias("new_roles"))
+
+
+@register("mart_partials")
+def q_mart_partials(spark, sf_dir):
+    """The marts' partials after both runs, the employer version by its id and start."""
+    L, wh = FR.layout_for(spark, sf_dir), _wh(spark, sf_dir)
+    emp = wh.dim_employer.select("employer_sk", "employer_id", _ntz("valid_from").alias("employer_version"))
+    return L.kept("mart_partials", L.end_of(1)).join(emp, "employer_sk").drop("employer_sk")
+
+
 # -------------------------------------------------------------------- marts --
 @register("primary_role")
 def q_primary_role(spark, sf_dir):
@@ -488,6 +540,36 @@ def q_mart_currency(spark, sf_dir):
 
 
 # ----------------------------------------------------------------------- BI --
+@register("mart_salary_from_partials")
+def q_mart_salary_from_partials(spark, sf_dir):
+    """M1 from the partials the runs updated, written under its declared schema and key."""
+    return storage.enforced(FR.incremental_marts(spark, sf_dir)["salary"], *schemas.MARTS["salary"])
+
+
+@register("mart_regions_from_partials")
+def q_mart_regions_from_partials(spark, sf_dir):
+    """M2 from the partials the runs updated, under its declared schema and key."""
+    return storage.enforced(FR.incremental_marts(spark, sf_dir)["regions"], *schemas.MARTS["regions"])
+
+
+@register("mart_trends_from_partials")
+def q_mart_trends_from_partials(spark, sf_dir):
+    """M3 from the partials the runs updated, under its declared schema and key."""
+    return storage.enforced(FR.incremental_marts(spark, sf_dir)["trends"], *schemas.MARTS["trends"])
+
+
+@register("mart_top_employers_from_partials")
+def q_mart_top_employers_from_partials(spark, sf_dir):
+    """M4 from the partials the runs updated, under its declared schema and key."""
+    return storage.enforced(FR.incremental_marts(spark, sf_dir)["top_employers"], *schemas.MARTS["top_employers"])
+
+
+@register("mart_currency_from_partials")
+def q_mart_currency_from_partials(spark, sf_dir):
+    """M5 from the partials the runs updated, under its declared schema and key."""
+    return storage.enforced(FR.incremental_marts(spark, sf_dir)["currency"], *schemas.MARTS["currency"])
+
+
 @register("bi_avg_salary")
 def q_bi_avg_salary(spark, sf_dir):
     """Mean of the salary mart's means by role × currency ."""

@@ -96,7 +96,7 @@ def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame
     out_marts = {}
     for name, df in built.items():
         table = storage.VersionedTable(spark, f"{warehouse_path}/marts/{name}")
-        table.refresh(df, step)
+        table.refresh(storage.enforced(df, *schemas.MARTS[name]), step)
         out_marts[name] = table.read(step)
 
     # ---- data quality: what the writes counted, and this run's rows against their parents

@@ -128,7 +128,7 @@ class Layout:
             "bridge_sphere": A(spark, f"{r}/dds/bridge_sphere", schemas.BRIDGE_SPHERE),
             "dim_date": A(spark, f"{r}/dds/dim_date", schemas.DIM_DATE),
             "fact_employer_snapshot": A(spark, f"{r}/dds/fact_employer_snapshot",
-                                        schemas.FACT_EMPLOYER_SNAPSHOT),
+                                        schemas.FACT_EMPLOYER_SNAPSHOT, partition="snapshot_date"),
             # counted while loading: per run one row of counts, and its facts by day
             "load_metrics": A(spark, f"{r}/dq/load_metrics", schemas.LOAD_METRICS),
             "fact_days": A(spark, f"{r}/dq/fact_days", schemas.FACT_DAYS),

@@ -137,6 +137,35 @@ BRIDGE_SPHERE = T.StructType([T.StructField("vacancy_id", T.LongType(), False),
                               T.StructField("created_at", T.TimestampType())])
 
 
+# ------------------------------------------------- other stores' postings ----
+ODS_POSTINGS_NAIVE = T.StructType([T.StructField("published_at", T.TimestampNTZType()) if f.name == "published_at" else f
+                                   for f in ODS_POSTINGS.fields])
+DOCUMENT = T.StructType([T.StructField("_id", S, False), T.StructField("raw", S)])
+
+# ------------------------------------------------------------------ marts ----
+_ROLE = [T.StructField("industry_id", S, False), T.StructField("industry_name", S, False)]
+_AREA = [T.StructField("area_id", T.LongType()), T.StructField("area_name", S)]
+_CNT = T.StructField("vacancies_cnt", T.LongType(), False)
+_WITH = T.StructField("vacancies_with_salary_cnt", T.LongType(), False)
+_AVG = T.StructField("salary_avg", T.DoubleType())
+_CUR = T.StructField("currency", S, False)
+_MONTH = T.StructField("month", T.DateType(), False)
+#: per mart its columns and key; a NULL area is one value of the key
+MARTS = {
+    "salary": (T.StructType([_MONTH, *_ROLE, *_AREA, _CUR, _CNT, _WITH, T.StructField("salary_min", T.DecimalType(22, 3)),
+                             _AVG, T.StructField("salary_max", T.DecimalType(22, 3))]),
+               ["month", "industry_id", "area_id", "currency"]),
+    "regions": (T.StructType([*_ROLE, *_AREA, _CNT, _WITH, T.StructField("share_in_industry", T.DoubleType()), _AVG]),
+                ["industry_id", "area_id"]),
+    "trends": (T.StructType([_MONTH, *_ROLE, _CNT, T.StructField("mom_abs", T.LongType()),
+                             T.StructField("mom_pct", T.DoubleType())]), ["month", "industry_id"]),
+    "top_employers": (T.StructType([*_ROLE, *_AREA, T.StructField("employer_id", T.LongType(), False),
+                                    T.StructField("employer_name", S, False), _CUR, _CNT, _WITH, _AVG]),
+                      ["industry_id", "area_id", "employer_id", "currency"]),
+    "currency": (T.StructType([*_ROLE, *_AREA, _CUR, _CNT, T.StructField("currency_share", T.DoubleType())]),
+                 ["industry_id", "area_id", "currency"]),
+}
+
 # ------------------------------------------- state kept between the runs ----
 #: what the fact of a posting holds (first write wins), kept beside the posting
 LOADED = T.StructType([T.StructField("employer_sk", T.LongType()), T.StructField("area_id", T.LongType()),

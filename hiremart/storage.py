@@ -21,6 +21,8 @@ import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 from pyspark.errors import AnalysisException
 
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -106,6 +108,30 @@ class VersionedTable:
         return v
 
 
+def enforced(df: DataFrame, schema: T.StructType, keys: list[str] | None = None) -> DataFrame:
+    """``df`` as ``schema`` says (K10), checked while it is written: a missing or unfitting column
+    fails the plan, a NULL in a NOT NULL column or a second row of a key fails the write.
+
+    Key parts compare null-safely.  The key check shuffles by the key, so it is for
+    tables of aggregated or per-key rows.
+    """
+    missing = [c for c in schema.fieldNames() if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing: {missing}")
+    loose = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    out = df.to(loose)
+    rows = out if not keys else out.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    cols = []
+    for i, f in enumerate(schema.fields):
+        c = F.col(f.name)
+        if not f.nullable:
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"{f.name} is NULL")).cast(f.dataType)).otherwise(c)
+        if keys and f.name == keys[0]:
+            c = F.when(F.col("_rows") > 1, F.raise_error(F.lit(f"several rows of one key {keys}")).cast(f.dataType)).otherwise(c)
+        cols.append(c.alias(f.name))
+    return rows.select(*cols)
+
+
 def full_refresh(df: DataFrame, path: str) -> DataFrame:
     """K7: replace the table at ``path`` with ``df`` atomically and return its reader."""
     t = VersionedTable(df.sparkSession, path)
@@ -139,6 +165,9 @@ class KeyedTable:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def _raw(self) -> DataFrame | None:
+        fs, path_of = _hadoop(self.spark, self.path)
+        if not fs.globStatus(path_of(f"{self.path}/{self.BUCKET}=*")):
+            return None
         return read_if_exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
@@ -220,8 +249,9 @@ class AppendTable:
 
     COL = "_run"
 
-    def __init__(self, spark: SparkSession, path: str, schema):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema, partition: str | None = None):
+        """``partition`` names a column that also partitions the rows within a run's folder."""
+        self.spark, self.path, self.schema, self.partition = spark, path.rstrip("/"), schema, partition
 
     def runs(self) -> list[int]:
         """Committed runs: the direct children that hold a commit marker."""
@@ -231,7 +261,10 @@ class AppendTable:
         paths = [f"{self.path}/{self.COL}={r}" for r in self.runs() if wanted(r)]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths).select(*self.schema.fieldNames())
+        reader = self.spark.read.schema(self.schema)
+        if self.partition:
+            reader = reader.option("basePath", self.path)
+        return reader.parquet(*paths).select(*self.schema.fieldNames())
 
     def read(self, upto: int | None = None) -> DataFrame:
         """All rows, or the rows added by runs ``<= upto``."""
@@ -254,8 +287,10 @@ class AppendTable:
 
     def append(self, delta: DataFrame, run: int) -> None:
         """Commit ``delta`` as run ``run``'s rows (replacing a failed attempt's)."""
-        delta.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.path}/{self.COL}={int(run)}")
+        writer = delta.select(*self.schema.fieldNames()).write.mode("overwrite")
+        if self.partition:
+            writer = writer.partitionBy(self.partition).option("partitionOverwriteMode", "static")
+        writer.parquet(f"{self.path}/{self.COL}={int(run)}")
 
 
 def _hadoop(spark: SparkSession, path: str):

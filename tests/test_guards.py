@@ -76,3 +76,47 @@ def test_steps_of_one_run_have_different_surrogate_keys(spark):
     dim = scd2.scd2_step(spark.createDataFrame([], schemas.DIM_EMPLOYER), staged, now)
     again = scd2.scd2_step(dim, staged.withColumn("alternate_url", F.lit("v")), now, step=1).collect()
     assert len({r["employer_sk"] for r in again}) == len(again) == 2
+
+
+def test_declared_schemas_are_enforced_by_the_write(spark, tmp_path):
+    from hiremart.storage import enforced
+    schema, key = schemas.MARTS["currency"]
+    rows = "industry_id string, industry_name string, area_id long, area_name string, currency string, vacancies_cnt long, currency_share double"
+    good = spark.createDataFrame([("1", "a", None, None, "USD", 1, 0.5), ("1", "a", 2, None, "USD", 1, 0.5)], rows)
+    assert enforced(good.withColumn("more", F.lit(1)), schema, key).schema.fieldNames() == schema.fieldNames()
+    assert VersionedTable(spark, str(tmp_path / "m")).refresh(enforced(good, schema, key)) == 1
+    for bad in (good.unionByName(good.limit(1)), good.withColumn("currency", F.lit(None).cast("string"))):
+        with pytest.raises(Exception, match="several rows|is NULL"):
+            VersionedTable(spark, str(tmp_path / "m")).refresh(enforced(bad, schema, key))
+    with pytest.raises(ValueError, match="missing"):
+        enforced(good.drop("vacancies_cnt"), schema, key)
+    with pytest.raises(Exception, match="INVALID_COLUMN_OR_FIELD_DATA_TYPE"):
+        enforced(good.withColumn("vacancies_cnt", F.lit("many")), schema, key)
+    assert VersionedTable(spark, str(tmp_path / "m")).versions() == [1]
+
+
+def test_snapshot_reads_only_its_own_day(spark, tmp_path):
+    from hiremart.operators import facts
+    from hiremart.plans.warehouse import Layout
+    t = Layout(spark, str(tmp_path / "wh"), 4).appended["fact_employer_snapshot"]
+    dim = spark.createDataFrame([(e * 10, e, "n", "u", True, None, None, True) for e in (1, 2, 3)], schemas.DIM_EMPLOYER)
+    ods = lambda vacancies, ids=(1, 2): spark.createDataFrame(
+        [(e, "n", "area", vacancies, "u", "{}") for e in ids], schemas.ODS_EMPLOYERS)
+    load = lambda run, day, o: t.append(facts.fact_snapshot(o, dim, t.read_before(run), day, dt.datetime(2024, 1, 1)), run)
+    load(0, "2024-01-01", ods(5))
+    load(1, "2024-01-01", ods(9, (1, 2, 3)))         # a later run of the day: only the new employer
+    load(2, "2024-01-02", ods(7))
+    got = sorted((r["employer_id"], str(r["snapshot_date"]), r["open_vacancies"]) for r in t.read().collect())
+    assert got == [(1, "2024-01-01", 5), (1, "2024-01-02", 7), (2, "2024-01-01", 5), (2, "2024-01-02", 7), (3, "2024-01-01", 9)]
+    plan = t.read().where("snapshot_date = DATE'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
+def test_detail_records_and_fallback(spark):
+    item = "_page int, _pos int, item struct<id:string,name:string,professional_roles:array<struct<id:string,name:string>>>"
+    full = spark.createDataFrame([(0, 0, ("1", "a", [("7", "r")])), (0, 1, ("2", "b", None))], item)
+    search = full.withColumn("item", F.col("item").dropFields("professional_roles"))
+    got = landing.enriched_postings(search, full.where("item.id = '1'"))
+    assert [(r["item"]["id"], len(r["item"]["professional_roles"])) for r in got.collect()] == [("1", 1)]
+    none = landing.enriched_postings(search, full.where("item.id = '9'"))
+    assert sorted((r["item"]["id"], r["item"]["professional_roles"]) for r in none.collect()) == [("1", None), ("2", None)]
