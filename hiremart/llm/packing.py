@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import bisect
 import os
-import re
 import zlib
 
 import numpy as np
@@ -28,8 +27,8 @@ from hiremart.llm.frames import keep, prepare, running_total
 CAPACITY = 4096
 #: Coarse units of a sequence, and most documents in an enumerated pattern.
 UNITS, PATTERN_DOCS = 128, 4
-#: Words (and cores of words) whose ids a worker remembers, in each of two generations.
-WORD_CACHE = 120_000
+#: Words whose ids a worker remembers (their ids: at most eight times as many): about 40 MB.
+WORD_CACHE = 600_000
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -39,47 +38,56 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class Remembered:
-    """A bounded map in two generations: what was used since the last turn survives the next."""
+#: Marks behind a word, and the bytes of words that may be letters below U+0180 only.
+_MARKS, _LETTERS = np.zeros(256, bool), np.zeros(256, bool)
+_MARKS[list(b".,;:!?#*$%&|<>()\"-")] = True
+_LETTERS[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = True
+_WHOLE = np.uint64(0x9AE16A3B2F90404F)
 
-    def __init__(self, room: int):
-        self.room, self.young, self.old = room, {}, {}
 
-    def turn(self, coming: int) -> None:
-        if len(self.young) + coming > self.room:
-            self.old, self.young = self.young, {}
+class Memory:
+    """Ids by 64-bit keys: ``pool`` holds all ids, ``at`` and ``size`` a key's part of it
+    (size -1: a core that is no word of letters)."""
 
-    def missing(self, keys) -> list:
-        """The keys not known; those of the old generation become young."""
-        young, old, out = self.young, self.old, []
-        for k in keys:
-            if k not in young:
-                if (v := old.get(k)) is None:
-                    out.append(k)
-                else:
-                    young[k] = v
-        return out
+    def __init__(self):
+        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
 
+    def place(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where ascending ``keys`` are or belong, and which are known."""
+        place = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        there = place < len(self.keys)
+        known[there] = self.keys[place[there]] == keys[there]
+        return place, known
 
-_SPLIT = re.compile(r"(.*?)([.,;:!?#*$%&|<>()\"\-]*)", re.S)
+    def add(self, keys: np.ndarray, ids: list[bytes | None]) -> None:
+        """Adds ascending keys that are not known."""
+        size = np.fromiter((-4 if x is None else len(x) for x in ids), np.int64, len(ids)) // 4
+        used = np.maximum(size, 0)
+        at = len(self.pool) + np.cumsum(used) - used
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(x for x in ids if x), "<u4")])
+        into, _ = self.place(keys)
+        self.at, self.size = np.insert(self.at, into, at), np.insert(self.size, into, size)
+        self.keys = np.insert(self.keys, into, keys)
 
 
 class WordTokenizer:
-    """Ids of whole texts (as little-endian unsigned 32-bit bytes), words encoded once and
-    remembered within the bounds of ``WORD_CACHE``.
+    """Ids of whole texts: the distinct words of a chunk are encoded once and remembered within
+    the bounds of ``WORD_CACHE``; words are told apart by 64-bit hashes, nothing runs per word.
 
     Exact for tokenizers that drop white space and never merge across it: the ids of a text
     are those of its words between U+0020 and U+0009..U+000D, in order.  ``end`` names the
     mark that the vocabulary puts on a pre-token's last piece; where it has one and lower-cases,
     the letters of a word (below U+0180, where lower case keeps composed characters composed)
-    and the marks behind them are remembered apart.
+    and the marks behind them are encoded and remembered apart.
     """
 
     def __init__(self, path: str, end: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.cores = Remembered(WORD_CACHE), Remembered(WORD_CACHE)
+        self.memory = Memory()
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, k in vocabulary.items():
@@ -87,7 +95,11 @@ class WordTokenizer:
         self.apart = bool(self.ends.any()) and self._ids(["AB", "ab"])[0] == self._ids(["ab"])[0]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        out = []
+        for i in range(0, len(texts), 10_000):
+            some = self.tokenizer.encode_batch(texts[i:i + 10_000], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in some]
+        return out
 
     def _encode_cores(self, cores: list[str]) -> list[bytes]:
         """Ids of words of letters only, each a single pre-token: encoded in one text and cut
@@ -99,36 +111,60 @@ class WordTokenizer:
         raw, at = ids.tobytes(), [0, *(4 * cut).tolist()]
         return [raw[x:y] for x, y in zip(at, at[1:])]
 
-    def _learn(self, new: list[bytes]) -> None:
-        known, whole, parts = self.words.young, [], []
-        for w in new:
-            text = w.decode("utf-8", "replace")
-            core, tail = _SPLIT.fullmatch(text).groups()
-            if self.apart and core.isalpha() and max(core) < "\u0180" and "\u0130" not in core:
-                parts.append((w, core.lower(), tail))
-            else:
-                whole.append((w, text))
-        for i in range(0, len(whole), 10_000):
-            some = whole[i:i + 10_000]
-            known.update(zip((w for w, _ in some), self._ids([t for _, t in some])))
-        self.cores.turn(2 * len(parts))
-        lacking = self.cores.missing({c for _, c, _ in parts})
-        for i in range(0, len(lacking), 1000):
-            some = lacking[i:i + 1000]
-            self.cores.young.update(zip(some, self._encode_cores(some)))
-        tails = self.cores.missing({t for _, _, t in parts if t})
-        if tails:
-            self.cores.young.update(zip(tails, self._ids(tails)))
-        ids = self.cores.young
-        known.update((w, ids[c] + ids[t] if t else ids[c]) for w, c, t in parts)
-
-    def encode(self, data: bytes) -> bytes:
-        parts = data.split()
-        names = set(parts)
-        self.words.turn(len(names))
-        if new := self.words.missing(names):
-            self._learn(new)
-        return b"".join(map(self.words.young.__getitem__, parts))
+    def _learn(self, data: np.ndarray, s: np.ndarray, e: np.ndarray, keys: np.ndarray, core: np.ndarray) -> None:
+        """Encodes new distinct items, the spans ``s``-``e``: lower-cased cores and whole words or marks."""
+        raw = data.tobytes()
+        texts = [raw[i:j].decode("utf-8", "replace") for i, j in zip(s.tolist(), e.tolist())]
+        ids: list[bytes | None] = [None] * len(texts)
+        cores = [(k, t.lower()) for k, t in enumerate(texts) if core[k] and t.isalpha() and max(t) < "\u0180" and "\u0130" not in t]
+        for i in range(0, len(cores), 1000):
+            some = cores[i:i + 1000]
+            for (k, _), x in zip(some, self._encode_cores([t for _, t in some])):
+                ids[k] = x
+        whole = np.flatnonzero(~core).tolist()
+        for k, x in zip(whole, self._ids([texts[k] for k in whole])):
+            ids[k] = x
+        self.memory.add(keys, ids)
+
+    def _known(self, data: np.ndarray, s: np.ndarray, e: np.ndarray, keys: np.ndarray, core: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Each span's place and size in the pool, new spans learned."""
+        keys, first, item = np.unique(keys, return_index=True, return_inverse=True)
+        place, known = self.memory.place(keys)
+        if not known.all():
+            new = first[~known]
+            self._learn(data, s[new], e[new], keys[~known], np.full(len(new), core))
+            place, _ = self.memory.place(keys)
+        return self.memory.at[place][item], self.memory.size[place][item]
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a chunk's texts, one after the other, and where each text's begin (n + 1 entries)."""
+        if len(self.memory.keys) > WORD_CACHE or len(self.memory.pool) > 8 * WORD_CACHE:
+            self.memory = Memory()
+        s, e, doc = T.words(data, off)
+        middle = e.copy()
+        at, size = np.zeros((len(s), 2), np.int64), np.zeros((len(s), 2), np.int64)
+        core = np.zeros(len(s), bool)
+        if self.apart and len(s):
+            ends = np.arange(len(s))        # words whose marks are not yet all found
+            while len(ends := ends[(middle[ends] > s[ends]) & _MARKS[data[middle[ends] - 1]]]):
+                middle[ends] -= 1
+            other = np.concatenate([[0], np.cumsum(~_LETTERS[data])])
+            core = (middle > s) & (other[middle] == other[s])
+            lower = T.LOWER[data]
+            k = np.flatnonzero(core)
+            at[k, 0], size[k, 0] = self._known(lower, s[k], middle[k], T.span_hashes(lower, s[k], middle[k]), True)
+            core &= size[:, 0] >= 0
+            k = np.flatnonzero(core & (middle < e))
+            if len(k):
+                at[k, 1], size[k, 1] = self._known(data, middle[k], e[k], T.span_hashes(data, middle[k], e[k]) ^ _WHOLE, False)
+        k = np.flatnonzero(~core)
+        if len(k):
+            at[k, 0], size[k, 0] = self._known(data, s[k], e[k], T.span_hashes(data, s[k], e[k]) ^ _WHOLE, False)
+        at, size = at.ravel(), size.ravel()
+        total = np.cumsum(size)
+        ids = self.memory.pool[np.repeat(at - (total - size), size) + np.arange(total[-1] if len(total) else 0)]
+        ends = np.concatenate([[0], total])[::2]
+        return ids, ends[T.bounds(doc, len(off) - 1)]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -147,15 +183,20 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str,
                         ("ids_crc32", pa.int64())])
 
     def run(batches):
-        words, last = word_tokenizer(path), np.array([end_id], "<u4").tobytes()
+        words, last, step = word_tokenizer(path), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for b in batches:
-            data, off = T.utf8(b.column(1))
-            raw, rows = data.tobytes(), []
-            for k, doc in enumerate(b.column(0).to_pylist()):
-                ids = words.encode(raw[off[k]:off[k + 1]]) + last
-                for p, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    rows.append((doc, p, at // 4, len(part) // 4, zlib.crc32(part)))
+            rows, docs = [], b.column(0).to_pylist()
+            for first, _, data, off in T.chunks(b.column(1)):
+                ids, ends = words.encode(data, off)
+                raw, ends = ids.astype("<u4", copy=False).tobytes(), (4 * ends).tolist()
+                for k, (i, j) in enumerate(zip(ends, ends[1:])):
+                    doc = docs[first + k]
+                    for p, at in enumerate(range(i, j + 4, step)):
+                        part = raw[at:min(at + step, j)]
+                        crc, size = zlib.crc32(part), len(part)
+                        if at + step > j:       # the last piece ends with the end mark
+                            crc, size = zlib.crc32(last, crc), size + 4
+                        rows.append((doc, p, p * capacity, size // 4, crc))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema) \
                 if rows else T.empty_batch(schema)
 

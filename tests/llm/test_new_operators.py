@@ -212,3 +212,21 @@ def test_characteristic_polynomial_and_roots(spark):
 def test_exact_gram_of_large_entries():
     y = np.array([[2**31, -2**31, 5], [2**31 - 1, 3, -7]], np.int64)
     assert (whitening._gram(y) == y.astype(object).T @ y.astype(object)).all()
+
+
+def test_packing_ids_equal_the_tokenizers_own(monkeypatch):
+    import pyarrow as pa
+
+    from hiremart.llm import packing, textarrays
+    rng = random.Random(3)
+    odd = ["\u0130stanbul", "\xd7", "a\xd7b", "\xb5m", "e\u0301t\xe9", "\xc9T\xc9!!", "--", "...", "a.b", "x-y-", "3rd", "\u4e2d\u6587", "\ufeffx",
+           "\xdf\u017f", "don't", "(a)", "\u0149x", "<|endoftext|>", "a" * 5000, "\U0001f600,", "\xa0", "\u2003y", "A\u030a"]
+    texts = [None, "", " ", *odd, *[" ".join(rng.choice(odd + ["The", "the,", "THE!", "word"]) for _ in range(60)) for _ in range(20)]]
+    words = packing.WordTokenizer(packing.tokenizer_path())
+    for room in (600_000, 5):           # remembered, and forgotten before every chunk
+        monkeypatch.setattr(packing, "WORD_CACHE", room)
+        for first, end, data, off in textarrays.chunks(pa.array(texts), 4000):
+            ids, at = words.encode(data, off)
+            for k in range(end - first):
+                want = words.tokenizer.encode(texts[first + k] or "", add_special_tokens=False).ids
+                assert ids[at[k]:at[k + 1]].tolist() == want, texts[first + k]
