@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from hiremart.llm import textarrays as T
@@ -181,6 +182,19 @@ def learn(docs: DataFrame, usable: Column, **options) -> tuple[list[str], dict[s
     return (langs, ByteCNN(langs).fit(windows).tables()) if langs else None
 
 
+def _judge(model, col: pa.Array) -> tuple[list[str], np.ndarray]:
+    """The language and score of every text of a column."""
+    if model is None:
+        return ["und"] * len(col), np.zeros(len(col))
+    langs, scores = [], [np.zeros(0)]
+    for _, _, data, off in T.chunks(col):
+        prob = text_probabilities(model[1], data, off)
+        letter, best = has_letter(data, off), prob.argmax(1)
+        langs += [model[0][k] if ok else "und" for k, ok in zip(best, letter)]
+        scores.append(np.where(letter, np.clip(prob.max(1), 0, 1), 0.0))
+    return langs, np.concatenate(scores)
+
+
 def identify(docs: DataFrame, model, extra: list[str] = [], id_col: str = "doc_id",  # noqa: B006
              text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` of every row of ``docs`` (and the columns ``extra``).
@@ -192,29 +206,38 @@ def identify(docs: DataFrame, model, extra: list[str] = [], id_col: str = "doc_i
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)     # a few MB of tables, whatever the corpus
     kinds = dict(docs.dtypes)
-    schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
 
+    @T.tidy
     def run(batches):
-        got = shared.value
         for b in batches:
-            for i, j, data, off in T.chunks(b.column(b.num_columns - 1)):
-                if got is None:
-                    lang, score = ["und"] * (j - i), np.zeros(j - i)
-                else:
-                    prob = text_probabilities(got[1], data, off)
-                    letter, best = has_letter(data, off), prob.argmax(1)
-                    lang = [got[0][k] if ok else "und" for k, ok in zip(best, letter)]
-                    score = np.where(letter, np.clip(prob.max(1), 0, 1), 0.0)
-                rest = b.slice(i, j - i)
-                names = rest.schema.names[:-1]
-                yield pa.RecordBatch.from_arrays([*rest.columns[:-1], pa.array(lang, schema[0].type), pa.array(score)],
-                                                 names=[*names, "lang_pred", "score"])
+            lang, score = _judge(shared.value, b.column(b.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                                             names=[*b.schema.names[:-1], "lang_pred", "score"])
 
     cols = [F.col(id_col).cast("long").alias("doc_id"), *extra]
     out = ", ".join(["doc_id long", *[f"`{c}` {kinds[c]}" for c in extra], "lang_pred string", "score double"])
     return docs.select(*cols, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, out)
 
 
+def identify_rows(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
+    """``row, lang_pred, score``: as ``identify``, with the whole input row as one struct, so
+    that its columns may have any names and the text is carried once."""
+    spark = prepare(docs.sparkSession)
+    shared = spark.sparkContext.broadcast(model)
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    at = docs.columns.index(text_col)
+
+    @T.tidy
+    def run(batches):
+        for b in batches:
+            lang, score = _judge(shared.value, b.column(0).flatten()[at].cast(pa.large_string()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                                             names=["row", "lang_pred", "score"])
+
+    more = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, *more]))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """crc32 of the id as text is divisible by 5 (a null id: as the empty text)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0

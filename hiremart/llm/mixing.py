@@ -116,16 +116,18 @@ def apply_mix(docs: DataFrame, mixed: DataFrame, whole: bool = False) -> DataFra
     same = ["_id", "_no_id", "_source", "_no_source", "_size"]
     taken = (mixed.select(*named(F.col("doc_id"), F.col("source")), F.col("size").alias("_size"), "taken").where("_size > 0")
              .groupBy(*same).agg(F.count(F.lit(1)).alias("_rows"), F.sum("taken").alias("_sum")).where("_sum > 0"))
-    sized = docs.select("*", *named(F.col("doc_id").cast("long"), F.col("source").cast("string")), word_count(F.col("text")).alias("_size"))
-    nth = F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64("text"), "text"))
+    sized = docs.select(F.struct(*docs.columns).alias("_doc"),      # its columns may have any names
+                        *named(F.col("doc_id").cast("long"), F.col("source").cast("string")), word_count(F.col("text")).alias("_size"))
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64("_doc.text"), "_doc.text"))
     rest = F.expr("_sum % (_rows * _size) - (_nth - 1L) * _size")
     full = (sized.where("_size > 0").withColumn("_nth", nth).join(taken, same)
             .withColumn("_taken", F.expr("_sum div (_rows * _size) * _size") + F.greatest(F.lit(0), F.least(F.col("_size"), rest)))
             .where("_taken > 0")
             .withColumn("_copy", F.expr("explode(sequence(1L, (_taken + _size - 1) div _size))")))
-    if whole:
-        return full.select(*docs.columns)
-    left = F.expr("least(_size, _taken - (_copy - 1) * _size)")
-    cut = F.expr(r"array_join(slice(filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> ''), 1, "
-                 r"int(_taken - (_copy - 1) * _size)), ' ')")
-    return full.withColumn("text", F.when(left < F.col("_size"), cut).otherwise(F.col("text"))).select(*docs.columns)
+    columns = {c: F.col("_doc").getField(c) for c in docs.columns}
+    if not whole:
+        left = F.expr("least(_size, _taken - (_copy - 1) * _size)")
+        cut = F.expr(r"array_join(slice(filter(split(_doc.text, '[\\x20\\x09-\\x0D]+'), w -> w <> ''), 1, "
+                     r"int(_taken - (_copy - 1) * _size)), ' ')")
+        columns["text"] = F.when(left < F.col("_size"), cut).otherwise(columns["text"])
+    return full.select(*[v.alias(c) for c, v in columns.items()])

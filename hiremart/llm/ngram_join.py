@@ -116,6 +116,7 @@ def describe_sets(docs: DataFrame, width: int, num: int, den: int, id_col: str =
                         ("mins", pa.list_(pa.int64())), ("low", pa.list_(pa.int64())),
                         ("bits", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
 
+    @T.tidy
     def run(batches):
         for b in batches:
             n, d1, d2, mins, low, lows, bits, wide = [], [], [], [], [], [], [], []
@@ -149,6 +150,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, width: int, id_col: str, text_co
     """``(id, tokens)``: the whole sets of the documents named in ``ids(id)``, made again from their texts."""
     schema = pa.schema([("id", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
+    @T.tidy
     def run(batches):
         for b in batches:
             xs = list(_sets(b.column(1), width))
@@ -168,6 +170,7 @@ def _listed_prefixes(docs: DataFrame, ids: DataFrame, common: DataFrame, width:
     shared = docs.sparkSession.sparkContext.broadcast(listed)
     schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
+    @T.tidy
     def run(batches):
         last = shared.value
         for b in batches:
@@ -191,6 +194,7 @@ def verify_pairs(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: i
     sets = keep(_full_sets(docs, ids, width, id_col, text_col), "pair_sets")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    @T.tidy
     def run(batches):
         for b in batches:
             (xo, xv), (yo, yv) = ((c.offsets.to_numpy(), c.values.to_numpy()) for c in (b.column(2), b.column(3)))
@@ -223,9 +227,20 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     key = ["n", "d1", "d2"]
     full = sets.where("n > 0 AND doc_id IS NOT NULL")
     named = keep(full.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("other")), "named")
-    copies = keep(full.select("doc_id", *key).join(small(named.where("rep < other").drop("other")), key)
-                  .where("doc_id <> rep").select("doc_id").distinct(), "copies")
-    reps = full.join(small(copies), "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
+    # a set's representative stays, other rows of that set go (other sets of their ids stay)
+    copied = small(named.where("rep < other").drop("other"))
+    reps = (full.join(copied, key, "left").where("rep IS NULL OR rep = doc_id").drop("rep")
+            .withColumnRenamed("doc_id", "rep"))
+    # an id with several sets links their representatives
+    several = keep(full.groupBy("doc_id").agg(F.min(F.struct(*key)).alias("lo"), F.max(F.struct(*key)).alias("hi"))
+                   .where("lo <> hi").select("doc_id"), "several_sets")
+    if several.isEmpty():
+        same_id = None
+    else:
+        of_id = (full.select("doc_id", *key).join(small(several), "doc_id", "left_semi")
+                 .join(named.select(*key, "rep"), key).select("doc_id", "rep").distinct())
+        same_id = keep(of_id.join(of_id.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id")
+                       .where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "same_id")
 
     # leader rounds: one row per representative and minimum hash, checked against the bucket's leader
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(den / num)) if num < den else F.col("n")
@@ -237,6 +252,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
         .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b")).distinct())
     near = _screen(keep(near, "near_pairs"), reps, num, den)
     links = verify_pairs(docs, near, width, num, den, id_col, text_col)
+    if same_id is not None:
+        links = links.union(same_id)
     label = components(links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
     rows = reps.join(small(label), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
 

@@ -182,6 +182,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str,
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                         ("ids_crc32", pa.int64())])
 
+    @T.tidy
     def run(batches):
         words, last, step = word_tokenizer(path), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for b in batches:

@@ -143,9 +143,11 @@ def redact(docs: DataFrame, scanned: DataFrame, mark: str = "[secret]") -> DataF
     cuts = cuts.withColumn("island", F.sum("first").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     cuts = cuts.groupBy("_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     cuts = keep(cuts.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts")), "secret_cuts")
-    pieces = F.expr("""transform(sequence(0, size(_cuts)), i -> substring(text,
+    pieces = F.expr("""transform(sequence(0, size(_cuts)), i -> substring(_doc.text,
         int(CASE WHEN i = 0 THEN 1 ELSE element_at(_cuts, i).end + 1 END),
-        int(CASE WHEN i = size(_cuts) THEN length(text) ELSE _cuts[i].start END
+        int(CASE WHEN i = size(_cuts) THEN length(_doc.text) ELSE _cuts[i].start END
             - CASE WHEN i = 0 THEN 0 ELSE element_at(_cuts, i).end END)))""")
-    hit = docs.join(small(cuts, 100_000), F.sha2(F.col("text").cast("string").cast("binary"), 256) == F.col("_id"), "left")
-    return hit.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(F.array_join(pieces, mark))).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"))       # its columns may have any names
+    hit = rows.join(small(cuts, 100_000), F.sha2(F.col("_doc.text").cast("string").cast("binary"), 256) == F.col("_id"), "left")
+    text = F.when(F.col("_cuts").isNull(), F.col("_doc.text")).otherwise(F.array_join(pieces, mark))
+    return hit.select(*[text.alias(c) if c == "text" else F.col("_doc").getField(c).alias(c) for c in docs.columns])

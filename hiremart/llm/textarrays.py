@@ -7,6 +7,9 @@ than a chunk is one chunk of its own.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
 import pyarrow as pa
 
@@ -23,6 +26,21 @@ _RINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[int, np.ndarray] = {}
 
 
+def tidy(run):
+    """A partition function that gives its worker's freed memory back at the end (idle workers
+    stay beside the executor through later stages)."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # only the GNU library has it
+            if trim:
+                trim(0)
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64)."""
     x = x.astype(np.uint64, copy=True)
@@ -40,7 +58,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         p = np.full(max(n, CHUNK) + 1, base, np.uint64)
         p[0] = 1
         np.multiply.accumulate(p, out=p)
-        if len(p) <= 4 * CHUNK:     # a longer text's table is not kept
+        if len(p) <= CHUNK + 1:     # a longer text's table is not kept
             _POWERS[int(base)] = p
     return p[:n]
 

@@ -230,3 +230,39 @@ def test_packing_ids_equal_the_tokenizers_own(monkeypatch):
             for k in range(end - first):
                 want = words.tokenizer.encode(texts[first + k] or "", add_special_tokens=False).ids
                 assert ids[at[k]:at[k + 1]].tolist() == want, texts[first + k]
+
+
+# ------------------------------------------- earlier operators, mended cases --
+def test_ngram_join_links_through_an_id_with_several_texts(spark):
+    from hiremart.llm import ngram_join
+    rng = random.Random(5)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    near_b = b + " more"
+    cases = [([5, 5, 3, 9], [a, b, a, near_b], {3: 3, 5: 3, 9: 3}), ([7, 7, 8], [a, b, c], {7: 7, 8: 8}),
+             ([4, 6, 4, 6], [a, b, c, near_b], {4: 4, 6: 6}), ([2, 1, 2, 1], [a, a, b, c], {1: 1, 2: 1})]
+    for ids, texts, want in cases:
+        rows = [(d, t, "f", "b", "k", "r") for d, t in zip(ids, texts)]
+        got = ngram_join.jaccard_components(spark.createDataFrame(rows, DOCS), 4, 85, 100).collect()
+        assert len(got) == len(ids) and {(r["doc_id"], r["component_id"]) for r in got} == set(want.items())
+
+
+def test_stages_take_tables_with_their_own_column_names(spark, tmp_path):
+    import corpus_pipeline
+    from hiremart.llm import language_id, mixing, secret_scan
+    names = "doc_id long, text string, lang string, source string, score double, lang_pred string, _text string, _id string, _size long, row string, _doc string, x map<string,int>"
+    texts = ["the cat and the dog were here " * 5, "der Hund und die Katze waren hier " * 5, "password = abcdefgh12 here", None, "12"]
+    docs = spark.createDataFrame([(k, t, "en" if k % 2 == 0 else "de", "s", 0.5, "q", "t", "i", 3, "r", "d", {"a": 1})
+                                  for k, t in enumerate(texts)], names)
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.language(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} <= {0, 1, 2}
+    model = language_id.learn(docs, language_id.F.lit(True))
+    one = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, model).collect()}
+    assert one == {r["row"]["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify_rows(docs, model).collect()}
+    clean = secret_scan.redact(docs, secret_scan.scan(docs))
+    assert clean.columns == docs.columns
+    assert {r["doc_id"]: r["text"] for r in clean.collect()}[2] == "[secret] here"
+    assert all(r["x"] == {"a": 1} and r["_size"] == 3 for r in clean.collect())
+    for whole in (True, False):
+        mixed = mixing.apply_mix(docs, mixing.mix(docs), whole=whole)
+        assert mixed.columns == docs.columns and all(r["text"].startswith(texts[r["doc_id"]].split()[0]) for r in mixed.collect())
