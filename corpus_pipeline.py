@@ -18,8 +18,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents without a language (no letter) or with an unsure one go; the
     network learns from the labelled documents.  Without any labelled text all go."""
     model = language_id.learn(docs, F.lit(True))
-    kept = language_id.identify(docs, model, extra=[c for c in docs.columns if c != "doc_id"])
-    return kept.where(f"lang_pred <> 'und' AND score >= {LEAST_SCORE}").select(*docs.columns)
+    judged = language_id.identify_rows(docs, model)
+    return judged.where(f"lang_pred <> 'und' AND score >= {LEAST_SCORE}").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
