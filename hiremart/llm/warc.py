@@ -25,6 +25,9 @@ from hiremart.session import scratch_path
 #: Bytes of records in a frame and of frames in a bundle; Zstandard level.
 FRAME_BYTES, BUNDLE_BYTES, LEVEL = 256 << 10, 64 << 20, 3
 
+#: Neighbouring frames of a bundle read by one task (about 8 MB of records).
+FRAMES_A_TASK = 32
+
 #: Fixed values of the seekable format: skippable frame, footer.
 SKIPPABLE, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
 
@@ -37,6 +40,14 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
+def qualified(spark, path: str) -> str:
+    """``path`` with the scheme that Spark resolves it by, so that tasks open the same place
+    (a path without one is the cluster's default file system, not the executor's own disk)."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return "file://" + full[5:] if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def record_id(page_id) -> str:
     return f"<urn:x-page:{'null' if page_id is None else page_id}>"
 
@@ -153,7 +164,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
     retried task leaves an unnamed file and no wrong record.
     """
     spark = prepare(pages.sparkSession)
-    folder = folder or scratch_path(spark, "warc")
+    folder = qualified(spark, folder or scratch_path(spark, "warc"))
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     long_enough = rows.where(F.octet_length("html") >= least_bytes)
@@ -197,10 +208,16 @@ def _record_row(head: dict[str, str], block: bytes, with_payload: bool) -> tuple
 def read_archives(index: DataFrame, payloads: bool = False) -> DataFrame:
     """Every record of the bundles that the index names, read frame by frame through the seek
     tables: ``page_id, payload_bytes, payload_digest, record_type, refers_to`` (and the
-    responses' ``payload``).  Payloads are checked against their digests."""
+    responses' ``payload``).  Payloads are checked against their digests.
+
+    A task reads about ``FRAMES_A_TASK`` neighbouring frames: the number of tasks follows the
+    index, whatever few bytes its rows have."""
     spark = index.sparkSession
-    frames = index.select("bundle", "frame").distinct().repartition(
-        max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bundle", "frame")
+    lots = keep(index.select("bundle", F.floor(F.col("frame") / FRAMES_A_TASK).alias("lot"), "frame").distinct()
+                .groupBy("bundle", "lot").agg(F.sort_array(F.collect_list("frame")).alias("frames")), "warc_frames")
+    tasks = max(1, lots.count())
+    frames = lots.repartitionById(tasks, F.pmod(F.xxhash64("bundle", "lot"), F.lit(tasks)).cast("int")).select(
+        "bundle", F.explode("frames").alias("frame"))
     schema = _RECORD if payloads else pa.schema(list(_RECORD)[:5])
 
     def run(batches):
