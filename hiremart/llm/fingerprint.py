@@ -1,7 +1,7 @@
 """Operator 4: document fingerprints by invertible Bloom lookup sketches.
 
-A text's paragraphs (lines, cut at sentence ends) are hashed into cells that hold a
-count, a sum of digests and a sum of check values.  Two versions' cells subtract;
+A text's paragraphs (lines, cut at sentence ends, long ones also where their bytes choose)
+are hashed into cells that hold a count, a sum of digests and a sum of check values.  Two versions' cells subtract;
 peeling cells that hold one digest recovers the digests in which they differ, and a
 difference too large for the cells is retried with twice as many.
 """
@@ -12,16 +12,20 @@ import base64
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hiremart.llm import textarrays as T
-from hiremart.llm.frames import prepare
+from hiremart.llm.frames import keep, prepare
 
 #: Cells of the stored sketch (three sub-tables), bytes of text in a range of the neighbour pass.
 CELLS, RANGE_BYTES = 12, 24 << 20
+#: Ranges at most (beyond, ranges grow; rows stream through a task, so memory does not).
+MOST_RANGES = 1 << 16
+#: A paragraph of more bytes is also cut at places its bytes choose, one in every ``PICK`` positions.
+LONG, PICK, APART = 96, 64, 16
 
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
@@ -29,6 +33,43 @@ _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 _CHECK = np.uint64(0x165667B19E3779F9)
 
 
+def chosen_cuts(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Positions where long paragraphs ``[s, e)`` are cut: the least hash of eight bytes in every
+    run of ``PICK`` positions, so equal stretches are cut alike wherever they stand.
+
+    A hash that came within the last ``APART`` positions is not taken again, but for every
+    ``PICK``-th position of its paragraph: a text of one repeated letter has few cuts, not one a byte.
+    """
+    lens = e - s
+    off = np.zeros(len(s) + 1, np.int64)
+    np.cumsum(lens, out=off[1:])
+    own = np.repeat(np.arange(len(s)), lens)
+    within = np.arange(off[-1]) - off[own]
+    bytes_ = data[s[own] + within]
+    h = np.zeros(len(bytes_), np.uint64)
+    for k in range(8):
+        h[:len(h) - k] |= bytes_[k:].astype(np.uint64) << np.uint64(8 * k)
+    h = T.mix(h)
+    h[within > lens[own] - 8] = np.iinfo(np.uint64).max      # eight bytes that would leave the paragraph
+    low = h.copy()                                           # least of the PICK positions from here
+    step = 1
+    while step < PICK:
+        np.minimum(low[:-step], low[step:].copy(), out=low[:-step])
+        step *= 2
+    low[within > lens[own] - 7 - PICK] = 0                   # runs that would leave it choose nothing
+    top = low                                                # greatest of those that hold this position
+    step = 1
+    while step < PICK:
+        top = np.concatenate([top[:step], np.maximum(top[step:], top[:-step])])
+        step *= 2
+    at = np.flatnonzero((h == top) & (within > 0))
+    again = np.zeros(len(at), bool)
+    for k in range(1, APART):
+        again |= (within[at] >= k) & (h[np.maximum(at - k, 0)] == h[at])
+    at = at[~again | (within[at] % PICK == 0)]
+    return s[own[at]] + within[at]
+
+
 def paragraph_keys(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit key of every paragraph of a chunk's texts and the text of each.  The n-th
     equal paragraph of a text has a key of its own, so a text's keys are a set."""
@@ -40,6 +81,14 @@ def paragraph_keys(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.nd
     sep = (data == 10) | stop
     sep[1:] |= stop[:-1]
     s, e, doc = T.runs(sep, off)
+    long = e - s > LONG
+    if long.any():
+        cuts = chosen_cuts(data, s[long], e[long])
+        of = np.searchsorted(s, cuts, side="right") - 1
+        ends = np.concatenate([e, cuts])
+        s, doc = np.concatenate([s, cuts]), np.concatenate([doc, doc[of]])
+        order = np.argsort(s, kind="stable")
+        s, doc, e = s[order], doc[order], np.sort(ends)
     h = T.span_hashes(data, s, e)
     order = np.lexsort((h, doc))
     hs, ds = h[order], doc[order]
@@ -153,23 +202,15 @@ def edited_text(text: str, following: str) -> str:
 
 
 def _rows(queue: list[tuple]) -> list[tuple]:
-    """Results of every row of a sorted run that has a row after it (halo rows have none)."""
-    use = [k for k in range(len(queue) - 1) if not queue[k][1]]
-    if not use:
-        return []
-    texts = [row[3] for row in queue]
-    edits = [edited_text(texts[k], texts[k + 1]).encode("utf-8", "replace") for k in use]
-    data, off = _flat([t.encode("utf-8", "replace") for t in texts])
-    keys, owner = paragraph_keys(data, off)
+    """Results of every row ``(id, text)`` of a sorted run that has a row after it."""
+    texts = [row[1] for row in queue]
+    n = len(texts) - 1
+    edits = [edited_text(a, b).encode("utf-8", "replace") for a, b in zip(texts, texts[1:])]
+    keys, owner = paragraph_keys(*_flat([t.encode("utf-8", "replace") for t in texts]))
     ek, eo = paragraph_keys(*_flat(edits))
-    n = len(use)
-    place = np.full(len(texts), -1)
-    place[use] = np.arange(n)
-    before = np.full(len(texts), -1)
-    before[np.array(use) + 1] = np.arange(n)
-    own, nxt = place[owner] >= 0, before[owner] >= 0
-    ka, oa, kn, on = keys[own], place[owner[own]], keys[nxt], before[owner[nxt]]
-    return list(zip([queue[k][2] for k in use], [len(texts[k]) for k in use],
+    own, nxt = owner < n, owner > 0
+    ka, oa, kn, on = keys[own], owner[own], keys[nxt], owner[nxt] - 1
+    return list(zip([row[0] for row in queue[:-1]], [len(t) for t in texts[:-1]],
                     [hashlib.sha256(e).hexdigest() for e in edits], serialize(ka, oa, n), serialize(ek, eo, n),
                     likeness(ka, oa, ek, eo, n).tolist(), likeness(ka, oa, kn, on, n).tolist()))
 
@@ -180,70 +221,59 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     near_edited, near_next``; the next document is the one with the next smaller id (after
     the last the first; a lone row is its own next).
 
-    The rows are dealt once, by ranges of the id of about ``range_bytes`` of text; the first
-    row of each range goes to the range before as well, so neighbours meet without a global
-    sort.  A null text is empty; null ids come last; rows repeating an id follow each other
-    by text.  Other columns are ignored; an empty table gives no rows.
+    The rows are dealt once, by Spark's range partitioner over the id (falling), the text's
+    hash and the row's place, so an id that a third of all rows repeat is split too.  A task
+    yields all but its last row; heads and tails of the ranges are paired afterwards.  A null
+    text is empty; null ids come last; rows repeating an id follow each other by the text's hash.
+    Other columns are ignored; an empty table gives no rows.
     """
     spark = prepare(docs.sparkSession)
-    low = -(1 << 63)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(low)).alias("id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"]
-    ranges = max(1, -(-(size or 0) // range_bytes))
-    cuts = []
-    if ranges > 1:
-        got = rows.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)], 100 * ranges)).first()[0]
-        cuts = sorted(set(got or []))
-    bounds = np.array(cuts, np.int64)
-    count = len(cuts) + 1
-
-    @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:        # 0 holds the greatest ids
-        return pd.Series(len(bounds) - np.searchsorted(bounds, ids.to_numpy(), side="left"))
-
-    heads = {r["r"]: r["m"] for r in rows.select(range_of("id").alias("r"), "id").groupBy("r").agg(
-        F.max("id").alias("m")).collect()}            # one row per range
-    used = sorted(heads)
-    halo_of = {heads[r]: used[k - 1] for k, r in enumerate(used)}     # the first range's head follows the last range
-    head_ids = np.array(sorted(halo_of), np.int64)
-    head_to = np.array([halo_of[i] for i in sorted(halo_of)], np.int32)
-
-    @F.pandas_udf("array<int>")
-    def places(ids: pd.Series) -> pd.Series:
-        v = ids.to_numpy()
-        r = len(bounds) - np.searchsorted(bounds, v, side="left")
-        at = np.minimum(np.searchsorted(head_ids, v), max(len(head_ids) - 1, 0))
-        return pd.Series([[int(a), int(head_to[k])] if head_ids[k] == i else [int(a)] for a, k, i in zip(r, at, v)])
-
-    dealt = (rows.select("id", "text", F.posexplode(places("id")).alias("halo", "r"))
-             .repartition(count, "r").sortWithinPartitions("r", "halo", F.col("id").desc(), "text"))
+    ranges = min(MOST_RANGES, max(1, -(-(size or 0) // range_bytes)))
+    order = [F.col("id").desc_nulls_last(), F.col("h"), F.col("place")]
+    dealt = (rows.select("id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("place"))
+             .repartitionByRange(ranges, *order).sortWithinPartitions(*order))
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                         ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
                         ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
-    def batch(found):
-        cols = list(zip(*found))
-        cols[0] = [None if i == low else i for i in cols[0]]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+    names = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
+            "near_edited double, near_next double"
+    edge = pa.schema([*schema, ("part", pa.int64()), ("head", pa.bool_()), ("text", pa.string())])
+
+    def batch(found, kind=schema):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), kind)], schema=kind)
 
     def run(batches):
-        queue, held = [], 0
+        part, queue, held = TaskContext.get().partitionId(), [], 0
+        bound = lambda row, head: (row[0], *[None] * 6, part, head, row[1])
         for b in batches:
-            for row in zip(*(b.column(k).to_pylist() for k in (3, 2, 0, 1))):
-                if queue and queue[-1][0] != row[0]:   # a new range starts: its rows have nothing to do with the last's
-                    if found := _rows(queue):
-                        yield batch(found)
-                    queue, held = [], 0
+            for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if not queue:
+                    yield batch([bound(row, True)], edge)
                 queue.append(row)
-                held += len(row[3])
+                held += len(row[1])
                 if held > T.CHUNK // 2 and len(queue) > 1:
-                    if found := _rows(queue):
-                        yield batch(found)
-                    queue, held = queue[-1:], len(queue[-1][3])
-        if found := _rows(queue):
-            yield batch(found)
-
-    return dealt.select("id", "text", "halo", "r").mapInArrow(
-        run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-             "near_edited double, near_next double")
+                    yield batch([(*r, None, None, None) for r in _rows(queue)], edge)
+                    queue, held = queue[-1:], len(queue[-1][1])
+        if len(queue) > 1:
+            yield batch([(*r, None, None, None) for r in _rows(queue)], edge)
+        if queue:
+            yield batch([bound(queue[-1], False)], edge)
+
+    made = keep(dealt.select("id", "text").mapInArrow(run, names + ", part long, head boolean, text string"), "fingerprints")
+
+    # one head and one tail a range: a tail's next row is the head of the next range that has rows (after the last: the first)
+    heads = made.where("head").select("part", F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"))
+    by_part = Window.orderBy("part")
+    after = heads.select("part", F.coalesce(F.lead("part").over(by_part), F.first("part").over(by_part)).alias("next"))
+    pairs = (made.where("NOT head").select("part", F.col("doc_id").alias("id"), "text").join(after, "part")
+             .join(heads.withColumnRenamed("part", "next"), "next").select("id", "text", "next_id", "next_text"))
+
+    def seams(batches):
+        for b in batches:
+            for i, text, j, following in zip(*(c.to_pylist() for c in b.columns)):
+                yield batch(_rows([(i, text), (j, following)]))
+
+    return made.where("head IS NULL").select(*schema.names).unionByName(pairs.mapInArrow(seams, names))

@@ -85,24 +85,67 @@ def test_ngram_join_repeats_null_ids_and_empty(spark):
     assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
 
 
+def _key_set(text):
+    data = text.encode("utf-8", "replace")
+    keys, _ = fingerprint.paragraph_keys(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    return set(keys.tolist())
+
+
+def _jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def _plain_fingerprints(rows):
+    """Brute force over ``(id, text)`` in the operator's order: lengths, digest, likenesses by sets."""
+    out = []
+    for k, (i, t) in enumerate(rows):
+        following = rows[(k + 1) % len(rows)][1]
+        half = len(t) // 2
+        edited = t[:len(t) - half] + following[:half]
+        out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(),
+                    _jaccard(_key_set(t), _key_set(edited)), _jaccard(_key_set(t), _key_set(following))))
+    return sorted(out, key=str)
+
+
+def _found(df):
+    cols = ["doc_id", "n_chars", "edited_sha256", "near_edited", "near_next"]
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
+
+
 def test_fingerprints(spark):
     rng = random.Random(5)
-    texts = EDGE + [". ".join(prose(rng, 9) for _ in range(k)) for k in (1, 5, 40, 300)] + ["é\n" * 50]
+    texts = EDGE + [". ".join(prose(rng, 9) for _ in range(k)) for k in (1, 5, 40, 300)] + [
+        "é\n" * 50, "a" * 5000, prose(rng, 400), "漢" * 90 + prose(rng, 60).replace(" ", "")]
     docs = frame(spark, texts)
-    for size in (1 << 30, 200):                 # one range; many ranges with their halo rows
-        rows = {r["doc_id"]: r for r in fingerprint.fingerprints(docs, range_bytes=size).collect()}
-        assert len(rows) == len(texts)
-        for i, t in enumerate(texts):
-            t, following = t or "", texts[i - 1] or ""
-            half = len(t) // 2
-            edited = t[:len(t) - half] + following[:half]
-            assert rows[i]["n_chars"] == len(t)
-            assert rows[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-            assert 0 <= rows[i]["near_next"] <= 1 and 0 <= rows[i]["near_edited"] <= 1
+    want = _plain_fingerprints([(i, t or "") for i, t in reversed(list(enumerate(texts)))])
+    for size in (1 << 30, 200):                 # one range; many ranges, paired at their seams
+        out = fingerprint.fingerprints(docs, range_bytes=size)
+        assert _found(out) == want
+        rows = {r["doc_id"]: r for r in out.collect()}
         assert rows[0]["fingerprint"] == rows[1]["fingerprint"] != rows[3]["fingerprint"]
         assert rows[11]["near_edited"] > 0.3 > rows[11]["near_next"]
+        assert all(rows[len(texts) - k]["near_edited"] > 0 for k in (1, 2, 3))   # texts without sentences
     assert fingerprint.fingerprints(docs.limit(0)).count() == 0
-    assert [r["doc_id"] for r in fingerprint.fingerprints(frame(spark, ["x", "y"], ids=[None, None])).collect()] == [None, None]
+    assert _found(fingerprint.fingerprints(frame(spark, ["x"], ids=[4]))) == _plain_fingerprints([(4, "x")])
+
+
+def test_fingerprints_of_null_least_and_repeated_ids(spark):
+    low, texts = -(1 << 63), [f"text {k}. more {k}" for k in range(40)]
+    ids = [None] * 10 + [low] + [7] * 20 + list(range(100, 109))
+    hashed = {r["text"]: r["h"] for r in frame(spark, texts).select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(zip(ids, texts), key=lambda r: (r[0] is None, -(r[0] or 0), hashed[r[1]]))
+    for size in (1 << 30, 30):
+        assert _found(fingerprint.fingerprints(frame(spark, texts, ids=ids), range_bytes=size)) == _plain_fingerprints(order)
+    same = fingerprint.fingerprints(frame(spark, ["same text. here"] * 50, ids=[3] * 50), range_bytes=40)
+    assert [r["near_next"] for r in same.collect()] == [1.0] * 50
+
+
+def test_long_paragraphs_are_cut_alike_wherever_they_stand():
+    rng = random.Random(6)
+    shared = prose(rng, 200)
+    a, b = _key_set(prose(rng, 100) + " " + shared), _key_set(shared + " " + prose(rng, 30))
+    assert len(a & b) > 0.7 * len(_key_set(shared)) > 7
+    assert len(_key_set("a" * 100_000)) <= 100_000 / fingerprint.PICK + 20
 
 
 def test_sketches_recover_every_difference():
@@ -160,6 +203,17 @@ def test_warc_round_trip_and_fetch(spark):
     assert warc.read_archives(warc.write_archives(pages.limit(0))).count() == 0
 
 
+def test_warc_frames_are_read_by_many_tasks(spark):
+    rng = random.Random(10)
+    pages = spark.createDataFrame([(i, "u", "".join(rng.choices("abcdef", k=150_000))) for i in range(120)],
+                                  "page_id long, url string, html string").coalesce(1)
+    index = warc.write_archives(pages)
+    frames = index.select("bundle", "frame").distinct().count()
+    assert frames > 100 and all("://" in r["bundle"] for r in index.select("bundle").distinct().collect())
+    back = warc.read_archives(index).withColumn("task", F.spark_partition_id())
+    assert back.count() == 120 and back.select("task").distinct().count() >= 2
+
+
 def test_repetition_rules_match_plain_measures(spark):
     rng = random.Random(9)
     lines = [prose(rng, 12) for _ in range(6)]
