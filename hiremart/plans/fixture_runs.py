@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from hiremart import schemas, storage
 from hiremart.functions.columns import parse_iso_timestamp
 from hiremart.operators import mart_partials, marts, scd2
-from hiremart.operators.flatten import flatten_employers, flatten_hierarchy
+from hiremart.operators.flatten import flatten_employers, flatten_hierarchy, flatten_postings
 from hiremart.operators.upsert import upsert
 from hiremart.plans import warehouse
+from hiremart.plans.copies import OdsCopies
 from hiremart.session import scratch_path
 from hiremart.sources import driver
 
@@ -33,6 +34,7 @@ RUN_2_AT = dt.datetime(2001, 9, 1, 0, 0, 0)
 FEED_AT = dt.datetime(2001, 9, 1, 0, 10, 0)      # the employer feed runs after the vacancy run
 AS_OF_DATE = dt.date(2001, 9, 1)
 EVENTS_SPLIT = dt.datetime(2024, 1, 15, 0, 0, 0)  # events upserted in two batches around it
+RENEWED, RENEWED_EVERY, RAISED_EVERY = " (renewed)", 7, 3      # what the second run of the copies changes
 # ODS hash buckets for the test tables (up to ~150 MB of documents at sf0.1:
 # ~10 MB per bucket); a cluster sizes buckets at a few hundred MB each.
 ODS_BUCKETS = 16
@@ -133,6 +135,37 @@ def dim_after_feed_same_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cached(spark, sf_dir, "feed_same_run", make)
 
 
+def renewed(items: DataFrame) -> DataFrame:
+    """The documents of a later fetch: every seventh has a new name."""
+    item = F.col("item")
+    return items.withColumn("item", item.withField("name", F.when(
+        F.pmod(item["id"].cast("bigint"), F.lit(RENEWED_EVERY)) == 0,
+        F.concat(item["name"], F.lit(RENEWED))).otherwise(item["name"])))
+
+
+def copies_for(spark: SparkSession, sf_dir: str) -> OdsCopies:
+    """The copies of the ODS after two runs; the second renews postings, raises the counts of some
+    employers and renames the dictionary entries without spheres."""
+    def make():
+        base = f"{_base(spark, sf_dir)}/copies"
+        copies = OdsCopies(spark, base, ODS_BUCKETS)
+        item, entries = F.col("item"), driver.industry_items(spark, sf_dir)
+        bare = entries.withColumn("item", item.withField("industries", F.lit(None).cast(
+            entries.schema["item"].dataType["industries"].dataType)))
+        again = bare.withColumn("item", item.withField("name", F.concat(item["name"], F.lit(RENEWED))))
+        employers = driver.employer_items(spark, sf_dir)
+        raised = employers.where(F.pmod(item["id"].cast("bigint"), F.lit(RAISED_EVERY)) == 0).withColumn(
+            "item", item.withField("open_vacancies", item["open_vacancies"] + 100))
+        (first, _), (whole, _) = runs(landing_items(spark, sf_dir))
+        for run, (postings, feed, dictionary) in enumerate([
+                (first, employers, entries.unionByName(bare)), (renewed(whole), raised, again)]):
+            for kind, batch in (("postings", flatten_postings(postings)), ("employers", flatten_employers(feed)),
+                                ("industries", flatten_hierarchy(dictionary))):
+                copies.load(kind, batch, f"{base}/work/{run}")
+        return copies
+    return _cached(spark, sf_dir, "copies", make)
+
+
 def ods_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ODS industries: the flattened dictionary upserted on its null-safe composite key."""
     def make():

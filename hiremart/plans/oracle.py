@@ -11,6 +11,7 @@ from __future__ import annotations
 
 # Fixed parameters, equal to hiremart.plans.fixture_runs / sources.driver.
 RUN_1_AT = "TIMESTAMP '1998-08-01 00:00:00'"
+RENEWED = " (renewed)"
 RUN_2_AT = "TIMESTAMP '2001-09-01 00:00:00'"
 URL_PREFIX = "https://jobs.example.org/employer/"
 MOVED_PREFIX = "https://sites.example.com/"
@@ -291,6 +292,27 @@ SELECT employer_id AS id, employer_name AS name, area_name, open_vacancies,
     q["upsert_naive"] = with_ctes(POSTINGS, body="""
 SELECT vacancy_id AS id, name, area_name, employer_name,
        CAST(published_date + INTERVAL 12 HOUR AS TIMESTAMP) AS published_at FROM postings""")
+    renewed = f"name || CASE WHEN vacancy_id % 7 = 0 THEN '{RENEWED}' ELSE '' END AS name"
+    q["copies_postings_naive"] = with_ctes(POSTINGS, body=f"""
+SELECT vacancy_id AS id, {renewed}, area_name, employer_name,
+       CAST(published_date + INTERVAL 12 HOUR AS TIMESTAMP) AS published_at FROM postings""")
+    q["copies_postings_documents"] = with_ctes(POSTINGS, body=f"""
+SELECT CAST(vacancy_id AS VARCHAR) AS _id, {renewed}, employer_id FROM postings""")
+    q["src_pages_by_file_time"] = with_ctes(POSTINGS, body=f"SELECT vacancy_id AS id, {renewed} FROM postings")
+    raised = "CAST(open_vacancies + CASE WHEN employer_id % 3 = 0 THEN 100 ELSE 0 END AS INTEGER) AS open_vacancies"
+    feed = with_ctes(POSTINGS, FACTS, EMPLOYERS, EMPLOYER_FEED, body="{body}")
+    q["copies_employers_naive"] = feed.replace("{body}", f"""
+SELECT employer_id AS id, employer_name AS name, area_name, {raised}, alternate_url AS site_url FROM feed""")
+    q["copies_employers_documents"] = feed.replace("{body}", f"""
+SELECT CAST(employer_id AS VARCHAR) AS _id, {raised} FROM feed""")
+    both = f"""
+SELECT * FROM dict UNION
+SELECT CAST(r_regionkey AS VARCHAR), r_name || '{RENEWED}', NULL, NULL FROM region"""
+    q["copies_industries_naive"] = with_ctes(DICTIONARY, body=both)
+    q["copies_industries_documents"] = with_ctes(DICTIONARY, body=f"""
+SELECT industry_id || ':' || COALESCE(sphere_id, '') AS _id, industry_id, sphere_id,
+       industry_id || ':' || COALESCE(sphere_id, '') AS doc_id, COALESCE(sphere_name, industry_name) AS doc_name
+FROM ({both})""")
     q["naive_timestamp"] = """
 SELECT o_orderkey AS vacancy_id,
        CAST(CAST(o_orderdate AS DATE) + INTERVAL 12 HOUR AS TIMESTAMP) AS published_naive

@@ -78,12 +78,9 @@ def q_src_employer_pages(spark, sf_dir):
 
 @register("src_dictionary")
 def q_src_dictionary(spark, sf_dir):
-    """S3: land the industry dictionary as one JSON array document (a reference
-    dictionary is one small document by nature), read it back and flatten it."""
+    """S3: land the industry dictionary as JSON array files, read them back and flatten them."""
     path = scratch_path(spark, "landing-dictionary")
-    doc = driver.industry_items(spark, sf_dir).agg(
-        F.to_json(F.array_sort(F.collect_list("item"))).alias("value"))
-    doc.write.mode("overwrite").text(path)
+    landing.write_dictionary(driver.industry_items(spark, sf_dir), path, files=8)
     items = landing.read_dictionary(spark, path, schemas.INDUSTRY_DOC)
     return flatten.flatten_hierarchy(items).drop("raw")
 
@@ -260,6 +257,60 @@ def q_upsert_naive(spark, sf_dir):
     return out.select("id", "name", "area_name", "employer_name", "published_at")
 
 
+@register("copies_postings_naive")
+def q_copies_postings_naive(spark, sf_dir):
+    """K2 over two runs: the naive copy of the vacancy ODS, documents of run 1 replaced in run 2."""
+    return FR.copies_for(spark, sf_dir).naive["postings"].read().drop("raw")
+
+
+@register("copies_postings_documents")
+def q_copies_postings_documents(spark, sf_dir):
+    """K3 over two runs: whole vacancy documents by id, those of run 1 replaced in run 2."""
+    docs = FR.copies_for(spark, sf_dir).documents["postings"].read()
+    return docs.select("_id", F.get_json_object("raw", "$.name").alias("name"),
+                       F.get_json_object("raw", "$.employer.id").cast("bigint").alias("employer_id"))
+
+
+@register("copies_employers_naive")
+def q_copies_employers_naive(spark, sf_dir):
+    """K4 over two runs: the relational copy of the employer ODS, some with a new count."""
+    return FR.copies_for(spark, sf_dir).naive["employers"].read().drop("raw")
+
+
+@register("copies_employers_documents")
+def q_copies_employers_documents(spark, sf_dir):
+    """K4 over two runs: whole employer documents by id, some replaced."""
+    docs = FR.copies_for(spark, sf_dir).documents["employers"].read()
+    return docs.select("_id", F.get_json_object("raw", "$.open_vacancies").cast("int").alias("open_vacancies"))
+
+
+@register("copies_industries_naive")
+def q_copies_industries_naive(spark, sf_dir):
+    """K5 over two runs: entries without a sphere (a NULL key part) are replaced, not added again."""
+    return FR.copies_for(spark, sf_dir).naive["industries"].read().drop("raw")
+
+
+@register("copies_industries_documents")
+def q_copies_industries_documents(spark, sf_dir):
+    """K6 over two runs: dictionary documents by ``industry:sphere``, those without a sphere replaced."""
+    docs = FR.copies_for(spark, sf_dir).documents["industries"].read()
+    return docs.select("_id", "industry_id", "sphere_id", F.get_json_object("raw", "$._id").alias("doc_id"),
+                       F.get_json_object("raw", "$.name").alias("doc_name"))
+
+
+@register("src_pages_by_file_time")
+def q_src_pages_by_file_time(spark, sf_dir):
+    """Two fetches landed one after the other, neither numbered, read in one go and upserted:
+    the file that landed later wins."""
+    path = scratch_path(spark, "landing-by-time")
+    items = FR.landing_items(spark, sf_dir)
+    landing.write_pages(driver.pages_of(items), f"{path}/b")
+    landing.write_pages(driver.pages_of(FR.renewed(items)), f"{path}/a")
+    batch = flatten.flatten_postings(landing.read_paged_items(spark, f"{path}/*", schemas.POSTING_PAGE, by_file_time=True))
+    ods = up.upsert(schemas.empty(spark, schemas.ODS_POSTINGS), batch, ["id"], flatten.last_write(batch))
+    return ods.select("id", "name")
+
+
 @register("naive_timestamp")
 def q_naive_timestamp(spark, sf_dir):
     """Publication text → wall-clock timestamp with the offset dropped."""

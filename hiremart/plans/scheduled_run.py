@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from hiremart import schemas, storage
 from hiremart.operators import dims, facts, mart_partials, quality, scd2
 from hiremart.operators.flatten import flatten_employers, flatten_hierarchy, last_write
+from hiremart.plans.copies import OdsCopies
 from hiremart.plans.warehouse import Layout, Warehouse, load_run
 from hiremart.sources.landing import enriched_postings
 
@@ -42,13 +43,14 @@ class State:
 def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame,
                   industries: DataFrame, warehouse_path: str, run_id: int, now, as_of,
                   top_k: int = 20, ods_buckets: int = 64, details: DataFrame | None = None,
-                  max_items: int | None = None) -> State:
+                  max_items: int | None = None, copies: bool = True) -> State:
     """One scheduled run over the fetched ``(_page, _pos, item)`` documents.
 
     ``ods_buckets`` is fixed for the lifetime of a warehouse (keys are placed
     by it); size it so one bucket of the ODS is a few hundred MB — e.g.
     ~4,000 for a 1 TB ODS, ~400,000 for 100 TB.  ``max_items`` cuts the search rows that
-    ``details`` replace (default: all).
+    ``details`` replace (default: all).  ``copies`` also keeps the naive and document forms
+    of the three ODS tables (``OdsCopies``), from the batches as flattened for the typed ones.
     """
     L = Layout(spark, warehouse_path, ods_buckets)
     prev = L.end_of(run_id - 1)
@@ -58,9 +60,9 @@ def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame
         postings = enriched_postings(postings, details, max_items)
 
     # ---- ODS: industries (null-safe composite key)
+    ind_batch, _ = storage.write_once(flatten_hierarchy(industries), f"{work}/industries")
     ods_ind = L.ods_industries.upsert(
-        flatten_hierarchy(industries).withColumn("_seq", F.lit(run_id)),
-        ["_seq", "sphere_name", "industry_name"], list(schemas.ODS_INDUSTRIES.fieldNames()),
+        ind_batch, ["sphere_name", "industry_name", "raw"], list(schemas.ODS_INDUSTRIES.fieldNames()),
         staged=f"{work}/ods_industries")
 
     # ---- vacancies: ODS upsert + DDS load (dimensions, SCD2, fact, bridges)
@@ -74,6 +76,13 @@ def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame
     ods_emp = L.ods_employers.upsert(emp_batch, last_write(emp_batch), list(schemas.ODS_EMPLOYERS.fieldNames()),
                                      staged=f"{work}/ods_employers")
 
+    # ---- the other stores' forms of the same three batches
+    kept = {}
+    if copies:
+        stores = OdsCopies(spark, warehouse_path, ods_buckets)
+        for kind, batch in (("postings", L.batch(run_id)), ("employers", emp_batch), ("industries", ind_batch)):
+            kept[f"{kind}_naive"], kept[f"{kind}_documents"] = stores.load(kind, batch, work)
+
     # ---- DDS: industries
     dim_ind = L.commit_dim("dim_industry", dims.dim_industry(L.dim("dim_industry", prev), ods_ind),
                            run_id, Layout.EMPLOYERS)
@@ -116,5 +125,5 @@ def run_scheduled(spark: SparkSession, postings: DataFrame, employers: DataFrame
         spark.createDataFrame([("rejected_employers", "PASS", json.dumps(emp_counts))], checks.schema))
     checks = storage.materialize(checks, f"{work}/dq_checks")
     other = {"ods_employers": ods_emp, "ods_industries": ods_ind, "dim_industry": dim_ind,
-             "dim_sphere": dim_sph, "fact_employer_snapshot": snap}
+             "dim_sphere": dim_sph, "fact_employer_snapshot": snap, **kept}
     return State(wh, other, out_marts, checks)

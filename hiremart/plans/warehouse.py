@@ -145,6 +145,10 @@ class Layout:
         # closed SCD2 versions, keyed by the version number of the step that closed them
         self.employer_history = A(spark, f"{r}/dds/dim_employer_history", schemas.DIM_EMPLOYER)
 
+    def batch(self, run: int) -> DataFrame:
+        """The flattened documents that a run has loaded."""
+        return self.spark.read.parquet(f"{self.work(run)}/batch")
+
     def version(self, run: int, step: int) -> int:
         return run * self.STEPS + step
 
