@@ -8,8 +8,9 @@ that reach two documents are repeats, of which the first occurrence stays.
 
 Copied runs of words need no sentence: of every WINDOW consecutive runs of COPY words the
 one of least hash is an anchor, so a run of COPY + WINDOW - 1 words copied from anywhere to
-anywhere has an anchor in common.  Anchors of two documents are compared with their first
-occurrence word by word on both sides, as far as the next anchor can be, and joined.
+anywhere has an anchor in common.  Anchors in two documents are live; those of a text that touch
+are a run, and only the ends of runs are compared word by word: distinct contexts of an end anchor
+are sorted, so the nearest ones of other documents hold the longest copy, whichever document it is in.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ MIN_RUN, GAP = 16, 80
 BANDS, ROWS = 8, 3
 #: Words of an anchor, and how many consecutive runs of that many words hold at least one.
 COPY, WINDOW = 16, 16
+#: Contexts of run ends that a task compares.
+CONTEXTS = 100_000
 #: Longs of a passage's parity bitmap: bit h(t) is the parity of its shingles t there, so the set
 #: bits of x ^ y never exceed the symmetric difference of two shingle sets.
 BITS = 2
@@ -84,8 +87,11 @@ def anchors(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     key[:n][whole] = ((g.view(np.uint64) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64))[whole]
     # windows of a text: those that end in it, and the first; no window that starts with a whole run leaves its text
     begin = whole & ((at + COPY + WINDOW - 1 <= first[of + 1]) | (at == first[of]))
-    for step in (1, 2, 4, 8):
+    width = 1
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
         key[:-step] = np.minimum(key[:-step], key[step:])
+        width += step
     place = (key[:n][begin] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     place = place[np.append(True, place[1:] != place[:-1])[:len(place)]]
     return g[place], place, of[place]
@@ -219,72 +225,111 @@ def _verify(docs: DataFrame, cut: DataFrame, pairs: DataFrame, min_words: int, l
     return keep(joined.mapInArrow(check, "a long, b long"), "passage_links")
 
 
+def _reach(batches):
+    """Of the sorted distinct contexts of a partition, the words each shares with the nearest
+    ones of another document, before and after it (the longest shared beginnings are there);
+    the first and last of a partition are given out again to be paired at the seams."""
+    out = pa.schema([("a", pa.int64()), ("left", pa.bool_()), ("around", pa.binary()), ("reach", pa.int64()), ("lo", pa.int64()),
+                     ("hi", pa.int64()), ("edge", pa.bool_())])
+    held = [b for b in batches if b.num_rows]
+    for b in pa.Table.from_batches(held).combine_chunks().to_batches() if held else []:
+        n = b.num_rows
+        a, left = b.column("a").to_numpy(), b.column("left").to_numpy(zero_copy_only=False)
+        lo, hi = b.column("lo").to_numpy(), b.column("hi").to_numpy()
+        x = np.frombuffer(b"".join(b.column("around").to_pylist()), np.uint32).reshape(n, WINDOW)
+        reach = np.where(lo < hi, (x != 0).sum(axis=1), 0)
+        new = np.ones(n, bool)
+        new[1:] = (a[1:] != a[:-1]) | (left[1:] != left[:-1]) | (lo[1:] != lo[:-1]) | (lo[1:] < hi[1:]) | (lo[:-1] < hi[:-1])
+        start = np.flatnonzero(new)
+        block = np.cumsum(new) - 1
+        for other in (start[block] - 1, np.append(start, n)[block + 1]):
+            at = np.clip(other, 0, n - 1)
+            near = (at == other) & (a[at] == a) & (left[at] == left)
+            reach = np.maximum(reach, np.where(near, _shared(x, x[at]), 0))
+        for rows_at, edge in ((np.arange(n), False), (np.unique([0, n - 1]), True)):
+            cut = b.take(pa.array(rows_at))
+            yield pa.RecordBatch.from_arrays([cut.column(c) for c in ("a", "left", "around")] + [
+                pa.array(reach[rows_at]), cut.column("lo"), cut.column("hi"), pa.array(np.full(len(rows_at), edge))], schema=out)
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The words that each two contexts share from the anchor on (0: the text ends)."""
+    return np.minimum.accumulate(((x == y) & (x != 0)).astype(np.int64), axis=1).sum(axis=1)
+
+
 def copied_runs(docs: DataFrame, cut: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Runs of words that anchors of ``cut`` (rows of ``cut_passages()``) share with their first
-    occurrence: the output columns but ``run_words``, and ``word``.  One row per longest run
-    (``removed``) and one for each place of a first occurrence that it was compared with."""
-    each = cut.where("anchors IS NOT NULL").select("doc_id", F.explode("anchors").alias("a"))
-    live = small(keep(each.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                      .where("lo < hi").drop("hi"), "copied_anchors"))
-    ids = small(keep(each.join(live, "a", "left_semi").select("doc_id").distinct(), "copied_docs"))
+    """Runs of words copied between documents: the output columns but ``run_words``, and ``word``.
+
+    An anchor of ``cut`` (rows of ``cut_passages()``) in two documents is live.  Live anchors of a text
+    that overlap or touch are a run, cut where the first or last document of its anchors changes; its
+    open ends are extended by the words that any other document has there too.
+    """
+    texts_in = cut.where("anchors IS NOT NULL").select("doc_id", "t", "anchors", "at")
+    live = (texts_in.select("doc_id", F.explode("anchors").alias("a"))
+            .groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi"))
+    live = small(keep(live, "copied_anchors"))
+    marks = (texts_in.dropDuplicates(["doc_id", "t"]).select("doc_id", "t", F.explode(F.arrays_zip("anchors", "at")).alias("m"))
+             .select("doc_id", "t", F.col("m.at").alias("at"), F.col("m.anchors").alias("a")).join(live, "a"))
+    w = Window.partitionBy("doc_id", "t").orderBy("at")
+    marks = (marks.withColumn("opens", F.coalesce(F.col("at") > F.lag("at").over(w) + COPY, F.lit(True)))
+             .withColumn("closes", F.coalesce(F.lead("at").over(w) > F.col("at") + COPY, F.lit(True)))
+             .withColumn("_new", F.when(F.col("opens") | (F.lag("lo").over(w) != F.col("lo")) | (F.lag("hi").over(w) != F.col("hi")), 1)
+                         .otherwise(0))
+             .withColumn("seg", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new"))
+    marks = keep(marks, "copied_marks")
+    ends = keep(marks.where("opens OR closes").groupBy("a").agg(F.bool_or("opens").alias("l"), F.bool_or("closes").alias("r")), "copied_ends")
+    wanted = marks.join(small(ends), "a").select("doc_id", "t", F.struct("at", "a", "l", "r", "opens", "closes").alias("m"))
+    wanted = keep(wanted.groupBy("doc_id", "t").agg(F.collect_list("m").alias("ms")), "copied_wanted")
     texts = _texts(docs, id_col, text_col)
-    width = 2 * WINDOW
-    schema = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int64()), ("a", pa.int64()), ("around", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("at", pa.int64()), ("a", pa.int64()), ("left", pa.bool_()),
+                        ("mine", pa.bool_()), ("around", pa.binary())])
 
     def around(batches):
-        """The hashes of the WINDOW words before and after each anchor (0: the text ends)."""
+        """Hashes of the WINDOW words before or after each wanted anchor (0: the text ends), nearest first."""
+        side = np.arange(WINDOW)
         for b in batches:
             for i, j, data, off in T.chunks(b.column(1)):
                 s, e, _ = T.words(data, off)
                 h, heads = T.span_hashes(T.LOWER[data], s, e), np.searchsorted(s, off)
-                a, at, of = anchors(h, heads)
-                if not len(a):
-                    continue
-                side = np.arange(WINDOW)
-                place = at[:, None] + np.concatenate([-1 - side, COPY + side])
-                inside = (place >= heads[of][:, None]) & (place < heads[of + 1][:, None])
-                hashes = np.where(inside, h[np.clip(place, 0, len(h) - 1)] | np.uint64(1), np.uint64(0))
-                flat = pa.py_buffer(np.ascontiguousarray(hashes))
-                ends = pa.py_buffer(np.arange(len(a) + 1, dtype=np.int32) * np.int32(8 * width))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(c).slice(i, j - i).take(pa.array(of)) for c in (0, 2)]
-                    + [pa.array(at - heads[of]), pa.array(a), pa.Array.from_buffers(pa.binary(), len(a), [None, ends, flat])], schema=schema)
-
-    found = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text", "t").mapInArrow(
-        around, "doc_id long, t long, at long, a long, around binary")
-    found = keep(found.join(live, "a"), "copied_around")
-    lead = keep(found.where("doc_id = lo").groupBy("a").agg(F.min(F.struct("at", "t", "around")).alias("lead"))
-                .select("a", F.col("lead.at").alias("l_at"), F.col("lead.t").alias("l_t"), F.col("lead.around").alias("l_around")), "copied_leads")
-    out = pa.schema([(c, pa.int64()) for c in ("doc_id", "t", "lo", "l_t", "word", "last", "apart")])
-
-    def compare(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, 2, WINDOW) for c in ("around", "l_around"))
-            same = np.minimum.accumulate(((x == y) & (x != 0)).astype(np.int64), axis=2).sum(axis=2)
-            at, l_at = b.column("at").to_numpy(), b.column("l_at").to_numpy()
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", "t", "lo", "l_t")] + [
-                pa.array(at - same[:, 0]), pa.array(at + COPY + same[:, 1]), pa.array(at - l_at)], schema=out)
-
-    met = (found.join(small(lead, 100_000), "a").where("doc_id <> lo OR at <> l_at OR t <> l_t")
-           .select("doc_id", "t", "lo", "l_t", "at", "l_at", "around", "l_around")
-           .mapInArrow(compare, ", ".join(f"{c} long" for c in out.names)))
-    met = keep(met, "copied_met")
-    pair = ["doc_id", "t", "lo", "l_t", "apart"]
-    w = Window.partitionBy(*pair).orderBy("word", "last")
-    met = met.withColumn("_new", F.when(F.col("word") > F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1)), 1).otherwise(0))
-    met = met.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = keep(met.groupBy(*pair, "_run").agg(F.min("word").alias("word"), F.max("last").alias("last"))
-                .withColumn("component_id", F.xxhash64("lo", "l_t", F.col("word") - F.col("apart"), F.col("last") - F.col("apart"))), "copied_runs")
-    # an anchor has two documents, so has a part of a run that only its first document repeats whole
-    n_docs = (runs.select("component_id", "doc_id", "lo").distinct().groupBy("component_id").agg(F.greatest(
-        F.count(F.when(F.col("doc_id") != F.col("lo"), 1)) + 1, F.lit(2)).cast("long").alias("n_docs")))
+                h = (h >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+                ms = b.column(3).slice(i, j - i)
+                of = pc.list_parent_indices(ms).to_numpy()
+                flat = ms.flatten()
+                col = {c: flat.field(flat.type.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("at", "a", "l", "r", "opens", "closes")}
+                for left, want, mine in ((True, "l", "opens"), (False, "r", "closes")):
+                    pick = np.flatnonzero(col[want])
+                    at, text = col["at"][pick], of[pick]
+                    place = (at + heads[text])[:, None] + (-1 - side if left else COPY + side)
+                    inside = (place >= heads[text][:, None]) & (place < heads[text + 1][:, None])
+                    hashes = np.where(inside, h[np.clip(place, 0, len(h) - 1)], np.uint32(0)).astype(np.uint32)
+                    ends_at = pa.py_buffer(np.arange(len(pick) + 1, dtype=np.int32) * np.int32(4 * WINDOW))
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(c).slice(i, j - i).take(pa.array(text)) for c in (0, 2)]
+                        + [pa.array(at), pa.array(col["a"][pick]), pa.array(np.full(len(pick), left)), pa.array(col[mine][pick]),
+                           pa.Array.from_buffers(pa.binary(), len(pick), [None, ends_at, pa.py_buffer(np.ascontiguousarray(hashes))])],
+                        schema=schema)
+
+    found = keep(texts.join(small(wanted, 10_000), ["doc_id", "t"]).select("doc_id", "text", "t", "ms").mapInArrow(
+        around, "doc_id long, t long, at long, a long, left boolean, mine boolean, around binary"), "copied_around")
+    key = ["a", "left", "around"]
+    contexts = keep(found.groupBy(*key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "copied_contexts")
+    parts = max(1, -(-contexts.count() // CONTEXTS))
+    reached = keep(contexts.repartitionByRange(parts, *key).sortWithinPartitions(*key).mapInArrow(
+        _reach, "a long, left boolean, around binary, reach long, lo long, hi long, edge boolean"), "copied_reach")
+    edges = reached.where("edge").select(*key, "lo", "hi").repartition(1).sortWithinPartitions(*key)
+    seams = edges.mapInArrow(_reach, "a long, left boolean, around binary, reach long, lo long, hi long, edge boolean")
+    reached = reached.union(seams).where("NOT edge").groupBy(*key).agg(F.max("reach").alias("reach")).where("reach > 0")
+    longer = keep(found.where("mine").select("doc_id", "t", "at", *key).distinct().join(reached, key)
+                  .groupBy("doc_id", "t", "at").agg(F.max(F.when(F.col("left"), F.col("reach"))).alias("before"),
+                                                    F.max(F.when(~F.col("left"), F.col("reach"))).alias("after")), "copied_longer")
+    runs = (marks.join(small(longer), ["doc_id", "t", "at"], "left").groupBy("doc_id", "t", "seg", "lo", "hi").agg(
+        F.min(F.expr("at - coalesce(before, 0)")).alias("word"), F.max(F.expr(f"at + {COPY} + coalesce(after, 0)")).alias("last"),
+        F.min("a").alias("a")).withColumn("component_id", F.xxhash64("a", "lo", "hi")))
+    runs = keep(runs.select("doc_id", "t", "word", "last", "component_id", "lo"), "copied_runs")
+    n_docs = runs.select("component_id", "doc_id").distinct().groupBy("component_id").agg(
+        F.greatest(F.count(F.lit(1)), F.lit(2)).cast("long").alias("n_docs"))
     n_docs = small(keep(n_docs, "copied_sizes"))
-    copies = runs.select("doc_id", "t", "word", "last", "component_id", "lo", F.lit(True).alias("removed"))
-    firsts = runs.select(F.col("lo").alias("doc_id"), F.col("l_t").alias("t"), F.expr("word - apart AS word"), F.expr("last - apart AS last"),
-                         "component_id", "lo", F.lit(False).alias("removed")).distinct()
-    rows = copies.unionByName(firsts).join(n_docs, "component_id")
+    rows = runs.join(n_docs, "component_id").withColumn("removed", F.col("doc_id") != F.col("lo"))
     held = ["word", "last", "component_id", "n_docs", "lo", "removed"]
     per = keep(rows.groupBy("doc_id", "t").agg(F.collect_list(F.struct(*held)).alias("runs")), "copied_per_text")
     kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("word", pa.int64()), ("n_words", pa.int64()),
@@ -320,8 +365,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, least: int =
     similarity is ``least`` percent or more; ``component_id`` names a component of links,
     ``n_docs`` its documents.  All occurrences but the first (smallest doc_id, then
     start) are ``removed``.  A run of COPY + WINDOW - 1 words or more that is copied word by word
-    from any place to any other, with or without sentence ends, is a row of its own besides
-    the passages in it (rows may overlap; shorter runs are rows if they hold an anchor).
+    from any place of a document to any other document, with or without sentence ends, is covered by rows
+    of their own besides the passages in it (rows may overlap; shorter runs are rows if they hold an
+    anchor): one for each stretch whose anchors have the same first and last document, ``removed``
+    outside the first.
     Repeated passages and runs that follow each other or overlap in a document form a
     run of ``run_words`` words, each word counted once; runs of fewer than ``min_run`` words (common phrases and
     notices) are not returned.  Repeats within one document only are not returned.  Null or

@@ -306,6 +306,60 @@ def test_copies_without_sentences_or_of_short_ones_are_found_mid_sentence(spark)
         assert any(r["removed"] and r["first_doc_id"] == i - 1 for r in rows if r["doc_id"] == i) == (i % 2 == 1)
 
 
+def test_copies_are_whole_whichever_document_holds_their_anchors_first(spark):
+    rng = random.Random(5)
+    texts, planted = [], []
+    for k in range(10):         # earlier documents hold single windows of the copy, inside other words
+        w = prose(rng, 31).split()
+        for at in range(0, 16, 3):
+            texts.append(prose(rng, 8) + " " + " ".join(w[at:at + 16]) + " " + prose(rng, 8))
+        for _ in range(2):
+            before = prose(rng, rng.randint(9, 70)) + " é "
+            planted.append((len(texts), len(before), len(before) + len(" ".join(w))))
+            texts.append(before + " ".join(w) + " é" + str(rng.random()) + " " + prose(rng, 30))
+    cover = {i: set() for i, _, _ in planted}
+    for r in passage_dedup.repeated_passages(frame(spark, texts)).collect():
+        if r["doc_id"] in cover:
+            cover[r["doc_id"]].update(range(r["start"], r["end"]))
+    for i, s, e in planted:
+        assert cover[i] >= set(range(s, e)), (i, len(set(range(s, e)) - cover[i]))
+
+
+def test_copied_runs_equal_brute_force(spark, monkeypatch):
+    """Words in copies of 31 words or more are all in rows; every word in a row of a copied run is
+    in a copy that holds a whole anchor.  Groups of near copies, repeated and null ids, small sorted parts."""
+    monkeypatch.setattr(passage_dedup, "CONTEXTS", 7)
+    rng = random.Random(9)
+    base = prose(rng, 160)
+    texts = [near(rng, base, k % 4) for k in range(16)] + [prose(rng, 60) + " " + " ".join(base.split()[k:k + 40]) for k in range(0, 100, 9)]
+    texts += [prose(rng, 80) for _ in range(4)] + [base, base, None, ""]
+    ids = [*range(len(texts) - 4), 3, 3, None, 900]
+    docs = frame(spark, texts, ids=ids)
+    cut = passage_dedup.cut_passages(docs, 10**9, "doc_id", "text").where("doc_id IS NOT NULL").cache()
+    rows = passage_dedup.copied_runs(docs, cut, "doc_id", "text").collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["doc_id"], set()).update(range(r["word"], r["word"] + r["n_words"]))
+        assert r["removed"] == (r["doc_id"] != r["first_doc_id"]) and r["n_docs"] >= 2
+    words = [WORD.findall((t or "").lower()) for t in texts]
+
+    def covered(width):
+        held = {}
+        for d, w in zip(ids, words):
+            for p in range(len(w) - width + 1):
+                held.setdefault(tuple(w[p:p + width]), set()).add(d)
+        out = {}
+        for d, w in zip(ids, words):
+            for p in range(len(w) - width + 1):
+                if len(held[tuple(w[p:p + width])]) > 1:
+                    out.setdefault(d, set()).update(range(p, p + width))
+        return out
+
+    sure, may = covered(passage_dedup.COPY + passage_dedup.WINDOW - 1), covered(passage_dedup.COPY)
+    for d in set(ids) - {None}:
+        assert sure.get(d, set()) <= found.get(d, set()) <= may.get(d, set()), d
+
+
 def test_anchors_bound_the_gap_between_them():
     rng = np.random.default_rng(3)
     sizes = [0, 3, 15, 16, 31, 200, 1, 5000]
