@@ -15,10 +15,12 @@ are sorted, so the nearest ones of other documents hold the longest copy, whiche
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -376,7 +378,23 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, least: int =
     are one document (equal rows count once); other columns are ignored; an empty table
     gives no rows.
     """
-    prepare(docs.sparkSession)
+    with _shuffles_cleaned(prepare(docs.sparkSession)):
+        return _repeated(docs, min_words, least, min_run, id_col, text_col)
+
+
+@contextlib.contextmanager
+def _shuffles_cleaned(spark: SparkSession):
+    """Every step is written, so its shuffle files go when it ends, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _repeated(docs: DataFrame, min_words: int, least: int, min_run: int, id_col: str, text_col: str) -> DataFrame:
     every = keep(cut_passages(docs, min_words, id_col, text_col).where("doc_id IS NOT NULL"), "passages")
     cut = every.where("anchors IS NULL").drop("t", "anchors", "at")
     copies = copied_runs(docs, every, id_col, text_col)
