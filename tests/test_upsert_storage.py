@@ -107,3 +107,23 @@ def test_append_table_runs(spark):
     t.append(spark.createDataFrame([(3,)], "x int"), run=1)             # retry: no duplicate
     assert rows(t.read()) == [(1,), (2,), (3,)]
     assert rows(t.read(upto=0)) == [(1,), (2,)] and rows(t.read_before(1)) == [(1,), (2,)]
+
+
+def test_empty_target_needs_no_join(spark):
+    batch = _t(spark, [(1, "a", 1), (2, "b", 1)])
+    out = upsert(schemas.empty(spark, batch.schema), batch, ["k"], ["seq"])
+    assert out.schema.names == batch.schema.names and out.count() == 2
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert schemas.empty(spark, schemas.STAGE_KEPT).schema == schemas.STAGE_KEPT
+
+
+def test_well_compressed_dimension_is_not_broadcast(spark):
+    """A dimension of a million rows in a few MB of files does not go through the driver."""
+    from hiremart.session import prepare_warehouse
+
+    path = scratch_path(spark, "dimension")
+    spark.range(600_000).select("id", F.lit("a label that compresses well").alias("label")).write.parquet(path)
+    dim, facts = spark.read.parquet(path), spark.range(10_000_000).withColumn("f", F.rand())
+    prepare_warehouse(spark)
+    plan = facts.join(dim, "id", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
