@@ -109,6 +109,39 @@ def test_append_table_runs(spark):
     assert rows(t.read(upto=0)) == [(1,), (2,)] and rows(t.read_before(1)) == [(1,), (2,)]
 
 
+def test_staged_bucket_is_published_by_several_tasks(spark, monkeypatch):
+    """A large bucket is not one task's, nor sorted: the publishing tasks follow the staged bytes."""
+    monkeypatch.setattr(storage, "STAGED_BYTES", 1, raising=False)
+    table = storage.KeyedTable(spark, scratch_path(spark, "keyed"), ["k"], 1)
+    first = spark.range(0, 400, 1, 4).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    table.upsert(first, [], ["k", "v"], unique=True, staged=scratch_path(spark, "staged"))
+    assert len(table._raw().inputFiles()) > 1
+    changed = first.where("k >= 200").withColumn("v", F.lit("b"))
+    out = table.upsert(changed, [], ["k", "v"], unique=True, staged=scratch_path(spark, "staged"))
+    assert rows(out.groupBy("v").count()) == [("a", 200), ("b", 200)] and out.distinct().count() == 400
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_staged_upsert_repeated_after_a_partial_publish(spark):
+    """A first publish that wrote some buckets only is completed by the repeated run."""
+    table = storage.KeyedTable(spark, scratch_path(spark, "keyed"), ["k"], 4)
+    batch = spark.range(40).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    table.upsert(batch.where("k < 3"), [], ["k", "v"], unique=True)
+    out = table.upsert(batch, [], ["k", "v"], unique=True, staged=scratch_path(spark, "staged"))
+    assert sorted(r["k"] for r in out.collect()) == list(range(40))
+
+
+def test_pick_per_key_carries_no_column_twice(spark):
+    batch = spark.createDataFrame([(1, "b", 2, [1]), (1, "a", 2, [2]), (None, "c", 1, None)],
+                                  "k int, v string, seq int, more array<int>")
+    out = pick_per_key(batch, ["k"], ["seq", "v"])
+    assert "max_by" not in out._jdf.queryExecution().executedPlan().toString()
+    assert rows(out, "k", "v") == [(1, "b"), (None, "c")]
+    assert rows(pick_per_key(batch, ["k"], ["seq", "v"], latest=False), "k", "v") == [(1, "a"), (None, "c")]
+    maps = batch.withColumn("m", F.create_map("v", "seq"))        # a map has no order
+    assert [r["m"] for r in pick_per_key(maps, ["k"], ["seq", "v"]).where("k = 1").collect()] == [{"b": 2}]
+
+
 def test_empty_target_needs_no_join(spark):
     batch = _t(spark, [(1, "a", 1), (2, "b", 1)])
     out = upsert(schemas.empty(spark, batch.schema), batch, ["k"], ["seq"])
@@ -127,3 +160,14 @@ def test_well_compressed_dimension_is_not_broadcast(spark):
     prepare_warehouse(spark)
     plan = facts.join(dim, "id", "left")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_pages_are_landed_compressed(spark):
+    from hiremart.sources import landing
+
+    path = scratch_path(spark, "pages")
+    item = spark.createDataFrame([(1, [("7", "x")])], "page long, items array<struct<id: string, name: string>>")
+    for _ in range(2):
+        landing.write_pages(item, path, mode="append")
+    assert all(f.endswith(".json.gz") for f in spark.read.text(path).inputFiles())
+    assert landing.read_paged_items(spark, path, schemas.POSTING_PAGE).count() == 2
