@@ -1,10 +1,12 @@
 import json
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hiremart import schemas, storage
-from hiremart.operators.upsert import (composite_doc_key, insert_ignore, pick_per_key, upsert)
+from hiremart.operators.upsert import (composite_doc_key, insert_ignore, pick_per_key, pick_repeated, upsert)
 from hiremart.session import scratch_path
 
 from conftest import rows
@@ -171,3 +173,49 @@ def test_pages_are_landed_compressed(spark):
         landing.write_pages(item, path, mode="append")
     assert all(f.endswith(".json.gz") for f in spark.read.text(path).inputFiles())
     assert landing.read_paged_items(spark, path, schemas.POSTING_PAGE).count() == 2
+
+
+def test_only_repeated_keys_are_shuffled_with_their_rows(spark, monkeypatch):
+    """Rows of keys that come once stay where they are read; the result is that of ``pick_per_key``."""
+    batch = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (None, 1, "d"), (None, 1, "e"), (3, None, "f")],
+                                  "k int, seq int, v string")
+    commit = lambda df: storage.materialize(df, scratch_path(spark, "repeated"))
+    expected = rows(pick_per_key(batch, ["k"], ["seq", "v"]))
+    assert rows(pick_repeated(batch, ["k"], ["seq", "v"], commit)) == expected and len(expected) == 4
+    once = batch.where("k > 1")
+    assert "Exchange" not in pick_repeated(once, ["k"], ["seq", "v"], commit)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr("hiremart.operators.upsert.FEW_KEYS", 1)
+    assert rows(pick_repeated(batch, ["k"], ["seq", "v"], commit)) == expected
+
+
+def test_staged_upsert_stages_only_the_kept_rows(spark):
+    """Rows that the batch replaces are not written twice; a retry publishes the kept ones again."""
+    for null_safe in (False, True):
+        for few in (2, 18):         # kept rows looked up by their own keys, or by the batch's
+            table = storage.KeyedTable(spark, scratch_path(spark, "keyed"), ["k"], 1, null_safe=null_safe)
+            old = spark.range(20).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("a").alias("v"))
+            table.upsert(old, [], ["k", "v"], unique=True, staged=scratch_path(spark, "staged"))
+            batch, staged = old.where(f"k >= {few} OR k IS NULL").withColumn("v", F.lit("b")), scratch_path(spark, "staged")
+            for _ in range(2):
+                out = table.upsert(batch, [], ["k", "v"], unique=True, staged=staged)
+                kept = [(k, "a") for k in range(1, few)] + ([] if null_safe else [(None, "a")])
+                assert Counter(rows(spark.read.parquet(staged))) == Counter(kept)
+                assert Counter(rows(out)) == Counter([*kept, *[(k, "b") for k in range(few, 20)], (None, "b")])
+
+
+def test_link_arrays_are_dealt_once(spark, tmp_path):
+    """Both arrays of a posting come of one shuffle of its lines; lines without a part or supplier give none."""
+    from hiremart.sources import driver
+    tables = {"lineitem": ([(1, 1, 1), (1, 2, 2), (1, 2, 1), (2, 9, 1), (3, 1, None), (None, 1, 1), (4, 3, 9)],
+                           "l_orderkey long, l_partkey long, l_suppkey long"),
+              "part": ([(1, "Brand#12"), (2, "Brand#11"), (2, "Brand#11"), (3, None)], "p_partkey long, p_brand string"),
+              "supplier": ([(1, 7), (2, 5)], "s_suppkey long, s_nationkey int"),
+              "nation": ([(7, "G"), (5, None)], "n_nationkey int, n_name string")}
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = driver._link_arrays(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    got = {r[0]: (r[1] and [tuple(x) for x in r[1]], r[2] and [tuple(x) for x in r[2]]) for r in out.collect()}
+    assert got == {1: ([("11", "Brand#11"), ("12", "Brand#12")], [("5", None), ("7", "G")]),
+                   2: (None, [("7", "G")]), 3: ([("12", "Brand#12")], None), 4: ([(None, None)], None)}
