@@ -97,3 +97,39 @@ def test_tasks_of_the_warehouse_are_bounded(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_a_written_change_set_holds_what_changed(spark, tmp_path):
+    loaded = "struct<employer_sk: long, area_id: long>"
+    both = f"vacancy_id long, area_id long, name string, role_ids array<string>, loaded {loaded}"
+    old = spark.createDataFrame([(1, 7, "a", ["x"], (5, 7)), (2, None, None, None, (6, 8)), (3, 7, "a", [], None), (5, 1, "z", ["q"], (1, 1))], both)
+    new = spark.createDataFrame([(1, 7, "a", ["x"]), (2, 8, "b", []), (3, None, None, [None]), (4, 1, "d", None)],
+                                "vacancy_id long, area_id long, name string, role_ids array<string>")
+    changes.narrowed(changes.change_set(new, old)).write.parquet(str(tmp_path / "c"))
+    written = spark.read.parquet(str(tmp_path / "c"))
+    assert rows(changes.replaced(written)) == rows(old.where("vacancy_id <> 5"))
+    assert rows(written.select("vacancy_id", changes.was(written, "loaded").alias("l")), "vacancy_id", "l")[3] == (4, None)
+    same = written.where("vacancy_id = 1").select("old.*").first()
+    assert (same["area_id"], same["name"], same["role_ids"], same["loaded"]["area_id"]) == (None, None, None, None)
+
+
+def test_lists_travel_as_short_text(spark):
+    lists = [["11", "23"], [], None, [None], ["a", None], ["a,b"], ["[x", "y"], [""], ["", ""], ["a", ""], ['"', "é"]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, ids array<string>")
+    text = changes.with_text(df, ["ids"])
+    assert rows(changes.with_lists(text, ["ids"]), "i", "ids") == rows(df, "i", "ids")
+    assert text.where("i = 0").first()["ids"] == "11,23"
+
+
+def test_only_opened_postings_are_written_beside_their_version(spark, tmp_path):
+    doc = lambda i, e: (0, 0, i, {"id": str(i), "name": "n", "published_at": "2024-01-02T10:00:00Z",
+                                  "employer": e and {"id": e, "name": "E" if e != "9" else None}, "professional_roles": [{"id": "7", "name": "R"}]})
+    schema = f"_fetch long, _page long, _pos long, item {schemas.POSTING_DOC.simpleString()}"
+    L = Layout(spark, str(tmp_path / "wh"), 4)
+    first = spark.createDataFrame([doc(1, "5"), doc(2, "9"), doc(3, None)], schema)
+    warehouse.load_run(L, first, dt.datetime(2024, 2, 1), 0)
+    warehouse.load_run(L, spark.createDataFrame([doc(1, "5"), doc(3, None), doc(4, "5")], schema), dt.datetime(2024, 3, 1), 1)
+    assert [r[0] for r in rows(spark.read.parquet(f"{L.work(1)}/opened"), "vacancy_id")] == [2, 4]
+    got = rows(warehouse.committed_posting_rows(L, 1), "vacancy_id", "_touched", "_fact", "_waits", "_was_loaded", "_new_roles")
+    assert got == [(1, True, False, False, True, []), (2, False, False, True, False, []), (3, True, False, False, False, []),
+                   (4, True, True, False, False, ["7"])]
