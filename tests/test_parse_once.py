@@ -1,17 +1,16 @@
-"""Documents are parsed once on their way through a run: landed text when it is read, typed documents never."""
+"""Typed documents are not parsed from text, employers by one parse of their member; files of a publish keep their size."""
 
 import datetime as dt
-import json
 from decimal import Decimal
 from pathlib import Path
 
 from hiremart import schemas
 from hiremart.operators import scd2
-from hiremart.operators.flatten import as_declared, flatten_postings, flatten_typed, parsed_documents, typed_documents
+from hiremart.operators.flatten import as_declared, flatten_postings, flatten_typed, typed_documents
 from hiremart.operators.staging import EMPLOYER_COLS, stage_postings
 from hiremart.plans import warehouse
 from hiremart.plans.warehouse import Layout
-from hiremart.sources import landing
+from hiremart.storage import KeyedTable
 
 from conftest import rows
 
@@ -67,40 +66,27 @@ def test_employers_are_staged_by_one_parse_of_their_member(spark):
     assert "professional_roles" not in plan(scd2.employer_rows(some)).split("from_json(")[1].split("raw#")[0]
 
 
-def _landed(spark, path, *docs):
-    Path(path).mkdir(parents=True)
-    (Path(path) / "p.json").write_text(json.dumps({"page": 0, "items": list(docs)}) + "\n")
-    return landing.read_paged_items(spark, str(path), schemas.POSTING_PAGE)
-
-
-def _doc(i, name, **more):
-    return {"id": str(i), "name": name, "published_at": "2024-01-02T10:00:00Z", "employer": {"id": "5", "name": "E"},
-            "professional_roles": [{"id": "7", "name": "R"}], "more": 1, **more}
-
-
 def _tables(wh):
     return {k: rows(v) for k, v in wh.tables().items()}
 
 
-def test_a_run_writes_no_second_copy_of_parsed_documents(spark, tmp_path):
-    items = _landed(spark, tmp_path / "in", _doc(1, "a"), _doc(2, "b", salary={"from": 10, "to": 20.5}))
+def test_a_run_writes_no_second_copy_of_typed_documents(spark, tmp_path):
+    items = typed_items(spark, *DOCS)
     L = Layout(spark, str(tmp_path / "wh"), 2)
     got = warehouse.load_run(L, items, NOW, 0)
     assert not Path(f"{L.work(0)}/parsed").exists()
-    assert "_doc" in spark.read.parquet(f"{L.work(0)}/batch").columns and "_doc" not in L.batch(0).columns
-    assert '"more":1' in L.batch(0).first()["raw"].replace(" ", "")
     assert _tables(got) == _tables(warehouse.build(spark, [(items, NOW)]))
     # repeated ids: the picked rows are written, the last write wins
-    again = _landed(spark, tmp_path / "in2", _doc(1, "late"), _doc(3, "first"), _doc(3, "second"))
-    got = warehouse.load_run(L, again, dt.datetime(2024, 3, 1), 1)
+    again, later = typed_items(spark, DOCS[1], {"id": "3", "name": "first"}, {"id": "3", "name": "second"}), dt.datetime(2024, 3, 1)
+    got = warehouse.load_run(L, again, later, 1)
     assert Path(f"{L.work(1)}/parsed").exists()
-    assert _tables(got) == _tables(warehouse.build(spark, [(items, NOW), (again, dt.datetime(2024, 3, 1))]))
+    assert _tables(got) == _tables(warehouse.build(spark, [(items, NOW), (again, later)]))
 
 
-def test_only_strictly_parsed_text_counts_as_parsed(spark, tmp_path):
-    strict = _landed(spark, tmp_path / "in", _doc(1, "a"))
-    assert parsed_documents(strict)
-    assert not parsed_documents(landing.read_paged_items(spark, str(tmp_path / "in"), schemas.POSTING_PAGE, strict=False))
-    assert not parsed_documents(strict.selectExpr("_page", "_pos", "item"))
-    assert not parsed_documents(strict.withColumn("item", strict["item"].withField("name", strict["_raw"])))
-    assert not parsed_documents(landing.enriched_postings(strict, strict))
+def test_files_of_many_buckets_do_not_shrink(spark):
+    tasks = lambda buckets, size, cores: KeyedTable(spark, "/nowhere", ["id"], buckets)._tasks(size, cores)
+    mb = 1 << 20
+    assert tasks(16, 3200 * mb, 12) == 200 and tasks(64, 3200 * mb, 12) == 50       # 1 MB a file either way
+    assert tasks(2, 80 * mb, 4) == 10
+    assert tasks(64, 50 * mb, 8) == 7 and tasks(64, 80 * mb, 8) == 8                # every core has a task first
+    assert tasks(64, 1, 8) == tasks(16, 1, 8) == tasks(2, 0, 8) == 1
